@@ -154,13 +154,13 @@ def co2_truthy(card_value: Column) -> Column:
 
 
 def co2_object(card_value: Column) -> Column:
-    """Emission fields from an object only, with a parsed number; else NULL."""
+    """Emission fields from an object; ``emissions`` is NULL unless it is a usable number."""
     co2 = at(card_value, "co2_eq_emissions")
     inner = at(co2, "emissions")
-    number = F.when(is_string(inner), parse_emission(text(inner))).when(
-        ~is_object(inner) & ~is_array(inner), F.try_variant_get(inner, "$", "double")
+    number = F.when(is_string(inner), parse_emission(text(inner))).otherwise(
+        F.try_variant_get(inner, "$", "double")
     )
-    return F.when(number.isNotNull(), _co2_struct(number, co2))
+    return _co2_struct(number, co2)
 
 
 # Datasets -----------------------------------------------------------------------

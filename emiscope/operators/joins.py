@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.functions.text import strip
+from emiscope.operators.staging import where_computed
 from emiscope.schemas import EMISSION_RANGES, RANGE_SCHEMA
 
 # Ranges up to this count are broadcast (24 bytes each); more are joined on bins.
@@ -58,6 +59,7 @@ def _within(value: Column) -> Column:
 
 def in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
     """Inner range join. Few ranges are broadcast; many are joined on value bins."""
+    facts = where_computed(facts, F.col(value).isNotNull())
     few = ranges.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES
     if few:
         return facts.join(F.broadcast(ranges), _within(F.col(value)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from emiscope.functions import payload as P
 from emiscope.functions.text import iso_time, parse_float, parse_int, strip
 from emiscope.operators.ranking import latest_per_key
+from emiscope.operators.staging import where_computed
 from emiscope.schemas import (
     BRONZE_COLUMNS,
     DISCOVERY_COLUMNS,
@@ -43,8 +44,8 @@ def discovery_rows(
         payloads.select(*keep, P.parsed(F.col(json_column)).alias("_doc"))
         .withColumn("_card", P.card(doc))
         .withColumn("_co2", co2)
-        .where(F.col("_co2").isNotNull())
     )
+    rows = where_computed(rows, F.col("_co2.emissions").isNotNull())
     shaped = {
         "model_id": _stored(P.either(doc["id"], doc["modelId"])),
         "co2_eq_emissions": F.col("_co2.emissions"),
@@ -74,7 +75,9 @@ def valid_models(rows: DataFrame) -> DataFrame:
             "likes": parse_int(F.col("likes")),
         }
     )
-    return typed.where((F.col("model_id") != "") & F.col("co2_eq_emissions").isNotNull())
+    return where_computed(
+        typed, (F.col("model_id") != "") & F.col("co2_eq_emissions").isNotNull()
+    )
 
 
 def enriched_rows(
@@ -204,8 +207,8 @@ def raw_model_rows(payloads: DataFrame, json_column: str = "payload_json") -> Da
         payloads.select(P.parsed(F.col(json_column)).alias("_doc"))
         .withColumn("_card", P.card(doc))
         .withColumn("_co2", P.co2_truthy(card))
-        .where(F.col("_co2").isNotNull())
     )
+    rows = where_computed(rows, F.col("_co2").isNotNull())
 
     def listed(key: str) -> Column:
         return F.when(P.truthy(P.at(card, key)), P.text_at(card, key))

@@ -9,6 +9,7 @@ from emiscope.functions.text import iso_time, padded_id
 from emiscope.operators import control as K
 from emiscope.operators import joins as J
 from emiscope.operators import rows as W
+from emiscope.operators.staging import where_computed
 from emiscope.plans.catalog.base import (
     CARDS, DISCOVERY_CTES, ENRICHED_CTES, RUN, STAMP, number, query,
 )
@@ -199,9 +200,8 @@ def valid_models(spark, sf):
 
 @query("models_with_emissions", "SELECT model_id, co2_eq_emissions FROM discovered", DISCOVERY_CTES)
 def models_with_emissions(spark, sf):
-    return emission_facts(spark, sf).where("emission IS NOT NULL").select(
-        "model_id", F.col("emission").alias("co2_eq_emissions")
-    )
+    rows = where_computed(emission_facts(spark, sf), F.col("emission").isNotNull())
+    return rows.select("model_id", F.col("emission").alias("co2_eq_emissions"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emiscope.functions import payload as P
 from emiscope.functions import text as T
+from emiscope.operators.staging import where_computed
 from emiscope.plans.catalog.base import (
     DETAIL_CTES, DISCOVERY_CTES, PAYLOAD_CTES, cleaned, number, query,
 )
@@ -69,7 +70,8 @@ def co2_fields_any(spark, sf):
     PAYLOAD_CTES,
 )
 def co2_fields_truthy(spark, sf):
-    rows = cards(spark, sf).withColumn("_kept", P.co2_truthy(card())).where("_kept IS NOT NULL")
+    rows = cards(spark, sf).withColumn("_kept", P.co2_truthy(card()))
+    rows = where_computed(rows, F.col("_kept").isNotNull())
     return rows.select("model_id", "_kept.*")
 
 
@@ -79,7 +81,8 @@ def co2_fields_truthy(spark, sf):
     PAYLOAD_CTES,
 )
 def co2_fields_object(spark, sf):
-    rows = cards(spark, sf).withColumn("_kept", P.co2_object(card())).where("_kept IS NOT NULL")
+    rows = cards(spark, sf).withColumn("_kept", P.co2_object(card()))
+    rows = where_computed(rows, F.col("_kept.emissions").isNotNull())
     return rows.select("model_id", "_kept.*")
 
 

@@ -67,9 +67,13 @@ def read_manifest(spark: SparkSession, path: str, header_schema: str, chunk_sche
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return document.select("*", F.inline("partitions")).drop("partitions")
-    # The header is one row by construction.
-    return chunks.join(F.broadcast(document.drop("partitions")))
+        header = [c for c in document.columns if c != "partitions"]
+        listed_rows = document.select(*header, F.explode("partitions").alias("_c"))
+        fields = [part.split()[0] for part in chunk_schema.split(", ")]
+        return listed_rows.select(*header, *[F.col(f"_c.{f}") for f in fields if f not in header])
+    # The header is one row by construction. Its own names win over a chunk's.
+    header = document.drop("partitions")
+    return chunks.drop(*header.columns).join(F.broadcast(header))
 
 
 def _as_struct(schema: str) -> str:
