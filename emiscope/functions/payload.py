@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from emiscope.functions.text import float_text, parse_emission, strip
 from emiscope.schemas import METRIC_KEYS
 
-# Payload keys the operators read.
+# Payload keys that the row shapes read.
 PAYLOAD_KEYS = (
     "id", "modelId", "author", "cardData", "card_data", "createdAt", "created_at",
     "lastModified", "downloads", "likes", "library_name", "libraryName", "pipeline_tag",
     "pipelineTag", "tags", "safetensors", "siblings", "datasets",
 )
-_DOC_TYPE = ", ".join(f"`{key}` VARIANT" for key in PAYLOAD_KEYS)
+CARD_KEYS = ("cardData", "card_data")
 
 # Canonical JSON texts that count as "nothing there".
 _EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
@@ -27,8 +27,9 @@ _EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 _PARKED_SLASH, _PARKED_QUOTE = "\ue000", "\ue001"
 
 
-def parsed(payload_json: Column) -> Column:
-    return F.from_json(payload_json, _DOC_TYPE)
+def parsed(payload_json: Column, keys: tuple[str, ...] = PAYLOAD_KEYS) -> Column:
+    """Payload text to a struct with one VARIANT per key; other keys are skipped."""
+    return F.from_json(payload_json, ", ".join(f"`{key}` VARIANT" for key in keys))
 
 
 def at(value: Column, key: str) -> Column:
@@ -101,12 +102,24 @@ def spaced_json(value: Column) -> Column:
     return F.when(missing, F.lit("")).otherwise(spaced(F.to_json(value)))
 
 
+def object_json(value: Column) -> Column:
+    """An object as spaced JSON text; ``{}`` when it is missing or no object."""
+    text_form = spaced_json(value)
+    return F.when(text_form.startswith("{"), text_form).otherwise(F.lit("{}"))
+
+
 # Card ---------------------------------------------------------------------------
 
 
 def card(doc: Column) -> Column:
     """The card under either spelling. Only when both are given is emptiness tested."""
-    camel, snake = doc["cardData"], doc["card_data"]
+    camel, snake = (doc[key] for key in CARD_KEYS)
+    return F.when(snake.isNull(), camel).otherwise(either(camel, snake))
+
+
+def card_of(whole: Column) -> Column:
+    """As ``card``, from a payload parsed whole into one VARIANT."""
+    camel, snake = at(whole, "cardData"), at(whole, "card_data")
     return F.when(snake.isNull(), camel).otherwise(either(camel, snake))
 
 
@@ -186,9 +199,8 @@ def dataset_list_json(entry: Column) -> Column:
     return F.when(is_array(entry), spaced_json(entry)).when(is_string(entry), one).otherwise("[]")
 
 
-def dataset_refs(card_value: Column, tags: Column) -> Column:
-    """Distinct sorted references, from the card, else from ``dataset:`` tags."""
-    entry = at(card_value, "datasets")
+def dataset_refs(entry: Column, tags: Column) -> Column:
+    """Distinct sorted references: the card's ``datasets`` entry, else ``dataset:`` tags."""
     # An entry that is not a list counts as a list of one.
     from_card = F.when(is_array(entry), F.transform(items(entry), lambda x: text(x))).otherwise(
         F.array(text(entry))
@@ -202,8 +214,7 @@ def dataset_refs(card_value: Column, tags: Column) -> Column:
     return F.array_sort(F.array_distinct(chosen))
 
 
-def dataset_refs_text(card_value: Column, tags: Column) -> Column:
-    refs = dataset_refs(card_value, tags)
+def dataset_refs_text(refs: Column) -> Column:
     return F.when(F.size(refs) > 0, F.array_join(refs, ", "))
 
 
@@ -224,13 +235,18 @@ def reparsed_list(list_text: Column) -> Column:
 # Metrics, size, domain ------------------------------------------------------------
 
 
-def metrics_entry(card_value: Column) -> Column:
-    """First non-empty evaluation entry of the card."""
-    return F.coalesce(*[F.when(truthy(at(card_value, k)), at(card_value, k)) for k in METRIC_KEYS])
+def metrics_key(card_value: Column) -> Column:
+    """Name of the first non-empty evaluation entry of the card."""
+    return F.coalesce(*[F.when(truthy(at(card_value, k)), F.lit(k)) for k in METRIC_KEYS])
+
+
+def metrics_entry(card_value: Column, key: Column) -> Column:
+    """The evaluation entry under a ``metrics_key``."""
+    return F.coalesce(*[F.when(key == k, at(card_value, k)) for k in METRIC_KEYS])
 
 
-def metrics_text(payload_json: Column, doc: Column, card_value: Column) -> Column:
-    """``metrics_entry`` as spaced JSON text in its own key order; '' when there is none.
+def metrics_text(payload_json: Column, doc: Column, key: Column, entry: Column) -> Column:
+    """The evaluation entry as spaced JSON text in its own key order; '' when there is none.
 
     The payload text is read again only for rows that have an entry, at one path.
     """
@@ -238,16 +254,19 @@ def metrics_text(payload_json: Column, doc: Column, card_value: Column) -> Colum
     found = F.coalesce(
         *[
             F.when(
-                truthy(at(card_value, key)),
-                F.when(camel, F.get_json_object(payload_json, f"$.cardData.{key}")).otherwise(
-                    F.get_json_object(payload_json, f"$.card_data.{key}")
+                key == k,
+                F.when(camel, F.get_json_object(payload_json, f"$.cardData.{k}")).otherwise(
+                    F.get_json_object(payload_json, f"$.card_data.{k}")
                 ),
             )
-            for key in METRIC_KEYS
+            for k in METRIC_KEYS
         ]
     )
-    quoted = F.when(is_string(metrics_entry(card_value)), F.to_json(metrics_entry(card_value)))
-    return F.coalesce(quoted, spaced(found), F.lit(""))
+    return (
+        F.when(key.isNull(), F.lit(""))
+        .when(is_string(entry), F.to_json(entry))
+        .otherwise(spaced(found))
+    )
 
 
 def greatest_number(value: Column) -> Column:

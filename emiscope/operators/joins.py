@@ -38,19 +38,33 @@ def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
     """Each row with its payload by id.
 
     Blank ids are split off first, so they never meet in one join task. Spark
-    broadcasts the payloads only when they are small, and splits a hot id.
+    broadcasts the payloads only when they are small, and splits a hot id. The
+    missing side comes from an anti join on ids, which moves no payload.
     """
     with_id, missing_id = split_missing_id(rows)
     keyed = with_id.withColumn("_id", strip(F.col("model_id")))
-    table = payloads.select(F.col("model_id").alias("_id"), F.col(json_column))
-    joined = keyed.join(table, "_id", "left").drop("_id")
+    table = payloads.where(F.col(json_column).isNotNull()).select(
+        F.col("model_id").alias("_id"), F.col(json_column)
+    )
     return Lookup(
-        found=joined.where(F.col(json_column).isNotNull()),
+        found=keyed.join(table, "_id").drop("_id"),
         missing_id=missing_id,
-        missing_payload=joined.where(F.col(json_column).isNull()).drop(json_column),
+        missing_payload=keyed.join(table.select("_id"), "_id", "left_anti").drop("_id"),
     )
 
 
+def with_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
+    """Every row once, with its payload or NULL, from a single join.
+
+    For callers that need both outcomes. Rows without an id pass by the join.
+    """
+    with_id, missing_id = split_missing_id(rows)
+    keyed = with_id.withColumn("_id", strip(F.col("model_id")))
+    table = payloads.select(F.col("model_id").alias("_id"), F.col(json_column))
+    joined = keyed.join(table, "_id", "left").drop("_id")
+    return joined.unionByName(missing_id, allowMissingColumns=True)
+
+
 def _within(value: Column) -> Column:
     """Half-open: the lower bound belongs to the range, the upper one does not."""
     upper = F.col("max_emissions")
@@ -60,7 +74,7 @@ def _within(value: Column) -> Column:
 def in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
     """Inner range join. Few ranges are broadcast; many are joined on value bins."""
     facts = where_computed(facts, F.col(value).isNotNull())
-    few = ranges.limit(BROADCAST_RANGES + 1).count() <= BROADCAST_RANGES
+    few = ranges.count() <= BROADCAST_RANGES
     if few:
         return facts.join(F.broadcast(ranges), _within(F.col(value)))
     return binned_range_join(facts, ranges, value)
@@ -73,26 +87,22 @@ def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFr
     salt spreads a bin that holds many facts; each range is repeated per salt.
     """
     steps = [i / _BINS for i in range(1, _BINS)]
-    cuts = ranges.agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("min_emissions", steps))).alias("cuts")
-    )
+    # At most _BINS - 1 numbers come to the driver.
+    found = ranges.agg(F.percentile_approx("min_emissions", steps)).first()[0] or []
+    cuts = F.array(*[F.lit(cut) for cut in sorted(set(found))])
 
     def bin_of(x: Column) -> Column:
-        return F.size(F.filter(F.col("cuts"), lambda cut: cut <= x))
+        return F.size(F.filter(cuts, lambda cut: cut <= x))
 
-    top = F.size("cuts")
-    last = F.when(F.col("max_emissions").isNull(), top).otherwise(bin_of(F.col("max_emissions")))
+    upper = F.coalesce("max_emissions", F.lit(float("inf")))
+    last = bin_of(upper)
     spread = (
-        ranges.join(F.broadcast(cuts))
-        .withColumn("_bin", F.explode(F.sequence(bin_of(F.col("min_emissions")), last)))
+        ranges.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("min_emissions")), last)))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        .drop("cuts")
     )
     placed = (
-        facts.join(F.broadcast(cuts))
-        .withColumn("_bin", bin_of(F.col(value)))
+        facts.withColumn("_bin", bin_of(F.col(value)))
         .withColumn("_salt", F.pmod(F.xxhash64(*_hashable(facts)), F.lit(_SALTS)).cast("int"))
-        .drop("cuts")
     )
     return placed.join(spread, ["_bin", "_salt"]).where(_within(F.col(value))).drop("_bin", "_salt")
 

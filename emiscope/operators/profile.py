@@ -6,25 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.functions import payload as P
+from emiscope.operators.staging import where_computed
 
 
 def model_refs(payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
     """Models with their distinct sorted dataset references."""
     doc = F.col("_doc")
-    return (
-        payloads.withColumn("_doc", P.parsed(F.col(json_column)))
-        .withColumn("refs", P.dataset_refs(P.card(doc), doc["tags"]))
-        .select("model_id", "refs")
-    )
+    rows = payloads.withColumn("_doc", P.parsed(F.col(json_column), (*P.CARD_KEYS, "tags")))
+    rows = rows.withColumn("_entry", P.at(P.card(doc), "datasets"))
+    return rows.select("model_id", P.dataset_refs(F.col("_entry"), doc["tags"]).alias("refs"))
+
+
+def _exploded(refs: DataFrame) -> DataFrame:
+    """One row per model and reference. Spark would infer the same filter and, without
+    the pin, build the references once more for it."""
+    listed = where_computed(refs, F.col("refs").isNotNull() & (F.size("refs") > 0))
+    return listed.select("model_id", F.explode("refs").alias("dataset_id"))
 
 
 def unique_refs(refs: DataFrame) -> DataFrame:
-    return refs.select(F.explode("refs").alias("dataset_id")).distinct()
+    return _exploded(refs).select("dataset_id").distinct()
 
 
 def usage_counts(refs: DataFrame) -> DataFrame:
     return (
-        refs.select(F.explode("refs").alias("dataset_id"))
+        _exploded(refs)
         .groupBy("dataset_id")
         .agg(F.count(F.lit(1)).alias("models"))
     )
@@ -41,9 +47,9 @@ def with_dataset_sizes(models: DataFrame, refs: DataFrame, datasets: DataFrame)
     Only ids are exploded and joined. Sizes come from one row per dataset, so Spark
     either broadcasts them when small or splits a hot dataset on the model side.
     """
-    pairs = refs.select("model_id", F.explode("refs").alias("dataset_id"))
     summed = (
-        pairs.join(datasets, "dataset_id", "left")
+        _exploded(refs)
+        .join(datasets, "dataset_id", "left")
         .groupBy("model_id")
         .agg(
             F.count(F.lit(1)).alias("datasets_count"),
@@ -58,8 +64,12 @@ def with_dataset_sizes(models: DataFrame, refs: DataFrame, datasets: DataFrame)
 def silver_models(payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
     """Model-level silver rows: size in MB, automation flag, emission context, metrics."""
     doc, card = F.col("_doc"), F.col("_card")
-    rows = payloads.withColumn("_doc", P.parsed(F.col(json_column))).withColumn("_card", P.card(doc))
-    rows = rows.withColumn("_co2", P.co2_any(card)).withColumn("_size", P.model_size(doc))
+    keys = (*P.CARD_KEYS, "tags", "safetensors", "siblings")
+    rows = payloads.withColumn("_doc", P.parsed(F.col(json_column), keys))
+    rows = rows.withColumn("_card", P.card(doc))
+    rows = rows.withColumns(
+        {"_co2": P.co2_any(card), "_size": P.model_size(doc), "_key": P.metrics_key(card)}
+    ).withColumn("_metrics", P.metrics_entry(card, F.col("_key")))
     return rows.select(
         "model_id",
         (F.col("_size") / (1024 * 1024)).alias("model_size_mb"),
@@ -67,7 +77,9 @@ def silver_models(payloads: DataFrame, json_column: str = "payload_json") -> Dat
         F.col("_co2.training_type").alias("training_type"),
         F.col("_co2.geographical_location").alias("geographical_location"),
         F.col("_co2.hardware_used").alias("hardware_used"),
-        P.metrics_text(F.col(json_column), doc, card).alias("performance_metrics"),
+        P.metrics_text(F.col(json_column), doc, F.col("_key"), F.col("_metrics")).alias(
+            "performance_metrics"
+        ),
     )
 
 

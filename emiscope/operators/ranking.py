@@ -185,21 +185,27 @@ def exact_quantiles(df: DataFrame, column: str, parts: int) -> DataFrame:
         (F.col("_start") + F.sum("_n").over(inside) - F.col("_n")).alias("_lo"),
         (F.col("_start") + F.sum("_n").over(inside)).alias("_hi"),
     )
-    total = counts.agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n").alias("_total"))
-    wanted = total.select(
-        F.explode(F.sequence(F.lit(0), F.lit(parts))).alias("step"), "_total"
-    ).withColumn("_at", F.col("step") * (F.col("_total") - 1) / parts)
-    floor_at, ceil_at = F.floor("_at"), F.ceil("_at")
+    total = placed.agg(F.sum("_n")).first()[0] or 0
+    # parts + 1 wanted positions, between two neighbours each.
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("step"), F.lit(i * (total - 1) / parts).alias("at"))
+            for i in range(parts + 1)
+        ]
+    )
+
+    def covers(position: Column) -> Column:
+        return (F.col("_lo") <= position) & (position < F.col("_hi"))
+
+    near = F.filter(wanted, lambda w: covers(F.floor(w["at"])) | covers(F.ceil(w["at"])))
     return (
-        covered.join(
-            F.broadcast(wanted),
-            ((F.col("_lo") <= floor_at) & (floor_at < F.col("_hi")))
-            | ((F.col("_lo") <= ceil_at) & (ceil_at < F.col("_hi"))),
-        )
-        .groupBy("step", "_at")
+        covered.select("_v", F.explode(near).alias("_w"))
+        .groupBy(F.col("_w.step").alias("step"), F.col("_w.at").alias("_at"))
         .agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"))
         .select(
             "step",
-            (F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - floor_at)).alias("bound"),
+            (
+                F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_at") - F.floor("_at"))
+            ).alias("bound"),
         )
     )

@@ -17,6 +17,20 @@ from emiscope.schemas import (
 )
 
 
+_LISTING_KEYS = (
+    "id", "modelId", *P.CARD_KEYS, "createdAt", "created_at", "downloads", "likes",
+    "library_name", "libraryName", "pipeline_tag", "pipelineTag", "tags",
+)
+_ENRICHING_KEYS = (
+    "id", *P.CARD_KEYS, "datasets", "downloads", "likes", "library_name", "pipeline_tag",
+    "createdAt", "created_at", "tags", "safetensors", "siblings",
+)
+_RAW_KEYS = (
+    "id", *P.CARD_KEYS, "author", "createdAt", "lastModified", "downloads", "likes",
+    "pipeline_tag", "library_name",
+)
+
+
 def now_text() -> Column:
     return iso_time(F.current_timestamp())
 
@@ -41,7 +55,7 @@ def discovery_rows(
     stamp = F.lit(discovered_at) if discovered_at else now_text()
     co2 = P.co2_object(F.col("_card"))
     rows = (
-        payloads.select(*keep, P.parsed(F.col(json_column)).alias("_doc"))
+        payloads.select(*keep, P.parsed(F.col(json_column), _LISTING_KEYS).alias("_doc"))
         .withColumn("_card", P.card(doc))
         .withColumn("_co2", co2)
     )
@@ -91,19 +105,24 @@ def enriched_rows(
     """Discovery rows that have their payload, to the 30 enriched columns."""
     doc, card = F.col("_doc"), F.col("_card")
     rows = (
-        found.withColumn("_doc", P.parsed(F.col(json_column)))
+        found.withColumn("_doc", P.parsed(F.col(json_column), _ENRICHING_KEYS))
         .withColumn("_card", P.card(doc))
         .withColumns(
             {
                 "_entry": P.dataset_entry(doc, card),
-                "_metrics": P.metrics_entry(card),
+                "_key": P.metrics_key(card),
                 "_size": P.model_size(doc),
                 "_emission": parse_float(F.col("co2_eq_emissions")),
                 "_downloads": _count_of(doc["downloads"], F.col("downloads")),
                 "_likes": _count_of(doc["likes"], F.col("likes")),
             }
         )
-        .withColumn("_listed", F.size(P.dataset_list(F.col("_entry"))))
+        .withColumns(
+            {
+                "_listed": F.size(P.dataset_list(F.col("_entry"))),
+                "_metrics": P.metrics_entry(card, F.col("_key")),
+            }
+        )
     )
     shaped = {
         "modelId": _or_row(doc["id"], F.col("model_id")),
@@ -113,7 +132,9 @@ def enriched_rows(
         "co2_reported": F.col("_emission").isNotNull(),
         "source": F.col("co2_source"),
         "environment": P.text_at(card, "environment"),
-        "performance_metrics": P.metrics_text(F.col(json_column), doc, card),
+        "performance_metrics": P.metrics_text(
+            F.col(json_column), doc, F.col("_key"), F.col("_metrics")
+        ),
         "performance_score": P.greatest_number(F.col("_metrics")),
         "downloads": F.col("_downloads"),
         "likes": F.col("_likes"),
@@ -173,12 +194,12 @@ def bronze_rows(
     Status is ``empty`` for a range without a model, ``error`` for a payload that
     is no JSON object, else ``ok``.
     """
-    doc = F.try_parse_json(F.col(json_column))
-    rows = sharded.withColumn("_raw", doc).withColumn("_doc", P.parsed(F.col(json_column)))
-    card = P.card(F.col("_doc"))
-    rows = rows.withColumn("_co2", P.co2_any(card))
+    rows = sharded.withColumn("_raw", F.try_parse_json(F.col(json_column)))
+    rows = rows.withColumn("_card", P.card_of(F.col("_raw")))
+    card = F.col("_card")
+    rows = rows.withColumn("_co2", P.co2_any(card)).withColumn("_json", P.spaced_json(F.col("_raw")))
     empty = F.col(json_column).isNull()
-    broken = ~empty & ~P.is_object(F.col("_raw"))
+    broken = ~empty & ~F.col("_json").startswith("{")
     ok = ~empty & ~broken
     shaped = {
         "run_id": F.lit(run_id),
@@ -186,8 +207,8 @@ def bronze_rows(
         "model_id": F.when(ok, F.col("model_id")),
         "emissions_threshold_min": F.col("min_emissions"),
         "emissions_threshold_max": F.col("max_emissions"),
-        "card_data_json": F.when(ok, P.spaced_json(card)),
-        "model_raw_json": F.when(ok, P.spaced_json(F.col("_raw"))),
+        "card_data_json": F.when(ok, P.object_json(card)),
+        "model_raw_json": F.when(ok, F.col("_json")),
         "co2_emissions": F.when(ok, F.col("_co2.emissions")),
         "co2_source": F.when(ok, F.col("_co2.source")),
         "co2_training_type": F.when(ok, F.col("_co2.training_type")),
@@ -204,7 +225,7 @@ def raw_model_rows(payloads: DataFrame, json_column: str = "payload_json") -> Da
     """Payloads with a non-empty emission entry, scalar or object, to raw model rows."""
     doc, card = F.col("_doc"), F.col("_card")
     rows = (
-        payloads.select(P.parsed(F.col(json_column)).alias("_doc"))
+        payloads.select(P.parsed(F.col(json_column), _RAW_KEYS).alias("_doc"))
         .withColumn("_card", P.card(doc))
         .withColumn("_co2", P.co2_truthy(card))
     )

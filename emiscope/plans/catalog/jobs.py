@@ -31,14 +31,15 @@ def job_discovery(spark, sf):
         relation(spark, sf, "payloads").select("k", "payload_json"), "k"
     )
     done = jobs.discover(spark, listing, fresh_path(spark, "discovery"), RUN, STAMP)
-    totals = done.totals.select("total_models_seen", "models_with_emissions")
+    totals = done.totals.select("snapshot_id", "total_models_seen", "models_with_emissions")
     rows = done.models.select(
+        "snapshot_id",
         "model_id",
         parse_float(F.col("co2_eq_emissions")).alias("co2_eq_emissions"),
         F.col("likes").cast("bigint").alias("likes"),
         "tags",
     )
-    return rows.join(F.broadcast(totals))
+    return rows.join(totals, "snapshot_id").drop("snapshot_id")
 
 
 @query(

@@ -55,8 +55,10 @@ def dead_letter_rows(spark, sf):
 
 def emission_facts(spark, sf):
     """Payloads with the number by which a model is put in an emission range."""
-    rows = relation(spark, sf, "payloads").withColumn("_doc", P.parsed(F.col("payload_json")))
-    co2 = P.co2_object(P.card(F.col("_doc")))
+    rows = relation(spark, sf, "payloads")
+    rows = rows.withColumn("_doc", P.parsed(F.col("payload_json"), P.CARD_KEYS))
+    rows = rows.withColumn("_card", P.card(F.col("_doc")))
+    co2 = P.co2_object(F.col("_card"))
     return rows.select("model_id", "payload_json", co2["emissions"].alias("emission"))
 
 

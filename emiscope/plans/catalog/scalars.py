@@ -210,8 +210,11 @@ def card_object(spark, sf):
 
 @query("performance_metrics", "SELECT model_id, metrics_text AS metrics_json FROM detailed", DETAIL_CTES)
 def performance_metrics(spark, sf):
-    return cards(spark, sf).select(
-        "model_id", P.metrics_text(F.col("payload_json"), doc(), card()).alias("metrics_json")
+    rows = cards(spark, sf).withColumn("_key", P.metrics_key(card()))
+    return rows.select(
+        "model_id", P.metrics_text(
+            F.col("payload_json"), doc(), F.col("_key"), P.metrics_entry(card(), F.col("_key"))
+        ).alias("metrics_json"),
     )
 
 
@@ -221,8 +224,10 @@ def performance_metrics(spark, sf):
     DETAIL_CTES,
 )
 def performance_score(spark, sf):
-    return cards(spark, sf).select(
-        "model_id", P.greatest_number(P.metrics_entry(card())).alias("score")
+    rows = cards(spark, sf).withColumn("_key", P.metrics_key(card()))
+    rows = rows.withColumn("_metrics", P.metrics_entry(card(), F.col("_key")))
+    return rows.select(
+        "model_id", P.greatest_number(F.col("_metrics")).alias("score")
     )
 
 
@@ -264,9 +269,9 @@ REF_CTES = (*DETAIL_CTES, REFS)
     REF_CTES,
 )
 def dataset_refs_text(spark, sf):
-    return cards(spark, sf).select(
-        "model_id", P.dataset_refs_text(card(), doc()["tags"]).alias("refs")
-    )
+    rows = cards(spark, sf).withColumn("_entry", P.at(card(), "datasets"))
+    rows = rows.withColumn("_refs", P.dataset_refs(F.col("_entry"), doc()["tags"]))
+    return rows.select("model_id", P.dataset_refs_text(F.col("_refs")).alias("refs"))
 
 
 @query(

@@ -28,10 +28,8 @@ def discovered(spark, sf, keep=("k",)):
 
 def enriched(spark, sf):
     """Discovery rows with their payload, for models whose payload can be found."""
-    rows = discovered(spark, sf)
-    found = relation(spark, sf, "payloads").where("k % 11 <> 0").select("k", "payload_json")
-    pid = padded_id(F.col("k") % 8)
-    return W.enriched_rows(rows.join(found, "k"), RUN, pid, F.lit(STAMP), keep=("k",))
+    found = discovered(spark, sf, keep=("k", "payload_json")).where("k % 11 <> 0")
+    return W.enriched_rows(found, RUN, padded_id(F.col("k") % 8), F.lit(STAMP), keep=("k",))
 
 
 def sharded_orders(spark, sf):
@@ -237,10 +235,13 @@ def sink_parquet_overwrite(spark, sf):
 def sink_csv_export(spark, sf):
     doc, card = F.col("_doc"), F.col("_card")
     rows = relation(spark, sf, "payloads").withColumn("_doc", P.parsed(F.col("payload_json")))
-    rows = rows.withColumn("_card", P.card(doc)).select(
+    rows = rows.withColumn("_card", P.card(doc)).withColumn("_key", P.metrics_key(card))
+    rows = rows.select(
         "model_id",
         P.dataset_list(P.dataset_entry(doc, card)).alias("datasets_list"),
-        P.metrics_text(F.col("payload_json"), doc, card).alias("performance_metrics"),
+        P.metrics_text(
+            F.col("payload_json"), doc, F.col("_key"), P.metrics_entry(card, F.col("_key"))
+        ).alias("performance_metrics"),
     )
     path = fresh_path(spark, "export")
     writers.export_csv(W.gold_export(rows), path)
@@ -455,12 +456,12 @@ def sink_chunk_csv(spark, sf):
 def sink_manifest(spark, sf):
     path = fresh_path(spark, "manifest")
     chunks = K.chunk_descriptors(R.chunk_bounds(chunked(spark, sf)), settings(spark))
-    header = chunks.agg(
-        F.lit(RUN).alias("run_id"),
-        F.lit("PREPARED").alias("status"),
-        F.count(F.lit(1)).alias("partitions_count"),
-    )
-    writers.write_manifest(header, chunks, path)
+    header = {
+        "run_id": F.lit(RUN),
+        "status": F.lit("PREPARED"),
+        "partitions_count": F.count(F.lit(1)),
+    }
+    writers.write_manifest(chunks, header, path)
     return readers.read_manifest(
         spark, path, "run_id STRING, status STRING, partitions_count BIGINT", CHUNK_SCHEMA
     ).select(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from emiscope.functions.text import padded_id
+from emiscope.functions.text import padded_id, strip
 from emiscope.operators import aggregates as A
 from emiscope.operators import control as K
 from emiscope.operators import joins as J
@@ -17,12 +17,14 @@ from emiscope.schemas import (
     BRONZE_SCHEMA,
     DISCOVERY_COLUMNS,
     DISCOVERY_TEXT_SCHEMA,
+    ENRICHED_COLUMNS,
     ENRICHED_SCHEMA,
     ERROR_SCHEMA,
 )
 from emiscope.session import write_through
 from emiscope.sources import readers, writers
 
+
 def prepare_order() -> list[Column]:
     """Most used first; ties are settled by id, so that the order is total."""
     return [F.desc("downloads"), F.desc("likes"), F.desc("co2_eq_emissions"), F.asc("model_id")]
@@ -72,8 +74,7 @@ def discover(
         F.sum("page_size").alias("total_models_seen"),
         F.sum("page_matches").alias("models_with_emissions"),
     )
-    final = published.agg(F.count(F.lit(1)).alias("final_rows_count"))
-    result = totals.join(F.broadcast(final))
+    result = totals.withColumn("final_rows_count", F.lit(published.count()).cast("bigint"))
     writers.write_json(result, f"{out}/result")
     return DiscoveryResult(models=published, totals=result)
 
@@ -102,20 +103,21 @@ def prepare(
 
     bounds = R.chunk_bounds(chunked)
     chunks = write_through(K.chunk_descriptors(bounds, settings), "chunks")
-    header = chunks.agg(
-        F.lit(settings.run_id).alias("run_id"),
-        F.assert_true(F.count(F.lit(1)) > 0, F.lit("no valid models in the source")).alias("_guard"),
-        F.lit("PREPARED").alias("status"),
-        F.lit(settings.source_path).alias("source_csv_path"),
-        F.count(F.lit(1)).alias("partitions_count"),
-        F.lit(settings.workers).alias("workers"),
-        F.lit(settings.threads_per_worker).alias("threads_per_worker"),
-        F.lit(settings.rate_limit).alias("global_rate_limit"),
-        F.lit(settings.window_seconds).alias("window_seconds"),
-        F.lit(settings.calls_per_model).alias("calls_per_model"),
-        now.alias("created_at"),
-    ).drop("_guard")
-    writers.write_manifest(header, chunks, base)
+    header = {
+        "run_id": F.lit(settings.run_id),
+        "status": F.lit("PREPARED"),
+        "source_csv_path": F.lit(settings.source_path),
+        "partitions_count": F.count(F.lit(1)),
+        "workers": F.lit(settings.workers),
+        "threads_per_worker": F.lit(settings.threads_per_worker),
+        "global_rate_limit": F.lit(settings.rate_limit),
+        "window_seconds": F.lit(settings.window_seconds),
+        "calls_per_model": F.lit(settings.calls_per_model),
+        "created_at": now,
+    }
+    if chunks.isEmpty():
+        raise ValueError(f"no valid models in {settings.source_path}")
+    writers.write_manifest(chunks, header, base)
     control = K.control_items(chunks, settings, now)
     writers.write_json(control, f"{base}/control")
     return PrepareResult(rows=chunked, chunks=chunks, control=control)
@@ -141,27 +143,40 @@ def enrich(
     ``rows`` carry ``partition_id``. Every input row ends in exactly one of the two
     outputs.
     """
-    pid = F.col("partition_id")
-    look = J.lookup_payloads(rows, payloads)
-    done = W.enriched_rows(look.found, run_id, pid, now)
-    no_id = W.error_rows(
-        look.missing_id, run_id, pid, F.lit("ValueError"), F.lit("Missing model_id"), now
-    )
-    no_payload = W.error_rows(
-        look.missing_payload, run_id, pid, F.lit("LookupError"),
-        F.concat(F.lit("No payload for "), F.col("model_id")), now,
+    no_id = strip(F.coalesce(F.col("model_id"), F.lit(""))) == ""
+    joined = J.with_payloads(rows, payloads).withColumns(
+        {
+            "error_type": F.when(no_id, "ValueError").when(
+                F.col("payload_json").isNull(), "LookupError"
+            ),
+            "error_message": F.when(no_id, "Missing model_id").otherwise(
+                F.concat(F.lit("No payload for "), F.col("model_id"))
+            ),
+        }
     )
-    writers.write_batches(
-        done, f"{out}/batches", ["run_id", "partition_id"], [F.asc("model_id"), F.asc("discovered_at")]
+    outcome = W.enriched_rows(
+        joined, run_id, F.col("partition_id"), now, keep=("error_type", "error_message")
+    ).withColumn("ok", F.col("error_type").isNull())
+    # One ordered table serves both outputs, so that payloads are joined once.
+    order = [F.asc("model_id"), F.asc("discovered_at")]
+    ranked = A.batch_numbers(outcome, ["run_id", "partition_id", "ok"], order)
+    done = ranked.where("ok").select(*ENRICHED_COLUMNS, "batch")
+    done.write.mode("overwrite").partitionBy("run_id", "partition_id", "batch").json(f"{out}/batches")
+    failed = W.error_rows(
+        ranked.where("NOT ok"), run_id, F.col("partition_id"), F.col("error_type"),
+        F.col("error_message"), F.col("enriched_at"),
     )
-    failed = no_id.unionByName(no_payload)
     failed.write.mode("overwrite").partitionBy("partition_id").json(f"{out}/errors")
 
     enriched = readers.read_json_lines(spark, f"{out}/batches", ENRICHED_SCHEMA)
     errors = readers.read_json_lines(spark, f"{out}/errors", ERROR_SCHEMA)
     outcomes = enriched.select("partition_id", F.lit(True).alias("ok"), F.lit(True).alias("called"))
     outcomes = outcomes.unionByName(
-        errors.select("partition_id", F.lit(False).alias("ok"), (F.col("error_type") != "ValueError").alias("called"))
+        errors.select(
+            "partition_id",
+            F.lit(False).alias("ok"),
+            (F.col("error_type") != "ValueError").alias("called"),
+        )
     )
     metrics = A.partition_metrics(outcomes, ["partition_id"], F.col("ok"), F.col("called"))
     writers.write_json(metrics.withColumn("run_id", F.lit(run_id)), f"{out}/metrics")
@@ -213,8 +228,18 @@ def bronze(
     ingested_at: Column | None = None,
 ) -> BronzeResult:
     """Models into the bronze table by emission range, with its run checks."""
-    sharded = J.shard_by_range(models, ranges, emission)
-    writers.append_json(W.bronze_rows(sharded, run_id, ingested_at=ingested_at), out, "run_id", "shard_id")
+    # The write itself reports which ranges it met: one id per range, and a repeated
+    # task adds nothing to a set. So the models are read once.
+    met = Observation("ranges_met")
+    hits = J.in_ranges(models, ranges, emission).observe(
+        met, F.collect_set("shard_id").alias("shard_ids")
+    )
+    keys = ("run_id", "shard_id")
+    writers.append_json(W.bronze_rows(hits, run_id, ingested_at=ingested_at), out, *keys)
+    idle = ranges.where(~F.col("shard_id").isin(met.get["shard_ids"]))
+    blank = F.lit(None).cast("string")
+    idle = idle.withColumns({"model_id": blank, "payload_json": blank})
+    writers.append_json(W.bronze_rows(idle, run_id, ingested_at=ingested_at), out, *keys)
     rows = readers.read_run(spark, out, BRONZE_SCHEMA, run_id)
     ok = rows.where("status = 'ok'")
     complete = rows.groupBy("shard_id").agg(F.count_if(F.col("status") == "error").alias("_bad"))

@@ -62,18 +62,18 @@ def read_manifest(spark: SparkSession, path: str, header_schema: str, chunk_sche
     """One row per chunk with the run header, whichever way the manifest was written."""
     listed = f"{header_schema}, partitions ARRAY<STRUCT<{_as_struct(chunk_schema)}>>"
     document = spark.read.schema(listed).json(f"{path}/manifest")
+    header = [c for c in document.columns if c != "partitions"]
     try:
-        chunks = spark.read.schema(chunk_schema).json(f"{path}/partitions")
+        chunks = spark.read.schema(f"run_id STRING, {chunk_schema}").json(f"{path}/partitions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        header = [c for c in document.columns if c != "partitions"]
-        listed_rows = document.select(*header, F.explode("partitions").alias("_c"))
+        rows = document.select(*header, F.explode("partitions").alias("_c"))
         fields = [part.split()[0] for part in chunk_schema.split(", ")]
-        return listed_rows.select(*header, *[F.col(f"_c.{f}") for f in fields if f not in header])
+        return rows.select(*header, *[F.col(f"_c.{f}") for f in fields if f not in header])
     # The header is one row by construction. Its own names win over a chunk's.
-    header = document.drop("partitions")
-    return chunks.drop(*header.columns).join(F.broadcast(header))
+    own = [c for c in chunks.columns if c == "run_id" or c not in header]
+    return chunks.select(*own).join(F.broadcast(document.select(*header)), "run_id")
 
 
 def _as_struct(schema: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.operators.ranking import rank_in_group
@@ -15,7 +15,9 @@ EMBEDDED_CHUNKS = 10_000
 
 
 def append_json(df: DataFrame, path: str, *partition_keys: str) -> None:
-    df.write.mode("append").format("json").partitionBy(*partition_keys).save(path)
+    """Rows of one directory are brought together; Spark splits a directory that is too big."""
+    gathered = df.hint("rebalance", *[F.col(k) for k in partition_keys])
+    gathered.write.mode("append").format("json").partitionBy(*partition_keys).save(path)
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -24,7 +26,7 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
     """Semicolon CSV with header and doubled quotes: one file while the rows allow it."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
+    small = df.count() <= single_file_rows
     out = df.coalesce(1) if small else df
     writer = out.write.mode("overwrite").option("header", True).option("sep", ";")
     writer.option("quote", '"').option("escape", '"').csv(path)
@@ -53,7 +55,8 @@ def write_batches(
 
 def write_csv_parts(df: DataFrame, path: str, part: str = "part_number") -> None:
     """Header CSV in one directory per part number."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    gathered = df.hint("rebalance", F.col(part))
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.option("header", True).option("escape", '"').partitionBy(part).csv(path)
 
 
@@ -81,17 +84,18 @@ def write_chunks(chunked: DataFrame, path: str, partition_id: str = "partition_i
 
 
 def write_manifest(
-    header: DataFrame, chunks: DataFrame, path: str, embed_limit: int = EMBEDDED_CHUNKS
+    chunks: DataFrame, header: dict[str, Column], path: str, embed_limit: int = EMBEDDED_CHUNKS
 ) -> None:
     """Run header and chunk descriptors: one document while the chunks are few.
 
-    A longer list is written as a table next to the header, so that no task ever
-    holds it whole.
+    ``header`` holds constants and aggregates over the chunks, ``run_id`` among
+    them. A longer list is written as a table next to the header, so that no task
+    ever holds it whole.
     """
-    columns = F.struct(*chunks.columns)
-    if chunks.limit(embed_limit + 1).count() <= embed_limit:
-        listed = chunks.agg(F.array_sort(F.collect_list(columns)).alias("partitions"))
-        write_json(header.join(F.broadcast(listed)), f"{path}/manifest")
+    columns = [value.alias(name) for name, value in header.items()]
+    if chunks.count() <= embed_limit:
+        listed = F.array_sort(F.collect_list(F.struct(*chunks.columns))).alias("partitions")
+        write_json(chunks.agg(*columns, listed), f"{path}/manifest")
         return
-    write_json(header, f"{path}/manifest")
-    write_json(chunks, f"{path}/partitions")
+    write_json(chunks.agg(*columns), f"{path}/manifest")
+    write_json(chunks.withColumn("run_id", header["run_id"]), f"{path}/partitions")
