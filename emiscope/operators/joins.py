@@ -53,16 +53,27 @@ def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
     )
 
 
-def with_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
-    """Every row once, with its payload or NULL, from a single join.
+def flag_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
+    """Every row once, with the error that keeps it from a payload, or NULL.
 
-    For callers that need both outcomes. Rows without an id pass by the join.
+    Only ids are joined. Rows without an id pass by the join.
     """
     with_id, missing_id = split_missing_id(rows)
-    keyed = with_id.withColumn("_id", strip(F.col("model_id")))
-    table = payloads.select(F.col("model_id").alias("_id"), F.col(json_column))
-    joined = keyed.join(table, "_id", "left").drop("_id")
-    return joined.unionByName(missing_id, allowMissingColumns=True)
+    known = payloads.where(F.col(json_column).isNotNull())
+    known = known.select(F.col("model_id").alias("_id"), F.lit(True).alias("_known"))
+    joined = with_id.withColumn("_id", strip(F.col("model_id"))).join(known, "_id", "left")
+    unknown = F.col("_known").isNull()
+    message = F.concat(F.lit("No payload for "), F.col("model_id"))
+    checked = joined.withColumns(
+        {
+            "error_type": F.when(unknown, "LookupError"),
+            "error_message": F.when(unknown, message),
+        }
+    ).drop("_id", "_known")
+    blank = missing_id.withColumns(
+        {"error_type": F.lit("ValueError"), "error_message": F.lit("Missing model_id")}
+    )
+    return checked.unionByName(blank)
 
 
 def _within(value: Column) -> Column:

@@ -127,7 +127,8 @@ def running_totals(
     Positions are cut into spans. A window runs inside each span, a second one
     over the span totals, so no task holds a whole group.
     """
-    cut = df.withColumn("_span", F.floor(F.col(position) / span))
+    # The same filter on both sides of the join lets Spark reuse the shuffle below them.
+    cut = df.withColumn("_span", F.floor(F.col(position) / span)).where("_span IS NOT NULL")
     inside = Window.partitionBy(*group, "_span").orderBy(position)
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
     totals = cut.groupBy(*group, "_span").agg(

@@ -142,7 +142,7 @@ def emission_ranges(spark, sf):
 def scan_parts_union(spark, sf):
     path = fresh_path(spark, "parts")
     rows = discovered(spark, sf).withColumn("part_number", F.col("k") % 5).drop("k")
-    writers.write_csv_parts(rows, path)
+    writers.write_csv_parts(rows, path, directory_per_part=True)
     read = readers.read_csv_parts(spark, path, DISCOVERY_TEXT_SCHEMA)
     return read.select(
         F.regexp_extract("part_file", r"part_number=(\d+)", 1).cast("bigint").alias("part_number"),
@@ -279,7 +279,8 @@ def sink_jsonl_batches(spark, sf):
     rows = relation(spark, sf, "attempts").where("outcome = 'COMPLETED'").select(
         padded_id(F.col("partition_no")).alias("partition_id"), "event_id", "value"
     )
-    writers.write_batches(rows, path, ["partition_id"], [F.asc("event_id")])
+    numbered = A.batch_numbers(rows, ["partition_id"], [F.asc("event_id")])
+    writers.write_batches(numbered, path, ["partition_id"])
     read = spark.read.schema("event_id BIGINT, partition_id STRING, batch BIGINT").json(path)
     return read.groupBy("partition_id", "batch").agg(
         F.count(F.lit(1)).alias("batch_rows"),

@@ -12,7 +12,11 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-RELATIONS_SQL = r"""
+# Relation -> the tables it is made from, and its CTEs.
+RELATIONS = {
+    "payloads": (
+        ("part", "lineitem",),
+        r"""
 usage AS (
   SELECT l_partkey, COUNT(*) AS downloads, COUNT(DISTINCT l_suppkey) AS likes
   FROM {lineitem} GROUP BY l_partkey),
@@ -59,20 +63,37 @@ payloads AS (
          || CASE WHEN k % 3 = 0 THEN 'true' ELSE 'false' END || '}}]}}]}}]'
          WHEN k % 4 = 2 THEN ',"model-index":[],"metrics":["accuracy"]' ELSE '' END
     || '}}}}' AS payload_json
-  FROM base),
+  FROM base)
+""",
+    ),
+    "enrich_log": (
+        ("orders",),
+        r"""
 enrich_log AS (
   SELECT o_custkey AS k, o_orderkey AS attempt_id, o_orderdate AS enriched_at,
          o_orderstatus AS status, o_totalprice AS value
-  FROM {orders}),
+  FROM {orders})
+""",
+    ),
+    "page_log": (
+        ("orders",),
+        r"""
 page_log AS (
   SELECT o_orderkey AS seq, CAST(FLOOR(o_orderkey / 100) AS BIGINT) + 1 AS page,
          o_custkey AS k, o_orderstatus <> 'O' AS has_emission
-  FROM {orders}),
+  FROM {orders})
+""",
+    ),
+    "attempts": (
+        ("events",),
+        r"""
 attempts AS (
   SELECT event_id, ts, user_id % 8 AS partition_no, event_type,
          CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'COMPLETED' END AS outcome, value, props
   FROM {events})
-"""
+""",
+    ),
+}
 
 RANGES_SQL = """
 ranges AS (
@@ -100,12 +121,15 @@ def spread(df: DataFrame) -> DataFrame:
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived relation as a DataFrame; parts it does not use are dropped by Spark."""
-    frames = {t: table(spark, sf_dir, t) for t in ("part", "lineitem", "orders", "events")}
-    frames["part"] = spread(frames["part"])
-    return spark.sql(f"WITH {RELATIONS_SQL} SELECT * FROM {name}", **frames)
+    needed, ctes = RELATIONS[name]
+    frames = {t: table(spark, sf_dir, t) for t in needed}
+    if "part" in frames:
+        frames["part"] = spread(frames["part"])
+    return spark.sql(f"WITH {ctes} SELECT * FROM {name}", **frames)
 
 
 def with_relations(query: str, *extra: str) -> str:
     """DuckDB text: the derived relations, further CTEs, then the query."""
-    own = [RELATIONS_SQL.format(**{t: t for t in TABLES}), RANGES_SQL, *extra]
+    named = {t: t for t in TABLES}
+    own = [*[ctes.format(**named) for _, ctes in RELATIONS.values()], RANGES_SQL, *extra]
     return f"WITH RECURSIVE {', '.join(part.strip() for part in own)} {query}"

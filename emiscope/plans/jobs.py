@@ -17,7 +17,6 @@ from emiscope.schemas import (
     BRONZE_SCHEMA,
     DISCOVERY_COLUMNS,
     DISCOVERY_TEXT_SCHEMA,
-    ENRICHED_COLUMNS,
     ENRICHED_SCHEMA,
     ERROR_SCHEMA,
 )
@@ -63,10 +62,13 @@ def discover(
     parts = f"{out}/filtered_parts"
     writers.write_csv_parts(matched.join(segments, "page").drop("page"), parts)
 
-    # The parts carry ``seq`` in front of the fixed columns, as they were written.
-    stored = readers.read_csv_parts(spark, parts, f"seq BIGINT, {DISCOVERY_TEXT_SCHEMA}")
+    # In the order they were written: the fixed columns stand between two numbers.
+    layout = f"seq BIGINT, {DISCOVERY_TEXT_SCHEMA}, part_number BIGINT"
+    stored = readers.read_csv_parts(spark, parts, layout)
     stored = stored.where(F.coalesce("model_id", F.lit("")) != "")
-    models = R.last_write_wins(stored.select("seq", *DISCOVERY_COLUMNS), ["model_id"], ["seq"])
+    models = R.last_write_wins(
+        stored.select("part_number", "seq", *DISCOVERY_COLUMNS), ["model_id"], ["part_number", "seq"]
+    )
     snapshot = f"{out}/filtered"
     writers.publish(models.select(*DISCOVERY_COLUMNS), snapshot, f"{out}/latest")
     published = readers.read_header_csv(spark, snapshot)
@@ -140,31 +142,23 @@ def enrich(
 ) -> EnrichResult:
     """Chunk rows with their payloads to batches, dead letters and run metrics.
 
-    ``rows`` carry ``partition_id``. Every input row ends in exactly one of the two
-    outputs.
+    ``rows`` carry ``partition_id``; ``payloads`` hold one row per model. Every input
+    row ends in exactly one of the two outputs. Outcomes and batch numbers are settled
+    on ids alone, so payloads are joined and parsed once, and only for rows that have one.
     """
-    no_id = strip(F.coalesce(F.col("model_id"), F.lit(""))) == ""
-    joined = J.with_payloads(rows, payloads).withColumns(
-        {
-            "error_type": F.when(no_id, "ValueError").when(
-                F.col("payload_json").isNull(), "LookupError"
-            ),
-            "error_message": F.when(no_id, "Missing model_id").otherwise(
-                F.concat(F.lit("No payload for "), F.col("model_id"))
-            ),
-        }
-    )
-    outcome = W.enriched_rows(
-        joined, run_id, F.col("partition_id"), now, keep=("error_type", "error_message")
-    ).withColumn("ok", F.col("error_type").isNull())
-    # One ordered table serves both outputs, so that payloads are joined once.
+    flagged = J.flag_payloads(rows, payloads).withColumn("ok", F.col("error_type").isNull())
     order = [F.asc("model_id"), F.asc("discovered_at")]
-    ranked = A.batch_numbers(outcome, ["run_id", "partition_id", "ok"], order)
-    done = ranked.where("ok").select(*ENRICHED_COLUMNS, "batch")
-    done.write.mode("overwrite").partitionBy("run_id", "partition_id", "batch").json(f"{out}/batches")
+    ranked = A.batch_numbers(flagged, ["partition_id", "ok"], order)
+
+    ready = ranked.where("ok").withColumn("_id", strip(F.col("model_id")))
+    table = payloads.select(F.col("model_id").alias("_id"), "payload_json")
+    done = W.enriched_rows(
+        ready.join(table, "_id"), run_id, F.col("partition_id"), now, keep=("batch",)
+    )
+    writers.write_batches(done, f"{out}/batches", ["run_id", "partition_id"])
     failed = W.error_rows(
         ranked.where("NOT ok"), run_id, F.col("partition_id"), F.col("error_type"),
-        F.col("error_message"), F.col("enriched_at"),
+        F.col("error_message"), now,
     )
     failed.write.mode("overwrite").partitionBy("partition_id").json(f"{out}/errors")
 

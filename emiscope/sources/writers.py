@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emiscope.operators.ranking import rank_in_group
-from emiscope.schemas import BATCH_ROWS, DISCOVERY_COLUMNS
+from emiscope.schemas import DISCOVERY_COLUMNS
 
 # Above this many rows an export keeps several files instead of passing one task.
 SINGLE_FILE_ROWS = 1_000_000
@@ -45,19 +44,29 @@ def replace_snapshot(df: DataFrame, path: str) -> None:
 
 
 def write_batches(
-    df: DataFrame, path: str, keys: list[str], order: list, batch_rows: int = BATCH_ROWS
+    numbered: DataFrame, path: str, keys: list[str], rows_per_file: int | None = None
 ) -> None:
-    """JSON lines in numbered batches of at most ``batch_rows`` rows per key."""
-    ranked = rank_in_group(df, keys, order, "_rank")
-    numbered = ranked.withColumn("batch", F.ceil(F.col("_rank") / batch_rows)).drop("_rank")
-    numbered.write.partitionBy(*keys, "batch").json(path)
+    """JSON lines per key, each row with the number of its ``batch``.
 
-
-def write_csv_parts(df: DataFrame, path: str, part: str = "part_number") -> None:
-    """Header CSV in one directory per part number."""
-    gathered = df.hint("rebalance", F.col(part))
+    The number is a column, so that files may hold many small batches.
+    ``rows_per_file`` bounds the files as well.
+    """
+    gathered = numbered.hint("rebalance", *[F.col(k) for k in keys])
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.option("header", True).option("escape", '"').partitionBy(part).csv(path)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.partitionBy(*keys).json(path)
+
+
+def write_csv_parts(
+    df: DataFrame, path: str, part: str = "part_number", directory_per_part: bool = False
+) -> None:
+    """Header CSV in part order: files hold whole runs of parts, or one directory each."""
+    writer = df.repartitionByRange(F.col(part)).sortWithinPartitions(part).write.mode("overwrite")
+    writer = writer.option("header", True).option("escape", '"')
+    if directory_per_part:
+        writer = writer.option("partitionOverwriteMode", "static").partitionBy(part)
+    writer.csv(path)
 
 
 def publish(df: DataFrame, snapshot_path: str, latest_path: str) -> None:
