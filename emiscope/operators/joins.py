@@ -147,8 +147,10 @@ def reconcile_counts(declared: DataFrame, actual_rows: DataFrame, key: str = "pa
 
 
 def not_yet_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    return rows.join(done.select(key), key, "left_anti")
+    """Rows whose key is not done. Repeated keys are merged before they are shuffled."""
+    return rows.join(done.select(key).distinct(), key, "left_anti")
 
 
 def to_reprocess(rows: DataFrame, dead_letters: DataFrame, key: str) -> DataFrame:
-    return rows.join(dead_letters.select(key), key, "left_semi")
+    """Rows whose key has a dead letter, with the same early merge."""
+    return rows.join(dead_letters.select(key).distinct(), key, "left_semi")

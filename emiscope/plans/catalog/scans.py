@@ -19,7 +19,7 @@ from emiscope.plans.jobs import prepare_order
 from emiscope.schemas import (
     CHUNK_SCHEMA, DISCOVERY_TEXT_SCHEMA, ENRICHED_SCHEMA,
 )
-from emiscope.session import fresh_path
+from emiscope.session import fresh_path, write_through
 from emiscope.sources import readers, writers
 
 def discovered(spark, sf, keep=("k",)):
@@ -418,9 +418,14 @@ bounds AS (
 CHUNK_CTES = (*DISCOVERY_CTES, CHUNKED)
 
 
+def discovered_table(spark, sf, keep=("k",)):
+    """Discovery rows written out: a range sort reads its input twice, payloads only once."""
+    return write_through(discovered(spark, sf, keep), "discovered")
+
+
 def chunked(spark, sf):
     size = R.chunk_rows(1000, 4)
-    rows = R.assign_chunks(discovered(spark, sf), prepare_order(), size)
+    rows = R.assign_chunks(discovered_table(spark, sf), prepare_order(), size)
     return rows.withColumn("partition_id", padded_id(F.col("chunk")))
 
 

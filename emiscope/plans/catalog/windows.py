@@ -9,7 +9,7 @@ from emiscope.operators import joins as J
 from emiscope.operators import ranking as R
 from emiscope.plans.catalog.base import DISCOVERY_CTES, query
 from emiscope.plans.catalog.scans import (
-    CHUNK_CTES, SEGMENT_CTES, SHARDED_CTES, chunked, discovered, page_rows, segments,
+    CHUNK_CTES, SEGMENT_CTES, SHARDED_CTES, chunked, discovered, discovered_table, page_rows, segments,
 )
 from emiscope.plans.fixtures import relation, table
 from emiscope.plans.jobs import prepare_order
@@ -80,7 +80,7 @@ def rate_window_plan(spark, sf):
     DISCOVERY_CTES,
 )
 def sort_three_keys(spark, sf):
-    rows = discovered(spark, sf, keep=()).select("model_id", "downloads", "likes", "co2_eq_emissions")
+    rows = discovered_table(spark, sf).select("model_id", "downloads", "likes", "co2_eq_emissions")
     return rows.orderBy(*prepare_order())
 
 
@@ -113,7 +113,7 @@ def limit_per_shard(spark, sf):
     CHUNK_CTES,
 )
 def slice_range(spark, sf):
-    rows = R.global_index(discovered(spark, sf), prepare_order())
+    rows = R.global_index(discovered_table(spark, sf), prepare_order())
     return rows.where("idx >= 100 AND idx < 350").select("model_id", "idx")
 
 

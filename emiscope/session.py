@@ -19,7 +19,10 @@ def build_session(master: str | None = None, app: str = "emiscope", **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Streaming state on local disk with checkpoints, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     for key, value in settings.items():
@@ -28,18 +31,22 @@ def build_session(master: str | None = None, app: str = "emiscope", **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's checkpoint folder; a local temporary one only in local mode without one."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="emiscope-")
-    return _local_dirs[app]
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="emiscope-")
+    return _local_dirs[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; all of one application lie in one directory."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def write_through(df: DataFrame, label: str) -> DataFrame:
