@@ -8,6 +8,7 @@ rest works with one small row per range partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql.window import Window
 
 from emiscope.session import write_through
 
+# Group start tables up to this many rows are broadcast.
+BROADCAST_GROUPS = 100_000
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
@@ -82,10 +85,22 @@ def rank_in_group(
 ) -> DataFrame:
     """One-based position of each row in its group, for groups of any size.
 
-    A group that runs over several range partitions is never gathered: each
-    partition learns the start of the one group it may have inherited.
+    Rows are sorted by group and order, so a rank is the distance to the group's
+    first index. Few groups are looked up in a broadcast table; with many, each range
+    partition finds its own starts and learns that of the one group it may have inherited.
     """
     rows = _indexed(df, [*[F.col(g) for g in group], *order], "_idx")
+    firsts = rows.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
+    starts = write_through(firsts.agg(F.min("_idx").alias("_first")), "starts")
+    if starts.count() <= BROADCAST_GROUPS:
+        same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+        ranked = rows.join(F.broadcast(starts), reduce(lambda a, b: a & b, same))
+        return ranked.select(*df.columns, (F.col("_idx") - F.col("_first") + 1).alias(rank))
+    return _rank_by_partition(rows, group, rank).select(*df.columns, rank)
+
+
+def _rank_by_partition(rows: DataFrame, group: Sequence[str], rank: str) -> DataFrame:
+    """Ranks of indexed rows without gathering a group that spans range partitions."""
     key = F.struct(*group)
     edges = rows.groupBy("_part").agg(
         F.min_by(key, "_pos").alias("_head"), F.max_by(key, "_pos").alias("_tail")
@@ -108,10 +123,8 @@ def rank_in_group(
     )
     local_start = F.min("_idx").over(Window.partitionBy("_part", *group))
     start = F.when(key.eqNullSafe(F.col("_head")), F.col("_first")).otherwise(local_start)
-    return (
-        rows.join(F.broadcast(inherited), "_part", "left")
-        .withColumn(rank, F.col("_idx") - start + 1)
-        .select(*df.columns, rank)
+    return rows.join(F.broadcast(inherited), "_part", "left").withColumn(
+        rank, F.col("_idx") - start + 1
     )
 
 

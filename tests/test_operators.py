@@ -33,14 +33,18 @@ def test_global_index_is_dense_and_ordered(skewed):
     assert [r["x"] for r in rows] == sorted((r["x"] for r in rows), reverse=True)
 
 
-def test_rank_in_group_equals_window(skewed):
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_rank_in_group_equals_window(skewed, monkeypatch, bound):
+    monkeypatch.setattr(R, "BROADCAST_GROUPS", bound)
     ranked = R.rank_in_group(skewed, ["grp"], [F.asc("x"), F.asc("id")], "got")
     w = Window.partitionBy("grp").orderBy("x", "id")
     wrong = ranked.withColumn("want", F.row_number().over(w)).where("got <> want")
     assert wrong.count() == 0 and ranked.count() == 6000
 
 
-def test_rank_in_group_single_group(spark):
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_rank_in_group_single_group(spark, monkeypatch, bound):
+    monkeypatch.setattr(R, "BROADCAST_GROUPS", bound)
     rows = spark.range(5000).withColumn("g", F.lit(1))
     ranked = R.rank_in_group(rows, ["g"], [F.desc("id")], "rank")
     assert ranked.where("rank <> 5000 - id").count() == 0
