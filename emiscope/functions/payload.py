@@ -102,6 +102,32 @@ def spaced_json(value: Column) -> Column:
     return F.when(missing, F.lit("")).otherwise(spaced(F.to_json(value)))
 
 
+def shown(value: Column) -> Column:
+    """A scalar as text; a list with its texts in single quotes, as in ``['en', 'fr']``.
+
+    A text that holds a single quote and no double quote is put in double quotes.
+    """
+
+    def quoted(x: Column) -> Column:
+        word = F.replace(text(x), F.lit("\\"), F.lit("\\\\"))
+        double = word.contains("'") & ~word.contains('"')
+        single = F.replace(word, F.lit("'"), F.lit("\\'"))
+        return F.when(double, F.concat(F.lit('"'), word, F.lit('"'))).otherwise(
+            F.concat(F.lit("'"), single, F.lit("'"))
+        )
+
+    listed = F.transform(
+        items(value),
+        lambda x: F.when(is_string(x), quoted(x))
+        .when(F.is_variant_null(x), "None")
+        .otherwise(_number_text(x)),
+    )
+    as_list = F.concat(F.lit("["), F.array_join(listed, ", "), F.lit("]"))
+    return F.when(is_array(value), as_list).when(is_string(value), text(value)).otherwise(
+        _number_text(value)
+    )
+
+
 def object_json(value: Column) -> Column:
     """An object as spaced JSON text; ``{}`` when it is missing or no object."""
     text_form = spaced_json(value)

@@ -132,6 +132,42 @@ def control_items(chunks: DataFrame, settings: PrepareSettings, now: Column) ->
     )
 
 
+def run_items(
+    chunks: DataFrame, settings: PrepareSettings, now: Column, pipeline: str = "PIPELINE#carbon"
+) -> DataFrame:
+    """The run's own control item and the last-run pointer, which carries less."""
+    counted = chunks.agg(F.count(F.lit(1)).alias("partitions_count"))
+    kinds = F.array(
+        F.struct(
+            F.lit(f"RUN#{settings.run_id}").alias("SK"), F.lit("PREPARATION_RUN").alias("kind")
+        ),
+        F.struct(F.lit("LAST_RUN").alias("SK"), F.lit("LAST_RUN_POINTER").alias("kind")),
+    )
+    rows = counted.select("partitions_count", F.explode(kinds).alias("_k"))
+    whole = F.col("_k.kind") == "PREPARATION_RUN"
+    details = {
+        "workers": settings.workers,
+        "threads_per_worker": settings.threads_per_worker,
+        "global_rate_limit": settings.rate_limit,
+        "window_seconds": settings.window_seconds,
+        "calls_per_model": settings.calls_per_model,
+    }
+    base = settings.prepared_path.rstrip("/")
+    return rows.select(
+        F.lit(pipeline).alias("PK"),
+        F.col("_k.SK").alias("SK"),
+        F.col("_k.kind").alias("entity_type"),
+        F.lit(settings.run_id).alias("run_id"),
+        F.lit("PREPARED").alias("status"),
+        F.lit(settings.source_path).alias("source_csv_path"),
+        F.lit(f"{base}/manifest").alias("manifest_path"),
+        "partitions_count",
+        *[F.when(whole, F.lit(value)).alias(name) for name, value in details.items()],
+        F.when(whole, now).alias("created_at"),
+        now.alias("updated_at"),
+    )
+
+
 def claim(control: DataFrame, wanted: DataFrame, job_name: str, now: Column) -> DataFrame:
     """Wanted pending or failed partitions start running; others stay as they are."""
     asked = wanted.select("partition_id", F.lit(True).alias("_asked"))

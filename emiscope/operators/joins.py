@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emiscope.functions.text import strip
 from emiscope.operators.staging import where_computed
@@ -17,8 +18,14 @@ _BINS = 256
 _SALTS = 16
 
 
-def emission_ranges(spark) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in EMISSION_RANGES], RANGE_SCHEMA)
+def emission_ranges(spark: SparkSession) -> DataFrame:
+    """The fixed emission ranges as a local relation."""
+    lines = ", ".join(
+        f"({shard}, {low}D, {'NULL' if high is None else f'{high}D'})"
+        for shard, low, high in EMISSION_RANGES
+    )
+    rows = spark.sql(f"SELECT * FROM VALUES {lines} AS t(shard_id, min_emissions, max_emissions)")
+    return rows.to(StructType.fromDDL(RANGE_SCHEMA))
 
 
 @dataclass

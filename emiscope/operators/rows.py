@@ -232,7 +232,7 @@ def raw_model_rows(payloads: DataFrame, json_column: str = "payload_json") -> Da
     rows = where_computed(rows, F.col("_co2").isNotNull())
 
     def listed(key: str) -> Column:
-        return F.when(P.truthy(P.at(card, key)), P.text_at(card, key))
+        return F.when(P.truthy(P.at(card, key)), P.shown(P.at(card, key)))
 
     return rows.select(
         P.text(doc["id"]).alias("model_id"),

@@ -110,7 +110,7 @@ def scan_jsonl_glob(spark, sf):
 )
 def scan_partitioned_run(spark, sf):
     path = fresh_path(spark, "runs")
-    rows = order_bronze(spark, sf)
+    rows = writers.gathered(order_bronze(spark, sf), "run_id", "shard_id")
     writers.append_json(rows, path, "run_id", "shard_id")
     writers.append_json(rows.withColumn("run_id", F.lit("other")), path, "run_id", "shard_id")
     read = readers.read_run(spark, path, SLIM_BRONZE, RUN)
@@ -205,7 +205,8 @@ def control_prefix_scan(spark, sf):
 )
 def sink_json_partitioned(spark, sf):
     path = fresh_path(spark, "bronze")
-    writers.append_json(order_bronze(spark, sf), path, "run_id", "shard_id")
+    rows = writers.gathered(order_bronze(spark, sf), "run_id", "shard_id")
+    writers.append_json(rows, path, "run_id", "shard_id")
     read = spark.read.schema(SLIM_BRONZE).json(path)
     return read.groupBy("run_id", "shard_id").agg(
         F.count(F.lit(1)).alias("rows_written"), F.count("model_key").alias("models")

@@ -122,6 +122,7 @@ def prepare(
     writers.write_manifest(chunks, header, base)
     control = K.control_items(chunks, settings, now)
     writers.write_json(control, f"{base}/control")
+    writers.write_json(K.run_items(chunks, settings, now), f"{base}/runs")
     return PrepareResult(rows=chunked, chunks=chunks, control=control)
 
 
@@ -223,13 +224,13 @@ def bronze(
 ) -> BronzeResult:
     """Models into the bronze table by emission range, with its run checks."""
     # The write itself reports which ranges it met: one id per range, and a repeated
-    # task adds nothing to a set. So the models are read once.
+    # task adds nothing to a set. So the models are read once. The report is taken
+    # after the shuffle, where it stays in the plan even when there are no rows.
     met = Observation("ranges_met")
-    hits = J.in_ranges(models, ranges, emission).observe(
-        met, F.collect_set("shard_id").alias("shard_ids")
-    )
     keys = ("run_id", "shard_id")
-    writers.append_json(W.bronze_rows(hits, run_id, ingested_at=ingested_at), out, *keys)
+    hits = W.bronze_rows(J.in_ranges(models, ranges, emission), run_id, ingested_at=ingested_at)
+    seen = F.collect_set("shard_id").alias("shard_ids")
+    writers.append_json(writers.gathered(hits, *keys).observe(met, seen), out, *keys)
     idle = ranges.where(~F.col("shard_id").isin(met.get["shard_ids"]))
     blank = F.lit(None).cast("string")
     idle = idle.withColumns({"model_id": blank, "payload_json": blank})

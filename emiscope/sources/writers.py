@@ -13,10 +13,13 @@ SINGLE_FILE_ROWS = 1_000_000
 EMBEDDED_CHUNKS = 10_000
 
 
+def gathered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one output directory together; Spark splits a directory that is too big."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def append_json(df: DataFrame, path: str, *partition_keys: str) -> None:
-    """Rows of one directory are brought together; Spark splits a directory that is too big."""
-    gathered = df.hint("rebalance", *[F.col(k) for k in partition_keys])
-    gathered.write.mode("append").format("json").partitionBy(*partition_keys).save(path)
+    df.write.mode("append").format("json").partitionBy(*partition_keys).save(path)
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -51,8 +54,7 @@ def write_batches(
     The number is a column, so that files may hold many small batches.
     ``rows_per_file`` bounds the files as well.
     """
-    gathered = numbered.hint("rebalance", *[F.col(k) for k in keys])
-    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = gathered(numbered, *keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy(*keys).json(path)

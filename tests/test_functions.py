@@ -255,3 +255,9 @@ def test_spaced_json(spark):
         P.sorted_json,
     )
     assert got == ['{"a": "x, \\"y:z\\" \\\\", "b": [1, 2]}', '"s,t"', "[]", ""]
+
+
+def test_shown_lists(spark):
+    docs = ['{"tags":%s}' % x for x in ('["en","fr"]', '"mit"', '["it\'s",1,1.0,null,true]', '["a\\"b\'c"]', "[]")]
+    want = ["['en', 'fr']", "mit", str(["it's", 1, 1.0, None, True]), str(["a\"b'c"]), "[]"]
+    assert over(spark, docs, lambda d, c: P.shown(d["tags"])) == want

@@ -121,6 +121,11 @@ def test_chain_of_jobs(spark, sf, out):
     assert ready.chunks.agg(F.sum("records_count")).first()[0] == models
     assert ready.chunks.agg(F.max("records_count")).first()[0] <= 25
 
+    runs = spark.read.json(f"{out}/prepared/runs")
+    assert {(r["SK"], r["partitions_count"]) for r in runs.collect()} == {
+        ("RUN#run", ready.chunks.count()), ("LAST_RUN", ready.chunks.count())
+    }
+
     some = payloads.where("k % 4 <> 0")
     rows = ready.rows.withColumn("model_id", F.when(F.col("idx") == 0, "  ").otherwise(F.col("model_id")))
     done = jobs.enrich(spark, rows, some, f"{out}/enriched", "run")
@@ -158,7 +163,14 @@ def test_bronze_job_checks(spark, out):
     assert [r["shard_id"] for r in done.retry.collect()] == [1]
 
 
-def test_reference_shaped_bronze_line(spark, out):
+def test_bronze_job_without_hits(spark, out):
+    models = spark.createDataFrame([("a", "{}", -1.0)], "model_id STRING, payload_json STRING, emission DOUBLE")
+    ranges = spark.createDataFrame([(0, 0.0, 1.0), (1, 1.0, None)], "shard_id INT, min_emissions DOUBLE, max_emissions DOUBLE")
+    done = jobs.bronze(spark, models, ranges, "emission", out, "run")
+    assert {r[0]: r[1] for r in done.by_status.collect()} == {"empty": 2}
+
+
+def test_line_without_null_fields(spark, out):
     """A line that leaves out null fields reads with the full schema."""
     from emiscope.schemas import BRONZE_SCHEMA
 
