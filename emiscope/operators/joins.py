@@ -15,7 +15,7 @@ from emiscope.schemas import EMISSION_RANGES, RANGE_SCHEMA
 # Ranges up to this count are broadcast (24 bytes each); more are joined on bins.
 BROADCAST_RANGES = 2000
 _BINS = 256
-_SALTS = 16
+_STEP = 16
 
 
 def emission_ranges(spark: SparkSession) -> DataFrame:
@@ -99,34 +99,43 @@ def in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
 
 
 def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
-    """Range join as an equi join on bins between quantiles of the lower bounds.
+    """Range join as an equi join on bins between quantiles of the range bounds.
 
-    A fact falls in one bin, a range is repeated for each bin it touches. A random
-    salt spreads a bin that holds many facts; each range is repeated per salt.
+    A fact falls in one bin, a range is repeated for each bin it touches. Facts outside
+    all ranges are dropped first, as they would crowd the outer bins. The merge hint
+    keeps Spark from broadcasting the repeated ranges, whose size it cannot foresee,
+    and lets adaptive execution split a bin that holds many facts.
     """
     steps = [i / _BINS for i in range(1, _BINS)]
-    # At most _BINS - 1 numbers come to the driver.
-    found = ranges.agg(F.percentile_approx("min_emissions", steps)).first()[0] or []
-    cuts = F.array(*[F.lit(cut) for cut in sorted(set(found))])
+    bounds = F.explode(F.array("min_emissions", "max_emissions")).alias("bound")
+    # One row of at most _BINS + 2 numbers comes to the driver.
+    low, high, found = (
+        ranges.select(bounds)
+        .agg(
+            F.min("bound"),
+            F.max(F.coalesce("bound", F.lit(float("inf")))),
+            F.percentile_approx("bound", steps),
+        )
+        .first()
+    )
+    facts = where_computed(facts, F.col(value).between(F.lit(low), F.lit(high)))
+    found = found or []
+    cuts = sorted(set(found))
+    every, coarse = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts[_STEP - 1 :: _STEP]))
+
+    def passed(some: Column, x: Column) -> Column:
+        return F.size(F.filter(some.cast("array<double>"), lambda cut: cut <= x))
 
     def bin_of(x: Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut <= x))
+        """Number of cuts up to ``x``: by coarse steps, then inside one step."""
+        skipped = passed(coarse, x) * _STEP
+        return skipped + passed(F.slice(every.cast("array<double>"), skipped + 1, _STEP), x)
 
     upper = F.coalesce("max_emissions", F.lit(float("inf")))
-    last = bin_of(upper)
-    spread = (
-        ranges.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("min_emissions")), last)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    )
-    placed = (
-        facts.withColumn("_bin", bin_of(F.col(value)))
-        .withColumn("_salt", F.pmod(F.xxhash64(*_hashable(facts)), F.lit(_SALTS)).cast("int"))
-    )
-    return placed.join(spread, ["_bin", "_salt"]).where(_within(F.col(value))).drop("_bin", "_salt")
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    touched = F.explode(F.sequence(bin_of(F.col("min_emissions")), bin_of(upper)))
+    spread = ranges.withColumn("_bin", touched).hint("merge")
+    placed = facts.withColumn("_bin", bin_of(F.col(value)))
+    return placed.join(spread, "_bin").where(_within(F.col(value))).drop("_bin")
 
 
 def shard_by_range(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:

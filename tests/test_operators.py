@@ -221,3 +221,16 @@ def test_dataset_sizes_with_hot_dataset(spark):
     assert got.count() == 300
     assert got.where("datasets_count = 2").count() == 100
     assert got.where("model_id = 'm0'").first()["datasets_total_size"] == 11
+
+
+def test_point_and_prefix_reads(spark):
+    items = [("RUN#1", "PARTITION#a"), ("RUN#1", "PARTITION#b"), ("RUN#1", "META"), ("RUN#2", "PARTITION#a")]
+    control = spark.createDataFrame(items, "PK STRING, SK STRING")
+    assert K.point_get(control, "RUN#1", "META").count() == 1
+    assert K.prefix_scan(control, "RUN#1", "PARTITION#").count() == 2
+
+
+def test_binned_join_without_cuts(spark):
+    facts = spark.createDataFrame([(1, 2.0)], "id INT, x DOUBLE")
+    none = J.emission_ranges(spark).where("shard_id < 0")
+    assert J.binned_range_join(facts, none, "x").count() == 0
