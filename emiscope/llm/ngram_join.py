@@ -198,8 +198,8 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         docs.mapInPandas(_summaries, "doc_id long, n long, digest binary, ranges binary, block int, counts binary"), "shingle_counts"
     )
     sized = made.where("block is null").groupBy("doc_id").agg(F.min_by(F.struct("n", "digest", "ranges"), F.col("digest")).alias("s"))
-    sized = sized.select("doc_id", "s.*")
-    classes = sized.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
+    sized = write_through(sized.select("doc_id", "s.*"), "sizes")
+    classes = write_through(sized.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id")), "class_ids")
     member = write_through(
         sized.join(classes, "digest", "left").select("doc_id", "n", "ranges", F.coalesce("class_id", "doc_id").alias("class_id")),
         "classes",
@@ -225,7 +225,10 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ),
         "placed_postings",
     )
-    parts = placed.groupBy("h", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # ``reach`` is the most shingles that any set of the part has from this one on.
+    parts = placed.groupBy("h", "part").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("at")).alias("reach")
+    )
     mixed = placed.groupBy("h").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("h")
     parts = write_through(parts.join(mixed, "h", "left_semi"), "parts")
     one, two = parts.alias("one"), parts.alias("two")
@@ -234,7 +237,11 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         (F.col("one.h") == F.col("two.h"))
         & (F.col("one.part") < F.col("two.part"))
         & (F.col("one.low") * percent <= F.col("two.high") * 100)
-        & (F.col("two.low") * percent <= F.col("one.high") * 100),
+        & (F.col("two.low") * percent <= F.col("one.high") * 100)
+        & (
+            F.least("one.reach", "two.reach") * (100 + percent)
+            >= (F.col("one.low") + F.col("two.low")) * percent
+        ),
     ).select(F.col("one.h").alias("h"), F.col("one.part").alias("part"), F.col("two.part").alias("other"))
     facing = write_through(facing, "facing_parts")
     left, right = placed.alias("l"), placed.alias("r")
