@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emiscope.llm import bpe, matrices, ngram_join, packing
+from emiscope.llm import bpe, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,12 +25,24 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack_documents(table(spark, sf_dir, "documents"), path))
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents"), path))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op7_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")

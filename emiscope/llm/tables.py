@@ -24,8 +24,23 @@ def fold_of(doc_id: int, folds: int) -> int:
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """At most ``most`` rows, chosen by a hash of ``key``; ties settled by ``key``."""
-    return rows.orderBy(F.xxhash64(F.lit("sample"), key), key).limit(most)
+    """At most ``most`` rows, those with the smallest hash of ``key``; all of them if they are fewer.
+
+    A threshold on the hash goes first, so that the ordered step sees about ``2 * most`` rows.
+    """
+    total = rows.count()
+    mark = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 32))
+    rows = rows.withColumn("_mark", mark)
+    if total > 2 * most:
+        rows = rows.where(F.col("_mark") < (2 * most << 32) // total)
+    return rows.orderBy("_mark", key).limit(most).drop("_mark")
+
+
+def labelled(labels: DataFrame, column: str, folds: int, held_out: int) -> DataFrame:
+    """``doc_id, label`` of the rows to learn from; of conflicting labels of an id the larger counts."""
+    rows = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("int").alias("label"))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out))
+    return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
 
 
 def rows_of(frames: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
