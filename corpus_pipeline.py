@@ -1,36 +1,68 @@
-"""From raw documents to packed token windows, one dealt operator per stage."""
+"""From raw documents to packed token windows, one dealt operator per stage.
+
+Every stage takes all that its predecessor kept. Rows without an id cannot be named by a
+verdict of the first and third stage, and stay. Extra columns are carried along up to packing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emiscope.llm import ngram_join
+from emiscope.llm import language, ngram_join, packing, quality
+from emiscope.llm.tables import table
 from emiscope.session import write_through
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A document goes when the fused evidence gives no language even this chance.
+LEAST_PROBABILITY = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a language that is likelier than not, go."""
+    found = language.identify(language.document_rows(docs), language.fit(docs))
+    rejected = found.where((F.col("lang") == language.UNKNOWN) | (F.col("probability") < LEAST_PROBABILITY))
+    rejected = write_through(rejected.select("key"), "rejected")
+    return docs.join(rejected, docs.doc_id == rejected.key, "left_anti")
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier takes for bad ones go."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by shingle similarity stays: the one with the smallest id.
+    """Of each group linked by shingle similarity the document with the smallest id stays.
 
-    Rows without id or shingles link with nothing and stay.
+    Documents without shingles link with nothing and stay.
     """
     found = ngram_join.link_documents(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id")
+    gone = write_through(found.where("doc_id <> component_id").select("doc_id"), "near_duplicates")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", drop_near_duplicates)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in windows of 2048, one row per piece."""
+    return packing.digests(packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", identify_language),
+    ("quality", classify_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("packing", pack),
+]
 
 #: The classifiers and the packing of token ids have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = write_through(stage(spark, docs, sf_dir), name)
     return docs

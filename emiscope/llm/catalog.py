@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emiscope.llm import bpe, matrices, ngram_join, packing, quality, toxicity
+from emiscope.llm import bpe, language, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack_documents(table(spark, sf_dir, "documents"), path))
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(table(spark, sf_dir, "documents"))
+    found = language.identify(language.page_rows(table(spark, sf_dir, "pages")), model)
+    return found.withColumnRenamed("key", "page_id")
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

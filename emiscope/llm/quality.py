@@ -171,3 +171,18 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
     return source.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``THRESHOLD``, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(k, (t or "").encode()) for k, t in enumerate(frame["text"])]
+            keep = np.zeros(len(rows), bool)
+            for group in textbytes.batches(rows, 1):
+                keep[[k for k, _ in group]] = shared.value.scores([t for _, t in group]) >= THRESHOLD
+            yield frame[keep]
+
+    return docs.mapInPandas(run, docs.schema)
