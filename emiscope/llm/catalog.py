@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emiscope.llm import bpe, language, matrices, ngram_join, packing, quality, toxicity
+from emiscope.llm import bpe, forest, graph_search, language, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return graph_search.search(embeddings, graph_search.build_index(embeddings), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +68,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op8_ngram_join"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
