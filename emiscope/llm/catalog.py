@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emiscope.llm import bpe, forest, graph_search, language, matrices, ngram_join, packing, quality, toxicity
+from emiscope.llm import block_labeller, bpe, forest, graph_search, language, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,13 @@ def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = block_labeller.extract(pages, block_labeller.fit(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
+
+
 ORACLES["op8_ngram_join"] = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
