@@ -30,10 +30,10 @@ from emiscope.llm.components import components
 from emiscope.session import write_through
 
 LEAST_COSINE = 0.98
-TREES = 10
+TREES = 14
 LEAF = 128
 #: A class within this share of a node, on either side of the median, goes to both children.
-SPILL = 0.04
+SPILL = 0.06
 #: Bound of the classes of each label that the upper splits are fitted on.
 SAMPLE = 4096
 #: Sampled classes that an upper leaf holds at least.
