@@ -1,6 +1,6 @@
 """Main text of web pages by a bidirectional LSTM over their leaf blocks.
 
-A block enters as the mean of learned vectors of its tag path (elements, and words of their
+A block enters as the sum of learned vectors of its tag path (elements, and words of their
 classes, ids and roles), the mean of learned vectors of its hashed words, and four numbers:
 length, share of link text, share of marks, place in the page. One LSTM reads the page
 forwards and one backwards, so the label of a block depends on the whole page.
@@ -29,7 +29,7 @@ from emiscope.llm.tables import bounded_sample, rows_of
 
 #: Bound of the training pages.
 SAMPLE = 240
-EPOCHS = 10
+STEPS = 240
 RATE = 0.01
 PATHS, WORDS, WIDTH, HIDDEN, NUMBERS = 1 << 10, 1 << 11, 12, 16, 4
 BATCH = 16
@@ -96,15 +96,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _means(table: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
-    """Mean vector of each list of buckets; zero for an empty one."""
+def _sums(table: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
+    """Sum of the vectors of each list of buckets; zero for an empty one."""
     sizes = np.array([len(b) for b in lists])
     out = np.zeros((len(lists), table.shape[1]))
     if sizes.sum():
         flat = np.concatenate(lists)
         some = sizes > 0
         starts = (np.cumsum(sizes) - sizes)[some]
-        out[some] = np.add.reduceat(table[flat], starts, axis=0) / sizes[some, None]
+        out[some] = np.add.reduceat(table[flat], starts, axis=0)
     return out
 
 
@@ -127,10 +127,11 @@ class Labeller:
     def _entries(self, pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
         """Padded inputs (time, page, entry), and which of them are blocks."""
         longest = max(len(p.numbers) for p in pages)
+        words = [b for p in pages for b in p.words]
         rows = np.concatenate(
             [
-                _means(self.parts["path"], [b for p in pages for b in p.paths]),
-                _means(self.parts["word"], [b for p in pages for b in p.words]),
+                _sums(self.parts["path"], [b for p in pages for b in p.paths]),
+                _sums(self.parts["word"], words) / np.array([max(len(b), 1) for b in words])[:, None],
                 np.concatenate([p.numbers for p in pages]),
             ],
             axis=1,
@@ -211,7 +212,8 @@ class Labeller:
             slope = np.zeros_like(self.parts[name])
             sizes = np.array([len(b) for b in lists])
             if sizes.sum():
-                np.add.at(slope, np.concatenate(lists), np.repeat(rows[:, span] / np.maximum(sizes, 1)[:, None], sizes, axis=0))
+                share = rows[:, span] / (np.maximum(sizes, 1)[:, None] if name == "word" else 1)
+                np.add.at(slope, np.concatenate(lists), np.repeat(share, sizes, axis=0))
             slopes[name] = slope
         return slopes
 
@@ -236,9 +238,10 @@ def _varied(page: list[Leaf], others: list[Leaf], random: np.random.Generator) -
     ys: list[float] = []
     for k in range(len(page) + 1):
         if k in inserts:
-            what = random.choice(sorted(ASIDE))
+            what = "header" if random.integers(8) == 0 else str(random.choice(sorted(ASIDE)))
             own = (what,) if what[0] != "." else (str(random.choice(["div", "section", "ul", "aside"])), what)
-            around = (top[0] + name) if top and random.integers(2) else (top[0] if top else ("html", "body"))
+            inner = top and what != "header" and random.integers(2)
+            around = (top[0] + name) if inner else (top[0] if top else ("html", "body"))
             for _ in range(int(random.integers(1, 4))):
                 source = others[int(random.integers(len(others)))]
                 out.append(Leaf(around + own + (str(random.choice(["p", "li", "div", "h3"])),), source.text, 0))
@@ -255,7 +258,7 @@ def _varied(page: list[Leaf], others: list[Leaf], random: np.random.Generator) -
 
 
 def train(htmls: list[str], seed: int = 7) -> Labeller:
-    """The network after ``EPOCHS`` over differently varied pages, by gradient descent with running scales."""
+    """The network after ``STEPS`` batches of differently varied pages, by gradient descent with running scales."""
     model = Labeller()
     random = np.random.default_rng(seed)
     pages = [page for page in map(leaves, htmls) if page]
@@ -264,17 +267,17 @@ def train(htmls: list[str], seed: int = 7) -> Labeller:
     others = [leaf for page in pages for leaf in page]
     mean = {k: np.zeros_like(v) for k, v in model.parts.items()}
     square = {k: np.zeros_like(v) for k, v in model.parts.items()}
-    step = 0
-    for _ in range(EPOCHS):
-        order = random.permutation(len(pages))
-        for at in range(0, len(order), BATCH):
-            varied = [_varied(pages[k], others, random) for k in order[at : at + BATCH]]
-            slopes = model.gradient(encode_pages([p for p, _ in varied]), [y for _, y in varied])
-            step += 1
-            for k, slope in slopes.items():
-                mean[k] += 0.1 * (slope - mean[k])
-                square[k] += 0.01 * (slope**2 - square[k])
-                model.parts[k] -= RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
+    waiting: list[int] = []
+    for step in range(1, STEPS + 1):
+        while len(waiting) < BATCH:
+            waiting.extend(random.permutation(len(pages)).tolist())
+        batch, waiting = waiting[:BATCH], waiting[BATCH:]
+        varied = [_varied(pages[k], others, random) for k in batch]
+        slopes = model.gradient(encode_pages([p for p, _ in varied]), [y for _, y in varied])
+        for k, slope in slopes.items():
+            mean[k] += 0.1 * (slope - mean[k])
+            square[k] += 0.01 * (slope**2 - square[k])
+            model.parts[k] -= RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
     return model
 
 

@@ -39,15 +39,16 @@ UNKNOWN = "und"
 
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Text numbers and buckets of the trigrams inside words, each word with a mark at both ends."""
-    data = np.frombuffer(b" ".join([*(t.lower().encode() for t in texts), b""]), np.uint8)
+    lowered = [t.lower().encode() for t in texts]
+    data = np.frombuffer(b" ".join([b"", *lowered, b""]), np.uint8)
     marks = textbytes.MARKS[data]
     marks[(data >= 48) & (data <= 57)] = True
     letters = np.where(marks, 0, data).astype(np.uint64)
     count = max(len(data) - 2, 0)
     joined = letters[:count] << np.uint64(16) | letters[1 : count + 1] << np.uint64(8) | letters[2 : count + 2]
     at = np.flatnonzero(~marks[1 : count + 1])
-    ends = np.cumsum([len(t.lower().encode()) + 1 for t in texts])
-    return np.searchsorted(ends, at, side="right"), (textbytes.mix(joined[at]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    of_text = np.searchsorted(textbytes.bounds(lowered)[1:], at + 1, side="right")
+    return of_text, (textbytes.mix(joined[at]) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 @dataclass

@@ -63,11 +63,11 @@ def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     pairs[hashes[:-1] == hashes[1:]] = textbytes.mix(np.array([SAME]))[0]
     kept = of_word[:-1] == of_word[1:]
     yield of_word[:-1][kept], _bucket(pairs[kept])
-    ends = np.cumsum([len(t) + 1 for t in texts])
+    ends = textbytes.bounds(texts)[1:]
     for n in GRAMS:
         buckets, kept = _gram_buckets(words.data, n)
         at = np.flatnonzero(kept)
-        yield np.searchsorted(ends, at, side="right"), buckets[at]
+        yield np.searchsorted(ends, at + 1, side="right"), buckets[at]  # a gram's second byte is inside its word
 
 
 @dataclass

@@ -45,7 +45,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of a batch in order. ``first[d]`` is the index of the first word of text ``d``."""
+    """Words of a batch in order. ``first[d]`` is the index of the first word of text ``d``.
+
+    ``data`` has a space before each text and one at the end.
+    """
 
     data: np.ndarray
     sums: np.ndarray
@@ -65,7 +68,7 @@ class Words:
 
 def words(texts: list[bytes], separators: np.ndarray = WHITE) -> Words:
     """Words of ``texts``: the longest runs of bytes that are no ``separators``."""
-    joined = b" ".join([*texts, b""])
+    joined = b" ".join([b"", *texts, b""])
     data = np.frombuffer(joined, np.uint8)
     n = len(data)
     power, _ = powers(n + 1)
@@ -75,9 +78,15 @@ def words(texts: list[bytes], separators: np.ndarray = WHITE) -> Words:
     inside[1:-1] = ~separators[data]
     edges = np.diff(inside)
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    offsets = np.zeros(len(texts) + 1, np.int64)
+    return Words(data, sums, start, end, np.searchsorted(start, bounds(texts)))
+
+
+def bounds(texts: list[bytes]) -> np.ndarray:
+    """Where each text begins in ``Words.data``, and where one more would."""
+    offsets = np.ones(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
-    return Words(data, sums, start, end, np.searchsorted(start, offsets))
+    offsets[1:] += 1
+    return offsets
 
 
 def batches(items: Iterable[tuple], text_at: int) -> Iterator[list[tuple]]:

@@ -17,7 +17,7 @@ CACHE_ENTRIES = 600_000
 CACHED_CHARS = 64
 ENDS = ".,;:!?"
 #: A stop or comma after neither letter nor digit belongs to the marks before it.
-MARK_RUN = re.compile(r"[^a-zA-Z0-9À-ÖØ-öø-ÿ\s][.,] ")
+MARK_RUN = re.compile(r"[^a-zA-Z0-9À-ÖØ-öø-ÿ \t\n\r][.,] ")
 
 
 def _eased(text: str) -> str:
