@@ -23,8 +23,9 @@ CARD_KEYS = ("cardData", "card_data")
 # Canonical JSON texts that count as "nothing there".
 _EMPTY_JSON = ("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}")
 
-# Private-use characters that stand in for escapes while JSON text is respaced.
-_PARKED_SLASH, _PARKED_QUOTE = "\ue000", "\ue001"
+# Stand-ins for escapes while JSON text is respaced. JSON text never holds a bare control
+# character, so no text is mistaken for one.
+_PARKED_SLASH, _PARKED_QUOTE = "\x01", "\x02"
 
 
 def parsed(payload_json: Column, keys: tuple[str, ...] = PAYLOAD_KEYS) -> Column:

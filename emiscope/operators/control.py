@@ -14,11 +14,16 @@ from emiscope.schemas import (
     BUDGET_WINDOW_SECONDS,
     CALL_BUDGET,
     CLAIMABLE_STATUSES,
+    CONTROL_SCHEMA,
     METRIC_COUNTS,
     RESUMABLE_STATUSES,
 )
 
 
+#: What names a control row.
+KEY = ("run_id", "partition_id")
+
+
 @dataclass(frozen=True)
 class PrepareSettings:
     """Settings of one preparation run. Numbers must be positive, paths need a scheme."""
@@ -31,6 +36,8 @@ class PrepareSettings:
     rate_limit: int = CALL_BUDGET
     window_seconds: int = BUDGET_WINDOW_SECONDS
     calls_per_model: int = 1
+    source_form: str = "csv"
+    """``csv``, or ``parquet`` for rows that a discovery job published."""
 
     def __post_init__(self) -> None:
         positive = (
@@ -45,6 +52,18 @@ class PrepareSettings:
             raise ValueError(f"source_path is no absolute path or URI: {self.source_path}")
 
 
+def refused(settings: DataFrame) -> DataFrame:
+    """Rows of settings with the reason ``PrepareSettings`` refuses them for, or NULL. Missing columns pass."""
+    path = F.col("source_path")
+    foreign = ~path.contains("://") & ~path.startswith("/")
+    reason = F.when(foreign, F.concat(F.lit("source_path is no absolute path or URI: "), path))
+    reason = F.when(F.coalesce(path, F.lit("")) == "", "source_path is required").otherwise(reason)
+    for name in ("calls_per_model", "window_seconds", "rate_limit", "threads_per_worker", "workers"):
+        if name in settings.columns:
+            reason = F.when(F.col(name) <= 0, f"{name} must be greater than 0").otherwise(reason)
+    return settings.withColumn("refused", reason)
+
+
 def point_get(control: DataFrame, pk: str, sk: str) -> DataFrame:
     return control.where((F.col("PK") == pk) & (F.col("SK") == sk))
 
@@ -67,7 +86,7 @@ def chunk_descriptors(bounds: DataFrame, settings: PrepareSettings) -> DataFrame
     base = settings.prepared_path.rstrip("/")
     return bounds.select(
         pid.alias("partition_id"),
-        F.concat(F.lit(f"{base}/partition_id="), pid).alias("input_path"),
+        F.concat(F.lit(f"{base}/chunks/partition_id="), pid).alias("input_path"),
         F.lit(settings.threads_per_worker).alias("thread_count"),
         F.col("records_count").cast("bigint").alias("records_count"),
         "emission_min",
@@ -77,58 +96,49 @@ def chunk_descriptors(bounds: DataFrame, settings: PrepareSettings) -> DataFrame
 
 
 def control_items(chunks: DataFrame, settings: PrepareSettings, now: Column) -> DataFrame:
-    """One pending control item per chunk, with nested input, output, budget and counters."""
+    """One pending control row per chunk, in ``CONTROL_SCHEMA``."""
     run = settings.run_id
     calls = F.col("records_count") * settings.calls_per_model
-    text_null = F.lit(None).cast("string")
-    zero = F.lit(0).cast("bigint")
-    return chunks.select(
-        F.lit(f"RUN#{run}").alias("PK"),
-        F.concat(F.lit("PARTITION#"), "partition_id").alias("SK"),
-        F.lit("PARTITION").alias("entity_type"),
-        F.lit(run).alias("run_id"),
-        "partition_id",
-        "status",
-        "input_path",
-        "records_count",
-        "thread_count",
-        "emission_min",
-        "emission_max",
+    prefix = F.format_string(f"enriched/run_id={run}/partition_id=%s/", "partition_id")
+    known = {
+        "PK": F.lit(f"RUN#{run}"),
+        "SK": F.concat(F.lit("PARTITION#"), "partition_id"),
+        "entity_type": F.lit("PARTITION"),
+        "run_id": F.lit(run),
+        "output_prefix": prefix,
+        "partition_call_budget": calls,
+        "estimated_calls": calls,
+        "global_rate_limit": F.lit(settings.rate_limit),
+        "window_seconds": F.lit(settings.window_seconds),
+        "calls_per_model": F.lit(settings.calls_per_model),
+        "input_count": F.col("records_count"),
+        "attempts": F.lit(0),
+        "created_at": now,
+        "updated_at": now,
+    }
+    counts = {n: F.lit(0) for n in (*METRIC_COUNTS, "skipped_count") if n != "input_count"}
+    given = {c: F.col(c) for c in chunks.columns}
+    fields = [part.split(" ", 1) for part in CONTROL_SCHEMA.split(", ")]
+    cells = {**given, **counts, **known}
+    return chunks.select(*[cells.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in fields])
+
+
+def as_documents(control: DataFrame) -> DataFrame:
+    """Control rows as nested items: input, output, rate budget, execution, metrics and error."""
+    groups = {
+        "output": ("output_prefix", "results_path", "errors_path", "metrics_path", "success_marker_path"),
+        "rate_budget": (
+            "partition_call_budget", "estimated_calls", "global_rate_limit", "window_seconds", "calls_per_model"
+        ),
+        "execution": ("attempts", "started_at", "completed_at", "job_name", "job_run_id"),
+        "metrics": (*METRIC_COUNTS, "skipped_count", "last_batch_path"),
+        "error": ("last_error_type", "last_error_message"),
+    }
+    nested = {c for members in groups.values() for c in members}
+    return control.select(
+        *[c for c in control.columns if c not in nested],
         F.struct(F.col("input_path").alias("uri"), "records_count").alias("input"),
-        F.struct(
-            F.format_string(f"enriched/run_id={run}/partition_id=%s/", "partition_id").alias("prefix"),
-            *[
-                text_null.alias(n)
-                for n in ("results_path", "errors_path", "metrics_path", "success_marker_path")
-            ],
-        ).alias("output"),
-        F.struct(
-            calls.alias("partition_call_budget"),
-            calls.alias("estimated_calls"),
-            F.lit(settings.rate_limit).alias("global_rate_limit"),
-            F.lit(settings.window_seconds).alias("window_seconds"),
-            F.lit(settings.calls_per_model).alias("calls_per_model"),
-        ).alias("rate_budget"),
-        F.struct(
-            zero.alias("attempts"),
-            *[text_null.alias(n) for n in ("started_at", "completed_at", "job_name", "job_run_id")],
-        ).alias("execution"),
-        F.struct(
-            F.col("records_count").alias("input_count"),
-            *[
-                zero.alias(n)
-                for n in (
-                    "processed_count", "success_count", "failed_count", "skipped_count",
-                    "api_calls_count", "batches_written",
-                )
-            ],
-            text_null.alias("last_batch_path"),
-        ).alias("metrics"),
-        F.struct(
-            text_null.alias("last_error_type"), text_null.alias("last_error_message")
-        ).alias("error"),
-        now.alias("created_at"),
-        now.alias("updated_at"),
+        *[F.struct(*members).alias(name) for name, members in groups.items()],
     )
 
 
@@ -169,11 +179,14 @@ def run_items(
 
 
 def claim(control: DataFrame, wanted: DataFrame, job_name: str, now: Column) -> DataFrame:
-    """Wanted pending or failed partitions start running; others stay as they are."""
-    asked = wanted.select("partition_id", F.lit(True).alias("_asked"))
+    """Wanted pending or failed partitions start running; others stay as they are.
+
+    ``wanted`` names runs and partitions; a request made twice claims once.
+    """
+    asked = wanted.select(*KEY).distinct().withColumn("_asked", F.lit(True))
     taken = F.coalesce("_asked", F.lit(False)) & F.col("status").isin(*CLAIMABLE_STATUSES)
     return (
-        control.join(asked, "partition_id", "left")
+        control.join(asked, list(KEY), "left")
         .withColumn("_taken", taken)
         .withColumns(
             {
@@ -192,47 +205,57 @@ def claim(control: DataFrame, wanted: DataFrame, job_name: str, now: Column) ->
 
 
 def _merged(
-    control: DataFrame, events: DataFrame, names: Sequence[str], changes: dict[str, Column], now: Column
+    control: DataFrame,
+    events: DataFrame,
+    names: Sequence[str],
+    changes: dict[str, Column],
+    now: Column,
+    sequence: Sequence[str],
 ) -> DataFrame:
-    """Left join on the partition; columns in ``names`` and ``changes`` follow a matching event."""
-    hit = events.select("partition_id", *[F.col(n).alias(f"_{n}") for n in names]).withColumn(
-        "_hit", F.lit(True)
-    )
-    joined = control.join(hit, "partition_id", "left")
+    """Columns in ``names`` and ``changes`` follow the newest event of the same run and partition.
+
+    Events are ordered by ``sequence``, then by their own values, so that repeats change nothing.
+    """
+    given = [n for n in names if n in events.columns]
+    newest = F.max_by(F.struct(*given), F.struct(*sequence, *given))
+    hit = events.groupBy(*KEY).agg(newest.alias("_event"), F.lit(True).alias("_hit"))
+    joined = control.join(hit, list(KEY), "left")
     seen = F.coalesce("_hit", F.lit(False))
-    updates = {n: F.coalesce(F.col(f"_{n}"), F.col(n)) for n in names}
+    updates = {n: F.coalesce(F.col(f"_event.{n}"), F.col(n)) for n in given}
     for name, value in {**changes, "updated_at": now}.items():
         updates[name] = F.when(seen, value).otherwise(F.col(name))
     return joined.withColumns(updates).select(*control.columns)
 
 
-def merge_progress(control: DataFrame, metrics: DataFrame, now: Column) -> DataFrame:
+def merge_progress(control: DataFrame, metrics: DataFrame, now: Column, sequence: Sequence[str] = ()) -> DataFrame:
     """Counters and last batch path of running partitions."""
     names = [n for n in METRIC_COUNTS if n != "input_count"] + ["last_batch_path"]
-    return _merged(control, metrics, names, {}, now)
+    return _merged(control, metrics, names, {}, now, sequence)
 
 
-def complete(control: DataFrame, metrics: DataFrame, prefix: str, now: Column) -> DataFrame:
+def complete(
+    control: DataFrame, metrics: DataFrame, prefix: str, now: Column, sequence: Sequence[str] = ()
+) -> DataFrame:
     """Finished partitions get their counters, output prefix and success marker path."""
     path = F.format_string(prefix + "/run_id=%s/partition_id=%s", "run_id", "partition_id")
     changes = {
         "status": F.lit("COMPLETED"),
-        "processed_count": F.col("_success_count") + F.col("_failed_count"),
+        "processed_count": F.col("_event.success_count") + F.col("_event.failed_count"),
         "output_prefix": path,
         "success_marker_path": F.concat(path, F.lit("/_SUCCESS")),
         "completed_at": now,
     }
     names = [n for n in METRIC_COUNTS if n != "processed_count"]
-    return _merged(control, metrics, names, changes, now)
+    return _merged(control, metrics, names, changes, now, sequence)
 
 
-def fail(control: DataFrame, failures: DataFrame, now: Column) -> DataFrame:
+def fail(control: DataFrame, failures: DataFrame, now: Column, sequence: Sequence[str] = ()) -> DataFrame:
     """Failed partitions keep their counters and the error that ended them."""
     names = [
         "processed_count", "success_count", "failed_count", "api_calls_count",
         "last_error_type", "last_error_message",
     ]
-    return _merged(control, failures, names, {"status": F.lit("FAILED")}, now)
+    return _merged(control, failures, names, {"status": F.lit("FAILED")}, now, sequence)
 
 
 def upsert_latest(events: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:

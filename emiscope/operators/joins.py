@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,13 @@ from pyspark.sql.types import StructType
 from emiscope.functions.text import strip
 from emiscope.operators.staging import where_computed
 from emiscope.schemas import EMISSION_RANGES, RANGE_SCHEMA
+from emiscope.session import write_through
 
 # Ranges up to this count are broadcast (24 bytes each); more are joined on bins.
 BROADCAST_RANGES = 2000
-_BINS = 256
-_STEP = 16
+# Bins of the equi join: one for every few ranges, within these bounds.
+_RANGES_PER_BIN = 4
+_FEWEST_BINS, _MOST_BINS = 256, 4096
 
 
 def emission_ranges(spark: SparkSession) -> DataFrame:
@@ -60,41 +63,87 @@ def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
     )
 
 
-def flag_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
-    """Every row once, with the error that keeps it from a payload, or NULL.
+def attach_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
+    """Every row once with its payload, or with the error that keeps it from one.
 
-    Only ids are joined. Rows without an id pass by the join.
+    Adds the payload, ``error_type`` and ``error_message`` (NULL for a usable payload) and
+    ``called``: whether the row led to a lookup. A payload that is no JSON object is an
+    error. Of several payloads of one id the last by byte order counts. The payload column
+    is read once; rows without an id pass by the join.
     """
     with_id, missing_id = split_missing_id(rows)
-    known = payloads.where(F.col(json_column).isNotNull())
-    known = known.select(F.col("model_id").alias("_id"), F.lit(True).alias("_known"))
-    joined = with_id.withColumn("_id", strip(F.col("model_id"))).join(known, "_id", "left")
-    unknown = F.col("_known").isNull()
-    message = F.concat(F.lit("No payload for "), F.col("model_id"))
+    known = payloads.select(F.col("model_id").alias("_id"), F.col(json_column)).where("_id is not null")
+    known = known.groupBy("_id").agg(F.max(json_column).alias(json_column))
+    joined = with_id.withColumn("_id", strip(F.col("model_id"))).join(known, "_id", "left").drop("_id")
+    absent = F.col(json_column).isNull()
+    # Keys of the outer object: NULL for broken text and for any other kind of value.
+    broken = F.json_object_keys(json_column).isNull()
     checked = joined.withColumns(
         {
-            "error_type": F.when(unknown, "LookupError"),
-            "error_message": F.when(unknown, message),
+            "error_type": F.when(absent, "LookupError").when(broken, "InvalidPayload"),
+            "error_message": F.when(absent, F.concat(F.lit("No payload for "), F.col("model_id"))).when(
+                broken, F.concat(F.lit("Payload is no JSON object: "), F.col("model_id"))
+            ),
+            "called": F.lit(True),
         }
-    ).drop("_id", "_known")
+    )
     blank = missing_id.withColumns(
-        {"error_type": F.lit("ValueError"), "error_message": F.lit("Missing model_id")}
+        {
+            json_column: F.lit(None).cast("string"),
+            "error_type": F.lit("ValueError"),
+            "error_message": F.lit("Missing model_id"),
+            "called": F.lit(False),
+        }
     )
     return checked.unionByName(blank)
 
 
+def capture_errors(rows: DataFrame, json_column: str, shaped: dict[str, Column], document: str = "_doc") -> DataFrame:
+    """Rows with ``status`` and ``error`` beside the columns shaped from their JSON text.
+
+    ``shaped`` reads the parsed VARIANT named ``document``. Unreadable text gives status
+    ``error`` and NULLs instead of failing the job; missing text gives ``empty``.
+    """
+    read = rows.withColumn(document, F.try_parse_json(json_column))
+    empty, failed = F.col(json_column).isNull(), F.col(document).isNull()
+    status = F.when(empty, "empty").when(failed, "error").otherwise("ok")
+    error = F.when(~empty & failed, F.lit(f"ValueError: unreadable {json_column}"))
+    return read.withColumns({**shaped, "status": status, "error": error}).drop(document)
+
+
 def _within(value: Column) -> Column:
     """Half-open: the lower bound belongs to the range, the upper one does not."""
     upper = F.col("max_emissions")
     return (value >= F.col("min_emissions")) & (upper.isNull() | (value < upper))
 
 
-def in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
-    """Inner range join. Few ranges are broadcast; many are joined on value bins."""
-    facts = where_computed(facts, F.col(value).isNotNull())
-    few = ranges.count() <= BROADCAST_RANGES
-    if few:
-        return facts.join(F.broadcast(ranges), _within(F.col(value)))
+def _span(ranges: DataFrame) -> tuple[float | None, float | None]:
+    """Least lower and greatest upper bound: one row; the upper one is None when a range is open."""
+    low, high, open_ = ranges.agg(
+        F.min("min_emissions"), F.max("max_emissions"), F.count_if(F.col("max_emissions").isNull())
+    ).first()
+    return low, None if open_ else high
+
+
+def in_ranges(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
+    """Inner range join. Few ranges are broadcast; many are joined on value bins.
+
+    ``stored`` says that ``value`` is a column of the scanned table, so that its filters
+    may reach the scan; the filters of a computed value stay above the computation.
+    """
+    low, high = _span(ranges)
+    inside = F.col(value).isNotNull()
+    if low is not None:
+        inside = inside & (F.col(value) >= low)
+    if high is not None:
+        inside = inside & (F.col(value) < high)
+    facts = facts.where(inside) if stored else where_computed(facts, inside)
+    if ranges.count() <= BROADCAST_RANGES:
+        # Ids and bounds only: 24 bytes a range. What else a range carries is joined by its id.
+        slim = F.broadcast(ranges.select("shard_id", "min_emissions", "max_emissions"))
+        hits = facts.join(slim, _within(F.col(value)))
+        more = [c for c in ranges.columns if c not in slim.columns]
+        return hits.join(ranges.select("shard_id", *more), "shard_id") if more else hits
     return binned_range_join(facts, ranges, value)
 
 
@@ -106,9 +155,11 @@ def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFr
     keeps Spark from broadcasting the repeated ranges, whose size it cannot foresee,
     and lets adaptive execution split a bin that holds many facts.
     """
-    steps = [i / _BINS for i in range(1, _BINS)]
+    bins = max(_FEWEST_BINS, min(_MOST_BINS, ranges.count() // _RANGES_PER_BIN))
+    step = math.isqrt(bins)
+    steps = [i / bins for i in range(1, bins)]
     bounds = F.explode(F.array("min_emissions", "max_emissions")).alias("bound")
-    # One row of at most _BINS + 2 numbers comes to the driver.
+    # One row of at most _MOST_BINS + 2 numbers comes to the driver.
     low, high, found = (
         ranges.select(bounds)
         .agg(
@@ -121,15 +172,15 @@ def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFr
     facts = where_computed(facts, F.col(value).between(F.lit(low), F.lit(high)))
     found = found or []
     cuts = sorted(set(found))
-    every, coarse = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts[_STEP - 1 :: _STEP]))
+    every, coarse = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts[step - 1 :: step]))
 
     def passed(some: Column, x: Column) -> Column:
         return F.size(F.filter(some.cast("array<double>"), lambda cut: cut <= x))
 
     def bin_of(x: Column) -> Column:
         """Number of cuts up to ``x``: by coarse steps, then inside one step."""
-        skipped = passed(coarse, x) * _STEP
-        return skipped + passed(F.slice(every.cast("array<double>"), skipped + 1, _STEP), x)
+        skipped = passed(coarse, x) * step
+        return skipped + passed(F.slice(every.cast("array<double>"), skipped + 1, step), x)
 
     upper = F.coalesce("max_emissions", F.lit(float("inf")))
     touched = F.explode(F.sequence(bin_of(F.col("min_emissions")), bin_of(upper)))
@@ -138,24 +189,25 @@ def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFr
     return placed.join(spread, "_bin").where(_within(F.col(value))).drop("_bin")
 
 
-def shard_by_range(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+def shard_by_range(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
     """Facts with their range, plus one bare row for each range without a fact.
 
-    The empty ranges come from an equi anti join on the shard ids seen, so the
-    facts are never the broadcast side.
+    The hits are written once, so the facts are read and computed once; the empty ranges
+    come from an anti join on the ids in the written table.
     """
-    hits = in_ranges(facts, ranges, value)
-    seen = in_ranges(facts.select(value), ranges, value).select("shard_id").distinct()
-    idle = ranges.join(seen, "shard_id", "left_anti")
+    hits = write_through(in_ranges(facts, ranges, value, stored), "range_hits")
+    idle = ranges.join(hits.select("shard_id").distinct(), "shard_id", "left_anti")
     return hits.unionByName(idle, allowMissingColumns=True)
 
 
-def reconcile_counts(declared: DataFrame, actual_rows: DataFrame, key: str = "partition_id") -> DataFrame:
+def reconcile_counts(
+    declared: DataFrame, actual_rows: DataFrame, keys: tuple[str, ...] = ("partition_id",)
+) -> DataFrame:
     """Declared against counted rows per partition, from both sides."""
-    counted = actual_rows.groupBy(key).agg(F.count(F.lit(1)).alias("actual_count"))
-    both = declared.select(key, "records_count").join(counted, key, "full_outer")
+    counted = actual_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("actual_count"))
+    both = declared.select(*keys, "records_count").join(counted, list(keys), "full_outer")
     return both.select(
-        key,
+        *keys,
         "records_count",
         F.coalesce("actual_count", F.lit(0)).alias("actual_count"),
         (~F.col("records_count").eqNullSafe(F.coalesce("actual_count", F.lit(0)))).alias("mismatch"),

@@ -177,7 +177,7 @@ def error_rows(
         "partition_id": partition_id,
         "model_id": F.col("model_id"),
         "error_type": error_type,
-        "error_message": F.left(message, F.lit(500)),
+        "error_message": message,
         "failed_at": failed_at if failed_at is not None else now_text(),
     }
     return failed.select(*[shaped[c].alias(c) for c in ERROR_COLUMNS])

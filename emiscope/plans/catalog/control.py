@@ -71,9 +71,7 @@ def control_items(spark, sf):
     chunks = K.chunk_descriptors(R.chunk_bounds(chunked(spark, sf)), settings(spark))
     return K.control_items(chunks, settings(spark), F.lit(STAMP)).select(
         "PK", "SK", "status", "records_count", "emission_min", "emission_max",
-        F.col("rate_budget.partition_call_budget").alias("call_budget"),
-        "rate_budget.window_seconds", "execution.attempts",
-        F.col("output.prefix").alias("output_prefix"),
+        F.col("partition_call_budget").alias("call_budget"), "window_seconds", "attempts", "output_prefix",
     )
 
 
@@ -88,7 +86,9 @@ def control_items(spark, sf):
 )
 def control_claim(spark, sf):
     control = control_table(spark, sf)
-    wanted = control.where("partition_id <> '000006'")
+    wanted = control.where("partition_id <> '000006'").select("run_id", "partition_id")
+    elsewhere = control.select(F.lit("other").alias("run_id"), "partition_id")
+    wanted = wanted.unionByName(wanted).unionByName(elsewhere)
     return K.claim(control, wanted, "enrich", F.lit(STAMP)).select(
         "partition_id", "status", "attempts", "started_at", "job_name", "updated_at"
     )
@@ -96,7 +96,11 @@ def control_claim(spark, sf):
 
 def with_batch_path(spark, sf):
     path = F.format_string("batch_%06d.jsonl", "batches_written")
-    return metrics(spark, sf).withColumn("last_batch_path", path)
+    """Progress events of every partition: an older one with lower counts, and the newest one twice."""
+    newest = metrics(spark, sf).withColumns({"run_id": F.lit(RUN), "last_batch_path": path, "step": F.lit(2)})
+    older = newest.withColumns({"processed_count": F.lit(0).cast("bigint"), "step": F.lit(1)})
+    other = newest.withColumns({"run_id": F.lit("other"), "step": F.lit(9)})
+    return newest.unionByName(newest).unionByName(older).unionByName(other)
 
 
 @query(
@@ -110,7 +114,7 @@ def with_batch_path(spark, sf):
 )
 def control_progress(spark, sf):
     progress = with_batch_path(spark, sf).where("partition_id <> '000004'")
-    return K.merge_progress(control_table(spark, sf), progress, F.lit(STAMP)).select(
+    return K.merge_progress(control_table(spark, sf), progress, F.lit(STAMP), ["step"]).select(
         "partition_id", "status", "processed_count", "success_count", "failed_count",
         "last_batch_path", "updated_at",
     )
@@ -126,7 +130,7 @@ def control_progress(spark, sf):
     CONTROL_CTES,
 )
 def control_complete(spark, sf):
-    done = metrics(spark, sf).where("partition_id <> '000004'")
+    done = metrics(spark, sf).where("partition_id <> '000004'").withColumn("run_id", F.lit(RUN))
     return K.complete(control_table(spark, sf), done, "enriched", F.lit(STAMP)).select(
         "partition_id", "status", "processed_count", "batches_written", "success_marker_path", "completed_at"
     )
@@ -142,7 +146,7 @@ def control_complete(spark, sf):
 )
 def control_fail(spark, sf):
     failures = metrics(spark, sf).where("failed_count > input_count * 0.2").select(
-        "partition_id", "processed_count", "success_count", "failed_count", "api_calls_count",
+        F.lit(RUN).alias("run_id"), "partition_id", "processed_count", "success_count", "failed_count", "api_calls_count",
         F.lit("RuntimeError").alias("last_error_type"),
         F.concat(F.col("failed_count").cast("string"), F.lit(" records failed")).alias("last_error_message"),
     )

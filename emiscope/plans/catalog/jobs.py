@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emiscope.functions.text import parse_float
 from emiscope.operators import control as K
 from emiscope.operators import joins as J
 from emiscope.plans import jobs
-from emiscope.plans.catalog.base import CARDS, DISCOVERY_CTES, ENRICHED_CTES, RUN, STAMP, query
+from emiscope.plans.catalog.base import CARDS, DETAILS, DISCOVERY_CTES, ENRICHED_CTES, RUN, STAMP, query
 from emiscope.plans.catalog.rows import (
     BRONZE_SELECT, CARD_SHARD_CTES, GOLD_ORACLE, RAW_MODELS, bronze_checked, emission_facts,
     gold_checked, repeated_enriched,
 )
 from emiscope.plans.catalog.scans import CHUNK_CTES, chunked, discovered
-from emiscope.plans.fixtures import relation
+from emiscope.plans.fixtures import relation, table
+from emiscope.schemas import ENRICHED_SCHEMA
 from emiscope.session import fresh_path
+from emiscope.sources import readers, writers
 
 
 @query(
@@ -35,8 +36,8 @@ def job_discovery(spark, sf):
     rows = done.models.select(
         "snapshot_id",
         "model_id",
-        parse_float(F.col("co2_eq_emissions")).alias("co2_eq_emissions"),
-        F.col("likes").cast("bigint").alias("likes"),
+        "co2_eq_emissions",
+        "likes",
         "tags",
     )
     return rows.join(totals, "snapshot_id").drop("snapshot_id")
@@ -50,27 +51,145 @@ def job_discovery(spark, sf):
 )
 def job_prepare(spark, sf):
     base = fresh_path(spark, "prepare")
-    rows = discovered(spark, sf, keep=())
-    rows.write.option("header", True).option("escape", '"').csv(f"{base}/source")
+    writers.write_csv(discovered(spark, sf, keep=()), f"{base}/source")
     config = K.PrepareSettings(run_id=RUN, source_path=f"{base}/source", prepared_path=f"{base}/prepared")
     return jobs.prepare(spark, config, F.lit(STAMP)).control.select(
         "PK", "SK", "records_count", "emission_min", "emission_max",
-        F.col("rate_budget.partition_call_budget").alias("call_budget"),
+        F.col("partition_call_budget").alias("call_budget"),
     )
 
 
+@query(
+    "job_discovery_text",
+    """SELECT CAST(doc_id AS VARCHAR) AS model_id, '  ' || text || chr(10) || ' ' AS co2_source,
+      '["' || lang || '"]' AS tags, place FROM documents, (VALUES ('published'), ('csv')) t(place)""",
+)
+def job_discovery_text(spark, sf):
+    """Whole texts with line ends and outer blanks through discovery, its table and its CSV export."""
+    text = F.concat(F.lit("  "), "text", F.lit("\n "))
+    emission = F.struct(F.lit(1.5).alias("emissions"), text.alias("source"))
+    payload = F.struct(
+        F.col("doc_id").cast("string").alias("id"),
+        F.array("lang").alias("tags"),
+        F.struct(emission.alias("co2_eq_emissions")).alias("cardData"),
+    )
+    listing = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("seq"),
+        (F.floor(F.col("doc_id") / 100) + 1).alias("page"),
+        F.to_json(payload).alias("payload_json"),
+    )
+    out = fresh_path(spark, "discovery")
+    done = jobs.discover(spark, listing, out, RUN, STAMP)
+    exported = readers.read_header_csv(spark, f"{out}/csv/snapshot_id={RUN}")
+    both = [
+        rows.select("model_id", "co2_source", "tags", F.lit(place).alias("place"))
+        for rows, place in ((done.models, "published"), (exported, "csv"))
+    ]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "job_enrich",
-    """SELECT partition_id, COUNT(*) AS input_count, COUNT(*) AS processed_count,
-      COUNT(*) FILTER (k % 11 <> 0) AS success_count, COUNT(*) FILTER (k % 11 = 0) AS failed_count,
-      COUNT(*) AS api_calls_count, CAST(ceil(COUNT(*) FILTER (k % 11 <> 0) / 50.0) AS BIGINT) AS batches_written
-    FROM chunked GROUP BY partition_id""",
+    f"""SELECT '{RUN}' AS run_id, partition_id, COUNT(*) AS input_count, COUNT(*) AS processed_count,
+      COUNT(*) FILTER (usable) AS success_count, COUNT(*) FILTER (NOT usable) AS failed_count,
+      COUNT(*) FILTER (k % 29 <> 0) AS api_calls_count, CAST(ceil(COUNT(*) FILTER (usable) / 50.0) AS BIGINT) AS batches_written
+    FROM (SELECT *, k % 11 <> 0 AND k % 13 <> 0 AND k % 29 <> 0 AS usable FROM chunked) GROUP BY partition_id""",
     CHUNK_CTES,
 )
 def job_enrich(spark, sf):
+    return enrich_chunks(spark, sf).metrics.drop("last_batch_path")
+
+
+def damaged_payloads(spark, sf):
+    """Every eleventh payload is absent, every thirteenth unreadable or no object, and some come twice."""
+    rows = relation(spark, sf, "payloads").where("k % 11 <> 0")
+    bad = F.when(F.col("k") % 2 == 0, "<html>502 bad gateway").otherwise("[1, 2]")
+    rows = rows.withColumn("payload_json", F.when(F.col("k") % 13 == 0, bad).otherwise(F.col("payload_json")))
+    return rows.unionByName(rows.where("k % 7 = 0"))
+
+
+def enrich_chunks(spark, sf):
+    rows = chunked(spark, sf)
+    blank = F.when(F.col("k") % 29 == 0, F.lit(" ")).otherwise(F.col("model_id"))
+    rows = rows.withColumn("model_id", blank).drop("k", "idx", "chunk")
+    out = fresh_path(spark, "enrich")
+    return jobs.enrich(spark, rows, damaged_payloads(spark, sf), out, RUN, F.lit(STAMP))
+
+
+@query(
+    "job_enrich_rows",
+    """SELECT c.partition_id, d.model_id, x.datasets_size, d.co2_eq_emissions, d.downloads, d.likes, s.score AS performance_score, x.size
+    FROM chunked c JOIN discovered d ON d.k = c.k JOIN detailed x ON x.k = c.k LEFT JOIN scores s ON s.k = c.k
+    WHERE c.k % 11 <> 0 AND c.k % 13 <> 0 AND c.k % 29 <> 0""",
+    (*CHUNK_CTES, DETAILS),
+)
+def job_enrich_rows(spark, sf):
+    return enrich_chunks(spark, sf).enriched.select(
+        "partition_id", "model_id", "datasets_size", "co2_eq_emissions", "downloads", "likes", "performance_score", "size"
+    )
+
+
+@query(
+    "job_enrich_errors",
+    """SELECT partition_id, CASE WHEN k % 29 = 0 THEN ' ' ELSE model_id END AS model_id,
+      CASE WHEN k % 29 = 0 THEN 'ValueError' WHEN k % 11 = 0 THEN 'LookupError' ELSE 'InvalidPayload' END AS error_type,
+      CASE WHEN k % 29 = 0 THEN 'Missing model_id' WHEN k % 11 = 0 THEN 'No payload for ' || model_id
+        ELSE 'Payload is no JSON object: ' || model_id END AS error_message
+    FROM chunked WHERE k % 11 = 0 OR k % 13 = 0 OR k % 29 = 0""",
+    CHUNK_CTES,
+)
+def job_enrich_errors(spark, sf):
+    return enrich_chunks(spark, sf).errors.select("partition_id", "model_id", "error_type", "error_message")
+
+
+@query(
+    "job_runs",
+    f"""SELECT run_id, partition_id, CASE WHEN run_id = 'B' AND partition_id = '000000' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+      CASE WHEN run_id = 'A' AND partition_id = '000000' THEN 2 ELSE 1 END AS attempts,
+      CASE WHEN run_id = 'B' AND partition_id = '000000' THEN COUNT(*) + 1 ELSE COUNT(*) END AS records_count,
+      COUNT(*) AS actual_count, COUNT(*) FILTER (k % 11 <> 0) AS success_count, COUNT(*) FILTER (k % 11 = 0) AS failed_count,
+      COUNT(*) FILTER (k % 11 <> 0) AS enriched_rows
+    FROM chunked, (VALUES ('A'), ('B')) t(run_id) GROUP BY run_id, partition_id""",
+    CHUNK_CTES,
+)
+def job_runs(spark, sf):
+    """Two runs from preparation to their end, asked for twice; the first retries one partition.
+
+    Run B declares one row too many for its first partition, which has to fail.
+    """
+    base = fresh_path(spark, "runs")
+    writers.publish(discovered(spark, sf, keep=()), f"{base}/source", f"{base}/latest")
+    ready = [
+        jobs.prepare(
+            spark,
+            K.PrepareSettings(run, f"{base}/source", f"{base}/prepared_{run}", source_form="parquet"),
+            F.lit(STAMP),
+        ).control
+        for run in ("A", "B")
+    ]
+    first = F.col("partition_id") == "000000"
+    odd = (F.col("run_id") == "B") & first
+    control = ready[0].unionByName(ready[1])
+    control = control.withColumn("records_count", F.col("records_count") + odd.cast("int"))
     payloads = relation(spark, sf, "payloads").where("k % 11 <> 0")
-    rows = chunked(spark, sf).drop("k", "idx", "chunk")
-    return jobs.enrich(spark, rows, payloads, fresh_path(spark, "enrich"), RUN, F.lit(STAMP)).metrics
+    keys = control.select("run_id", "partition_id")
+    out = f"{base}/enriched"
+    # The first attempt finds no payload at all for one partition; then that partition is asked for again.
+    done = jobs.work(spark, control, keys.unionByName(keys), payloads, out, "enrich", F.lit(STAMP))
+    again = (F.col("run_id") == "A") & first
+    failed = done.control.withColumn("status", F.when(again, "FAILED").otherwise(F.col("status")))
+    retry = jobs.work(spark, failed, keys.where(again), payloads, out, "enrich", F.lit(STAMP))
+    actual = done.counts.select("run_id", "partition_id", "actual_count")
+    enriched = readers.read_json_lines(spark, f"{out}/batches", ENRICHED_SCHEMA)
+    stored = enriched.groupBy("run_id", "partition_id").agg(F.count(F.lit(1)).alias("enriched_rows"))
+    return (
+        retry.control.join(actual, ["run_id", "partition_id"])
+        .join(stored, ["run_id", "partition_id"])
+        .select(
+            "run_id", "partition_id", "status", F.col("attempts").cast("int").alias("attempts"), "records_count",
+            "actual_count", "success_count", "failed_count", "enriched_rows",
+        )
+    )
 
 
 @query("job_gold", GOLD_ORACLE, ENRICHED_CTES)

@@ -70,7 +70,7 @@ def shard_range_join(spark, sf):
 )
 def shard_range_scan(spark, sf):
     facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    hits = J.in_ranges(facts, J.emission_ranges(spark), "o_totalprice")
+    hits = J.in_ranges(facts, J.emission_ranges(spark), "o_totalprice", stored=True)
     order = [F.asc("o_totalprice"), F.asc("o_orderkey")]
     return R.first_n_per_key(hits, ["shard_id"], order, 100).select(
         "shard_id", "o_orderkey", "o_totalprice"
@@ -149,7 +149,7 @@ def count_by_shard(spark, sf):
 def duplicate_models(spark, sf):
     facts = table(spark, sf, "orders").where("o_orderstatus <> 'P'")
     facts = facts.select(F.col("o_custkey").alias("model_key"), "o_totalprice")
-    hits = J.in_ranges(facts, J.emission_ranges(spark), "o_totalprice")
+    hits = J.in_ranges(facts, J.emission_ranges(spark), "o_totalprice", stored=True)
     rows = hits.withColumn("run_id", F.lit("20260101T000000Z"))
     return A.duplicates(rows, "run_id", "shard_id", "model_key")
 
@@ -255,13 +255,15 @@ def retry_shards(spark, sf):
 
 @query(
     "udtf_shard_expand",
-    "SELECT shard_id, COUNT(model_id) AS models, CASE WHEN COUNT(model_id) = 0 THEN 'empty' ELSE 'ok' END AS status "
-    "FROM card_bronze GROUP BY shard_id",
+    """SELECT shard_id, status, CASE WHEN status = 'error' THEN 'ValueError: unreadable payload_json' END AS error,
+      COUNT(*) AS status_rows, COUNT(*) FILTER (status = 'ok') AS models
+    FROM (SELECT *, CASE WHEN k IS NULL THEN 'empty' WHEN k % 5 = 0 THEN 'error' ELSE 'ok' END AS status FROM card_bronze)
+    GROUP BY shard_id, status""",
     (
         CARDS,
         """
 card_hits AS (
-  SELECT shard_id, model_id FROM emitting
+  SELECT shard_id, k FROM emitting
   JOIN ranges ON emission >= min_emissions AND (max_emissions IS NULL OR emission < max_emissions)),
 card_bronze AS (
   SELECT * FROM card_hits UNION ALL
@@ -269,11 +271,14 @@ card_bronze AS (
     ),
 )
 def udtf_shard_expand(spark, sf):
-    """One range row in, many status rows out, without a Python function."""
-    sharded = J.shard_by_range(emission_facts(spark, sf), J.emission_ranges(spark), "emission")
-    return sharded.groupBy("shard_id").agg(
-        F.count("model_id").alias("models"),
-        F.when(F.count("model_id") == 0, "empty").otherwise("ok").alias("status"),
+    """One range row in, many status rows out, failures among them, without a Python function."""
+    facts = emission_facts(spark, sf).withColumn(
+        "payload_json", F.when(F.col("k") % 5 == 0, "!").otherwise(F.col("payload_json"))
+    )
+    sharded = J.shard_by_range(facts, J.emission_ranges(spark), "emission")
+    shown = J.capture_errors(sharded, "payload_json", {"doc_model": F.try_variant_get("_doc", "$.id", "string")})
+    return shown.groupBy("shard_id", "status", "error").agg(
+        F.count(F.lit(1)).alias("status_rows"), F.count("doc_model").alias("models")
     )
 
 
@@ -286,11 +291,6 @@ def udtf_shard_expand(spark, sf):
 def error_capture(spark, sf):
     """A row that cannot be read becomes a status row; the job goes on."""
     broken = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("!"), "props")).otherwise(F.col("props"))
-    rows = table(spark, sf, "events").select("event_id", F.try_parse_json(broken).alias("_doc"))
-    failed = F.col("_doc").isNull()
-    return rows.select(
-        "event_id",
-        F.when(failed, "error").otherwise("ok").alias("status"),
-        F.try_variant_get("_doc", "$.k", "bigint").alias("value"),
-        F.when(failed, "ValueError: unreadable props").alias("error"),
-    )
+    rows = table(spark, sf, "events").select("event_id", broken.alias("props"))
+    value = F.try_variant_get("_doc", "$.k", "bigint")
+    return J.capture_errors(rows, "props", {"value": value}).drop("props")

@@ -59,7 +59,7 @@ def emission_facts(spark, sf):
     rows = rows.withColumn("_doc", P.parsed(F.col("payload_json"), P.CARD_KEYS))
     rows = rows.withColumn("_card", P.card(F.col("_doc")))
     co2 = P.co2_object(F.col("_card"))
-    return rows.select("model_id", "payload_json", co2["emissions"].alias("emission"))
+    return rows.select("k", "model_id", "payload_json", co2["emissions"].alias("emission"))
 
 
 CARD_SHARDS = """
@@ -263,16 +263,25 @@ def resumable_runs(spark, sf):
     return K.resumable(rows)
 
 
-@query("guard_nonempty")
+@query("guard_nonempty", "SELECT COUNT(*) AS valid_models, CAST(NULL AS INTEGER) AS guard FROM discovered", DISCOVERY_CTES)
 def guard_nonempty(spark, sf):
     rows = discovered(spark, sf)
     guard = F.assert_true(F.count(F.lit(1)) > 0, F.lit("no valid models in the source"))
     return rows.agg(F.count(F.lit(1)).alias("valid_models"), guard.alias("guard")).select("valid_models", "guard")
 
 
-@query("guard_params")
+@query(
+    "guard_params",
+    """SELECT CASE WHEN p_partkey % 7 = 0 THEN 'workers must be greater than 0'
+      WHEN p_partkey % 5 = 0 THEN 'source_path is required'
+      WHEN p_partkey % 3 = 0 THEN 'source_path is no absolute path or URI: ' || p_brand END AS refused, COUNT(*) AS settings
+    FROM part GROUP BY 1""",
+)
 def guard_params(spark, sf):
-    K.PrepareSettings(run_id=RUN, source_path="/source.csv", prepared_path="/prepared")
-    sizes = table(spark, sf, "part").select("p_partkey", "p_size")
-    guard = F.assert_true(F.col("p_size") > 0, F.lit("size must be greater than 0"))
-    return sizes.withColumn("guard", guard).groupBy("guard").agg(F.count(F.lit(1)).alias("accepted"))
+    """Settings made from table rows: the reason each is refused for, NULL for accepted ones."""
+    key = F.col("p_partkey")
+    rows = table(spark, sf, "part").select(
+        F.when(key % 7 == 0, -F.col("p_size")).otherwise(F.col("p_size")).alias("workers"),
+        F.when(key % 5 == 0, "").when(key % 3 == 0, F.col("p_brand")).otherwise("s3://b/x.csv").alias("source_path"),
+    )
+    return K.refused(rows).groupBy("refused").agg(F.count(F.lit(1)).alias("settings"))

@@ -35,7 +35,7 @@ def enriched(spark, sf):
 def sharded_orders(spark, sf):
     """Orders by the emission range their total falls in, empty ranges included."""
     facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    return J.shard_by_range(facts, J.emission_ranges(spark), "o_totalprice")
+    return J.shard_by_range(facts, J.emission_ranges(spark), "o_totalprice", stored=True)
 
 
 def order_bronze(spark, sf):
@@ -78,8 +78,7 @@ SLIM_BRONZE = "run_id STRING, shard_id INT, model_key BIGINT, emission DOUBLE, s
 )
 def scan_csv_required(spark, sf):
     path = fresh_path(spark, "csv")
-    rows = discovered(spark, sf, keep=())
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    writers.write_csv(discovered(spark, sf, keep=()), path)
     read = readers.read_header_csv(spark, path)
     return read.select(
         "model_id",
@@ -325,21 +324,18 @@ def segments(spark, sf):
 
 @query(
     "sink_csv_parts",
-    """SELECT part_number, COUNT(*) AS part_rows, MIN(seq) AS first_seq, MAX(seq) AS last_seq
-    FROM page_log p JOIN segments s ON s.page = p.page WHERE has_emission GROUP BY part_number""",
+    """SELECT part_number, seq, k, '  <' || CAST(k AS VARCHAR) || chr(10) || '"' AS cell
+    FROM page_log p JOIN segments s ON s.page = p.page WHERE has_emission""",
     SEGMENT_CTES,
 )
 def sink_csv_parts(spark, sf):
     path = fresh_path(spark, "parts")
     rows = page_rows(spark, sf).where("has_emission").select("page", "seq", "k")
     parts = segments(spark, sf).select("page", "part_number")
-    writers.write_csv_parts(rows.join(parts, "page").select("seq", "k", "part_number"), path)
-    read = spark.read.option("header", True).schema("seq BIGINT, k BIGINT, part_number BIGINT").csv(path)
-    return read.groupBy("part_number").agg(
-        F.count(F.lit(1)).alias("part_rows"),
-        F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
-    )
+    cell = F.concat(F.lit("  <"), F.col("k").cast("string"), F.lit('\n"')).alias("cell")
+    writers.write_csv_parts(rows.join(parts, "page").select("seq", "k", cell, "part_number"), path)
+    layout = "seq BIGINT, k BIGINT, cell STRING, part_number BIGINT"
+    return readers.read_csv_parts(spark, path, layout).drop("part_file")
 
 
 @query(
@@ -352,12 +348,12 @@ def sink_snapshot_latest(spark, sf):
     writers.publish(discovered(spark, sf, keep=()), f"{path}/snapshot", f"{path}/latest")
 
     def read(place):
-        rows = readers.read_header_csv(spark, f"{path}/{place}")
+        rows = readers.read_discovery(spark, f"{path}/{place}", "parquet")
         return rows.select(
             F.lit(place).alias("place"),
             "model_id",
-            parse_float(F.col("co2_eq_emissions")).alias("co2_eq_emissions"),
-            F.col("likes").cast("bigint").alias("likes"),
+            "co2_eq_emissions",
+            "likes",
         )
 
     return read("snapshot").unionByName(read("latest"))
@@ -441,9 +437,9 @@ def settings(spark):
 )
 def sink_chunk_csv(spark, sf):
     path = fresh_path(spark, "chunks")
-    writers.write_chunks(chunked(spark, sf), path)
+    writers.write_chunks(chunked(spark, sf), path, form="csv")
     schema = f"{DISCOVERY_TEXT_SCHEMA}, partition_id STRING"
-    read = spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    read = readers.read_csv_parts(spark, path, schema)
     return read.select(
         "partition_id",
         "model_id",
@@ -456,7 +452,7 @@ def sink_chunk_csv(spark, sf):
 @query(
     "sink_manifest",
     f"""SELECT '{RUN}' AS run_id, 'PREPARED' AS status, (SELECT COUNT(*) FROM bounds) AS partitions_count,
-      partition_id, '/prepared/partition_id=' || partition_id AS input_path, records_count, emission_min, emission_max
+      partition_id, '/prepared/chunks/partition_id=' || partition_id AS input_path, records_count, emission_min, emission_max
     FROM bounds""",
     CHUNK_CTES,
 )

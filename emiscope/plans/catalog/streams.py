@@ -42,6 +42,7 @@ def stream_latest_per_model(spark, sf):
     log.repartition(3, "attempt_id").write.parquet(f"{base}/in")
     stream = S.page_stream(spark, f"{base}/in", log.schema, max_files=1)
     S.track_latest(stream, ["k"], ["enriched_at", "attempt_id"], f"{base}/out", f"{base}/checkpoint")
+    S.compact(spark, f"{base}/out", ["k"])
     return shown(S.current_state(spark, f"{base}/out", ["k"])).select(
         "k", "attempt_id", "enriched_at", "status", "value"
     )
@@ -55,10 +56,11 @@ def stream_latest_per_model(spark, sf):
 def rate_window_audit(spark, sf):
     base = fresh_path(spark, "calls")
     calls = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    calls.write.parquet(f"{base}/in")
-    stream = S.page_stream(spark, f"{base}/in", calls.schema)
+    # Several micro-batches in no order of time, so that calls come late.
+    calls.repartition(4, "event_id").write.parquet(f"{base}/in")
+    stream = S.page_stream(spark, f"{base}/in", calls.schema, max_files=1)
     S.track_call_windows(stream, "ts", f"{base}/out", f"{base}/checkpoint")
-    windows = S.current_state(spark, f"{base}/out", ["window_start"])
+    windows = S.call_windows(spark, f"{base}/out")
     return S.over_budget(windows, 2).withColumn(
         "window_start", F.date_format("window_start", "yyyyMMdd'T'HHmmss'Z'")
     )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emiscope.functions.text import padded_id, strip
+from emiscope.functions.text import padded_id
 from emiscope.operators import aggregates as A
 from emiscope.operators import control as K
 from emiscope.operators import joins as J
@@ -16,14 +17,20 @@ from emiscope.operators import rows as W
 from emiscope.schemas import (
     BRONZE_SCHEMA,
     DISCOVERY_COLUMNS,
-    DISCOVERY_TEXT_SCHEMA,
+    DISCOVERY_SCHEMA,
+    ENRICHED_COLUMNS,
     ENRICHED_SCHEMA,
     ERROR_SCHEMA,
+    METRICS_SCHEMA,
 )
 from emiscope.session import write_through
 from emiscope.sources import readers, writers
 
 
+#: Steps of a discovery run, in order.
+EVENTS = ("matched", "published")
+
+
 def prepare_order() -> list[Column]:
     """Most used first; ties are settled by id, so that the order is total."""
     return [F.desc("downloads"), F.desc("likes"), F.desc("co2_eq_emissions"), F.asc("model_id")]
@@ -40,12 +47,26 @@ def discover(
 ) -> DiscoveryResult:
     """Listed payloads (``seq``, ``page``, ``payload_json``) to a published snapshot.
 
-    Matches go to numbered CSV parts, the parts are read back, the last row of each
-    model wins, and the result is published as snapshot and as ``latest``.
+    Matches go to numbered parts, the last row of each model wins, and the result is
+    published under ``snapshot_id=`` and as ``latest``. Steps hand typed Parquet on, so no
+    text is lost; ``csv/snapshot_id=`` is an export. Other snapshots stay. Progress goes
+    to ``events``, its newest entry of each snapshot being the run's state.
     """
+    place = f"snapshot_id={snapshot_id}"
+
+    def tell(event: str, counts: DataFrame) -> None:
+        at = F.lit(discovered_at) if discovered_at is not None else W.now_text()
+        step = F.lit(EVENTS.index(event))
+        told = counts.select(
+            F.lit(snapshot_id).alias("run_id"), step.alias("step"), F.lit(event).alias("event"),
+            F.lit("COMPLETED" if event == EVENTS[-1] else "RUNNING").alias("status"), at.alias("at"), "counted",
+        )
+        writers.append_events(told, f"{out}/events")
+
     matched = write_through(
         W.discovery_rows(listing, snapshot_id, discovered_at, keep=("seq", "page")), "matches"
     )
+    tell("matched", matched.agg(F.count(F.lit(1)).alias("counted")))
     sizes = matched.groupBy("page").agg(F.count(F.lit(1)).alias("page_matches"))
     pages = (
         listing.groupBy("page")
@@ -59,28 +80,36 @@ def discover(
         )
     )
     segments = A.flush_segments(pages).select("page", "part_number")
-    parts = f"{out}/filtered_parts"
-    writers.write_csv_parts(matched.join(segments, "page").drop("page"), parts)
+    parts = f"{out}/filtered_parts/{place}"
+    writers.write_parts(matched.join(segments, "page").drop("page").withColumnRenamed("snapshot_id", "snapshot"), parts)
 
-    # In the order they were written: the fixed columns stand between two numbers.
-    layout = f"seq BIGINT, {DISCOVERY_TEXT_SCHEMA}, part_number BIGINT"
-    stored = readers.read_csv_parts(spark, parts, layout)
+    layout = f"seq BIGINT, {DISCOVERY_SCHEMA}, part_number BIGINT".replace("snapshot_id", "snapshot")
+    stored = spark.read.schema(layout).parquet(parts).withColumnRenamed("snapshot", "snapshot_id")
     stored = stored.where(F.coalesce("model_id", F.lit("")) != "")
     models = R.last_write_wins(
         stored.select("part_number", "seq", *DISCOVERY_COLUMNS), ["model_id"], ["part_number", "seq"]
     )
-    snapshot = f"{out}/filtered"
+    snapshot = f"{out}/filtered/{place}"
     writers.publish(models.select(*DISCOVERY_COLUMNS), snapshot, f"{out}/latest")
-    published = readers.read_header_csv(spark, snapshot)
+    published = readers.read_discovery(spark, snapshot, "parquet")
+    writers.write_csv(published, f"{out}/csv/{place}")
     totals = pages.groupBy("snapshot_id").agg(
         F.sum("page_size").alias("total_models_seen"),
         F.sum("page_matches").alias("models_with_emissions"),
     )
     result = totals.withColumn("final_rows_count", F.lit(published.count()).cast("bigint"))
-    writers.write_json(result, f"{out}/result")
+    writers.write_json(result.drop("snapshot_id"), f"{out}/result/{place}")
+    tell("published", result.select(F.col("final_rows_count").alias("counted")))
     return DiscoveryResult(models=published, totals=result)
 
 
+def resumable_snapshots(spark: SparkSession, out: str) -> DataFrame:
+    """Snapshots whose newest progress event says that they are not complete."""
+    layout = "run_id STRING, step INT, status STRING, at STRING, counted BIGINT, event STRING"
+    events = readers.read_json_lines(spark, f"{out}/events", layout)
+    return K.resumable(K.upsert_latest(events, ["run_id"], ["step", "at"]))
+
+
 @dataclass
 class PrepareResult:
     rows: DataFrame
@@ -91,10 +120,15 @@ class PrepareResult:
 def prepare(
     spark: SparkSession, settings: K.PrepareSettings, now: Column | None = None
 ) -> PrepareResult:
-    """Discovery CSV to ordered work chunks, a manifest and pending control items."""
+    """Discovery rows to ordered work chunks, a manifest and pending control items.
+
+    Discovery publishes one row per model. If another source repeats a model, the row
+    discovered last wins, then the one with the greater columns.
+    """
     now = now if now is not None else W.now_text()
-    source = readers.read_header_csv(spark, settings.source_path)
-    typed = W.valid_models(source).select(*DISCOVERY_COLUMNS)
+    source = readers.read_discovery(spark, settings.source_path, settings.source_form)
+    texts = source.select(*[F.col(c).cast("string").alias(c) for c in source.columns])
+    typed = W.valid_models(texts).select(*DISCOVERY_COLUMNS)
     others = [c for c in DISCOVERY_COLUMNS if c not in ("model_id", "discovered_at")]
     models = R.last_write_wins(typed, ["model_id"], ["discovered_at", *others])
     size = R.chunk_rows(settings.rate_limit, settings.workers, settings.calls_per_model)
@@ -121,7 +155,7 @@ def prepare(
         raise ValueError(f"no valid models in {settings.source_path}")
     writers.write_manifest(chunks, header, base)
     control = K.control_items(chunks, settings, now)
-    writers.write_json(control, f"{base}/control")
+    writers.write_json(K.as_documents(control), f"{base}/control")
     writers.write_json(K.run_items(chunks, settings, now), f"{base}/runs")
     return PrepareResult(rows=chunked, chunks=chunks, control=control)
 
@@ -141,41 +175,120 @@ def enrich(
     run_id: str,
     now: Column | None = None,
 ) -> EnrichResult:
-    """Chunk rows with their payloads to batches, dead letters and run metrics.
+    """Chunk rows with their payloads to batches, dead letters, run metrics and success markers.
 
-    ``rows`` carry ``partition_id``; ``payloads`` hold one row per model. Every input
-    row ends in exactly one of the two outputs. Outcomes and batch numbers are settled
-    on ids alone, so payloads are joined and parsed once, and only for rows that have one.
+    ``rows`` carry ``partition_id``. Every input row ends in exactly one of the two
+    outputs. Payloads are read once: the join, the check and the shaping of a row are one
+    pass, whose result is written and then split. All lies below ``run_id=`` and
+    ``partition_id=``; a retry replaces the partitions it holds and nothing else. The
+    result is this run's, with its earlier partitions.
     """
-    flagged = J.flag_payloads(rows, payloads).withColumn("ok", F.col("error_type").isNull())
-    order = [F.asc("model_id"), F.asc("discovered_at")]
-    ranked = A.batch_numbers(flagged, ["partition_id", "ok"], order)
-
-    ready = ranked.where("ok").withColumn("_id", strip(F.col("model_id")))
-    table = payloads.select(F.col("model_id").alias("_id"), "payload_json")
-    done = W.enriched_rows(
-        ready.join(table, "_id"), run_id, F.col("partition_id"), now, keep=("batch",)
+    found = J.attach_payloads(rows, payloads)
+    shaped = W.enriched_rows(
+        found, run_id, F.col("partition_id"), now,
+        keep=("error_type", "error_message", "called", F.col("model_id").alias("_given"), F.col("discovered_at").alias("_at")),
     )
+    shaped = write_through(shaped.withColumn("ok", F.col("error_type").isNull()), "outcomes")
+    order = [F.asc("_given"), F.asc("_at")]
+    done = A.batch_numbers(shaped.where("ok"), ["partition_id"], order).select("batch", *ENRICHED_COLUMNS)
     writers.write_batches(done, f"{out}/batches", ["run_id", "partition_id"])
+    failed = shaped.where("NOT ok").select("partition_id", F.col("_given").alias("model_id"), "error_type", "error_message")
     failed = W.error_rows(
-        ranked.where("NOT ok"), run_id, F.col("partition_id"), F.col("error_type"),
-        F.col("error_message"), now,
+        failed, run_id, F.col("partition_id"), F.col("error_type"), F.col("error_message"), now
     )
-    failed.write.mode("overwrite").partitionBy("partition_id").json(f"{out}/errors")
-
-    enriched = readers.read_json_lines(spark, f"{out}/batches", ENRICHED_SCHEMA)
-    errors = readers.read_json_lines(spark, f"{out}/errors", ERROR_SCHEMA)
-    outcomes = enriched.select("partition_id", F.lit(True).alias("ok"), F.lit(True).alias("called"))
-    outcomes = outcomes.unionByName(
-        errors.select(
-            "partition_id",
-            F.lit(False).alias("ok"),
-            (F.col("error_type") != "ValueError").alias("called"),
-        )
+    writers.write_batches(failed, f"{out}/errors", ["run_id", "partition_id"])
+    counts = A.partition_metrics(shaped, ["run_id", "partition_id"], F.col("ok"), F.col("called"))
+    counts = write_through(counts, "metrics")
+    # A partition without rows of one kind keeps none from an earlier attempt.
+    for column, folder in (("success_count", "batches"), ("failed_count", "errors")):
+        none = counts.where(F.col(column) == 0).select("run_id", "partition_id")
+        writers.drop_directories(spark, none, f"{out}/{folder}")
+    last = F.when(
+        F.col("batches_written") > 0,
+        F.format_string(f"{out}/batches/run_id=%s/partition_id=%s/batch_%06d", "run_id", "partition_id", "batches_written"),
+    )
+    writers.write_batches(counts.withColumn("last_batch_path", last), f"{out}/metrics", ["run_id", "partition_id"])
+    # The marker stands where ``control.complete`` says, and carries the counts.
+    writers.write_batches(
+        counts.select("run_id", "partition_id", F.lit("_SUCCESS").alias("marker"), "input_count", "success_count", "failed_count"),
+        f"{out}/markers", ["run_id", "partition_id"],
+    )
+    mine = F.col("run_id") == run_id
+
+    def read(folder: str, schema: str) -> DataFrame:
+        return _present(spark, f"{out}/{folder}", schema).where(mine)
+
+    metrics = read("metrics", METRICS_SCHEMA)
+    return EnrichResult(
+        enriched=read("batches", ENRICHED_SCHEMA), errors=read("errors", ERROR_SCHEMA), metrics=metrics
+    )
+
+
+def _present(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A JSON table, or no rows where nothing was ever written."""
+    try:
+        return readers.read_json_lines(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+@dataclass
+class WorkResult:
+    control: DataFrame
+    metrics: DataFrame
+    counts: DataFrame
+
+
+def work(
+    spark: SparkSession,
+    control: DataFrame,
+    wanted: DataFrame,
+    payloads: DataFrame,
+    out: str,
+    job_name: str,
+    now: Column | None = None,
+) -> WorkResult:
+    """Claim partitions, enrich their chunks, and move them to their end.
+
+    Of ``wanted`` (``run_id, partition_id``) the pending and failed ones run. A partition
+    whose outcomes are as many as declared completes; any other fails. ``control`` comes
+    back whole, and ``counts`` reconciles declared with processed rows.
+    """
+    now = now if now is not None else W.now_text()
+    before = control.select(*K.KEY, F.col("attempts").alias("_before"))
+    claimed = write_through(K.claim(control, wanted, job_name, now), "claimed")
+    mine = write_through(
+        claimed.join(before, list(K.KEY)).where(F.col("attempts") > F.col("_before")).select(*claimed.columns), "mine"
+    )
+    metrics: DataFrame | None = None
+    for row in mine.select("run_id").distinct().toLocalIterator():  # one row per run
+        run = row["run_id"]
+        chunks = readers.read_chunks(spark, mine.where(F.col("run_id") == run)).drop("run_id")
+        done = enrich(spark, chunks, payloads, out, run, now).metrics.join(mine.select(*K.KEY), list(K.KEY), "left_semi")
+        metrics = done if metrics is None else metrics.unionByName(done)
+    if metrics is None:
+        none = spark.createDataFrame([], METRICS_SCHEMA)
+        return WorkResult(claimed, none, J.reconcile_counts(mine, none, K.KEY))
+    counted = metrics.withColumn("records_count", F.col("processed_count"))
+    counts = mine.select(*K.KEY, "records_count").join(
+        counted.select(*K.KEY, F.col("records_count").alias("actual_count")), list(K.KEY), "left"
+    )
+    actual = F.coalesce("actual_count", F.lit(0).cast("bigint"))
+    counts = write_through(
+        counts.select(*K.KEY, "records_count", actual.alias("actual_count"), (~F.col("records_count").eqNullSafe(actual)).alias("mismatch")),
+        "reconciled",
+    )
+    moved = K.merge_progress(claimed, metrics, now)
+    whole = metrics.join(counts.where("NOT mismatch"), list(K.KEY), "left_semi")
+    moved = K.complete(moved, whole, out, now)
+    broken = counts.where("mismatch").select(
+        *K.KEY,
+        F.lit("CountMismatch").alias("last_error_type"),
+        F.format_string("%d rows declared, %d processed", "records_count", "actual_count").alias("last_error_message"),
     )
-    metrics = A.partition_metrics(outcomes, ["partition_id"], F.col("ok"), F.col("called"))
-    writers.write_json(metrics.withColumn("run_id", F.lit(run_id)), f"{out}/metrics")
-    return EnrichResult(enriched=enriched, errors=errors, metrics=metrics)
+    return WorkResult(write_through(K.fail(moved, broken, now), "control"), metrics, counts)
 
 
 @dataclass
@@ -223,15 +336,12 @@ def bronze(
     ingested_at: Column | None = None,
 ) -> BronzeResult:
     """Models into the bronze table by emission range, with its run checks."""
-    # The write itself reports which ranges it met: one id per range, and a repeated
-    # task adds nothing to a set. So the models are read once. The report is taken
-    # after the shuffle, where it stays in the plan even when there are no rows.
-    met = Observation("ranges_met")
+    # Which ranges were met is read from the written directories, so the models are read once.
     keys = ("run_id", "shard_id")
     hits = W.bronze_rows(J.in_ranges(models, ranges, emission), run_id, ingested_at=ingested_at)
-    seen = F.collect_set("shard_id").alias("shard_ids")
-    writers.append_json(writers.gathered(hits, *keys).observe(met, seen), out, *keys)
-    idle = ranges.where(~F.col("shard_id").isin(met.get["shard_ids"]))
+    writers.append_json(writers.gathered(hits, *keys), out, *keys)
+    met = _present(spark, out, BRONZE_SCHEMA).where(F.col("run_id") == run_id).select("shard_id").distinct()
+    idle = write_through(ranges.join(met, "shard_id", "left_anti"), "idle_ranges")
     blank = F.lit(None).cast("string")
     idle = idle.withColumns({"model_id": blank, "payload_json": blank})
     writers.append_json(W.bronze_rows(idle, run_id, ingested_at=ingested_at), out, *keys)

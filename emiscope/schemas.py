@@ -90,6 +90,19 @@ CHUNK_SCHEMA = (
     "emission_min DOUBLE, emission_max DOUBLE, status STRING"
 )
 
+# One row per work partition, from preparation to its end.
+CONTROL_SCHEMA = (
+    "PK STRING, SK STRING, entity_type STRING, run_id STRING, partition_id STRING, status STRING, "
+    "input_path STRING, records_count BIGINT, thread_count INT, emission_min DOUBLE, emission_max DOUBLE, "
+    "output_prefix STRING, results_path STRING, errors_path STRING, metrics_path STRING, "
+    "success_marker_path STRING, partition_call_budget BIGINT, estimated_calls BIGINT, "
+    "global_rate_limit INT, window_seconds INT, calls_per_model INT, attempts BIGINT, started_at STRING, "
+    "completed_at STRING, job_name STRING, job_run_id STRING, input_count BIGINT, processed_count BIGINT, "
+    "success_count BIGINT, failed_count BIGINT, skipped_count BIGINT, api_calls_count BIGINT, "
+    "batches_written BIGINT, last_batch_path STRING, last_error_type STRING, last_error_message STRING, "
+    "created_at STRING, updated_at STRING"
+)
+
 METRIC_COUNTS = (
     "input_count",
     "processed_count",
@@ -98,3 +111,6 @@ METRIC_COUNTS = (
     "api_calls_count",
     "batches_written",
 )
+METRICS_SCHEMA = (
+    "run_id STRING, partition_id STRING, " + ", ".join(f"{name} BIGINT" for name in METRIC_COUNTS) + ", last_batch_path STRING"
+)

@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emiscope.schemas import DISCOVERY_COLUMNS, DISCOVERY_SCHEMA
+from emiscope.sources.writers import CSV_CELLS
+
 REQUIRED_CSV_COLUMNS = ("model_id", "co2_eq_emissions")
 
 
@@ -15,14 +18,15 @@ def read_header_csv(
     spark: SparkSession,
     path: str,
     required: Iterable[str] = REQUIRED_CSV_COLUMNS,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Header CSV with doubled quotes, all columns text; missing columns are an error.
 
     The header is checked against every file. ``multi_line`` allows line ends in
-    quoted cells at the price of one task per file.
+    quoted cells at the price of one task per file; exports bound their files. Outer
+    blanks are kept.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.options(**CSV_CELLS).option("multiLine", multi_line)
     header = reader.csv(path).columns
     if not header:
         raise ValueError(f"CSV has no header: {path}")
@@ -35,7 +39,7 @@ def read_header_csv(
 
 def read_csv_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All CSV parts below ``path`` with their file, which sorts in part order."""
-    reader = spark.read.option("header", True).option("escape", '"').schema(schema)
+    reader = spark.read.options(**CSV_CELLS).option("multiLine", True).schema(schema)
     return reader.csv(path).select("*", F.col("_metadata.file_path").alias("part_file"))
 
 
@@ -58,23 +62,32 @@ def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame | No
         raise
 
 
+def read_discovery(spark: SparkSession, path: str, form: str) -> DataFrame:
+    """Discovery rows as a job published them (``parquet``), or from a header CSV (``csv``)."""
+    return read_header_csv(spark, path) if form == "csv" else spark.read.schema(DISCOVERY_SCHEMA).parquet(path)
+
+
+def read_chunks(spark: SparkSession, items: DataFrame) -> DataFrame:
+    """The rows behind control items (``run_id, partition_id, input_path``), each with its item's key.
+
+    Chunks of one run share a folder; its directories are pruned to the items' ids.
+    """
+    base = F.regexp_replace("input_path", "/partition_id=[^/]*/?$", "")
+    keyed = items.select("run_id", "partition_id", base.alias("_base"))
+    found = None
+    for row in keyed.select("_base").distinct().toLocalIterator():  # one row per run
+        rows = spark.read.schema(f"{DISCOVERY_SCHEMA}, partition_id STRING").parquet(row["_base"])
+        mine = keyed.where(F.col("_base") == row["_base"]).select("run_id", "partition_id").distinct()
+        rows = rows.join(mine, "partition_id").select("run_id", "partition_id", *DISCOVERY_COLUMNS)
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        raise ValueError("no control items to read")
+    return found
+
+
 def read_manifest(spark: SparkSession, path: str, header_schema: str, chunk_schema: str) -> DataFrame:
-    """One row per chunk with the run header, whichever way the manifest was written."""
-    listed = f"{header_schema}, partitions ARRAY<STRUCT<{_as_struct(chunk_schema)}>>"
-    document = spark.read.schema(listed).json(f"{path}/manifest")
-    header = [c for c in document.columns if c != "partitions"]
-    try:
-        chunks = spark.read.schema(f"run_id STRING, {chunk_schema}").json(f"{path}/partitions")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = document.select(*header, F.explode("partitions").alias("_c"))
-        fields = [part.split()[0] for part in chunk_schema.split(", ")]
-        return rows.select(*header, *[F.col(f"_c.{f}") for f in fields if f not in header])
-    # The header is one row by construction. Its own names win over a chunk's.
-    own = [c for c in chunks.columns if c == "run_id" or c not in header]
-    return chunks.select(*own).join(F.broadcast(document.select(*header)), "run_id")
-
-
-def _as_struct(schema: str) -> str:
-    return ", ".join(": ".join(part.split(" ", 1)) for part in schema.split(", "))
+    """One row per chunk with the run header. The header's names win over a chunk's."""
+    header = spark.read.schema(header_schema).json(f"{path}/manifest")
+    chunks = spark.read.schema(f"run_id STRING, {chunk_schema}").json(f"{path}/partitions")
+    own = [c for c in chunks.columns if c == "run_id" or c not in header.columns]
+    return chunks.select(*own).join(F.broadcast(header), "run_id")  # the header is one row per run

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emiscope.schemas import DISCOVERY_COLUMNS
 
-# Above this many rows an export keeps several files instead of passing one task.
-SINGLE_FILE_ROWS = 1_000_000
-# Above this many chunks the manifest refers to a descriptor table.
-EMBEDDED_CHUNKS = 10_000
+# Cells keep outer blanks and line ends, and empty text stays apart from NULL.
+CSV_CELLS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# Bounds CSV files, as a file whose cells hold line ends is read by one task.
+CSV_FILE_ROWS = 200_000
 
 
 def gathered(df: DataFrame, *keys: str) -> DataFrame:
@@ -26,12 +32,14 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Semicolon CSV with header and doubled quotes: one file while the rows allow it."""
-    small = df.count() <= single_file_rows
-    out = df.coalesce(1) if small else df
-    writer = out.write.mode("overwrite").option("header", True).option("sep", ";")
-    writer.option("quote", '"').option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Semicolon CSV with header and doubled quotes.
+
+    ``single_file`` sends all rows through one task; only the caller knows that they fit.
+    """
+    out = df.coalesce(1) if single_file else df
+    writer = out.write.mode("overwrite").options(**CSV_CELLS).option("sep", ";")
+    (writer if single_file else writer.option("maxRecordsPerFile", CSV_FILE_ROWS)).csv(path)
 
 
 def write_snapshot(df: DataFrame, path: str, full_refresh: bool) -> None:
@@ -52,31 +60,48 @@ def write_batches(
     """JSON lines per key, each row with the number of its ``batch``.
 
     The number is a column, so that files may hold many small batches.
-    ``rows_per_file`` bounds the files as well.
+    ``rows_per_file`` bounds the files as well. Only the directories that get rows
+    are replaced, so other runs and partitions stay.
     """
-    writer = gathered(numbered, *keys).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = gathered(numbered, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.partitionBy(*keys).json(path)
 
 
+def drop_directories(spark: SparkSession, keys: DataFrame, path: str) -> None:
+    """Remove ``<column>=<value>/...`` below ``path`` for each row of ``keys``: one per work partition."""
+    jvm = spark.sparkContext._jvm
+    for row in keys.toLocalIterator():
+        place = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{c}={row[c]}" for c in keys.columns)]))
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def write_parts(df: DataFrame, path: str, part: str = "part_number") -> None:
+    """Typed rows in part order: files hold whole runs of parts."""
+    df.repartitionByRange(F.col(part)).sortWithinPartitions(part).write.mode("overwrite").parquet(path)
+
+
 def write_csv_parts(
     df: DataFrame, path: str, part: str = "part_number", directory_per_part: bool = False
 ) -> None:
     """Header CSV in part order: files hold whole runs of parts, or one directory each."""
     writer = df.repartitionByRange(F.col(part)).sortWithinPartitions(part).write.mode("overwrite")
-    writer = writer.option("header", True).option("escape", '"')
+    writer = writer.options(**CSV_CELLS).option("maxRecordsPerFile", CSV_FILE_ROWS)
     if directory_per_part:
         writer = writer.option("partitionOverwriteMode", "static").partitionBy(part)
     writer.csv(path)
 
 
 def publish(df: DataFrame, snapshot_path: str, latest_path: str) -> None:
-    """The same rows under the snapshot and under ``latest``; computed once."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(snapshot_path)
-    stored = df.sparkSession.read.schema(df.schema).option("header", True).option("escape", '"')
-    writer = stored.csv(snapshot_path).write.mode("overwrite")
-    writer.option("header", True).option("escape", '"').csv(latest_path)
+    """The same typed rows under the snapshot and under ``latest``; computed once."""
+    df.write.mode("overwrite").parquet(snapshot_path)
+    df.sparkSession.read.schema(df.schema).parquet(snapshot_path).write.mode("overwrite").parquet(latest_path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header CSV as an export; cells keep blanks and line ends."""
+    df.write.mode("overwrite").options(**CSV_CELLS).option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -87,26 +112,22 @@ def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").partitionBy("event").json(path)
 
 
-def write_chunks(chunked: DataFrame, path: str, partition_id: str = "partition_id") -> None:
-    """One CSV directory per chunk with the fixed column list; other columns are left out."""
-    rows = chunked.select(partition_id, *DISCOVERY_COLUMNS)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.option("header", True).option("escape", '"').partitionBy(partition_id).csv(path)
+def write_chunks(chunked: DataFrame, path: str, partition_id: str = "partition_id", form: str = "parquet") -> None:
+    """One directory per chunk with the fixed column list; other columns are left out.
 
+    Jobs hand chunks on as Parquet; ``form`` may be ``csv`` for an export.
+    """
+    rows = gathered(chunked.select(partition_id, *DISCOVERY_COLUMNS), partition_id)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_id)
+    if form == "csv":
+        writer = writer.options(**CSV_CELLS).option("maxRecordsPerFile", CSV_FILE_ROWS)
+    writer.format(form).save(path)
 
-def write_manifest(
-    chunks: DataFrame, header: dict[str, Column], path: str, embed_limit: int = EMBEDDED_CHUNKS
-) -> None:
-    """Run header and chunk descriptors: one document while the chunks are few.
 
-    ``header`` holds constants and aggregates over the chunks, ``run_id`` among
-    them. A longer list is written as a table next to the header, so that no task
-    ever holds it whole.
+def write_manifest(chunks: DataFrame, header: dict[str, Column], path: str) -> None:
+    """Run header as one document, chunk descriptors as a table beside it.
+
+    ``header`` holds constants and aggregates over the chunks, ``run_id`` among them.
     """
-    columns = [value.alias(name) for name, value in header.items()]
-    if chunks.count() <= embed_limit:
-        listed = F.array_sort(F.collect_list(F.struct(*chunks.columns))).alias("partitions")
-        write_json(chunks.agg(*columns, listed), f"{path}/manifest")
-        return
-    write_json(chunks.agg(*columns), f"{path}/manifest")
+    write_json(chunks.agg(*[value.alias(name) for name, value in header.items()]), f"{path}/manifest")
     write_json(chunks.withColumn("run_id", header["run_id"]), f"{path}/partitions")

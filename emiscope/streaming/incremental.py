@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from emiscope.operators.ranking import last_write_wins
 from emiscope.schemas import BUDGET_WINDOW_SECONDS
+from emiscope.session import write_through
+from emiscope.sources.writers import drop_directories
 
 
 def page_stream(
@@ -69,28 +71,46 @@ def current_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     return last_write_wins(revisions, keys, ["part_number"]).drop("part_number")
 
 
+def compact(spark: SparkSession, out: str, keys: list[str]) -> None:
+    """Fold the revisions of a ``track_latest`` table before the newest part into one per key.
+
+    The folded rows become a part of their own, numbered below all others; then the parts it
+    holds go, lowest first. At every moment the newest revision of each key is there, and a
+    batch that is replayed writes its own part only. Not for two callers at a time.
+    """
+    stored = spark.read.parquet(out)
+    ends = stored.agg(F.max("part_number").alias("top"), F.min("part_number").alias("low")).first()
+    if ends["top"] is None:
+        return
+    older = stored.where(F.col("part_number") < ends["top"])
+    numbers = write_through(older.select("part_number").distinct().orderBy("part_number"), "folded_parts")
+    place = f"{out}/part_number={min(ends['low'], 0) - 1}"
+    last_write_wins(older, keys, ["part_number"]).drop("part_number").write.parquet(place)
+    drop_directories(spark, numbers.orderBy("part_number"), out)
+
+
 def track_call_windows(
-    calls: DataFrame,
-    ts: str,
-    out: str,
-    checkpoint: str,
-    seconds: int = BUDGET_WINDOW_SECONDS,
-    late_by: str = "1 hour",
+    calls: DataFrame, ts: str, out: str, checkpoint: str, seconds: int = BUDGET_WINDOW_SECONDS
 ) -> None:
-    """Calls per clock-aligned window; rows later than ``late_by`` are left out."""
-    counted = (
-        calls.withWatermark(ts, late_by)
-        .groupBy(F.window(ts, f"{seconds} seconds").alias("_w"))
-        .agg(F.count(F.lit(1)).alias("calls"))
-    )
+    """Calls per clock-aligned window, as counts of each micro-batch.
 
-    def shape(df: DataFrame) -> DataFrame:
-        return df.select(F.col("_w.start").alias("window_start"), "calls")
+    The counts add up (``call_windows``), so a late call counts in its own window however
+    late it is, and no state is kept between batches.
+    """
 
-    writer = counted.writeStream.outputMode("update").foreachBatch(_batch_writer(out, shape))
+    def shape(batch: DataFrame) -> DataFrame:
+        windows = batch.where(F.col(ts).isNotNull()).groupBy(F.window(ts, f"{seconds} seconds").alias("_w"))
+        return windows.agg(F.count(F.lit(1)).alias("calls")).select(F.col("_w.start").alias("window_start"), "calls")
+
+    writer = calls.writeStream.foreachBatch(_batch_writer(out, shape))
     _finish(writer.option("checkpointLocation", checkpoint))
 
 
+def call_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The table that ``track_call_windows`` keeps: calls of each window over all batches."""
+    return spark.read.parquet(out).groupBy("window_start").agg(F.sum("calls").alias("calls"))
+
+
 def over_budget(windows: DataFrame, budget: int) -> DataFrame:
     excess: Column = F.greatest(F.col("calls") - budget, F.lit(0).cast("bigint"))
     return windows.withColumns({"over_budget": F.col("calls") > budget, "excess_calls": excess})

@@ -157,8 +157,11 @@ def test_lookup_keeps_every_row(spark):
     payloads = spark.createDataFrame([("a", "{}"), ("b", "{}"), ("c", None)], "model_id STRING, payload_json STRING")
     look = J.lookup_payloads(rows, payloads)
     assert (look.found.count(), look.missing_payload.count(), look.missing_id.count()) == (3, 1, 2)
-    flags = J.flag_payloads(rows, payloads).groupBy("error_type").count().collect()
-    assert {r[0]: r[1] for r in flags} == {None: 3, "LookupError": 1, "ValueError": 2}
+    odd = spark.createDataFrame([("d", "<html>"), ("e", "[{}]"), ("a", "{"), ("f", "{}"), ("f", "{}")], payloads.schema)
+    rows = rows.unionByName(spark.createDataFrame([("d",), ("e",), ("f",)], "model_id STRING"))
+    flags = J.attach_payloads(rows, payloads.unionByName(odd)).groupBy("error_type", "called").count().collect()
+    got = {tuple(r)[:2]: r[2] for r in flags}
+    assert got == {(None, True): 4, ("LookupError", True): 1, ("InvalidPayload", True): 2, ("ValueError", False): 2}
 
 
 def test_reconcile(spark):
@@ -200,13 +203,13 @@ def test_settings_guard(change):
 
 
 def test_claim_touches_only_claimable(spark):
-    columns = "partition_id STRING, status STRING, attempts BIGINT, started_at STRING, job_name STRING, updated_at STRING"
+    columns = "run_id STRING, partition_id STRING, status STRING, attempts BIGINT, started_at STRING, job_name STRING, updated_at STRING"
     control = spark.createDataFrame(
-        [("a", "PENDING", 0, None, None, "t0"), ("b", "FAILED", 2, "t0", "x", "t0"), ("c", "RUNNING", 1, "t0", "x", "t0"), ("d", "PENDING", 0, None, None, "t0")],
+        [("r", "a", "PENDING", 0, None, None, "t0"), ("r", "b", "FAILED", 2, "t0", "x", "t0"), ("r", "c", "RUNNING", 1, "t0", "x", "t0"), ("r", "d", "PENDING", 0, None, None, "t0")],
         columns,
     )
     wanted = control.where("partition_id <> 'd'")
-    got = {r["partition_id"]: tuple(r)[1:] for r in K.claim(control, wanted, "j", F.lit("t1")).collect()}
+    got = {r["partition_id"]: tuple(r)[2:] for r in K.claim(control, wanted, "j", F.lit("t1")).collect()}
     assert got["a"] == ("RUNNING", 1, "t1", "j", "t1")
     assert got["b"] == ("RUNNING", 3, "t0", "j", "t1")
     assert got["c"] == ("RUNNING", 1, "t0", "x", "t0") and got["d"][0] == "PENDING"

@@ -76,3 +76,17 @@ def test_no_query_numbers_rows_in_one_task(spark, sf):
         text = plan(QUERIES[name](spark, sf))
         for line in text.splitlines():
             assert "row_number()" not in line
+
+
+def test_stored_values_are_filtered_in_the_scan(spark, sf):
+    facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    text = plan(J.in_ranges(facts, J.emission_ranges(spark), "o_totalprice", stored=True))
+    assert re.search(r"PushedFilters: \[IsNotNull\(o_totalprice\), GreaterThanOrEqual\(o_totalprice", text)
+
+
+def test_payload_column_is_scanned_once(spark, sf):
+    stored = fresh_path(spark, "payloads")
+    relation(spark, sf, "payloads").select("model_id", "payload_json").write.parquet(stored)
+    rows = spark.createDataFrame([("a",), (None,)], "model_id STRING")
+    text = plan(J.attach_payloads(rows, spark.read.parquet(stored)))
+    assert len(re.findall(r"ReadSchema: struct<[^>]*payload_json", text)) == 1
