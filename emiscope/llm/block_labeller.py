@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
 from emiscope.llm.html_blocks import Leaf, leaves
-from emiscope.llm.tables import bounded_sample, rows_of
+from emiscope.llm.tables import bounded_sample, map_pieces, rows_of
 
 #: Bound of the training pages.
 SAMPLE = 240
@@ -234,13 +234,13 @@ def _varied(page: list[Leaf], others: list[Leaf], random: np.random.Generator) -
         return out, np.array([np.nan if y is None else y for y in labels], float)
     name = ("article",) if kind == 1 else (("main",) if kind == 2 else ("div", f".{random.choice(MAIN_WORDS)}"))
     top = [p for leaf, y in zip(page, labels) if y == 1 for p in [leaf.path[: next(k for k, x in enumerate(leaf.path) if x in MAIN)]]]
-    inserts = set(random.choice(len(page) + 1, size=min(3, len(page) + 1), replace=False).tolist()) if others else set()
+    inserts = set(random.choice(len(page) + 1, size=min(5, len(page) + 1), replace=False).tolist()) if others else set()
     ys: list[float] = []
     for k in range(len(page) + 1):
         if k in inserts:
             what = "header" if random.integers(8) == 0 else str(random.choice(sorted(ASIDE)))
             own = (what,) if what[0] != "." else (str(random.choice(["div", "section", "ul", "aside"])), what)
-            inner = top and what != "header" and random.integers(2)
+            inner = top and what != "header" and random.integers(3)
             around = (top[0] + name) if inner else (top[0] if top else ("html", "body"))
             for _ in range(int(random.integers(1, 4))):
                 source = others[int(random.integers(len(others)))]
@@ -257,7 +257,7 @@ def _varied(page: list[Leaf], others: list[Leaf], random: np.random.Generator) -
     return out, np.array(ys)
 
 
-def train(htmls: list[str], seed: int = 7) -> Labeller:
+def train(htmls: list[str], seed: int = 9) -> Labeller:
     """The network after ``STEPS`` batches of differently varied pages, by gradient descent with running scales."""
     model = Labeller()
     random = np.random.default_rng(seed)
@@ -313,4 +313,4 @@ def extract(pages: DataFrame, model: Labeller) -> DataFrame:
             ).astype({"page_id": "Int64"})
 
     source = pages.select(F.col("page_id").cast("long"), "url", "html")
-    return source.mapInPandas(run, "page_id long, url string, text string, n_blocks int, n_kept int")
+    return map_pieces(source, run, "page_id long, url string, text string, n_blocks int, n_kept int")

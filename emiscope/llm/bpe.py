@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emiscope.llm.tables import rows_of
+from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.llm.textbytes import batches
 
 CACHE_ENTRIES = 300_000
@@ -268,7 +268,7 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
 
     source = docs.select(F.col(id_column).alias("key"), F.col(text_column).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInPandas(run, f"`{id_column}` {kind}, ids binary, decoded string")
+    return map_pieces(source, run, f"`{id_column}` {kind}, ids binary, decoded string")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

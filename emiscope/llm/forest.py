@@ -8,8 +8,7 @@ merged, so a pair is missed only if every tree parts it.
 The upper splits of a tree are fitted on a bounded sample of each label and applied to every
 class, which deals the classes out over tasks. Where more classes meet than a leaf takes, the
 task goes on splitting on the classes themselves. A group of vectors that are all within the
-threshold cannot be told apart, so its links are as many as its pairs; a leaf bounds what is
-compared at once, not what is found.
+threshold stays in one leaf, however large: its pairs are all links.
 
 Vectors that ``vectors.usable`` leaves out and rows without a label link with nothing. Of rows
 with a repeated id the one with the smallest label and vector counts. Vectors of unequal length
@@ -30,15 +29,16 @@ from emiscope.llm.components import components
 from emiscope.session import write_through
 
 LEAST_COSINE = 0.98
-TREES = 14
-LEAF = 128
+TREES = 10
+LEAF = 1024
 #: A class within this share of a node, on either side of the median, goes to both children.
 SPILL = 0.06
 #: Bound of the classes of each label that the upper splits are fitted on.
 SAMPLE = 4096
 #: Sampled classes that an upper leaf holds at least.
-SAMPLED_LEAF = 256
+SAMPLED_LEAF = 512
 SEED = 20_011
+SPLIT = np.dtype([("tree", "<i4"), ("node", "<i8"), ("low", "<f8"), ("middle", "<f8"), ("high", "<f8")])
 
 
 def _direction(tree: int, label: int, node: int, size: int) -> np.ndarray:
@@ -87,12 +87,19 @@ def _descend(unit: np.ndarray, tree: int, label: int, splits: dict) -> Iterator[
         waiting += [(2 * node, members[left]), (2 * node + 1, members[right])]
 
 
-def _leaves(unit: np.ndarray, tree: int, label: int, node: int) -> Iterator[np.ndarray]:
-    """Lower leaves of at most ``LEAF`` rows, but for rows that no split parts."""
+def _tight(unit: np.ndarray, least: float) -> bool:
+    """Whether all rows are so near their mean that each two of them link."""
+    mean = unit.mean(axis=0)
+    half = np.cos(np.arccos(least) / 2)
+    return bool((unit @ mean >= half * np.linalg.norm(mean)).all())
+
+
+def _leaves(unit: np.ndarray, tree: int, label: int, node: int, least: float) -> Iterator[np.ndarray]:
+    """Lower leaves of at most ``LEAF`` rows, but for rows that no split parts or that all link."""
     waiting = [(node, np.arange(len(unit)), 0)]
     while waiting:
         node, members, tried = waiting.pop()
-        if len(members) <= LEAF or tried == 3:
+        if len(members) <= LEAF or tried == 3 or _tight(unit[members], least):
             yield members
             continue
         projected = unit[members] @ _direction(tree, label, node, unit.shape[1])
@@ -116,15 +123,15 @@ def _pairs(least: float, kind: str):
         order = np.argsort(frame["class_id"].to_numpy())
         frame = frame.iloc[order]
         ids, unit = frame["class_id"].to_numpy(), _unit(frame, kind)
-        found: set[tuple[int, int]] = set()
-        for members in _leaves(unit, int(tree), int(label), int(node)):
-            for start in range(0, len(members), 1024):
-                rows = members[start : start + 1024]
+        codes = [np.zeros(0, np.int64)]
+        for members in _leaves(unit, int(tree), int(label), int(node), least):
+            for start in range(0, len(members), 256):
+                rows = members[start : start + 256]
                 a, b = np.nonzero(unit[rows] @ unit[members].T >= least)
                 later = rows[a] < members[b]
-                found.update(zip(rows[a][later].tolist(), members[b][later].tolist()))
-        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
+                codes.append(rows[a[later]] * len(ids) + members[b[later]])
+        pairs = np.unique(np.concatenate(codes))
+        return pd.DataFrame({"a": ids[pairs // len(ids)], "b": ids[pairs % len(ids)]})
 
     return compare
 
@@ -147,27 +154,23 @@ def link_vectors(embeddings: DataFrame, least: float = LEAST_COSINE, trees: int
     def fitted(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         label, size = (int(k) for k in key)
         unit = _unit(frame, kind)
-        made = [(label, size, t, n, *s) for t in range(trees) for n, s in fit_upper(unit, t, label).items()]
-        return pd.DataFrame(made, columns=["label", "size", "tree", "node", "low", "middle", "high"])
+        made = [(t, n, *s) for t in range(trees) for n, s in fit_upper(unit, t, label).items()]
+        return pd.DataFrame({"label": [label], "size": [size], "splits": [np.array(made, SPLIT).tobytes()]})
 
     # A hash threshold bounds each label's sample to about SAMPLE rows before any group is gathered.
     sizes = groups.groupBy("label", "size").agg(F.count("*").alias("n"))
     marked = groups.join(F.broadcast(sizes) if sizes.count() < 100_000 else sizes, ["label", "size"])
     sample = marked.where(F.pmod(F.xxhash64("class_id"), F.lit(1 << 40)) < F.lit(float(SAMPLE) * (1 << 40)) / F.col("n"))
-    splits = sample.groupBy("label", "size").applyInPandas(
-        fitted, "label long, size long, tree int, node long, low double, middle double, high double"
-    )
-    splits = write_through(splits, "splits")
-    upper = splits.groupBy("label", "size").agg(F.collect_list(F.struct("tree", "node", "low", "middle", "high")).alias("splits"))
+    upper = sample.groupBy("label", "size").applyInPandas(fitted, "label long, size long, splits binary")
+    upper = write_through(upper, "splits")
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for (label, size), group in frame.groupby(["label", "size"]):
                 unit = _unit(group, kind)
-                given = group["splits"].iloc[0]
                 by_tree: dict[int, dict] = {}
-                for s in given if given is not None else []:
-                    by_tree.setdefault(s["tree"], {})[s["node"]] = (s["low"], s["middle"], s["high"])
+                for tree, node, *bounds in np.frombuffer(group["splits"].iloc[0] or b"", SPLIT).tolist():
+                    by_tree.setdefault(tree, {})[node] = tuple(bounds)
                 for tree in range(trees):
                     for node, members in _descend(unit, tree, int(label), by_tree.get(tree, {})):
                         part = group.iloc[members]

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
-from emiscope.llm.tables import rows_of
+from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.session import write_through
 
 BUCKET_BITS = 15
@@ -86,7 +86,7 @@ def _summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
 def fit(docs: DataFrame) -> Model:
     """Trigram likelihoods from ``text`` and ``lang`` of all documents that have both."""
     known = docs.select("text", F.lower(F.trim("lang")).alias("lang")).where("text is not null and lang <> ''")
-    made = known.mapInPandas(_trigram_counts, "lang string, block int, counts binary")
+    made = map_pieces(known, _trigram_counts, "lang string, block int, counts binary")
     summed = made.groupBy("lang", "block").applyInPandas(_summed, made.schema)
     tables: dict[str, np.ndarray] = {}
     for row in summed.toLocalIterator():  # a fixed number of rows per language
@@ -136,7 +136,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
         "key", "text", F.lower(F.substring_index(F.trim("declared"), "-", 1)).alias("declared"), F.lower(F.trim("host")).alias("host")
     )
     schema = f"key {kind}, declared string, host string, likelihood array<double>, letters long"
-    read_rows = source.mapInPandas(read, schema).select(
+    read_rows = map_pieces(source, read, schema).select(
         "key",
         F.when(F.col("declared") != "", F.col("declared")).alias("declared"),
         F.when(F.col("host") != "", F.col("host")).alias("host"),

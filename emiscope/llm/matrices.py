@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.llm.packing import END, WINDOW
-from emiscope.llm.tables import rows_of
+from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.llm.textbytes import batches
 from emiscope.llm.token_ids import token_ids
 
@@ -118,8 +118,8 @@ def packed_matrices(docs: DataFrame, path: str, window: int = WINDOW, block_ids:
         if segments:
             yield _block(segments, window, first)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        run, "sequence_id long, doc_ids array<long>, starts array<long>, ids binary, cu_seqlens array<int>, positions binary"
+    return map_pieces(
+        docs.select(F.col("doc_id").cast("long"), "text"), run, "sequence_id long, doc_ids array<long>, starts array<long>, ids binary, cu_seqlens array<int>, positions binary"
     )
 
 

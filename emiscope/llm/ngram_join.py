@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
 from emiscope.llm.components import components
-from emiscope.llm.tables import rows_of
+from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.session import write_through
 
 WIDTH = 5
@@ -178,12 +178,12 @@ def _joined(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) that link. Texts are read again, for documents in pairs only."""
     pairs = write_through(pairs.distinct(), "candidates")
-    pairs = _joined(pairs, member, "ranges").mapInPandas(_may_overlap(percent), "a long, b long")
+    pairs = map_pieces(_joined(pairs, member, "ranges"), _may_overlap(percent), "a long, b long")
     pairs = write_through(pairs, "likely_pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInPandas(_full_sets, "doc_id long, set binary")
+    sets = map_pieces(docs.join(ids, "doc_id", "left_semi"), _full_sets, "doc_id long, set binary")
     sets = write_through(sets, "shingle_sets")
-    return write_through(_joined(pairs, sets, "set").mapInPandas(_similar(percent), "a long, b long"), "links")
+    return write_through(map_pieces(_joined(pairs, sets, "set"), _similar(percent), "a long, b long"), "links")
 
 
 def _within(n_a: Column, n_b: Column, percent: int) -> Column:
@@ -195,7 +195,8 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     made = write_through(
-        docs.mapInPandas(_summaries, "doc_id long, n long, digest binary, ranges binary, block int, counts binary"), "shingle_counts"
+        map_pieces(docs, _summaries, "doc_id long, n long, digest binary, ranges binary, block int, counts binary"),
+        "shingle_counts",
     )
     sized = made.where("block is null").groupBy("doc_id").agg(F.min_by(F.struct("n", "digest", "ranges"), F.col("digest")).alias("s"))
     sized = write_through(sized.select("doc_id", "s.*"), "sizes")
@@ -205,7 +206,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "classes",
     )
     levels = spark.sparkContext.broadcast(_levels(made.where("block is not null").select("block", "counts")))
-    postings = docs.mapInPandas(_postings(levels, percent), "h long, doc_id long, n int, at int")
+    postings = map_pieces(docs, _postings(levels, percent), "h long, doc_id long, n int, at int")
 
     met = write_through(postings.groupBy("h").count().where("count > 1").select("h"), "met_again")
     shared = write_through(postings.join(met, "h", "left_semi"), "postings")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emiscope.llm.tables import rows_of
+from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.llm.textbytes import batches
 from emiscope.llm.token_ids import token_ids
 from emiscope.session import write_through
@@ -120,7 +120,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, open_window
     ``ids`` are little-endian unsigned 32-bit. ``sequence_id`` is unique, not dense.
     """
     source = docs.select(F.col("doc_id").cast("long"), "text")
-    pieces = write_through(source.mapInPandas(_first_round(path, window, open_windows), SCHEMA), "pieces")
+    pieces = write_through(map_pieces(source, _first_round(path, window, open_windows), SCHEMA), "pieces")
     done = [pieces.where("sequence_id is not null")]
     left = pieces.where("sequence_id is null")
     step = 1

@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
-from emiscope.llm.tables import bounded_sample, fold_of, labelled, rows_of
+from emiscope.llm.tables import PIECE_ROWS, bounded_sample, fold_of, labelled, map_pieces, rows_of
 
 BUCKET_BITS = 16
 WIDTH = 8
@@ -137,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     each = [bounded_sample(known.where(F.col("label") == y), "doc_id", SAMPLE) for y in (0, 1)]
     sample = F.broadcast(each[0].unionByName(each[1]))
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id")
-    made = texts.mapInPandas(_counts, "doc_id long, label int, buckets binary, counts binary").toPandas()
+    made = map_pieces(texts, _counts, "doc_id long, label int, buckets binary, counts binary").toPandas()
     made = made.sort_values(["doc_id", "buckets"])
     rows = [
         (int(label), np.frombuffer(b, np.uint16).astype(np.int64), np.frombuffer(c, np.float32))
@@ -170,19 +171,18 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             ).astype({"doc_id": "Int64"})
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
-    return source.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_pieces(source, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``THRESHOLD``, all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(k, (t or "").encode()) for k, t in enumerate(frame["text"])]
-            keep = np.zeros(len(rows), bool)
-            for group in textbytes.batches(rows, 1):
-                keep[[k for k, _ in group]] = shared.value.scores([t for _, t in group]) >= THRESHOLD
-            yield frame[keep]
-
-    return docs.mapInPandas(run, docs.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(at, PIECE_ROWS)
+                texts = [(t or "").encode() for t in piece.column("text").to_pylist()]
+                yield piece.filter(pa.array(shared.value.scores(texts) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

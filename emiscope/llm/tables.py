@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+#: Rows of a piece that a task holds as Python values.
+PIECE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +49,29 @@ def labelled(labels: DataFrame, column: str, folds: int, held_out: int) -> DataF
     return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
 
 
+def map_pieces(
+    rows: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType
+) -> DataFrame:
+    """Like ``mapInPandas``, in pieces of few rows.
+
+    Spark's batches hold many thousand rows; with whole texts in them, a task would hold
+    them all as Python values. Here it holds a piece's.
+    """
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    layout = to_arrow_schema(kind)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                yield batch.slice(at, PIECE_ROWS).to_pandas()
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in run(pieces(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema=layout, preserve_index=False)
+
+    return rows.mapInArrow(mapped, kind)
+
+
 def rows_of(frames: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
     """Rows as tuples, one Arrow batch at a time."""
     for frame in frames:

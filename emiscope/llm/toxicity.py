@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
-from emiscope.llm.tables import bounded_sample, fold_of, labelled, rows_of
+from emiscope.llm.tables import bounded_sample, fold_of, labelled, map_pieces, rows_of
 from emiscope.session import write_through
 
 #: Bound of the labelled sample that gives vocabulary and examples.
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     spread = a * (clean - b) - b * (toxic - a)
     chi = F.lit(float(n)) * spread * spread / (F.lit(float(max(toxic * clean, 1))) * F.col("held") * (n - F.col("held") + 1e-9))
     telling = (
-        known.mapInPandas(_label_counts, "term long, toxic long, held long")
+        map_pieces(known, _label_counts, "term long, toxic long, held long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("held").alias("held"))
         .where((F.col("toxic") >= LEAST_TOXIC) & (spread > 0))
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .toPandas()
     )
     vocabulary = Vocabulary(np.sort(telling["term"].to_numpy(np.int64).view(np.uint64)))
-    counted = texts.mapInPandas(_frequencies(spark.sparkContext.broadcast(vocabulary)), "term int, n long")
+    counted = map_pieces(texts, _frequencies(spark.sparkContext.broadcast(vocabulary)), "term int, n long")
     frequency = np.ones(len(vocabulary.terms))
     documents = 0
     for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row per term of the vocabulary
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 }
             )
 
-    made = known.mapInPandas(vectors, "doc_id long, label int, terms binary, weights binary").toPandas()
+    made = map_pieces(known, vectors, "doc_id long, label int, terms binary, weights binary").toPandas()
     made = made.sort_values(["terms", "doc_id", "weights"])  # alike examples share blocks
     without = made[made["terms"].str.len() == 0]
     made = made[made["terms"].str.len() > 0]
@@ -262,6 +262,6 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             yield frame.astype({"doc_id": "Int64"})
 
     source = docs.select(F.col("doc_id").cast("long"), "text")
-    return source.mapInPandas(
-        run, "doc_id long, held_out boolean, score double, predicted int, nearest array<long>, cosines array<double>"
+    return map_pieces(
+        source, run, "doc_id long, held_out boolean, score double, predicted int, nearest array<long>, cosines array<double>"
     )

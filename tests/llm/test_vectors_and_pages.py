@@ -54,7 +54,7 @@ def test_forest_against_all_pairs(spark):
 
 
 def test_forest_parts_more_rows_than_a_leaf(spark, monkeypatch):
-    monkeypatch.setattr(forest, "LEAF", 16)
+    monkeypatch.setattr(forest, "LEAF", 32)
     random = np.random.default_rng(3)
     unit = random.normal(0, 1, (900, 8))
     unit[450:] = unit[:450] + random.normal(0, 0.02, (450, 8))
@@ -62,11 +62,18 @@ def test_forest_parts_more_rows_than_a_leaf(spark, monkeypatch):
     near = set(zip(*np.nonzero(np.triu(unit @ unit.T >= 0.98, 1))))
     met = set()
     for tree in range(forest.TREES):
-        for leaf in forest._leaves(unit, tree, 0, 1):
+        for leaf in forest._leaves(unit, tree, 0, 1, 0.98):
             met.update((a, b) for a in leaf.tolist() for b in leaf.tolist() if a < b and (a, b) in near)
     assert len(met) >= 0.97 * len(near)
 
 
+def test_rows_that_all_link_stay_together(monkeypatch):
+    monkeypatch.setattr(forest, "LEAF", 16)
+    near = np.array([1.0] + [0.0] * 7) + np.random.default_rng(2).normal(0, 0.01, (200, 8))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    assert [len(leaf) for leaf in forest._leaves(near, 0, 0, 1, 0.98)] == [200]
+
+
 def test_forest_of_nothing_and_of_equals(spark):
     assert forest.link_vectors(embeddings(spark, [])).count() == 0
     same = forest.link_vectors(embeddings(spark, [(k, [1.0, 2.0], 1) for k in range(5)])).collect()
@@ -176,7 +183,7 @@ def test_extraction(spark):
 
 
 def test_markup_that_the_sample_lacks(spark):
-    model = block_labeller.train([page(k) for k in range(60)])
+    model = block_labeller.train([page(k) for k in range(60)], seed=9)
     other = (
         '<body><div class="menu">Home</div><main><h1>A title</h1><p>Real text of some length, as it is.</p><form><label>Your mail</label></form>'
         '<p>More of the text, and more.</p><div class="comments"><p>Nice one!</p></div></main><div class="cookie-notice">We use cookies.</div></body>'
