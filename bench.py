@@ -35,6 +35,10 @@ HEADLINE = (
     "availability_profile",
     "job_prepare",
     "job_gold",
+    "job_enrich",
+    "job_bronze",
+    "many_ranges_join",
+    "rate_window_audit",
 )
 
 

@@ -263,11 +263,11 @@ def resumable_runs(spark, sf):
     return K.resumable(rows)
 
 
-@query("guard_nonempty", "SELECT COUNT(*) AS valid_models, CAST(NULL AS INTEGER) AS guard FROM discovered", DISCOVERY_CTES)
+@query("guard_nonempty", "SELECT COUNT(*) AS valid_models FROM discovered", DISCOVERY_CTES)
 def guard_nonempty(spark, sf):
-    rows = discovered(spark, sf)
-    guard = F.assert_true(F.count(F.lit(1)) > 0, F.lit("no valid models in the source"))
-    return rows.agg(F.count(F.lit(1)).alias("valid_models"), guard.alias("guard")).select("valid_models", "guard")
+    rows = discovered(spark, sf).agg(F.count(F.lit(1)).alias("valid_models"))
+    guard = F.assert_true(F.col("valid_models") > 0, F.lit("no valid models in the source"))
+    return rows.select(F.when(guard.isNull(), F.col("valid_models")).alias("valid_models"))
 
 
 @query(
