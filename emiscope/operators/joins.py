@@ -36,6 +36,7 @@ class Lookup:
     found: DataFrame
     missing_id: DataFrame
     missing_payload: DataFrame
+    unreadable: DataFrame
 
 
 def split_missing_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -44,25 +45,6 @@ def split_missing_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(~blank), rows.where(blank)
 
 
-def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> Lookup:
-    """Each row with its payload by id.
-
-    Blank ids are split off first, so they never meet in one join task. Spark
-    broadcasts the payloads only when they are small, and splits a hot id. The
-    missing side comes from an anti join on ids, which moves no payload.
-    """
-    with_id, missing_id = split_missing_id(rows)
-    keyed = with_id.withColumn("_id", strip(F.col("model_id")))
-    table = payloads.where(F.col(json_column).isNotNull()).select(
-        F.col("model_id").alias("_id"), F.col(json_column)
-    )
-    return Lookup(
-        found=keyed.join(table, "_id").drop("_id"),
-        missing_id=missing_id,
-        missing_payload=keyed.join(table.select("_id"), "_id", "left_anti").drop("_id"),
-    )
-
-
 def attach_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> DataFrame:
     """Every row once with its payload, or with the error that keeps it from one.
 
@@ -98,6 +80,25 @@ def attach_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
     return checked.unionByName(blank)
 
 
+def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> Lookup:
+    """Each row with its payload by id, split by outcome.
+
+    The join is written once and then split, so payloads are read once.
+    """
+    attached = write_through(attach_payloads(rows, payloads, json_column), "lookup")
+    outcome = F.col("error_type")
+
+    def side(kind: str, *more: str) -> DataFrame:
+        return attached.where(outcome == kind).drop(json_column, "error_type", "error_message", "called", *more)
+
+    return Lookup(
+        found=attached.where(outcome.isNull()).drop("error_type", "error_message", "called"),
+        missing_id=side("ValueError"),
+        missing_payload=side("LookupError"),
+        unreadable=side("InvalidPayload"),
+    )
+
+
 def capture_errors(rows: DataFrame, json_column: str, shaped: dict[str, Column], document: str = "_doc") -> DataFrame:
     """Rows with ``status`` and ``error`` beside the columns shaped from their JSON text.
 

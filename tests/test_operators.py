@@ -157,6 +157,7 @@ def test_lookup_keeps_every_row(spark):
     payloads = spark.createDataFrame([("a", "{}"), ("b", "{}"), ("c", None)], "model_id STRING, payload_json STRING")
     look = J.lookup_payloads(rows, payloads)
     assert (look.found.count(), look.missing_payload.count(), look.missing_id.count()) == (3, 1, 2)
+    assert look.unreadable.count() == 0 and look.missing_payload.columns == ["model_id"]
     odd = spark.createDataFrame([("d", "<html>"), ("e", "[{}]"), ("a", "{"), ("f", "{}"), ("f", "{}")], payloads.schema)
     rows = rows.unionByName(spark.createDataFrame([("d",), ("e",), ("f",)], "model_id STRING"))
     flags = J.attach_payloads(rows, payloads.unionByName(odd)).groupBy("error_type", "called").count().collect()

@@ -3,10 +3,8 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from emiscope.operators import joins as J
-from emiscope.operators import rows as W
 from emiscope.plans.catalog import QUERIES
 from emiscope.plans.catalog.scans import SLIM_BRONZE
 from emiscope.plans.fixtures import relation, table
@@ -61,16 +59,6 @@ def test_scan_reads_only_used_columns(spark, sf):
     assert "EqualTo(o_orderstatus,F)" in text
 
 
-def test_missing_side_moves_no_payload(spark, sf):
-    payloads = relation(spark, sf, "payloads")
-    stored = fresh_path(spark, "payloads")
-    payloads.select("model_id", "payload_json").write.parquet(stored)
-    table_ = spark.read.parquet(stored)
-    look = J.lookup_payloads(W.discovery_rows(payloads, "s", "t"), table_)
-    exchanges = plan(look.missing_payload.select(F.col("model_id")))
-    assert "LeftAnti" in exchanges
-
-
 def test_no_query_numbers_rows_in_one_task(spark, sf):
     for name in ("chunk_assignment", "batch_numbers", "rate_window_plan"):
         text = plan(QUERIES[name](spark, sf))
