@@ -1,8 +1,11 @@
 """Toxicity by the votes of the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased words and their beginnings of four to six bytes, so that new endings of
-a known stem still meet it. The vocabulary is learned: terms that labelled toxic documents
-hold far more often than others (chi-square). Document frequencies count all documents.
+a known stem still meet it. The vocabulary is learned: terms that toxic documents hold so much
+more often than others that, by a Chernoff bound, chance would give fewer than one such term
+among all. Near copies, known by equal least or greatest shingle hashes, count once there, or
+each word of a copied toxic document would seem telling. Document frequencies count all
+documents.
 
 The examples are a bounded sample of labelled documents. Their inverted index keeps, for each
 term, the largest weight in every block of examples. A query visits blocks by falling bound
@@ -22,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
+from emiscope.llm.ngram_join import shingle_sets
 from emiscope.llm.tables import bounded_sample, fold_of, labelled, map_pieces, rows_of
 from emiscope.session import write_through
 
 #: Bound of the labelled sample that gives vocabulary and examples.
 SAMPLE = 12_000
 VOCABULARY = 4096
-LEAST_TOXIC, LEAST_CHI_SQUARE = 3, 40.0
+LEAST_TOXIC = 3
 NEIGHBOURS = 25
 PRIOR_WEIGHT = 0.5
 BLOCK = 64
@@ -71,6 +75,15 @@ def _label_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Least and greatest hash of each text's word shingles; near copies mostly share them."""
+    rows = ((i, (t or "").lower().encode()) for i, t in rows_of(frames, "doc_id", "text"))
+    for group in textbytes.batches(rows, 1):
+        sets = shingle_sets([t for _, t in group])
+        ends = np.array([(s[0], s[-1]) if len(s) else (0, 0) for s in sets], np.uint64).view(np.int64).reshape(-1, 2)
+        yield pd.DataFrame({"doc_id": [i for i, _ in group], "least": ends[:, 0], "most": ends[:, 1]})
+
+
 class Vocabulary:
     """Sorted term hashes with their weights; gives sparse vectors of texts."""
 
@@ -180,18 +193,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = write_through(texts.join(sample, "doc_id"), "toxicity_examples")
     total = known.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
     n, toxic = total["n"], total["toxic"] or 0
-    clean = n - toxic
-    a, b = F.col("toxic"), F.col("held") - F.col("toxic")
-    spread = a * (clean - b) - b * (toxic - a)
-    chi = F.lit(float(n)) * spread * spread / (F.lit(float(max(toxic * clean, 1))) * F.col("held") * (n - F.col("held") + 1e-9))
-    telling = (
-        map_pieces(known, _label_counts, "term long, toxic long, held long")
+    sketches = map_pieces(known, _sketches, "doc_id long, least long, most long").distinct()
+    sketches = sketches.groupBy("least").agg(F.min(F.struct("doc_id", "most")).alias("s")).select("s.*")
+    different = F.broadcast(sketches.groupBy("most").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    counts = (
+        map_pieces(known.join(different, "doc_id", "left_semi"), _label_counts, "term long, toxic long, held long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("held").alias("held"))
-        .where((F.col("toxic") >= LEAST_TOXIC) & (spread > 0))
-        .withColumn("chi", chi)
-        .where(F.col("chi") >= LEAST_CHI_SQUARE)
-        .orderBy(F.desc("chi"), "term")
+        .where(F.col("held") >= LEAST_TOXIC)
+    )
+    counts = write_through(counts, "term_counts")
+    tested = counts.count()
+    share = F.lit(min(max(toxic / n, 1e-6), 1 - 1e-6) if n else 0.5)
+    a, b = F.col("toxic"), F.col("held") - F.col("toxic")
+    # Chance gives this many toxic ones of ``held`` with a probability of at most exp(-evidence).
+    evidence = a * F.log(a / (F.col("held") * share)) + F.when(b > 0, b * F.log(b / (F.col("held") * (1 - share)))).otherwise(0.0)
+    telling = (
+        counts.where((a >= LEAST_TOXIC) & (a > F.col("held") * share))
+        .withColumn("evidence", evidence)
+        .where(F.col("evidence") >= float(np.log(max(tested, 1))))
+        .orderBy(F.desc("evidence"), "term")
         .limit(VOCABULARY)
         .select("term")
         .toPandas()
