@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.llm.textbytes import batches
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 250_000
 CACHED_CHARS = 64
 NONE = np.int64(1) << 62
 #: Fixed by the vocabulary: contractions, letters, numbers, other marks, white space.

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Rows of a piece that a task holds as Python values.
+#: Rows of a piece that a task holds as Python values, and of a batch that Spark sends it.
 PIECE_ROWS = 256
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +57,12 @@ def map_pieces(
     """Like ``mapInPandas``, in pieces of few rows.
 
     Spark's batches hold many thousand rows; with whole texts in them, a task would hold
-    them all as Python values. Here it holds a piece's.
+    them all as Python values. Here it holds a piece's. The session's batches become
+    ``BATCH_ROWS`` rows if they were larger, as their buffers stand on both sides.
     """
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     layout = to_arrow_schema(kind)
 
@@ -68,6 +74,7 @@ def map_pieces(
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in run(pieces(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=layout, preserve_index=False)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return rows.mapInArrow(mapped, kind)
 

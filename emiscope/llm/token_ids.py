@@ -13,7 +13,7 @@ from array import array
 
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 CACHED_CHARS = 64
 ENDS = ".,;:!?"
 #: A stop or comma after neither letter nor digit belongs to the marks before it.
