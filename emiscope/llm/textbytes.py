@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 WHITE = np.zeros(256, bool)

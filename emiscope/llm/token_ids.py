@@ -13,7 +13,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
-CACHE_ENTRIES = 250_000
+#: Entries of each of two generations: what is met again moves from the older to the newer.
+CACHE_ENTRIES = 200_000
 CACHED_CHARS = 64
 ENDS = ".,;:!?"
 #: A stop or comma after neither letter nor digit belongs to the marks before it.
@@ -45,6 +46,7 @@ class TokenIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -59,12 +61,13 @@ class TokenIds:
         return [cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE_ENTRIES:
+            self.known, self.older = {"": b""}, self.known
         known = self.known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-            known[""] = b""
         cuts = [_eased(t).split(" ") for t in texts]
-        parts = {cut: self._parts(cut) for cut in set().union(*cuts).difference(known)}
+        new = set().union(*cuts).difference(known)
+        known.update((cut, self.older[cut]) for cut in new.intersection(self.older))
+        parts = {cut: self._parts(cut) for cut in new.difference(known)}
         unknown = list({p for row in parts.values() for p in row}.difference(known))
         long = {}
         for part, ids in zip(unknown, self._encode(unknown)):
