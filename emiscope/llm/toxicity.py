@@ -1,21 +1,23 @@
 """Toxicity by the votes of the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased words and their beginnings of four to six bytes, so that new endings of
-a known stem still meet it. The vocabulary is learned: terms that toxic documents hold so much
-more often than others that, by a Chernoff bound, chance would give fewer than one such term
-among all. Near copies, known by equal least or greatest shingle hashes, count once there, or
-each word of a copied toxic document would seem telling. Document frequencies count all
-documents.
-
-The examples are a bounded sample of labelled documents. Their inverted index keeps, for each
-term, the largest weight in every block of examples. A query visits blocks by falling bound
-and stops when no block can still hold a nearer example, so the neighbours are exact. They
-vote with their cosine as weight, against a small weight for the share of toxic examples.
-Documents without a term of the vocabulary get the share of toxic ones among such examples.
+a known stem still meet it. The examples are a bounded sample of labelled documents, and all
+their terms are indexed, with document frequencies over all documents. Some terms are telling:
+toxic documents hold them so much more often than others that, by a Chernoff bound, chance
+would give fewer than one such term among all. They weigh ``EMPHASIS`` times as much. Near
+copies, known by equal least or greatest shingle hashes, count once in that bound only, or
+each word of a copied toxic document would seem telling.
+
+The inverted index keeps, for each term, the largest weight in every block of examples. A query
+with telling terms visits blocks by falling bound and stops when no block can still hold a
+nearer example; others sum all products. So the neighbours are exact. They vote with a power
+of their cosine as weight, against a small weight for the share of toxic examples. Documents
+without a term of any example get the share of toxic ones among examples without terms.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +31,17 @@ from emiscope.llm.ngram_join import shingle_sets
 from emiscope.llm.tables import bounded_sample, fold_of, labelled, map_pieces, rows_of
 from emiscope.session import write_through
 
-#: Bound of the labelled sample that gives vocabulary and examples.
+#: Bound of the labelled sample that gives terms and examples.
 SAMPLE = 12_000
-VOCABULARY = 4096
+#: Telling terms count so many times as much as others.
+EMPHASIS = 20.0
+#: Terms whose products with all queries of a batch are one matrix product.
+COMMON = 1024
 LEAST_TOXIC = 3
 NEIGHBOURS = 25
-PRIOR_WEIGHT = 0.5
+PRIOR_WEIGHT = 0.02
+#: A copy of an example outweighs many distant ones.
+VOTE_POWER = 3
 BLOCK = 64
 STEMS = (4, 5, 6)
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -75,6 +82,11 @@ def _label_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for _, _, hashes in _groups(frames):
+        yield pd.DataFrame({"term": np.unique(hashes).view(np.int64)})
+
+
 def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Least and greatest hash of each text's word shingles; near copies mostly share them."""
     rows = ((i, (t or "").lower().encode()) for i, t in rows_of(frames, "doc_id", "text"))
@@ -87,15 +99,17 @@ def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Vocabulary:
     """Sorted term hashes with their weights; gives sparse vectors of texts."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray | None = None):
-        self.terms, self.idf = terms, idf
+    def __init__(self, terms: np.ndarray, telling: np.ndarray):
+        self.terms, self.telling = terms, telling
+        self.idf = np.ones(len(terms))
 
     def counts(self, of_text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text numbers, term numbers and counts, by text and term."""
         if not len(self.terms):
             return (np.zeros(0, np.int64),) * 3
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        hit = self.terms[at] == hashes
+        different, inverse = np.unique(hashes, return_inverse=True)  # sorted ones are found faster
+        at = np.minimum(np.searchsorted(self.terms, different), len(self.terms) - 1)
+        at, hit = at[inverse], (self.terms[at] == different)[inverse]
         pairs, counts = np.unique(of_text[hit] * len(self.terms) + at[hit], return_counts=True)
         return pairs // len(self.terms), pairs % len(self.terms), counts
 
@@ -109,46 +123,105 @@ class Vocabulary:
         return [(terms[a:b], weights[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def _spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the spans one after the other, and the length of each."""
+    sizes = end - start
+    return np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
+
+
 class Index:
-    """Inverted index with block maxima over example vectors."""
+    """Inverted index with block maxima over example vectors.
+
+    ``nearest`` visits blocks of examples by falling bound. Where bounds exclude next to nothing,
+    ``nearest_each`` sums all products of many queries at once, the ``COMMON`` most frequent
+    terms as one matrix product.
+    """
 
     def __init__(self, size: int, examples: list[tuple[np.ndarray, np.ndarray]]):
-        entries = [(t, e, w) for e, (terms, weights) in enumerate(examples) for t, w in zip(terms.tolist(), weights.tolist())]
-        entries.sort()
-        self.example = np.array([e for _, e, _ in entries], np.int64)
-        self.weight = np.array([w for _, _, w in entries])
-        self.cuts = np.searchsorted(np.array([t for t, _, _ in entries], np.int64), np.arange(size + 1))
-        self.blocks = -(-len(examples) // BLOCK)
-        self.most = []
-        for a, b in zip(self.cuts, self.cuts[1:]):
-            block = self.example[a:b] // BLOCK
-            first = np.flatnonzero(np.diff(block, prepend=-1))
-            top = np.maximum.reduceat(self.weight[a:b], first) if b > a else np.zeros(0)
-            self.most.append((block[first], top, np.append(first, b - a) + a))
+        terms = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in examples)], dtype=np.int32, casting="same_kind")
+        weights = np.concatenate([np.zeros(0, np.float32), *(w for _, w in examples)])
+        self._build(size, np.array([len(t) for t, _ in examples], np.int64), terms, weights)
+
+    @classmethod
+    def of_bytes(cls, size: int, terms: list[bytes], weights: list[bytes]) -> Index:
+        """The same of 32-bit term numbers and weights; the lists are emptied."""
+        made = cls.__new__(cls)
+        sizes = np.array([len(t) // 4 for t in terms], np.int64)
+        numbers, values = np.frombuffer(b"".join(terms), np.int32), np.frombuffer(b"".join(weights), np.float32)
+        terms.clear()
+        weights.clear()
+        made._build(size, sizes, numbers, values)
+        return made
+
+    def _build(self, size: int, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        self.n = len(sizes)
+        # Large temporary arrays are dropped early; the driver's memory is small.
+        order = np.argsort(terms, kind="stable")
+        terms, self.weight = terms[order], weights[order]
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
+        del order
+        self.cuts = np.searchsorted(terms, np.arange(size + 1, dtype=np.int32))
+        self.blocks = -(-self.n // BLOCK)
+        change = np.ones(len(terms), bool)
+        np.not_equal(terms[1:], terms[:-1], out=change[1:])
+        del terms
+        block = (self.example // BLOCK).astype(np.int32)
+        change[1:] |= block[1:] != block[:-1]
+        first = np.flatnonzero(change).astype(np.int32)
+        self.block = block[first]
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
+        self.block_cuts = np.searchsorted(first, self.cuts.astype(np.int32))
+        self.first = np.append(first, np.int32(len(self.example)))
+        held = np.diff(self.cuts)
+        self.common = np.sort(np.argsort(-held, kind="stable")[: min(COMMON, np.count_nonzero(held))])
+        self.dense: np.ndarray | None = None
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of largest cosine above 0, ties to the smaller number."""
-        bound = np.zeros(self.blocks)
-        for t, w in zip(terms, weights):
-            block, top, _ = self.most[t]
-            bound[block] += w * top
+        entry, sizes = _spans(self.block_cuts[terms], self.block_cuts[terms + 1])
+        weight, block = np.repeat(weights, sizes), self.block[entry]
+        bound = np.bincount(block, weight * self.most[entry], self.blocks)
+        order = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
         best: list[tuple[float, int]] = []
-        order = np.argsort(-bound, kind="stable")
-        for b in order[: np.count_nonzero(bound)]:
-            # Rounding may make a sum of products exceed its bound by very little.
-            if len(best) == k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            dots = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                block, _, cuts = self.most[t]
-                at = np.searchsorted(block, b)
-                if at < len(block) and block[at] == b:
-                    span = slice(cuts[at], cuts[at + 1])
-                    dots[self.example[span] - b * BLOCK] += w * self.weight[span]
+        at, step = 0, 4
+        # Rounding may make a sum of products exceed its bound by very little.
+        while at < len(order) and not (len(best) == k and bound[order[at]] < -best[-1][0] - 1e-6):
+            visited = np.zeros(self.blocks, bool)
+            visited[order[at : at + step]] = True
+            some = visited[block]
+            span, sizes = _spans(self.first[entry[some]], self.first[entry[some] + 1])
+            dots = np.bincount(self.example[span], self.weight[span] * np.repeat(weight[some], sizes), self.n)
             met = np.flatnonzero(dots)
-            best = sorted([*best, *zip((-dots[met]).tolist(), (met + b * BLOCK).tolist())])[:k]
+            if len(met) > k:
+                met = met[dots[met] >= np.partition(dots[met], -k)[-k]]
+            best = sorted([*best, *zip((-dots[met]).tolist(), met.tolist())])[:k]
+            at, step = at + step, 2 * step
         return [(-d, e) for d, e in best]
 
+    def nearest_each(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """``nearest`` of each query, with cosines in six places."""
+        if self.dense is None:
+            self.place = np.full(len(self.cuts) - 1, -1, np.int32)
+            self.place[self.common] = np.arange(len(self.common))
+            self.dense = np.zeros((len(self.common), self.n), np.float32)
+            for row, t in enumerate(self.common.tolist()):
+                span = slice(self.cuts[t], self.cuts[t + 1])
+                self.dense[row, self.example[span]] = self.weight[span]
+        asked = np.zeros((len(queries), len(self.common)), np.float32)
+        for row, (terms, weights) in enumerate(queries):
+            at = self.place[terms]
+            asked[row, at[at >= 0]] = weights[at >= 0]
+        found = []
+        for (terms, weights), dots in zip(queries, asked @ self.dense):
+            rare = self.place[terms] < 0
+            span, sizes = _spans(self.cuts[terms[rare]], self.cuts[terms[rare] + 1])
+            more = np.bincount(self.example[span], self.weight[span] * np.repeat(weights[rare].astype(np.float32), sizes), self.n)
+            dots = np.round(dots + more, 6)
+            met = np.flatnonzero(dots >= max(np.partition(dots, -k)[-k] if self.n > k else 0.0, 1e-6))
+            met = met[np.lexsort((met, -dots[met]))][:k]
+            found.append(list(zip(dots[met].tolist(), met.tolist())))
+        return found
+
 
 @dataclass
 class Model:
@@ -159,14 +232,22 @@ class Model:
     share: float
     share_without: float
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int], list[float]]:
-        """Score, and the nearest examples with their cosines."""
-        near = self.index.nearest(terms, weights, NEIGHBOURS)
+    def votes(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int], list[float]]]:
+        """Score of each query, and its nearest examples with their cosines."""
+        # Ordinary terms are so many and so alike in weight that their bounds exclude no block.
+        known = [k for k, (terms, _) in enumerate(queries) if self.vocabulary.telling[terms].any()]
+        others = sorted(set(range(len(queries))) - set(known))
+        near = {k: self.index.nearest(*queries[k], NEIGHBOURS) for k in known}
+        near |= zip(others, self.index.nearest_each([queries[k] for k in others], NEIGHBOURS))
+        return [self._vote(near[k]) for k in range(len(queries))]
+
+    def _vote(self, near: list[tuple[float, int]]) -> tuple[float, list[int], list[float]]:
         if not near:
             return self.share_without, [], []
         cosine = np.array([c for c, _ in near])
         at = np.array([e for _, e in near])
-        score = (cosine @ self.toxic[at] + PRIOR_WEIGHT * self.share) / (cosine.sum() + PRIOR_WEIGHT)
+        weight = cosine**VOTE_POWER
+        score = (weight @ self.toxic[at] + PRIOR_WEIGHT * self.share) / (weight.sum() + PRIOR_WEIGHT)
         return float(score), self.ids[at[:EVIDENCE]].tolist(), cosine[:EVIDENCE].tolist()
 
 
@@ -185,7 +266,7 @@ def _frequencies(vocabulary):
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Vocabulary, document frequencies over all of ``docs``, and the index of examples.
 
-    Without labelled documents, or without telling terms, all scores are the share of toxic examples.
+    Without labelled documents all scores are 0; without telling terms all terms weigh alike.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), "text")
@@ -212,21 +293,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         counts.where((a >= LEAST_TOXIC) & (a > F.col("held") * share))
         .withColumn("evidence", evidence)
         .where(F.col("evidence") >= float(np.log(max(tested, 1))))
-        .orderBy(F.desc("evidence"), "term")
-        .limit(VOCABULARY)
         .select("term")
         .toPandas()
     )
-    vocabulary = Vocabulary(np.sort(telling["term"].to_numpy(np.int64).view(np.uint64)))
+    every = map_pieces(known, _terms, "term long").distinct().toPandas()  # bounded like the sample
+    terms = np.sort(every["term"].to_numpy(np.int64).view(np.uint64))
+    vocabulary = Vocabulary(terms, np.isin(terms, telling["term"].to_numpy(np.int64).view(np.uint64)))
     counted = map_pieces(texts, _frequencies(spark.sparkContext.broadcast(vocabulary)), "term int, n long")
-    frequency = np.ones(len(vocabulary.terms))
-    documents = 0
-    for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row per term of the vocabulary
-        if row["term"] < 0:
-            documents = row["n"]
-        else:
-            frequency[row["term"]] = row["n"]
-    vocabulary.idf = np.log((documents + 1) / frequency) + 1
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # one row per term of the vocabulary
+    documents = int(counted.loc[counted["term"] < 0, "n"].sum())
+    counted = counted[counted["term"] >= 0]
+    frequency = np.ones(len(terms))
+    frequency[counted["term"].to_numpy()] = counted["n"]
+    vocabulary.idf = (np.log((documents + 1) / frequency) + 1) * np.where(vocabulary.telling, EMPHASIS, 1.0)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,23 +315,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 {
                     "doc_id": [g[1] for g in group],
                     "label": [g[2] for g in group],
-                    "terms": [t.astype(np.int64).tobytes() for t, _ in made],
-                    "weights": [w.astype(np.float64).tobytes() for _, w in made],
+                    "telling": [t[shared.value.telling[t]].astype(">i4").tobytes() for t, _ in made],
+                    "terms": [t.astype(np.int32).tobytes() for t, _ in made],
+                    "weights": [w.astype(np.float32).tobytes() for _, w in made],
                 }
             )
 
-    made = map_pieces(known, vectors, "doc_id long, label int, terms binary, weights binary").toPandas()
-    made = made.sort_values(["terms", "doc_id", "weights"])  # alike examples share blocks
-    without = made[made["terms"].str.len() == 0]
-    made = made[made["terms"].str.len() > 0]
-    examples = [(np.frombuffer(t, np.int64), np.frombuffer(w)) for t, w in zip(made["terms"], made["weights"])]
+    made = map_pieces(known, vectors, "doc_id long, label int, telling binary, terms binary, weights binary").toPandas()
+    made = made.sort_values(["telling", "doc_id", "terms", "weights"])  # examples with like telling terms share blocks
+    some = made["terms"].str.len() > 0
+    without, ids, marks = made.loc[~some, "label"].tolist(), made.loc[some, "doc_id"].to_numpy(np.int64), made.loc[some, "label"].to_numpy(float)
+    vectors_of = made.loc[some, "terms"].tolist(), made.loc[some, "weights"].tolist()
+    del made
     return Model(
         vocabulary,
-        Index(len(vocabulary.terms), examples),
-        made["doc_id"].to_numpy(np.int64),
-        made["label"].to_numpy(float),
+        Index.of_bytes(len(terms), *vectors_of),
+        ids,
+        marks,
         float((toxic + 0.5) / (n + 1)) if n else 0.0,
-        float((without["label"].sum() + 0.5 * (n > 0)) / (len(without) + 1)),
+        float((sum(without) + toxic / n) / (len(without) + 1)) if n else 0.0,
     )
 
 
@@ -269,15 +350,17 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         votes: dict[bytes, tuple] = {}
         for group, of_text, hashes in _groups(frames):
+            vectors = model.vocabulary.vectors(len(group), of_text, hashes)
+            keys = [terms.tobytes() + weights.tobytes() for terms, weights in vectors]
+            digests = [hashlib.blake2b(key, digest_size=16).digest() for key in keys]
+            new = {d: v for d, v in zip(digests, vectors) if d not in votes}
+            if len(votes) + len(new) > CACHED_QUERIES:
+                votes, new = {}, dict(zip(digests, vectors))
+            votes.update(zip(new, model.votes(list(new.values()))))
             rows = []
-            for (_, doc), (terms, weights) in zip(group, model.vocabulary.vectors(len(group), of_text, hashes)):
-                key = terms.tobytes() + weights.tobytes()
-                if key not in votes:
-                    if len(votes) >= CACHED_QUERIES:
-                        votes.clear()
-                    votes[key] = model.vote(terms, weights)
+            for (_, doc), digest in zip(group, digests):
                 doc = None if pd.isna(doc) else int(doc)
-                score, nearest, cosines = votes[key]
+                score, nearest, cosines = votes[digest]
                 rows.append((doc, doc is not None and fold_of(doc, FOLDS) == HELD_OUT, score, int(score >= THRESHOLD), nearest, cosines))
             frame = pd.DataFrame(rows, columns=["doc_id", "held_out", "score", "predicted", "nearest", "cosines"])
             yield frame.astype({"doc_id": "Int64"})

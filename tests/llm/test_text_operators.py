@@ -267,6 +267,34 @@ def test_toxicity_on_held_out_documents(spark):
         assert len(r.nearest) == len(r.cosines) and (not r.predicted or set(r.nearest) <= toxic)
 
 
+def test_copies_of_toxic_examples_meet_them(spark):
+    texts = [f"{t} plain{k}" for k, t in enumerate(prose(160, 5, 60))]
+    family = " ".join(f"odd{n}" for n in range(40))  # one family of copies gives no telling terms
+    copies = list(range(160, 172))
+    docs = documents(spark, texts + [family + (f" end{k}" if k % 2 else "") for k in copies])
+    marks = labels(spark, [(k, 1, int(k in copies), "t") for k in range(172)])
+    rows = toxicity.score_documents(docs, toxicity.fit(docs, marks)).collect()
+    assert any(r.held_out for r in rows if r.doc_id in copies)
+    for r in rows:
+        assert r.predicted == int(r.doc_id in copies)
+        if r.predicted:
+            assert set(r.nearest) <= set(copies) and r.cosines[0] > 0.9
+
+
+def test_summed_products_equal_block_search(monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", 10)
+    random_ = np.random.default_rng(7)
+    examples = []
+    for _ in range(200):
+        terms = np.sort(random_.permutation(40)[: random_.integers(1, 20)])
+        weights = random_.random(len(terms))
+        examples.append((terms, weights / np.linalg.norm(weights)))
+    index = toxicity.Index(40, examples)
+    for query, found in zip(examples, index.nearest_each(examples, 25)):
+        wanted = index.nearest(*query, 25)
+        assert np.allclose([c for c, _ in found], [c for c, _ in wanted], atol=2e-6)
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, AWKWARD)
     rows = toxicity.score_documents(docs, toxicity.fit(docs, labels(spark, []))).collect()
