@@ -18,7 +18,7 @@ CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"t
 HOLDS = frozenset("article aside body div dd details dialog fieldset figure footer form header html li main nav section table td th ul ol dl".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>"
     r"|<[!?/][^>]*>",
@@ -47,8 +47,10 @@ def _tokens(name: str, attributes: str) -> tuple[str, ...]:
 def leaves(page: str) -> list[Leaf]:
     """Blocks in page order, character references decoded, white space runs one space, no empty ones.
 
-    Scripts, styles, other embedded content, comments and tags are gone. Unclosed and stray
-    tags are taken as browsers take them where that changes a block.
+    Scripts, styles, form texts, frames, comments and tags are gone; those elements hold raw
+    text up to their end tag or the end of the page, also for browsers. Text of formulas,
+    drawings and fallbacks stays. Unclosed and stray tags are taken as browsers take them where
+    that changes a block.
     """
     found: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []

@@ -159,6 +159,16 @@ def test_leaves():
     assert nav.path == ("div", ".top", ".menu", ".x", ".a") and nav.linked == 2
 
 
+def test_only_raw_text_elements_are_skipped():
+    def texts(page):
+        return [leaf.text for leaf in leaves(page)]
+
+    assert texts('<p>a</p><svg class="i"/><p>b</p><p>c</p>') == ["a", "b", "c"]
+    assert texts("<p>a</p><math/><p>b</p><video-player src=x></video-player><p>c<svg-icon></svg-icon></p>") == ["a", "b", "c"]
+    assert texts("<p>x = <math><mi>y</mi></math> here</p><noscript><p>f</p></noscript><object>g</object>") == ["x = y here", "f", "g"]
+    assert texts("<script-x>a</script-x><p>b<script>c</scripts>d</script >e</p><iframe>f</iframe><style\n>g</style/>h") == ["a", "be", "h"]
+
+
 def page(k):
     article = "".join(f"<p>Part {n} of page {k}, with some words in it.</p>" for n in range(1 + k % 4))
     return f"<html><head><title>T {k}</title></head><body><nav><ul><li>Home<li>About</ul></nav><article><h1>Title {k}</h1>{article}</article><footer>&copy; all</footer></body></html>"
