@@ -60,7 +60,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return matrices.segments(matrices.packed_matrices(table(spark, sf_dir, "documents"), path))
+    return matrices.segments(matrices.written_matrices(table(spark, sf_dir, "documents"), path))
 
 
 @query

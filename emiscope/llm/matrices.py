@@ -24,6 +24,7 @@ from emiscope.llm.packing import END, WINDOW
 from emiscope.llm.tables import map_pieces, rows_of
 from emiscope.llm.textbytes import batches
 from emiscope.llm.token_ids import token_ids
+from emiscope.session import fresh_path
 
 BLOCK_IDS = 1 << 21
 PAD = 0
@@ -128,6 +129,13 @@ def write_matrices(matrices: DataFrame, path: str) -> None:
     matrices.write.mode("errorifexists").parquet(path)
 
 
+def written_matrices(docs: DataFrame, path: str) -> DataFrame:
+    """The matrices of ``docs``, written to a new folder of the shared ones and read again."""
+    made, target = packed_matrices(docs, path), fresh_path(docs.sparkSession, "matrices")
+    write_matrices(made, target)
+    return docs.sparkSession.read.schema(made.schema).parquet(target)
+
+
 def segments(matrices: DataFrame) -> DataFrame:
     """One row per segment with its place, and digests of the row that holds it."""
     each = matrices.select(

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from emiscope.llm import bpe, language, matrices, ngram_join, packing, quality, toxicity
+from emiscope.llm import bpe, catalog, language, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.components import components
 from emiscope.llm.token_ids import TokenIds
 from tests.llm.data import AWKWARD, DOCS, documents, prose
@@ -155,6 +155,15 @@ def test_matrices(spark, tmp_path):
     assert matrices.packed_matrices(documents(spark, []), WORD).count() == 0
 
 
+def test_matrices_query_rests_on_written_files(spark, sf):
+    found = catalog.op7_matrices(spark, sf)
+    files = found.inputFiles()
+    assert files and all("/matrices-" in f for f in files)
+    written = spark.read.parquet(*files)
+    assert {"ids", "cu_seqlens", "positions"} <= set(written.columns)
+    assert sorted(matrices.segments(written).collect()) == sorted(found.collect())
+
+
 def plain_links(texts):
     sets = []
     for text in texts:
