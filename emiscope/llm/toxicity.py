@@ -18,7 +18,7 @@ without a term of any example get the share of toxic ones among examples without
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -138,41 +138,36 @@ class Index:
     """
 
     def __init__(self, size: int, examples: list[tuple[np.ndarray, np.ndarray]]):
-        terms = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in examples)], dtype=np.int32, casting="same_kind")
-        weights = np.concatenate([np.zeros(0, np.float32), *(w for _, w in examples)])
-        self._build(size, np.array([len(t) for t, _ in examples], np.int64), terms, weights)
+        held = np.bincount(np.concatenate([np.zeros(0, np.int64), *(t for t, _ in examples)]).astype(np.int64), minlength=size)
+        self._build(held, len(examples), examples, np.float64)
 
     @classmethod
-    def of_bytes(cls, size: int, terms: list[bytes], weights: list[bytes]) -> Index:
-        """The same of 32-bit term numbers and weights; the lists are emptied."""
+    def filled(cls, held: np.ndarray, n: int, examples: Iterable[tuple[np.ndarray, np.ndarray]]) -> Index:
+        """The same from ``n`` examples one after the other, with the number of examples that hold each term."""
         made = cls.__new__(cls)
-        sizes = np.array([len(t) // 4 for t in terms], np.int64)
-        numbers, values = np.frombuffer(b"".join(terms), np.int32), np.frombuffer(b"".join(weights), np.float32)
-        terms.clear()
-        weights.clear()
-        made._build(size, sizes, numbers, values)
+        made._build(held, n, examples, np.float32)
         return made
 
-    def _build(self, size: int, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
-        self.n = len(sizes)
-        # Large temporary arrays are dropped early; the driver's memory is small.
-        order = np.argsort(terms, kind="stable")
-        terms, self.weight = terms[order], weights[order]
-        self.example = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[order]
-        del order
-        self.cuts = np.searchsorted(terms, np.arange(size + 1, dtype=np.int32))
-        self.blocks = -(-self.n // BLOCK)
-        change = np.ones(len(terms), bool)
-        np.not_equal(terms[1:], terms[:-1], out=change[1:])
-        del terms
-        block = (self.example // BLOCK).astype(np.int32)
-        change[1:] |= block[1:] != block[:-1]
+    def _build(self, held: np.ndarray, n: int, examples: Iterable[tuple[np.ndarray, np.ndarray]], kind: type) -> None:
+        # Each entry is put where it belongs; sorting them would take several times the memory.
+        self.n, self.blocks = n, -(-n // BLOCK)
+        self.cuts = np.append(0, np.cumsum(held))
+        self.example = np.zeros(self.cuts[-1], np.int16 if n < 1 << 15 else np.int32)
+        self.weight = np.zeros(self.cuts[-1], kind)
+        free = self.cuts[:-1].copy()
+        for e, (terms, weights) in enumerate(examples):
+            at = free[terms]
+            self.example[at], self.weight[at] = e, weights
+            free[terms] = at + 1
+        block = self.example // BLOCK
+        change = np.ones(len(block), bool)
+        np.not_equal(block[1:], block[:-1], out=change[1:])
+        change[self.cuts[:-1][held > 0]] = True
         first = np.flatnonzero(change).astype(np.int32)
         self.block = block[first]
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
         self.block_cuts = np.searchsorted(first, self.cuts.astype(np.int32))
-        self.first = np.append(first, np.int32(len(self.example)))
-        held = np.diff(self.cuts)
+        self.first = np.append(first, np.int32(len(block)))
         self.common = np.sort(np.argsort(-held, kind="stable")[: min(COMMON, np.count_nonzero(held))])
         self.dense: np.ndarray | None = None
 
@@ -321,19 +316,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 }
             )
 
-    made = map_pieces(known, vectors, "doc_id long, label int, telling binary, terms binary, weights binary").toPandas()
-    made = made.sort_values(["telling", "doc_id", "terms", "weights"])  # examples with like telling terms share blocks
-    some = made["terms"].str.len() > 0
-    without, ids, marks = made.loc[~some, "label"].tolist(), made.loc[some, "doc_id"].to_numpy(np.int64), made.loc[some, "label"].to_numpy(float)
-    vectors_of = made.loc[some, "terms"].tolist(), made.loc[some, "weights"].tolist()
-    del made
+    made = write_through(map_pieces(known, vectors, "doc_id long, label int, telling binary, terms binary, weights binary"), "toxicity_vectors")
+    # Examples with like telling terms share blocks. Twice through the rows, a partition at a time,
+    # as the driver's memory is small.
+    with_terms = made.where("length(terms) > 0").orderBy("telling", "doc_id", "terms", "weights")
+    without = made.where("length(terms) = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
+    held, ids, marks = np.zeros(len(terms), np.int64), [], []
+    for row in with_terms.toLocalIterator():
+        held[np.frombuffer(row["terms"], np.int32)] += 1
+        ids.append(row["doc_id"])
+        marks.append(row["label"])
+    ordered = ((np.frombuffer(row["terms"], np.int32), np.frombuffer(row["weights"], np.float32)) for row in with_terms.toLocalIterator())
     return Model(
         vocabulary,
-        Index.of_bytes(len(terms), *vectors_of),
-        ids,
-        marks,
+        Index.filled(held, len(ids), ordered),
+        np.array(ids, np.int64),
+        np.array(marks, float),
         float((toxic + 0.5) / (n + 1)) if n else 0.0,
-        float((sum(without) + toxic / n) / (len(without) + 1)) if n else 0.0,
+        float((without["toxic"] + toxic / n) / (without["n"] + 1)) if n else 0.0,
     )
 
 
