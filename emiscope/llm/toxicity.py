@@ -18,6 +18,7 @@ without a term of any example get the share of toxic ones among examples without
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -159,6 +160,21 @@ class Index:
             at = free[terms]
             self.example[at], self.weight[at] = e, weights
             free[terms] = at + 1
+        self._derive()
+
+    def __getstate__(self) -> dict:
+        """Entries alone: every executor keeps a copy on its disk."""
+        steps = zlib.compress(np.diff(self.example, prepend=self.example.dtype.type(0)).tobytes(), 1)
+        return {"n": self.n, "blocks": self.blocks, "cuts": self.cuts, "weight": self.weight, "kind": self.example.dtype.str, "steps": steps}
+
+    def __setstate__(self, state: dict) -> None:
+        kind, steps = state.pop("kind"), state.pop("steps")
+        self.__dict__.update(state)
+        self.example = np.cumsum(np.frombuffer(zlib.decompress(steps), kind), dtype=kind)
+        self._derive()
+
+    def _derive(self) -> None:
+        held = np.diff(self.cuts)
         block = self.example // BLOCK
         change = np.ones(len(block), bool)
         np.not_equal(block[1:], block[:-1], out=change[1:])
@@ -294,8 +310,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     every = map_pieces(known, _terms, "term long").distinct().toPandas()  # bounded like the sample
     terms = np.sort(every["term"].to_numpy(np.int64).view(np.uint64))
     vocabulary = Vocabulary(terms, np.isin(terms, telling["term"].to_numpy(np.int64).view(np.uint64)))
-    counted = map_pieces(texts, _frequencies(spark.sparkContext.broadcast(vocabulary)), "term int, n long")
+    shared = spark.sparkContext.broadcast(vocabulary)
+    counted = map_pieces(texts, _frequencies(shared), "term int, n long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # one row per term of the vocabulary
+    shared.destroy()
     documents = int(counted.loc[counted["term"] < 0, "n"].sum())
     counted = counted[counted["term"] >= 0]
     frequency = np.ones(len(terms))
@@ -317,19 +335,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             )
 
     made = write_through(map_pieces(known, vectors, "doc_id long, label int, telling binary, terms binary, weights binary"), "toxicity_vectors")
-    # Examples with like telling terms share blocks. Twice through the rows, a partition at a time,
-    # as the driver's memory is small.
-    with_terms = made.where("length(terms) > 0").orderBy("telling", "doc_id", "terms", "weights")
+    shared.destroy()
     without = made.where("length(terms) = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    held, ids, marks = np.zeros(len(terms), np.int64), [], []
-    for row in with_terms.toLocalIterator():
+    # Twice through the rows, a partition at a time, as the driver's memory is small.
+    with_terms = made.where("length(terms) > 0")
+    held, size = np.zeros(len(terms), np.int64), 0
+    for row in with_terms.select("terms").toLocalIterator():
         held[np.frombuffer(row["terms"], np.int32)] += 1
-        ids.append(row["doc_id"])
-        marks.append(row["label"])
-    ordered = ((np.frombuffer(row["terms"], np.int32), np.frombuffer(row["weights"], np.float32)) for row in with_terms.toLocalIterator())
+        size += 1
+    ids, marks = [], []
+
+    def ordered() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Examples with like telling terms share blocks."""
+        for row in with_terms.orderBy("telling", "doc_id", "terms", "weights").toLocalIterator():
+            ids.append(row["doc_id"])
+            marks.append(row["label"])
+            yield np.frombuffer(row["terms"], np.int32), np.frombuffer(row["weights"], np.float32)
+
+    index = Index.filled(held, size, ordered())
     return Model(
         vocabulary,
-        Index.filled(held, len(ids), ordered),
+        index,
         np.array(ids, np.int64),
         np.array(marks, float),
         float((toxic + 0.5) / (n + 1)) if n else 0.0,
