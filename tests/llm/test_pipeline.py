@@ -5,7 +5,7 @@ from tests.llm.test_text_operators import plain_links
 
 
 def test_every_operator_has_a_query():
-    assert {q.split("_")[0] for q in catalog.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in catalog.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_stages_on_a_small_corpus(spark, tmp_path):
