@@ -48,6 +48,8 @@ SEGMENT_BYTES = SEGMENT_BLOCKS * LANES * 8
 ROUND_BYTES = 64 << 20
 #: Edits tested at once, and words handled together.
 PROBES, WORDS = 1 << 18, 2048
+#: Words that a task probes; their edits are some hundred times as many.
+TASK_WORDS = 1 << 15
 
 
 def occurrences(docs: DataFrame, least_length: int = LEAST_LENGTH, deleted_of: int = DELETED_OF) -> DataFrame:
@@ -257,6 +259,7 @@ def near_pairs(vocab: DataFrame, most_bytes: int = ROUND_BYTES) -> DataFrame:
     letters = vocab.select(F.explode(F.array_distinct(F.split("word", ""))).alias("letter")).distinct().collect()
     alphabet = np.array(sorted({r["letter"].encode("latin-1")[0] for r in letters if r["letter"]}), np.uint8)
     segments = filter_segments(vocab, shards)
+    tasks = max(1, -(-sum(r["words"] for r in counts) // TASK_WORDS))
     found = []
     for held in _rounds(shards, most_bytes) if shards else []:
         shared = spark.sparkContext.broadcast(_loaded(segments, shards, held))
@@ -279,7 +282,7 @@ def near_pairs(vocab: DataFrame, most_bytes: int = ROUND_BYTES) -> DataFrame:
                             }
                         )
 
-        edits = vocab.select("word", "n").mapInPandas(run, "word string, n long, edit string")
+        edits = vocab.select("word", "n").repartition(tasks, "word").mapInPandas(run, "word string, n long, edit string")
         exact = edits.join(vocab.select(F.col("word").alias("near"), F.col("n").alias("near_n")), F.col("edit") == F.col("near"))
         found.append(write_through(exact.select("word", "n", "near", "near_n"), "near_pairs"))
         shared.destroy()
