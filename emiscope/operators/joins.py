@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from emiscope.functions.text import strip
+from emiscope.operators.ranking import global_index
 from emiscope.operators.staging import where_computed
 from emiscope.schemas import EMISSION_RANGES, RANGE_SCHEMA
 from emiscope.session import write_through
 
-# Ranges up to this count are broadcast (24 bytes each); more are joined on bins.
+# Ranges up to this count are broadcast (24 bytes each); more are joined by a sweep.
 BROADCAST_RANGES = 2000
-# Bins of the equi join: one for every few ranges, within these bounds.
-_RANGES_PER_BIN = 4
-_FEWEST_BINS, _MOST_BINS = 256, 4096
+# Positions of a block of the sweep join, and blocks of one cut of a long range.
+BLOCK, BLOCKS_PER_CUT = 256, 4096
+# A position past all others.
+PAST_ALL = 1 << 62
 
 
 def emission_ranges(spark: SparkSession) -> DataFrame:
@@ -127,7 +128,7 @@ def _span(ranges: DataFrame) -> tuple[float | None, float | None]:
 
 
 def in_ranges(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
-    """Inner range join. Few ranges are broadcast; many are joined on value bins.
+    """Inner range join. Few ranges are broadcast; many are joined by a sweep.
 
     ``stored`` says that ``value`` is a column of the scanned table, so that its filters
     may reach the scan; the filters of a computed value stay above the computation.
@@ -145,49 +146,90 @@ def in_ranges(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = Fa
         hits = facts.join(slim, _within(F.col(value)))
         more = [c for c in ranges.columns if c not in slim.columns]
         return hits.join(ranges.select("shard_id", *more), "shard_id") if more else hits
-    return binned_range_join(facts, ranges, value)
+    return sweep_join(facts, ranges, value)
 
 
-def binned_range_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
-    """Range join as an equi join on bins between quantiles of the range bounds.
+def place_in_order(facts: DataFrame, ranges: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
+    """Facts and ranges on one scale: the positions in a common order of all values and bounds.
 
-    A fact falls in one bin, a range is repeated for each bin it touches. Facts outside
-    all ranges are dropped first, as they would crowd the outer bins. The merge hint
-    keeps Spark from broadcasting the repeated ranges, whose size it cannot foresee,
-    and lets adaptive execution split a bin that holds many facts.
+    Facts come back with ``_place``; ranges that can hold a value with ``_first`` and ``_end``, their
+    facts being those with ``_first < _place < _end``. One range sort takes both kinds. A bound
+    stands before the facts of its value, so lower bounds belong to their range and upper ones
+    do not. Equal values are told apart by their place in the input, so that a value which a
+    third of all facts share is cut over several partitions. NULL values, ranges without a lower
+    bound and ranges that end where or before they begin are left out.
     """
-    bins = max(_FEWEST_BINS, min(_MOST_BINS, ranges.count() // _RANGES_PER_BIN))
-    step = math.isqrt(bins)
-    steps = [i / bins for i in range(1, bins)]
-    bounds = F.explode(F.array("min_emissions", "max_emissions")).alias("bound")
-    # One row of at most _MOST_BINS + 2 numbers comes to the driver.
-    low, high, found = (
-        ranges.select(bounds)
-        .agg(
-            F.min("bound"),
-            F.max(F.coalesce("bound", F.lit(float("inf")))),
-            F.percentile_approx("bound", steps),
-        )
-        .first()
+
+    def order(x: Column, kind: int) -> tuple[Column, Column]:
+        # Both zeros are one value.
+        return F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")).alias("_v"), F.lit(kind).alias("_kind")
+
+    tie = F.monotonically_increasing_id().alias("_tie")
+    rows = facts.where(F.col(value).isNotNull()).select(*order(F.col(value), 1), tie, F.struct(*facts.columns).alias("_fact"))
+    low, high = F.col("min_emissions"), F.col("max_emissions")
+    holding = ranges.where(low.isNotNull() & (high.isNull() | (low < high)))
+    sides = holding.select(F.struct(*ranges.columns).alias("_range"), tie)  # both bounds carry one tie
+    sides = sides.select("*", F.explode(F.array("_range.min_emissions", "_range.max_emissions")).alias("_bound"))
+    sides = sides.where("_bound IS NOT NULL").select(*order(F.col("_bound"), 0), "_tie", "_range")
+    both = rows.unionByName(sides, allowMissingColumns=True)
+    # The index is written, so both uses below read files.
+    placed = global_index(both, [F.col("_v"), F.col("_kind"), F.col("_tie")], "_place")
+    paired = placed.where("_kind = 0").groupBy("_tie")
+    paired = paired.agg(F.first("_range").alias("_range"), F.min("_place").alias("_first"), F.max("_place").alias("_end"))
+    # An open range reaches past the last position.
+    end = F.when(F.col("_range.max_emissions").isNull(), F.lit(PAST_ALL)).otherwise(F.col("_end"))
+    return placed.where("_kind = 1").select("_fact.*", "_place"), paired.select("_range.*", "_first", end.alias("_end"))
+
+
+def covered_blocks(placed_ranges: DataFrame, last: int) -> DataFrame:
+    """One row for each block of positions that a range touches: hits over ``BLOCK``, and two more at most.
+
+    Long ranges are cut in two steps, so that no row holds a long list.
+    """
+    end = F.least(F.col("_end"), F.lit(last + 1))
+    wide, narrow = BLOCK * BLOCKS_PER_CUT, F.lit(BLOCK)
+    cuts = F.explode(F.sequence(F.expr(f"_first div {wide}"), F.expr(f"_end div {wide}"))).alias("_cut")
+    cut = placed_ranges.withColumn("_end", end).where("_first < _end").select("*", cuts)
+    low = F.greatest(F.expr(f"_first div {BLOCK}"), F.col("_cut") * BLOCKS_PER_CUT)
+    high = F.least(F.floor(F.col("_end") / narrow), F.col("_cut") * BLOCKS_PER_CUT + (BLOCKS_PER_CUT - 1))
+    return cut.select("*", F.explode(F.sequence(low, high)).alias("_block")).drop("_cut")
+
+
+def sweep_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+    """Range join for any number of ranges, overlapping or not, over any distribution of values.
+
+    Facts and bounds are sorted together once (``place_in_order``); a range's facts are then a run
+    of positions, which is joined by blocks of ``BLOCK`` positions. So what moves is the facts
+    twice, the bounds, and a row per block of a range; never a fact per range that misses it.
+    The merge hint keeps Spark from broadcasting the blocks, whose number it cannot foresee, and
+    lets adaptive execution split a block that very many ranges cover.
+    """
+    found, placed = place_in_order(facts, ranges, value)
+    last = found.agg(F.max("_place")).first()[0]
+    blocks = covered_blocks(placed, -1 if last is None else last).hint("merge")
+    rows = found.withColumn("_block", F.expr(f"_place div {BLOCK}"))
+    return rows.join(blocks, "_block").where("_place > _first AND _place < _end").drop("_place", "_block", "_first", "_end")
+
+
+def count_in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+    """Every range with its ``facts_count``; no fact is joined.
+
+    The number of facts before a bound is its position among facts and bounds less its position
+    among the bounds alone.
+    """
+    named = write_through(ranges.withColumn("_id", F.monotonically_increasing_id()), "named_ranges")
+    found, placed = place_in_order(facts.select(value), named, value)
+    ends = F.array(
+        F.struct(F.col("_first").alias("_place"), F.lit(-1).alias("_sign")), F.struct(F.col("_end").alias("_place"), F.lit(1).alias("_sign"))
     )
-    facts = where_computed(facts, F.col(value).between(F.lit(low), F.lit(high)))
-    found = found or []
-    cuts = sorted(set(found))
-    every, coarse = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, cuts[step - 1 :: step]))
-
-    def passed(some: Column, x: Column) -> Column:
-        return F.size(F.filter(some.cast("array<double>"), lambda cut: cut <= x))
-
-    def bin_of(x: Column) -> Column:
-        """Number of cuts up to ``x``: by coarse steps, then inside one step."""
-        skipped = passed(coarse, x) * step
-        return skipped + passed(F.slice(every.cast("array<double>"), skipped + 1, step), x)
-
-    upper = F.coalesce("max_emissions", F.lit(float("inf")))
-    touched = F.explode(F.sequence(bin_of(F.col("min_emissions")), bin_of(upper)))
-    spread = ranges.withColumn("_bin", touched).hint("merge")
-    placed = facts.withColumn("_bin", bin_of(F.col(value)))
-    return placed.join(spread, "_bin").where(_within(F.col(value))).drop("_bin")
+    bounds = placed.select("_id", F.inline(ends))
+    ranked = global_index(bounds.where(F.col("_place") < PAST_ALL), [F.col("_place")], "_rank")
+    before = ranked.select("_id", "_sign", (F.col("_place") - F.col("_rank")).alias("_before"))
+    # All facts stand before the end of an open range.
+    open_ends = bounds.where(F.col("_place") == PAST_ALL).select("_id", "_sign", F.lit(found.count()).alias("_before"))
+    counted = before.unionByName(open_ends).groupBy("_id").agg(F.sum(F.col("_sign") * F.col("_before")).alias("facts_count"))
+    counted = named.join(counted, "_id", "left").drop("_id")
+    return counted.withColumn("facts_count", F.coalesce("facts_count", F.lit(0).cast("bigint")))
 
 
 def shard_by_range(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:

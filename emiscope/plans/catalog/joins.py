@@ -83,19 +83,34 @@ def shard_range_scan(spark, sf):
       ON o_totalprice >= lo.p_retailprice * 50 AND o_totalprice < lo.p_retailprice * 50 + 2000 GROUP BY lo.p_partkey""",
 )
 def many_ranges_join(spark, sf):
-    """The binned form, which takes ranges too many to broadcast."""
-    ranges = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("shard_id"),
-        (F.col("p_retailprice") * 50).alias("min_emissions"),
-        (F.col("p_retailprice") * 50 + 2000).alias("max_emissions"),
-    )
+    """The sweep form, which takes ranges too many to broadcast."""
     facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    hits = J.binned_range_join(facts, ranges, "o_totalprice")
+    hits = J.sweep_join(facts, price_ranges(spark, sf), "o_totalprice")
     return hits.groupBy(F.col("shard_id").alias("p_partkey")).agg(
         F.count(F.lit(1)).alias("orders_in_range")
     )
 
 
+def price_ranges(spark, sf):
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("shard_id"),
+        (F.col("p_retailprice") * 50).alias("min_emissions"),
+        (F.col("p_retailprice") * 50 + 2000).alias("max_emissions"),
+    )
+
+
+@query(
+    "many_ranges_count",
+    """SELECT lo.p_partkey, COUNT(o_orderkey) AS orders_in_range FROM part lo LEFT JOIN orders
+      ON o_totalprice >= lo.p_retailprice * 50 AND o_totalprice < lo.p_retailprice * 50 + 2000 GROUP BY lo.p_partkey""",
+)
+def many_ranges_count(spark, sf):
+    """Counts of all ranges from positions alone, empty ranges too."""
+    facts = table(spark, sf, "orders").select("o_totalprice")
+    counted = J.count_in_ranges(facts, price_ranges(spark, sf), "o_totalprice")
+    return counted.select(F.col("shard_id").alias("p_partkey"), F.col("facts_count").alias("orders_in_range"))
+
+
 @query(
     "incremental_anti",
     "SELECT k, model_id FROM payloads WHERE k NOT IN (SELECT k FROM enrich_log WHERE status = 'F')",

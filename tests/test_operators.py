@@ -132,7 +132,56 @@ def brute_ranges(facts, ranges):
     )
 
 
-@pytest.mark.parametrize("join", [J.in_ranges, J.binned_range_join])
+def awkward_ranges():
+    """Overlapping, nested, repeated, open, empty, turned and unbounded ranges, over values with a hot one."""
+    facts = [(k, rng.choice([7.25, round(rng.uniform(-5, 60), 1)])) for k in range(700)]
+    facts += [(9000, 0.0), (9001, -0.0), (9002, None), (9003, 1e12), (9004, -1e300), (9005, float("inf")), (9006, float("nan"))]
+    ranges = [(k, lo, lo + rng.choice([0.1, 1.0, 30.0])) for k, lo in enumerate(round(rng.uniform(-8, 55), 1) for _ in range(60))]
+    ranges += [(100, 7.25, 7.25), (101, 9.0, 3.0), (102, None, 5.0), (103, 0.0, 0.1), (104, -0.0, 7.25), (105, 7.25, None)]
+    ranges += [(106, -1e308, 1e308), (106, 20.0, 21.0), (107, 1e300, 1e305), (107, 1e300, 1e305)]
+    return facts, ranges
+
+
+@pytest.mark.parametrize("block", [1, 3, 256])
+def test_sweep_against_loop(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "BLOCKS_PER_CUT", 5)
+    facts, ranges = awkward_ranges()
+    given = spark.createDataFrame(facts, "id INT, x DOUBLE"), spark.createDataFrame(ranges, "shard_id INT, min_emissions DOUBLE, max_emissions DOUBLE")
+    # NaN is the greatest value, so that open ranges hold it.
+    loop = sorted(
+        (s, k) for k, x in facts for s, lo, hi in ranges
+        if x is not None and lo is not None and (hi is None if x != x else x >= lo and (hi is None or x < hi))
+    )
+    got = J.sweep_join(*given, "x")
+    assert sorted((r["shard_id"], r["id"]) for r in got.collect()) == loop
+    assert got.columns == ["id", "x", "shard_id", "min_emissions", "max_emissions"]
+    counts = J.count_in_ranges(*given, "x").collect()
+    assert sorted((r[0], r[1] or 0.0, r[3]) for r in counts) == sorted(
+        (s, lo or 0.0, sum(x is not None and lo is not None and (hi is None if x != x else x >= lo and (hi is None or x < hi)) for _, x in facts))
+        for s, lo, hi in ranges
+    )
+
+
+def test_sweep_without_facts_or_ranges(spark):
+    facts, ranges = "id INT, x DOUBLE", "shard_id INT, min_emissions DOUBLE, max_emissions DOUBLE"
+    some = spark.createDataFrame([(1, 2.0)], facts), spark.createDataFrame([(1, 0.0, 5.0)], ranges)
+    none = spark.createDataFrame([], facts), spark.createDataFrame([], ranges)
+    assert J.sweep_join(some[0], none[1], "x").count() == J.sweep_join(none[0], some[1], "x").count() == 0
+    assert [r["facts_count"] for r in J.count_in_ranges(none[0], some[1], "x").collect()] == [0]
+    assert J.count_in_ranges(some[0], none[1], "x").count() == 0
+
+
+def test_sweep_takes_more_ranges_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(J, "BROADCAST_RANGES", 3)
+    facts = spark.range(300).selectExpr("id", "id / 10 AS x")
+    ranges = spark.range(40).selectExpr("CAST(id AS INT) AS shard_id", "id - 5.0D AS min_emissions", "id - 3.0D AS max_emissions", "'r' || id AS name")
+    got = J.in_ranges(facts, ranges, "x")
+    assert got.count() == sum(k - 5 <= i / 10 < k - 3 for i in range(300) for k in range(40))
+    assert {(r.shard_id, r.name) for r in got.select("shard_id", "name").distinct().collect()} == {(k, f"r{k}") for k in range(4, 35)}
+
+
+@pytest.mark.parametrize("join", [J.in_ranges, J.sweep_join])
 def test_range_joins_against_loop(spark, join):
     facts = [(i, 0.0 if i % 3 == 0 else round(rng.uniform(-5, 60), 2)) for i in range(900)]
     facts += [(9001, 5.0), (9002, None), (9003, 1e12)]

@@ -6,6 +6,7 @@ import pytest
 
 from emiscope.operators import joins as J
 from emiscope.plans.catalog import QUERIES
+from emiscope.plans.catalog.joins import price_ranges
 from emiscope.plans.catalog.scans import SLIM_BRONZE
 from emiscope.plans.fixtures import relation, table
 from emiscope.session import fresh_path
@@ -39,10 +40,19 @@ def test_ranges_are_the_broadcast_side(spark, sf):
     assert "CartesianProduct" not in text
 
 
-def test_binned_join_is_an_equi_join(spark, sf):
+def test_sweep_moves_facts_bounds_and_blocks(spark, sf):
+    """An equi join on blocks, whose rows follow the hits and not the product of both sides."""
     facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    text = plan(J.binned_range_join(facts, J.emission_ranges(spark), "o_totalprice"))
-    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    ranges = price_ranges(spark, sf)
+    joined = J.sweep_join(facts, ranges, "o_totalprice")
+    text = plan(joined)
+    assert "NestedLoop" not in text and "CartesianProduct" not in text and "SortMergeJoin [_block" in text
+    found, placed = J.place_in_order(facts, ranges, "o_totalprice")
+    n, m = facts.count(), ranges.count()
+    assert found.count() == n and placed.count() == m
+    blocks = J.covered_blocks(placed, n + 2 * m).count()
+    positions = placed.selectExpr("sum(_end - _first)").first()[0]
+    assert blocks <= 2 * m + positions / J.BLOCK
 
 
 def test_run_is_pruned_by_directory(spark):
