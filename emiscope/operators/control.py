@@ -16,6 +16,7 @@ from emiscope.schemas import (
     CLAIMABLE_STATUSES,
     CONTROL_SCHEMA,
     METRIC_COUNTS,
+    OUTPUT_FOLDERS,
     RESUMABLE_STATUSES,
 )
 
@@ -204,6 +205,31 @@ def claim(control: DataFrame, wanted: DataFrame, job_name: str, now: Column) ->
     )
 
 
+def apply_claims(control: DataFrame, claims: DataFrame) -> DataFrame:
+    """Control rows as the claims leave them: a claim of a later attempt makes a row running.
+
+    Of several later claims the one of the latest attempt counts.
+    """
+    newest = claims.groupBy(*KEY).agg(F.max_by(F.struct("attempt", "job_name", "claimed_at"), "attempt").alias("_claim"))
+    joined = control.join(newest, list(KEY), "left")
+    later = F.coalesce(F.col("_claim.attempt") > F.col("attempts"), F.lit(False))
+    changes = {
+        "status": F.lit("RUNNING"),
+        "attempts": F.col("_claim.attempt"),
+        "started_at": F.coalesce("started_at", "_claim.claimed_at"),
+        "job_name": F.col("_claim.job_name"),
+        "updated_at": F.col("_claim.claimed_at"),
+    }
+    updates = {name: F.when(later, value).otherwise(F.col(name)) for name, value in changes.items()}
+    return joined.withColumns(updates).select(*control.columns)
+
+
+def output_paths(base: str) -> dict[str, Column]:
+    """Where the outputs of a row's run and partition lie below ``base``: each a folder to read."""
+    below = F.format_string("/run_id=%s/partition_id=%s", "run_id", "partition_id")
+    return {name: F.concat(F.lit(f"{base}/{folder}"), below) for name, folder in OUTPUT_FOLDERS.items()}
+
+
 def _merged(
     control: DataFrame,
     events: DataFrame,
@@ -236,13 +262,19 @@ def merge_progress(control: DataFrame, metrics: DataFrame, now: Column, sequence
 def complete(
     control: DataFrame, metrics: DataFrame, prefix: str, now: Column, sequence: Sequence[str] = ()
 ) -> DataFrame:
-    """Finished partitions get their counters, output prefix and success marker path."""
-    path = F.format_string(prefix + "/run_id=%s/partition_id=%s", "run_id", "partition_id")
+    """Finished partitions get their counters and the paths of what they left.
+
+    A path is named only if there is something to read: no results without a success, no errors
+    without a failure.
+    """
+    paths = output_paths(prefix)
+    some = {"results_path": "success_count", "errors_path": "failed_count"}
+    named = {n: F.when(F.col(f"_event.{some[n]}") > 0, path) if n in some else path for n, path in paths.items()}
     changes = {
         "status": F.lit("COMPLETED"),
         "processed_count": F.col("_event.success_count") + F.col("_event.failed_count"),
-        "output_prefix": path,
-        "success_marker_path": F.concat(path, F.lit("/_SUCCESS")),
+        "output_prefix": paths["results_path"],
+        **{n: path for n, path in named.items() if n in control.columns},
         "completed_at": now,
     }
     names = [n for n in METRIC_COUNTS if n != "processed_count"]

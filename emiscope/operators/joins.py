@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +32,32 @@ def emission_ranges(spark: SparkSession) -> DataFrame:
     return rows.to(StructType.fromDDL(RANGE_SCHEMA))
 
 
-@dataclass
 class Lookup:
-    found: DataFrame
-    missing_id: DataFrame
-    missing_payload: DataFrame
-    unreadable: DataFrame
+    """Rows split by what their id leads to. Each side costs what it needs.
+
+    Absent payloads are found by their ids alone. The rows that have a payload are joined and
+    written when the first of ``found`` and ``unreadable`` is asked for, and read by both.
+    """
+
+    def __init__(self, rows: DataFrame, payloads: DataFrame, json_column: str):
+        self.with_id, self.missing_id = split_missing_id(rows)
+        self.payloads, self.json_column = payloads, json_column
+        named = payloads.where(F.col(json_column).isNotNull()).select(F.col("model_id").alias("_id"))
+        keyed = self.with_id.withColumn("_id", strip(F.col("model_id")))
+        self.missing_payload = keyed.join(named, "_id", "left_anti").drop("_id")
+
+    @cached_property
+    def attached(self) -> DataFrame:
+        there = attach_payloads(self.with_id, self.payloads, self.json_column).where("error_type IS NULL OR error_type <> 'LookupError'")
+        return write_through(there, "lookup")
+
+    @property
+    def found(self) -> DataFrame:
+        return self.attached.where("error_type IS NULL").drop("error_type", "error_message", "called")
+
+    @property
+    def unreadable(self) -> DataFrame:
+        return self.attached.where("error_type IS NOT NULL").drop(self.json_column, "error_type", "error_message", "called")
 
 
 def split_missing_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -51,13 +71,15 @@ def attach_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
 
     Adds the payload, ``error_type`` and ``error_message`` (NULL for a usable payload) and
     ``called``: whether the row led to a lookup. A payload that is no JSON object is an
-    error. Of several payloads of one id the last by byte order counts. The payload column
-    is read once; rows without an id pass by the join.
+    error. Of several payloads of one id the last by byte order counts. Payloads that no row
+    asks for stay where they are. Rows without an id pass by the join.
     """
     with_id, missing_id = split_missing_id(rows)
+    with_id = with_id.withColumn("_id", strip(F.col("model_id")))
     known = payloads.select(F.col("model_id").alias("_id"), F.col(json_column)).where("_id is not null")
+    known = known.join(with_id.select("_id").distinct(), "_id", "left_semi")
     known = known.groupBy("_id").agg(F.max(json_column).alias(json_column))
-    joined = with_id.withColumn("_id", strip(F.col("model_id"))).join(known, "_id", "left").drop("_id")
+    joined = with_id.join(known, "_id", "left").drop("_id")
     absent = F.col(json_column).isNull()
     # Keys of the outer object: NULL for broken text and for any other kind of value.
     broken = F.json_object_keys(json_column).isNull()
@@ -82,22 +104,8 @@ def attach_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "pa
 
 
 def lookup_payloads(rows: DataFrame, payloads: DataFrame, json_column: str = "payload_json") -> Lookup:
-    """Each row with its payload by id, split by outcome.
-
-    The join is written once and then split, so payloads are read once.
-    """
-    attached = write_through(attach_payloads(rows, payloads, json_column), "lookup")
-    outcome = F.col("error_type")
-
-    def side(kind: str, *more: str) -> DataFrame:
-        return attached.where(outcome == kind).drop(json_column, "error_type", "error_message", "called", *more)
-
-    return Lookup(
-        found=attached.where(outcome.isNull()).drop("error_type", "error_message", "called"),
-        missing_id=side("ValueError"),
-        missing_payload=side("LookupError"),
-        unreadable=side("InvalidPayload"),
-    )
+    """Each row with its payload by id, split by outcome."""
+    return Lookup(rows, payloads, json_column)
 
 
 def capture_errors(rows: DataFrame, json_column: str, shaped: dict[str, Column], document: str = "_doc") -> DataFrame:

@@ -96,7 +96,7 @@ def valid_models(rows: DataFrame) -> DataFrame:
 
 def enriched_rows(
     found: DataFrame,
-    run_id: str,
+    run_id: str | Column,
     partition_id: Column,
     enriched_at: Column | None = None,
     json_column: str = "payload_json",
@@ -165,7 +165,7 @@ def _or_row(value: Column, row_value: Column) -> Column:
 
 def error_rows(
     failed: DataFrame,
-    run_id: str,
+    run_id: str | Column,
     partition_id: Column,
     error_type: Column,
     message: Column,

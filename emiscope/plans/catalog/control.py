@@ -124,7 +124,8 @@ def control_progress(spark, sf):
     "control_complete",
     f"""SELECT c.partition_id, CASE WHEN m.partition_id IS NULL THEN c.status ELSE 'COMPLETED' END AS status,
       COALESCE(m.success_count + m.failed_count, 0) AS processed_count, COALESCE(m.batches_written, 0) AS batches_written,
-      CASE WHEN m.partition_id IS NOT NULL THEN 'enriched/run_id={RUN}/partition_id=' || c.partition_id || '/_SUCCESS' END AS success_marker_path,
+      CASE WHEN m.partition_id IS NOT NULL THEN 'enriched/markers/run_id={RUN}/partition_id=' || c.partition_id END AS success_marker_path,
+      CASE WHEN m.partition_id IS NOT NULL THEN 'enriched/batches/run_id={RUN}/partition_id=' || c.partition_id END AS output_prefix,
       CASE WHEN m.partition_id IS NOT NULL THEN '{STAMP}' END AS completed_at
     FROM control c LEFT JOIN metrics m ON m.partition_id = c.partition_id AND m.partition_id <> '000004'""",
     CONTROL_CTES,
@@ -132,7 +133,7 @@ def control_progress(spark, sf):
 def control_complete(spark, sf):
     done = metrics(spark, sf).where("partition_id <> '000004'").withColumn("run_id", F.lit(RUN))
     return K.complete(control_table(spark, sf), done, "enriched", F.lit(STAMP)).select(
-        "partition_id", "status", "processed_count", "batches_written", "success_marker_path", "completed_at"
+        "partition_id", "status", "processed_count", "batches_written", "success_marker_path", "output_prefix", "completed_at"
     )
 
 

@@ -14,7 +14,7 @@ from emiscope.plans.catalog.rows import (
 )
 from emiscope.plans.catalog.scans import CHUNK_CTES, chunked, discovered
 from emiscope.plans.fixtures import relation, table
-from emiscope.schemas import ENRICHED_SCHEMA
+from emiscope.schemas import ENRICHED_SCHEMA, ERROR_SCHEMA, MARKER_SCHEMA, METRICS_SCHEMA, OUTPUT_FOLDERS
 from emiscope.session import fresh_path
 from emiscope.sources import readers, writers
 
@@ -153,7 +153,23 @@ def job_enrich_errors(spark, sf):
     CHUNK_CTES,
 )
 def job_runs(spark, sf):
-    """Two runs from preparation to their end, asked for twice; the first retries one partition.
+    """Two runs from preparation to their end, asked for twice; the first retries one partition."""
+    first, last, out = two_runs(spark, sf)
+    actual = first.counts.select("run_id", "partition_id", "actual_count")
+    enriched = readers.read_json_lines(spark, f"{out}/batches", ENRICHED_SCHEMA)
+    stored = enriched.groupBy("run_id", "partition_id").agg(F.count(F.lit(1)).alias("enriched_rows"))
+    return (
+        last.control.join(actual, ["run_id", "partition_id"])
+        .join(stored, ["run_id", "partition_id"])
+        .select(
+            "run_id", "partition_id", "status", F.col("attempts").cast("int").alias("attempts"), "records_count",
+            "actual_count", "success_count", "failed_count", "enriched_rows",
+        )
+    )
+
+
+def two_runs(spark, sf):
+    """Results of the first and the last worker, and the folder of the outputs.
 
     Run B declares one row too many for its first partition, which has to fail.
     """
@@ -174,21 +190,52 @@ def job_runs(spark, sf):
     payloads = relation(spark, sf, "payloads").where("k % 11 <> 0")
     keys = control.select("run_id", "partition_id")
     out = f"{base}/enriched"
-    # The first attempt finds no payload at all for one partition; then that partition is asked for again.
     done = jobs.work(spark, control, keys.unionByName(keys), payloads, out, "enrich", F.lit(STAMP))
+    # One partition is declared failed and asked for again.
     again = (F.col("run_id") == "A") & first
     failed = done.control.withColumn("status", F.when(again, "FAILED").otherwise(F.col("status")))
-    retry = jobs.work(spark, failed, keys.where(again), payloads, out, "enrich", F.lit(STAMP))
-    actual = done.counts.select("run_id", "partition_id", "actual_count")
-    enriched = readers.read_json_lines(spark, f"{out}/batches", ENRICHED_SCHEMA)
-    stored = enriched.groupBy("run_id", "partition_id").agg(F.count(F.lit(1)).alias("enriched_rows"))
-    return (
-        retry.control.join(actual, ["run_id", "partition_id"])
-        .join(stored, ["run_id", "partition_id"])
-        .select(
-            "run_id", "partition_id", "status", F.col("attempts").cast("int").alias("attempts"), "records_count",
-            "actual_count", "success_count", "failed_count", "enriched_rows",
-        )
+    return done, jobs.work(spark, failed, keys.where(again), payloads, out, "enrich", F.lit(STAMP)), out
+
+
+@query(
+    "job_named_paths",
+    f"""SELECT run_id, partition_id, COUNT(*) FILTER (k % 11 <> 0) AS results_rows, COUNT(*) FILTER (k % 11 = 0) AS errors_rows,
+      1 AS metrics_rows, 1 AS success_marker_rows, COUNT(*) FILTER (k % 11 <> 0) AS marked_success, COUNT(*) FILTER (k % 11 = 0) AS marked_failed,
+      'COMPLETED' AS marked_status, CAST(ceil(COUNT(*) FILTER (k % 11 <> 0) / 50.0) AS BIGINT) AS last_batch, '{STAMP}' AS marked_at
+    FROM chunked, (VALUES ('A'), ('B')) t(run_id) WHERE run_id = 'A' OR partition_id <> '000000' GROUP BY run_id, partition_id""",
+    CHUNK_CTES,
+)
+def job_named_paths(spark, sf):
+    """What stands at every path that a completed control row names: rows, marker and last batch."""
+    _, last, out = two_runs(spark, sf)
+    done = last.control.where("status = 'COMPLETED'")
+    found = done.select(
+        "run_id", "partition_id", "last_batch_path", *[F.col(name) for name in OUTPUT_FOLDERS]
+    )
+    place = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"), "/[^/]*$", "").alias("_place")
+
+    def at(name, schema, *shown):
+        """Rows per folder of one kind of output, and what else is to be shown of them."""
+        rows = spark.read.schema(schema).json(f"{out}/{OUTPUT_FOLDERS[name]}").select("*", place)
+        return rows.groupBy("_place").agg(F.count(F.lit(1)).alias(name.replace("_path", "_rows")), *shown)
+
+    marker = [
+        F.max("status").alias("marked_status"), F.max("success_count").alias("marked_success"),
+        F.max("failed_count").alias("marked_failed"), F.max("success_marker_created_at").alias("marked_at"),
+    ]
+    for name, rows in (
+        ("results_path", at("results_path", f"batch BIGINT, {ENRICHED_SCHEMA}")),
+        ("errors_path", at("errors_path", ERROR_SCHEMA)),
+        ("metrics_path", at("metrics_path", METRICS_SCHEMA)),
+        ("success_marker_path", at("success_marker_path", MARKER_SCHEMA, *marker)),
+        ("last_batch_path", at("results_path", f"batch BIGINT, {ENRICHED_SCHEMA}", F.max("batch").alias("last_batch")).drop("results_rows")),
+    ):
+        plain = F.regexp_replace(F.col(name), "^file:/+", "/")
+        found = found.join(rows, plain == rows["_place"], "left").drop("_place")
+    named = found.drop("last_batch_path", *OUTPUT_FOLDERS)
+    return named.withColumns(
+        {n: F.coalesce(n, F.lit(0).cast("bigint")) for n in ("results_rows", "errors_rows")}
+        | {n: F.col(n).cast("int") for n in ("metrics_rows", "success_marker_rows")}
     )
 
 

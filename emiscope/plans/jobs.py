@@ -22,9 +22,10 @@ from emiscope.schemas import (
     ENRICHED_SCHEMA,
     ERROR_SCHEMA,
     METRICS_SCHEMA,
+    OUTPUT_FOLDERS,
 )
 from emiscope.session import write_through
-from emiscope.sources import readers, writers
+from emiscope.sources import claims, readers, writers
 
 
 #: Steps of a discovery run, in order.
@@ -172,56 +173,65 @@ def enrich(
     rows: DataFrame,
     payloads: DataFrame,
     out: str,
-    run_id: str,
+    run_id: str | None = None,
     now: Column | None = None,
+    mark: bool = True,
 ) -> EnrichResult:
     """Chunk rows with their payloads to batches, dead letters, run metrics and success markers.
 
-    ``rows`` carry ``partition_id``. Every input row ends in exactly one of the two
-    outputs. Payloads are read once: the join, the check and the shaping of a row are one
-    pass, whose result is written and then split. All lies below ``run_id=`` and
-    ``partition_id=``; a retry replaces the partitions it holds and nothing else. The
-    result is this run's, with its earlier partitions.
+    ``rows`` carry ``partition_id``, and ``run_id`` unless one is given for all. Every input row
+    ends in exactly one of the two outputs. Payloads are read once: the join, the check and the
+    shaping of a row are one pass, whose result is written and then split. All lies in the
+    folders that ``control.output_paths`` names; a retry replaces the partitions it holds and
+    nothing else. The result is of these runs, with their earlier partitions. Without ``mark``
+    the caller writes the markers.
     """
+    run = F.col("run_id") if run_id is None else F.lit(run_id)
     found = J.attach_payloads(rows, payloads)
     shaped = W.enriched_rows(
-        found, run_id, F.col("partition_id"), now,
+        found, run, F.col("partition_id"), now,
         keep=("error_type", "error_message", "called", F.col("model_id").alias("_given"), F.col("discovered_at").alias("_at")),
     )
     shaped = write_through(shaped.withColumn("ok", F.col("error_type").isNull()), "outcomes")
     order = [F.asc("_given"), F.asc("_at")]
-    done = A.batch_numbers(shaped.where("ok"), ["partition_id"], order).select("batch", *ENRICHED_COLUMNS)
-    writers.write_batches(done, f"{out}/batches", ["run_id", "partition_id"])
-    failed = shaped.where("NOT ok").select("partition_id", F.col("_given").alias("model_id"), "error_type", "error_message")
+    done = A.batch_numbers(shaped.where("ok").select("_given", "_at", *ENRICHED_COLUMNS), list(K.KEY), order)
+    writers.write_batches(done.select("batch", *ENRICHED_COLUMNS), f"{out}/{OUTPUT_FOLDERS['results_path']}", list(K.KEY))
+    failed = shaped.where("NOT ok").select("run_id", "partition_id", F.col("_given").alias("model_id"), "error_type", "error_message")
     failed = W.error_rows(
-        failed, run_id, F.col("partition_id"), F.col("error_type"), F.col("error_message"), now
+        failed, F.col("run_id"), F.col("partition_id"), F.col("error_type"), F.col("error_message"), now
     )
-    writers.write_batches(failed, f"{out}/errors", ["run_id", "partition_id"])
-    counts = A.partition_metrics(shaped, ["run_id", "partition_id"], F.col("ok"), F.col("called"))
-    counts = write_through(counts, "metrics")
+    writers.write_batches(failed, f"{out}/{OUTPUT_FOLDERS['errors_path']}", list(K.KEY))
+    counts = A.partition_metrics(shaped, list(K.KEY), F.col("ok"), F.col("called"))
+    paths = K.output_paths(out)
+    # Where the last batch is: batches are numbered rows of the partition's folder.
+    last = F.when(F.col("batches_written") > 0, paths["results_path"])
+    counts = write_through(counts.withColumn("last_batch_path", last), "metrics")
     # A partition without rows of one kind keeps none from an earlier attempt.
-    for column, folder in (("success_count", "batches"), ("failed_count", "errors")):
-        none = counts.where(F.col(column) == 0).select("run_id", "partition_id")
-        writers.drop_directories(spark, none, f"{out}/{folder}")
-    last = F.when(
-        F.col("batches_written") > 0,
-        F.format_string(f"{out}/batches/run_id=%s/partition_id=%s/batch_%06d", "run_id", "partition_id", "batches_written"),
-    )
-    writers.write_batches(counts.withColumn("last_batch_path", last), f"{out}/metrics", ["run_id", "partition_id"])
-    # The marker stands where ``control.complete`` says, and carries the counts.
-    writers.write_batches(
-        counts.select("run_id", "partition_id", F.lit("_SUCCESS").alias("marker"), "input_count", "success_count", "failed_count"),
-        f"{out}/markers", ["run_id", "partition_id"],
+    for column, path in (("success_count", "results_path"), ("failed_count", "errors_path")):
+        none = counts.where(F.col(column) == 0).select(*K.KEY)
+        if not none.isEmpty():
+            writers.empty_directories(none, f"{out}/{OUTPUT_FOLDERS[path]}")
+    writers.write_batches(counts, f"{out}/{OUTPUT_FOLDERS['metrics_path']}", list(K.KEY))
+    if mark:
+        write_markers(counts, out, now)
+    runs = counts.select("run_id").distinct()
+
+    def read(path: str, schema: str) -> DataFrame:
+        stored = _present(spark, f"{out}/{OUTPUT_FOLDERS[path]}", schema)
+        return stored.join(F.broadcast(runs), "run_id", "left_semi") if run_id is None else stored.where(F.col("run_id") == run_id)
+
+    return EnrichResult(
+        enriched=read("results_path", ENRICHED_SCHEMA), errors=read("errors_path", ERROR_SCHEMA), metrics=read("metrics_path", METRICS_SCHEMA)
     )
-    mine = F.col("run_id") == run_id
 
-    def read(folder: str, schema: str) -> DataFrame:
-        return _present(spark, f"{out}/{folder}", schema).where(mine)
 
-    metrics = read("metrics", METRICS_SCHEMA)
-    return EnrichResult(
-        enriched=read("batches", ENRICHED_SCHEMA), errors=read("errors", ERROR_SCHEMA), metrics=metrics
+def write_markers(metrics: DataFrame, out: str, now: Column | None = None) -> None:
+    """Success markers of finished partitions, with their counts, where control rows say."""
+    told = metrics.select(
+        *K.KEY, F.lit("COMPLETED").alias("status"), "input_count", "success_count", "failed_count", "api_calls_count",
+        "batches_written", (now if now is not None else W.now_text()).alias("success_marker_created_at"),
     )
+    writers.write_batches(told, f"{out}/{OUTPUT_FOLDERS['success_marker_path']}", list(K.KEY))
 
 
 def _present(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -249,39 +259,37 @@ def work(
     out: str,
     job_name: str,
     now: Column | None = None,
+    claims_path: str | None = None,
 ) -> WorkResult:
     """Claim partitions, enrich their chunks, and move them to their end.
 
-    Of ``wanted`` (``run_id, partition_id``) the pending and failed ones run. A partition
-    whose outcomes are as many as declared completes; any other fails. ``control`` comes
-    back whole, and ``counts`` reconciles declared with processed rows.
+    Of ``wanted`` (``run_id, partition_id``) the pending and failed ones run, unless another
+    worker has claimed the same attempt at ``claims_path`` (by default below ``out``): any
+    number of workers may start from one control table. A partition whose outcomes are as
+    many as declared completes and gets its marker; any other fails. ``control`` comes back
+    whole, with the claims of all workers; ``counts`` reconciles declared with processed rows.
     """
     now = now if now is not None else W.now_text()
-    before = control.select(*K.KEY, F.col("attempts").alias("_before"))
-    claimed = write_through(K.claim(control, wanted, job_name, now), "claimed")
-    mine = write_through(
-        claimed.join(before, list(K.KEY)).where(F.col("attempts") > F.col("_before")).select(*claimed.columns), "mine"
-    )
-    metrics: DataFrame | None = None
-    for row in mine.select("run_id").distinct().toLocalIterator():  # one row per run
-        run = row["run_id"]
-        chunks = readers.read_chunks(spark, mine.where(F.col("run_id") == run)).drop("run_id")
-        done = enrich(spark, chunks, payloads, out, run, now).metrics.join(mine.select(*K.KEY), list(K.KEY), "left_semi")
-        metrics = done if metrics is None else metrics.unionByName(done)
-    if metrics is None:
+    log = claims_path or f"{out}/claims"
+    asked = K.claimable(control).join(wanted.select(*K.KEY).distinct(), list(K.KEY), "left_semi")
+    got = claims.take(spark, log, asked.select(*K.KEY, (F.col("attempts") + 1).cast("bigint").alias("attempt")), job_name, now)
+    claimed = write_through(K.apply_claims(control, claims.claims(spark, log)), "claimed")
+    mine = write_through(claimed.join(got.select(*K.KEY), list(K.KEY), "left_semi"), "mine")
+    if mine.isEmpty():
         none = spark.createDataFrame([], METRICS_SCHEMA)
         return WorkResult(claimed, none, J.reconcile_counts(mine, none, K.KEY))
-    counted = metrics.withColumn("records_count", F.col("processed_count"))
-    counts = mine.select(*K.KEY, "records_count").join(
-        counted.select(*K.KEY, F.col("records_count").alias("actual_count")), list(K.KEY), "left"
-    )
+    done = enrich(spark, readers.read_chunks(spark, mine), payloads, out, None, now, mark=False)
+    metrics = write_through(done.metrics.join(mine.select(*K.KEY), list(K.KEY), "left_semi"), "worked")
+    counted = metrics.select(*K.KEY, F.col("processed_count").alias("actual_count"))
     actual = F.coalesce("actual_count", F.lit(0).cast("bigint"))
+    counts = mine.select(*K.KEY, "records_count").join(counted, list(K.KEY), "left")
     counts = write_through(
         counts.select(*K.KEY, "records_count", actual.alias("actual_count"), (~F.col("records_count").eqNullSafe(actual)).alias("mismatch")),
         "reconciled",
     )
     moved = K.merge_progress(claimed, metrics, now)
     whole = metrics.join(counts.where("NOT mismatch"), list(K.KEY), "left_semi")
+    write_markers(whole, out, now)
     moved = K.complete(moved, whole, out, now)
     broken = counts.where("mismatch").select(
         *K.KEY,

@@ -103,6 +103,21 @@ CONTROL_SCHEMA = (
     "created_at STRING, updated_at STRING"
 )
 
+# One row per claim of a partition by a worker.
+CLAIM_SCHEMA = "run_id STRING, partition_id STRING, attempt BIGINT, holder STRING, job_name STRING, claimed_at STRING"
+
+# What one worked partition leaves, and the folder that holds it for all partitions.
+OUTPUT_FOLDERS = {
+    "results_path": "batches",
+    "errors_path": "errors",
+    "metrics_path": "metrics",
+    "success_marker_path": "markers",
+}
+MARKER_SCHEMA = (
+    "run_id STRING, partition_id STRING, status STRING, input_count BIGINT, success_count BIGINT, failed_count BIGINT, "
+    "api_calls_count BIGINT, batches_written BIGINT, success_marker_created_at STRING"
+)
+
 METRIC_COUNTS = (
     "input_count",
     "processed_count",

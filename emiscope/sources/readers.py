@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emiscope.schemas import DISCOVERY_COLUMNS, DISCOVERY_SCHEMA
+from emiscope.sources import commits
 from emiscope.sources.writers import CSV_CELLS
 
 REQUIRED_CSV_COLUMNS = ("model_id", "co2_eq_emissions")
@@ -63,8 +64,12 @@ def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame | No
 
 
 def read_discovery(spark: SparkSession, path: str, form: str) -> DataFrame:
-    """Discovery rows as a job published them (``parquet``), or from a header CSV (``csv``)."""
-    return read_header_csv(spark, path) if form == "csv" else spark.read.schema(DISCOVERY_SCHEMA).parquet(path)
+    """Discovery rows as a job published them or from plain files (``parquet``), or from a header CSV (``csv``)."""
+    if form == "csv":
+        return read_header_csv(spark, path)
+    if commits.versions(spark, path):
+        return commits.read(spark, path, DISCOVERY_SCHEMA)
+    return spark.read.schema(DISCOVERY_SCHEMA).parquet(path)
 
 
 def read_chunks(spark: SparkSession, items: DataFrame) -> DataFrame:

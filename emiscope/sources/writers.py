@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emiscope.schemas import DISCOVERY_COLUMNS
+from emiscope.sources import commits
 
 # Cells keep outer blanks and line ends, and empty text stays apart from NULL.
 CSV_CELLS = {
@@ -69,8 +70,18 @@ def write_batches(
     writer.partitionBy(*keys).json(path)
 
 
+def empty_directories(keys: DataFrame, path: str) -> None:
+    """Leave ``<column>=<value>/...`` below ``path`` without rows for each row of ``keys``.
+
+    One write replaces them all, with files that hold a blank line, which JSON readers pass over.
+    """
+    blank = gathered(keys.withColumn("value", F.lit("")), *keys.columns)
+    writer = blank.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys.columns).text(path)
+
+
 def drop_directories(spark: SparkSession, keys: DataFrame, path: str) -> None:
-    """Remove ``<column>=<value>/...`` below ``path`` for each row of ``keys``: one per work partition."""
+    """Remove ``<column>=<value>/...`` below ``path`` for each row of ``keys``, of which there must be few."""
     jvm = spark.sparkContext._jvm
     for row in keys.toLocalIterator():
         place = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{c}={row[c]}" for c in keys.columns)]))
@@ -94,9 +105,11 @@ def write_csv_parts(
 
 
 def publish(df: DataFrame, snapshot_path: str, latest_path: str) -> None:
-    """The same typed rows under the snapshot and under ``latest``; computed once."""
-    df.write.mode("overwrite").parquet(snapshot_path)
-    df.sparkSession.read.schema(df.schema).parquet(snapshot_path).write.mode("overwrite").parquet(latest_path)
+    """The same typed rows as a version of the snapshot and of ``latest``; written once.
+
+    Readers of either see the version before until the new one is whole (``commits``).
+    """
+    commits.publish(df, snapshot_path, also=[latest_path])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,21 +114,35 @@ def test_card_spelling(spark):
     assert got == ["a", "b", "b", None, None, None]
 
 
-def test_dataset_refs_golden(spark):
-    docs = [
-        '{"cardData":{"datasets":["zebra","apple_pie","zebra"]},"tags":[]}',
-        '{"cardData":{"datasets":"zebra"},"tags":[]}',
-        '{"tags":["birds","dataset:wren","dataset:finch","dataset:wren"]}',
-        '{"tags":["birds","trees"]}',
-        '{"cardData":{"datasets":[null]},"tags":["dataset:x"]}',
-        '{"cardData":{"datasets":[]},"tags":["dataset:x",3]}',
-        '{"cardData":{"datasets":7},"tags":[]}',
-    ]
-    got = over(
-        spark, docs,
-        lambda d, c: P.dataset_refs_text(P.dataset_refs(P.at(c, "datasets"), d["tags"])),
-    )
-    assert got == ["apple_pie, zebra", "zebra", "finch, wren", None, None, "x", "7"]
+def test_dataset_refs_against_a_plain_sort(spark):
+    """References of drawn cards and tags: every kind of entry, repeated, mixed, absent."""
+    draw = random.Random(17)
+    names = [f"{a}{b}" for a in ("corpus-", "Set_", "ü", "x/") for b in range(6)]
+
+    def entry():
+        return draw.choice([
+            lambda: [draw.choice([*names, None]) for _ in range(draw.randint(0, 5))],
+            lambda: draw.choice(names), lambda: draw.randint(0, 99), lambda: None, lambda: "", lambda: [],
+        ])()
+
+    def tags():
+        return [draw.choice([f"dataset:{draw.choice(names)}", draw.choice(names), 5, "dataset:"]) for _ in range(draw.randint(0, 6))]
+
+    docs, want = [], []
+    for _ in range(250):
+        doc = {"tags": tags()}
+        if draw.random() < 0.8:
+            doc["cardData"] = {"datasets": entry()}
+        docs.append(json.dumps(doc))
+        listed = doc.get("cardData", {}).get("datasets")
+        if listed:
+            found = [str(x) for x in (listed if isinstance(listed, list) else [listed]) if x is not None]
+        else:
+            found = [t.removeprefix("dataset:") for t in doc["tags"] if isinstance(t, str) and t.startswith("dataset:")]
+        found = sorted(set(found), key=lambda f: f.encode())
+        want.append(", ".join(found) if found else None)
+    got = over(spark, docs, lambda d, c: P.dataset_refs_text(P.dataset_refs(P.at(c, "datasets"), d["tags"])))
+    assert got == want
 
 
 def test_co2_any_golden(spark):

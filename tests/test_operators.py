@@ -281,9 +281,3 @@ def test_point_and_prefix_reads(spark):
     control = spark.createDataFrame(items, "PK STRING, SK STRING")
     assert K.point_get(control, "RUN#1", "META").count() == 1
     assert K.prefix_scan(control, "RUN#1", "PARTITION#").count() == 2
-
-
-def test_binned_join_without_cuts(spark):
-    facts = spark.createDataFrame([(1, 2.0)], "id INT, x DOUBLE")
-    none = J.emission_ranges(spark).where("shard_id < 0")
-    assert J.binned_range_join(facts, none, "x").count() == 0

@@ -69,6 +69,27 @@ def test_scan_reads_only_used_columns(spark, sf):
     assert "EqualTo(o_orderstatus,F)" in text
 
 
+def test_missing_side_moves_no_payload(spark, sf):
+    stored = fresh_path(spark, "payloads")
+    relation(spark, sf, "payloads").select("model_id", "payload_json").write.parquet(stored)
+    rows = spark.createDataFrame([("a",), ("org3/m3",), (None,)], "model_id STRING")
+    look = J.lookup_payloads(rows, spark.read.parquet(stored))
+    text = plan(look.missing_payload)
+    assert "LeftAnti" in text and "attached" not in vars(look)
+    for line in text.splitlines():
+        # The payload is tested for being there, in the scan's own filter, and goes no further.
+        assert "Exchange" not in line or "payload_json" not in line
+    assert [r.model_id for r in look.missing_payload.collect()] == ["a"]
+
+
+def test_payloads_nobody_asks_for_are_not_joined(spark, sf):
+    stored = fresh_path(spark, "payloads")
+    relation(spark, sf, "payloads").select("model_id", "payload_json").write.parquet(stored)
+    rows = spark.createDataFrame([("org3/m3",), ("nobody",)], "model_id STRING")
+    text = plan(J.attach_payloads(rows, spark.read.parquet(stored)))
+    assert "LeftSemi" in text
+
+
 def test_no_query_numbers_rows_in_one_task(spark, sf):
     for name in ("chunk_assignment", "batch_numbers", "rate_window_plan"):
         text = plan(QUERIES[name](spark, sf))

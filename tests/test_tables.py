@@ -73,6 +73,17 @@ def test_batches_replace_only_their_own_directories(spark, out):
     assert sorted((r.run_id, r.partition_id, r.x) for r in read.collect()) == [("a", "1", 1), ("a", "2", 9)]
 
 
+def test_emptied_directories_have_no_rows(spark, out):
+    rows = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", "1", 3)], "run_id STRING, partition_id STRING, x INT")
+    writers.write_batches(rows, out, ["run_id", "partition_id"])
+    gone = spark.createDataFrame([("a", "1"), ("c", "7")], "run_id STRING, partition_id STRING")
+    writers.empty_directories(gone, out)
+    read = readers.read_json_lines(spark, out, rows.schema)
+    assert sorted((r.run_id, r.partition_id, r.x) for r in read.collect()) == [("a", "2", 2), ("b", "1", 3)]
+    writers.write_batches(rows.where("x = 1"), out, ["run_id", "partition_id"])
+    assert read.sparkSession.read.schema(rows.schema).json(out).count() == 3
+
+
 def test_batch_files_are_bounded(spark, out):
     rows = spark.range(230).withColumn("g", F.lit("p"))
     numbered = A.batch_numbers(rows, ["g"], [F.asc("id")])
