@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from emiscope.operators import control as K
 from emiscope.operators import joins as J
+from emiscope.operators import ranking as R
 from emiscope.plans import jobs
 from emiscope.plans.catalog.base import CARDS, DETAILS, DISCOVERY_CTES, ENRICHED_CTES, RUN, STAMP, query
 from emiscope.plans.catalog.rows import (
@@ -15,8 +16,8 @@ from emiscope.plans.catalog.rows import (
 from emiscope.plans.catalog.scans import CHUNK_CTES, chunked, discovered
 from emiscope.plans.fixtures import relation, table
 from emiscope.schemas import ENRICHED_SCHEMA, ERROR_SCHEMA, MARKER_SCHEMA, METRICS_SCHEMA, OUTPUT_FOLDERS
-from emiscope.session import fresh_path
-from emiscope.sources import readers, writers
+from emiscope.session import fresh_path, write_through
+from emiscope.sources import pages, readers, writers
 
 
 @query(
@@ -43,6 +44,36 @@ def job_discovery(spark, sf):
     return rows.join(totals, "snapshot_id").drop("snapshot_id")
 
 
+@query(
+    "job_discovery_resumed",
+    """SELECT d.model_id, d.co2_eq_emissions, CAST(d.likes AS BIGINT) AS likes, d.tags, t.seen AS total_models_seen, t.matched AS models_with_emissions,
+      t.pages AS pages_taken, t.pages AS last_successful_page
+    FROM discovered d, (SELECT COUNT(*) AS seen, COUNT(e.k) AS matched, COUNT(DISTINCT p.page) AS pages FROM dense_pages p
+      JOIN payloads x ON x.k = p.k LEFT JOIN discovered e ON e.k = p.k) t
+    WHERE d.k IN (SELECT k FROM page_log)""",
+    (*DISCOVERY_CTES, "dense_pages AS (SELECT l.k, CAST(floor(l.page / 20) AS BIGINT) AS page FROM page_log l JOIN payloads x ON x.k = l.k)"),
+)
+def job_discovery_resumed(spark, sf):
+    """A listing whose second half is stored after the first run ended; the second run goes on there."""
+    listing = relation(spark, sf, "page_log").join(relation(spark, sf, "payloads").select("k", "payload_json"), "k")
+    # The cursor has no gaps: pages are put together in twenties and numbered anew in their order.
+    listing = listing.withColumn("page", F.floor(F.col("page") / 20))
+    numbers = R.global_index(listing.select("page").distinct(), [F.asc("page")], "number")
+    listing = listing.join(numbers, "page").select("seq", (F.col("number") + 1).alias("page"), "payload_json")
+    listing = write_through(listing, "listing")
+    base = fresh_path(spark, "resumed")
+    half = listing.agg(F.max("page")).first()[0] // 2
+    each = half * 2 // 3 + 1  # two batches to each run
+    pages.store(listing.where(F.col("page") <= half), f"{base}/pages")
+    jobs.take_pages(spark, f"{base}/pages", f"{base}/out", RUN, STAMP, each)
+    pages.store(listing.where(F.col("page") > half), f"{base}/pages")
+    done = jobs.discover_pages(spark, f"{base}/pages", f"{base}/out", RUN, STAMP, each)
+    taken = jobs.pages_taken(spark, f"{base}/out", RUN)
+    taken = taken.agg(F.sum("pages").alias("pages_taken"), F.max("last_successful_page").alias("last_successful_page"))
+    totals = done.totals.select("total_models_seen", "models_with_emissions").join(F.broadcast(taken))  # one row each
+    return done.models.select("model_id", "co2_eq_emissions", "likes", "tags").join(F.broadcast(totals))
+
+
 @query(
     "job_prepare",
     f"""SELECT 'RUN#{RUN}' AS "PK", 'PARTITION#' || partition_id AS "SK", records_count, emission_min, emission_max,

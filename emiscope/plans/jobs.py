@@ -25,7 +25,7 @@ from emiscope.schemas import (
     OUTPUT_FOLDERS,
 )
 from emiscope.session import write_through
-from emiscope.sources import claims, readers, writers
+from emiscope.sources import claims, pages, readers, writers
 
 
 #: Steps of a discovery run, in order.
@@ -43,42 +43,47 @@ class DiscoveryResult:
     totals: DataFrame
 
 
+def _tell(spark: SparkSession, out: str, snapshot_id: str, event: str, counts: DataFrame, at: Column) -> None:
+    told = counts.select(
+        F.lit(snapshot_id).alias("run_id"), F.lit(EVENTS.index(event)).alias("step"), F.lit(event).alias("event"),
+        F.lit("COMPLETED" if event == EVENTS[-1] else "RUNNING").alias("status"), at.alias("at"), "counted",
+    )
+    writers.append_events(told, f"{out}/events")
+
+
+def _told_at(discovered_at: str | None) -> Column:
+    return F.lit(discovered_at) if discovered_at is not None else W.now_text()
+
+
 def discover(
     spark: SparkSession, listing: DataFrame, out: str, snapshot_id: str, discovered_at: str | None = None
 ) -> DiscoveryResult:
-    """Listed payloads (``seq``, ``page``, ``payload_json``) to a published snapshot.
+    """Listed payloads (``seq``, ``page``, ``payload_json``) to a published snapshot, in one go.
 
     Matches go to numbered parts, the last row of each model wins, and the result is
     published under ``snapshot_id=`` and as ``latest``. Steps hand typed Parquet on, so no
     text is lost; ``csv/snapshot_id=`` is an export. Other snapshots stay. Progress goes
     to ``events``, its newest entry of each snapshot being the run's state.
     """
-    place = f"snapshot_id={snapshot_id}"
-
-    def tell(event: str, counts: DataFrame) -> None:
-        at = F.lit(discovered_at) if discovered_at is not None else W.now_text()
-        step = F.lit(EVENTS.index(event))
-        told = counts.select(
-            F.lit(snapshot_id).alias("run_id"), step.alias("step"), F.lit(event).alias("event"),
-            F.lit("COMPLETED" if event == EVENTS[-1] else "RUNNING").alias("status"), at.alias("at"), "counted",
-        )
-        writers.append_events(told, f"{out}/events")
-
     matched = write_through(
         W.discovery_rows(listing, snapshot_id, discovered_at, keep=("seq", "page")), "matches"
     )
-    tell("matched", matched.agg(F.count(F.lit(1)).alias("counted")))
-    sizes = matched.groupBy("page").agg(F.count(F.lit(1)).alias("page_matches"))
-    pages = (
-        listing.groupBy("page")
-        .agg(F.count(F.lit(1)).alias("page_size"))
-        .join(sizes, "page", "left")
-        .select(
-            F.lit(snapshot_id).alias("snapshot_id"),
-            "page",
-            "page_size",
-            F.coalesce("page_matches", F.lit(0).cast("bigint")).alias("page_matches"),
-        )
+    _tell(spark, out, snapshot_id, "matched", matched.agg(F.count(F.lit(1)).alias("counted")), _told_at(discovered_at))
+    sizes = listing.groupBy("page").agg(F.count(F.lit(1)).alias("page_size"))
+    return _published(spark, matched, sizes, out, snapshot_id, discovered_at)
+
+
+def _published(
+    spark: SparkSession, matched: DataFrame, sizes: DataFrame, out: str, snapshot_id: str, discovered_at: str | None
+) -> DiscoveryResult:
+    """Matches (``seq, page`` and the discovery columns) and page sizes, to parts and a published snapshot."""
+    place = f"snapshot_id={snapshot_id}"
+    matches = matched.groupBy("page").agg(F.count(F.lit(1)).alias("page_matches"))
+    pages = sizes.join(matches, "page", "left").select(
+        F.lit(snapshot_id).alias("snapshot_id"),
+        "page",
+        "page_size",
+        F.coalesce("page_matches", F.lit(0).cast("bigint")).alias("page_matches"),
     )
     segments = A.flush_segments(pages).select("page", "part_number")
     parts = f"{out}/filtered_parts/{place}"
@@ -100,10 +105,90 @@ def discover(
     )
     result = totals.withColumn("final_rows_count", F.lit(published.count()).cast("bigint"))
     writers.write_json(result.drop("snapshot_id"), f"{out}/result/{place}")
-    tell("published", result.select(F.col("final_rows_count").alias("counted")))
+    _tell(spark, out, snapshot_id, "published", result.select(F.col("final_rows_count").alias("counted")), _told_at(discovered_at))
     return DiscoveryResult(models=published, totals=result)
 
 
+def take_pages(
+    spark: SparkSession,
+    pages_path: str,
+    out: str,
+    snapshot_id: str,
+    discovered_at: str | None = None,
+    pages_per_batch: int = pages.PAGES_PER_BATCH,
+) -> DataFrame:
+    """Match the stored pages that this snapshot has not taken yet; its progress, one row per batch.
+
+    Each batch of pages leaves its matches, its page sizes and its progress. A batch that is
+    repeated after a failure replaces its own. A failed batch ends the call with its error; the next
+    call goes on after the last page that was taken.
+    """
+    base = f"{out}/taken/snapshot_id={snapshot_id}"
+
+    def batch(rows: DataFrame, number: int) -> None:
+        kept = rows.persist()
+        try:
+            matched = W.discovery_rows(kept, snapshot_id, discovered_at, keep=("seq", "page"))
+            matched = matched.withColumnRenamed("snapshot_id", "snapshot")
+            matched.write.mode("overwrite").parquet(f"{base}/matches/batch={number}")
+            sizes = kept.groupBy("page").agg(F.count(F.lit(1)).alias("page_size"))
+            sizes.write.mode("overwrite").parquet(f"{base}/sizes/batch={number}")
+            progress = sizes.agg(
+                F.max("page").alias("last_successful_page"), F.count(F.lit(1)).alias("pages"),
+                F.coalesce(F.sum("page_size"), F.lit(0)).cast("bigint").alias("models_seen"), _told_at(discovered_at).alias("updated_at"),
+            )
+            progress.write.mode("overwrite").parquet(f"{base}/progress/batch={number}")
+        finally:
+            kept.unpersist()
+
+    query = (
+        pages.stream(spark, pages_path, pages_per_batch)
+        .writeStream.foreachBatch(batch).option("checkpointLocation", f"{base}/checkpoint").start()
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return pages_taken(spark, out, snapshot_id)
+
+
+def pages_taken(spark: SparkSession, out: str, snapshot_id: str) -> DataFrame:
+    """Progress of ``take_pages``: the last page, pages and models of each batch."""
+    layout = "last_successful_page BIGINT, pages BIGINT, models_seen BIGINT, updated_at STRING, batch BIGINT"
+    return _stored(spark, f"{out}/taken/snapshot_id={snapshot_id}/progress", layout)
+
+
+def discover_pages(
+    spark: SparkSession,
+    pages_path: str,
+    out: str,
+    snapshot_id: str,
+    discovered_at: str | None = None,
+    pages_per_batch: int = pages.PAGES_PER_BATCH,
+) -> DiscoveryResult:
+    """Discovery over stored pages: takes the pages that are left, then publishes as ``discover`` does.
+
+    A run that ended after page k goes on with page k + 1, and its result is that of one run.
+    """
+    take_pages(spark, pages_path, out, snapshot_id, discovered_at, pages_per_batch)
+    base = f"{out}/taken/snapshot_id={snapshot_id}"
+    layout = f"seq BIGINT, page BIGINT, {DISCOVERY_SCHEMA}, batch BIGINT".replace("snapshot_id", "snapshot")
+    matched = _stored(spark, f"{base}/matches", layout).withColumnRenamed("snapshot", "snapshot_id").drop("batch")
+    sizes = _stored(spark, f"{base}/sizes", "page BIGINT, page_size BIGINT, batch BIGINT").drop("batch")
+    _tell(spark, out, snapshot_id, "matched", matched.agg(F.count(F.lit(1)).alias("counted")), _told_at(discovered_at))
+    return _published(spark, matched, sizes, out, snapshot_id, discovered_at)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table of batches, or no rows where no batch was ever taken."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def resumable_snapshots(spark: SparkSession, out: str) -> DataFrame:
     """Snapshots whose newest progress event says that they are not complete."""
     layout = "run_id STRING, step INT, status STRING, at STRING, counted BIGINT, event STRING"
