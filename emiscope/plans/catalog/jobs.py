@@ -69,9 +69,11 @@ def job_discovery_resumed(spark, sf):
     pages.store(listing.where(F.col("page") > half), f"{base}/pages")
     done = jobs.discover_pages(spark, f"{base}/pages", f"{base}/out", RUN, STAMP, each)
     taken = jobs.pages_taken(spark, f"{base}/out", RUN)
-    taken = taken.agg(F.sum("pages").alias("pages_taken"), F.max("last_successful_page").alias("last_successful_page"))
-    totals = done.totals.select("total_models_seen", "models_with_emissions").join(F.broadcast(taken))  # one row each
-    return done.models.select("model_id", "co2_eq_emissions", "likes", "tags").join(F.broadcast(totals))
+    taken = taken.groupBy(F.lit(RUN).alias("snapshot_id")).agg(
+        F.sum("pages").alias("pages_taken"), F.max("last_successful_page").alias("last_successful_page")
+    )
+    totals = done.totals.drop("final_rows_count").join(taken, "snapshot_id")
+    return done.models.select("snapshot_id", "model_id", "co2_eq_emissions", "likes", "tags").join(totals, "snapshot_id").drop("snapshot_id")
 
 
 @query(

@@ -20,7 +20,7 @@ from emiscope.schemas import (
     CHUNK_SCHEMA, DISCOVERY_TEXT_SCHEMA, ENRICHED_SCHEMA,
 )
 from emiscope.session import fresh_path, write_through
-from emiscope.sources import readers, writers
+from emiscope.sources import drift, readers, writers
 
 def discovered(spark, sf, keep=("k",)):
     return W.discovery_rows(relation(spark, sf, "payloads"), RUN, STAMP, keep=keep)
@@ -492,3 +492,68 @@ def sink_progress_events(spark, sf):
     return read.groupBy("event").agg(
         F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_event")
     )
+
+
+# Documents whose fields differ from run to run, and the same documents' structure in the oracle.
+DRIFT = """
+drifting AS (
+  SELECT 'r' || CAST(k % 3 AS VARCHAR) AS run_id, payload_json FROM payloads WHERE k % 3 < 2 OR k % 4 <> 0),
+structures AS (SELECT run_id, json_group_structure(CAST(payload_json AS JSON)) AS structure FROM drifting GROUP BY run_id),
+drift_fields AS (
+  SELECT run_id, replace(replace(substr(t.fullkey, 3), '[0]', '[]'), '"', '') AS field,
+    CASE t.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'list'
+      ELSE CASE json_extract_string(t.atom, '$') WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number'
+        WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'mixed' END END AS kind
+  FROM structures, json_tree(structure) t WHERE t.fullkey <> '$')"""
+
+
+def drifting(spark, sf):
+    """Three runs of documents as stored lines, each in its directory."""
+    rows = relation(spark, sf, "payloads").where("k % 3 < 2 OR k % 4 <> 0")
+    path = fresh_path(spark, "drift")
+    rows.select(F.concat(F.lit("r"), F.col("k") % 3).alias("run_id"), F.col("payload_json").alias("value")).write.partitionBy("run_id").text(path)
+    return spark.read.text(path), path
+
+
+@query(
+    "schema_changes",
+    """SELECT f.run_id, f.previous, f.field, CASE WHEN b.kind IS NULL THEN 'new' WHEN a.kind IS NULL THEN 'lost'
+        WHEN a.kind = b.kind THEN 'same' ELSE 'changed' END AS change, b.kind AS before, a.kind AS after
+    FROM (SELECT p.run_id, p.previous, d.field FROM (VALUES ('r1', 'r0'), ('r2', 'r1')) p(run_id, previous)
+      JOIN drift_fields d ON d.run_id IN (p.run_id, p.previous) GROUP BY ALL) f
+    LEFT JOIN drift_fields a USING (run_id, field) LEFT JOIN drift_fields b ON b.run_id = f.previous AND b.field = f.field""",
+    (DRIFT,),
+)
+def schema_changes(spark, sf):
+    lines, _ = drifting(spark, sf)
+    shapes = write_through(drift.observed(lines, "value"), "shapes")
+    return drift.changes(drift.fields(shapes), shapes)
+
+
+@query(
+    "schema_history",
+    """SELECT field, CASE WHEN len(kinds) = 0 THEN 'null' WHEN len(kinds) = 1 THEN kinds[1]
+        WHEN len(list_filter(kinds, lambda x: x NOT IN ('integer', 'number'))) = 0 THEN 'number' ELSE 'mixed' END AS kind, runs, first_run, last_run
+    FROM (SELECT field, coalesce(list(DISTINCT kind) FILTER (kind <> 'null'), []) AS kinds, COUNT(DISTINCT run_id) AS runs,
+      MIN(run_id) AS first_run, MAX(run_id) AS last_run FROM drift_fields GROUP BY field)""",
+    (DRIFT,),
+)
+def schema_history(spark, sf):
+    lines, _ = drifting(spark, sf)
+    return drift.history(drift.fields(write_through(drift.observed(lines, "value"), "shapes")))
+
+
+@query(
+    "scan_inferred_json",
+    """SELECT run_id, json_extract_string(payload_json, '$.id') AS id, CAST(json_extract(payload_json, '$.downloads') AS BIGINT) AS downloads,
+      json_extract_string(payload_json, '$.pipeline_tag') AS pipeline_tag, CAST(json_extract(payload_json, '$.safetensors.total') AS BIGINT) AS total,
+      CAST(json_array_length(payload_json, '$.siblings') AS INTEGER) AS siblings FROM drifting""",
+    (DRIFT,),
+)
+def scan_inferred_json(spark, sf):
+    """Stored lines of all runs, read with the schema that they are found to have."""
+    _, path = drifting(spark, sf)
+    rows = drift.read_json(spark, path)
+    return rows.select(
+        "run_id", "id", "downloads", "pipeline_tag", F.col("safetensors.total").alias("total"), F.size("siblings").alias("siblings")
+    )
