@@ -190,23 +190,29 @@ def exact_quantiles(df: DataFrame, column: str, parts: int) -> DataFrame:
     values whose running count covers the wanted positions.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"))
-    placed = _placed(counts.agg(F.count(F.lit(1)).alias("_n")), [F.col("_v")])
+    counts = write_through(counts.agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    covered = covering_values(counts.withColumn("_shift", F.lit(0).cast("bigint")))
+    return interpolated(covered, [i * (total - 1) / parts for i in range(parts + 1)])
+
+
+def covering_values(counts: DataFrame) -> DataFrame:
+    """``_v, _lo, _hi``: the positions ``_lo <= p < _hi`` that each value takes in the order of all.
+
+    ``counts`` has each value once with its count ``_n``, and how many rows stand before it that
+    are not in ``counts`` (``_shift``).
+    """
+    placed = _placed(counts, [F.col("_v")])
     starts = placed.groupBy("_part").agg(F.sum("_n").alias("_rows"))
     starts = starts.select("_part", _before("_rows").alias("_start"))
     inside = Window.partitionBy("_part").orderBy("_pos")
-    covered = placed.join(F.broadcast(starts), "_part").select(
-        "_v",
-        (F.col("_start") + F.sum("_n").over(inside) - F.col("_n")).alias("_lo"),
-        (F.col("_start") + F.sum("_n").over(inside)).alias("_hi"),
-    )
-    total = placed.agg(F.sum("_n")).first()[0] or 0
-    # parts + 1 wanted positions, between two neighbours each.
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("step"), F.lit(i * (total - 1) / parts).alias("at"))
-            for i in range(parts + 1)
-        ]
-    )
+    end = F.col("_shift") + F.col("_start") + F.sum("_n").over(inside)
+    return placed.join(F.broadcast(starts), "_part").select("_v", (end - F.col("_n")).alias("_lo"), end.alias("_hi"))
+
+
+def interpolated(covered: DataFrame, positions: Sequence[float]) -> DataFrame:
+    """``step, bound``: the value at each position, between its two neighbours."""
+    wanted = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(at).alias("at")) for i, at in enumerate(positions)])
 
     def covers(position: Column) -> Column:
         return (F.col("_lo") <= position) & (position < F.col("_hi"))

@@ -15,7 +15,7 @@ from emiscope.plans.catalog.rows import (
 )
 from emiscope.plans.catalog.scans import CHUNK_CTES, chunked, discovered
 from emiscope.plans.fixtures import relation, table
-from emiscope.schemas import ENRICHED_SCHEMA, ERROR_SCHEMA, MARKER_SCHEMA, METRICS_SCHEMA, OUTPUT_FOLDERS
+from emiscope.schemas import DISCOVERY_SCHEMA, ENRICHED_SCHEMA, ERROR_SCHEMA, MARKER_SCHEMA, METRICS_SCHEMA, OUTPUT_FOLDERS
 from emiscope.session import fresh_path, write_through
 from emiscope.sources import pages, readers, writers
 
@@ -230,6 +230,29 @@ def two_runs(spark, sf):
     return done, jobs.work(spark, failed, keys.where(again), payloads, out, "enrich", F.lit(STAMP)), out
 
 
+@query(
+    "job_altered_chunk",
+    """SELECT partition_id, CASE WHEN partition_id = '000001' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+      CASE WHEN partition_id = '000001' THEN 'ContentMismatch' END AS last_error_type, COUNT(*) AS processed_count
+    FROM chunked GROUP BY partition_id""",
+    CHUNK_CTES,
+)
+def job_altered_chunk(spark, sf):
+    """One row of one chunk is altered between preparation and work; all counts stay."""
+    base = fresh_path(spark, "altered")
+    writers.publish(discovered(spark, sf, keep=()), f"{base}/source", f"{base}/latest")
+    settings = K.PrepareSettings(RUN, f"{base}/latest", f"{base}/prepared", source_form="parquet")
+    ready = jobs.prepare(spark, settings, F.lit(STAMP))
+    place = f"{base}/prepared/chunks/partition_id=000001"
+    chunk = write_through(spark.read.schema(DISCOVERY_SCHEMA).parquet(place), "chunk")
+    first = chunk.agg(F.min("model_id")).first()[0]
+    altered = F.when(F.col("model_id") == first, F.col("likes") + 1).otherwise(F.col("likes"))
+    chunk.withColumn("likes", altered).write.mode("overwrite").parquet(place)
+    payloads = relation(spark, sf, "payloads")
+    done = jobs.work(spark, ready.control, ready.control, payloads, f"{base}/enriched", "enrich", F.lit(STAMP))
+    return done.control.select("partition_id", "status", "last_error_type", "processed_count")
+
+
 @query(
     "job_named_paths",
     f"""SELECT run_id, partition_id, COUNT(*) FILTER (k % 11 <> 0) AS results_rows, COUNT(*) FILTER (k % 11 = 0) AS errors_rows,

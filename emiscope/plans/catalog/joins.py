@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emiscope.operators import aggregates as A
+from emiscope.operators import digests as D
 from emiscope.operators import joins as J
 from emiscope.operators import ranking as R
+from emiscope.operators import sketches as sketches_of
 from emiscope.plans.catalog.base import CARDS, DISCOVERY_CTES, query
 from emiscope.plans.catalog.rows import emission_facts
 from emiscope.plans.catalog.scans import (
@@ -14,7 +16,7 @@ from emiscope.plans.catalog.scans import (
     sharded_orders,
 )
 from emiscope.plans.fixtures import relation, table
-from emiscope.session import fresh_path
+from emiscope.session import fresh_path, write_through
 
 
 def payload_table(spark, sf):
@@ -53,6 +55,34 @@ def reconcile_counts(spark, sf):
     return J.reconcile_counts(declared, kept)
 
 
+@query(
+    "reconcile_content",
+    """SELECT CAST(part AS BIGINT) AS partition_id, CASE WHEN part <> 6 THEN n END AS records_count, CASE WHEN part <> 7 THEN n ELSE 0 END AS actual_count,
+      part IN (3, 5, 6, 7) AS mismatch, part IN (3, 5) AS altered
+    FROM (SELECT o_orderkey % 16 AS part, COUNT(*) AS n FROM orders GROUP BY 1)""",
+)
+def reconcile_content(spark, sf):
+    """Equal counts, but prices of two rows swapped in one partition and one row altered in another."""
+    declared = table(spark, sf, "orders").withColumn("partition_id", F.col("o_orderkey") % 16)
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    ends = declared.groupBy("partition_id").agg(
+        F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"),
+        F.min_by("o_totalprice", "o_orderkey").alias("low_price"), F.max_by("o_totalprice", "o_orderkey").alias("high_price"),
+    )
+    low, high = F.col("o_orderkey") == F.col("low"), F.col("o_orderkey") == F.col("high")
+    swapped = F.when(low, F.col("high_price")).when(high, F.col("low_price")).otherwise(F.col("o_totalprice"))
+    actual = declared.join(ends, "partition_id").withColumns(
+        {
+            "o_totalprice": F.when(F.col("partition_id") == 3, swapped).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when((F.col("partition_id") == 5) & low, F.lit(None)).otherwise(F.col("o_orderstatus")),
+        }
+    )
+    key = ["partition_id"]
+    # The actual rows come in batches, whose digests are merged.
+    batches = D.content_digests(actual.where("partition_id <> 7").withColumn("batch", F.col("o_orderkey") % 3), [*key, "batch"], columns)
+    return D.reconcile_content(D.content_digests(declared.where("partition_id <> 6"), key, columns), D.merged(batches, key), key)
+
+
 @query(
     "shard_range_join",
     "SELECT shard_id, o_orderkey, o_totalprice, o_orderstatus FROM sharded",
@@ -188,14 +218,13 @@ def partition_metrics(spark, sf):
     return metrics(spark, sf)
 
 
-@query(
-    "quantile_shards",
-    """SELECT CAST(i AS INTEGER) AS shard_id, round(q[i + 1], 6) AS min_emissions, round(q[i + 2], 6) AS max_emissions
-    FROM (SELECT quantile_cont(p_retailprice, [0.0, 0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875, 1.0]) AS q FROM part),
-      range(8) t(i)""",
-)
-def quantile_shards(spark, sf):
-    bounds = R.exact_quantiles(table(spark, sf, "part"), "p_retailprice", 8)
+def quantile_sql(column: str, table_name: str) -> str:
+    return f"""SELECT CAST(i AS INTEGER) AS shard_id, round(q[i + 1], 6) AS min_emissions, round(q[i + 2], 6) AS max_emissions
+    FROM (SELECT quantile_cont({column}, [0.0, 0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875, 1.0]) AS q FROM {table_name}),
+      range(8) t(i)"""
+
+
+def as_shards(bounds):
     upper = bounds.select((F.col("step") - 1).alias("step"), F.col("bound").alias("upper"))
     return bounds.join(upper, "step").select(
         F.col("step").alias("shard_id"),
@@ -204,6 +233,19 @@ def quantile_shards(spark, sf):
     )
 
 
+@query("quantile_shards", quantile_sql("p_retailprice", "part"))
+def quantile_shards(spark, sf):
+    return as_shards(R.exact_quantiles(table(spark, sf, "part"), "p_retailprice", 8))
+
+
+@query("quantile_shards_sketched", quantile_sql("l_extendedprice", "lineitem"))
+def quantile_shards_sketched(spark, sf):
+    """Exact bounds from the stored sketches of seven snapshots and one counting pass."""
+    lines = table(spark, sf, "lineitem").select(F.pmod("l_orderkey", F.lit(7)).alias("snapshot"), "l_extendedprice")
+    sketches = write_through(sketches_of.value_sketches(lines, "l_extendedprice", ["snapshot"]), "sketches")
+    return as_shards(sketches_of.sketched_quantiles(lines, "l_extendedprice", 8, sketches))
+
+
 @query(
     "discovery_totals",
     """SELECT 's' AS snapshot_id, COUNT(*) AS total_models_seen,

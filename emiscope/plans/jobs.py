@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from emiscope.functions.text import padded_id
 from emiscope.operators import aggregates as A
 from emiscope.operators import control as K
+from emiscope.operators import digests as D
 from emiscope.operators import joins as J
 from emiscope.operators import ranking as R
 from emiscope.operators import rows as W
@@ -222,6 +223,8 @@ def prepare(
     chunked = chunked.withColumn("partition_id", padded_id(F.col("chunk")))
     base = settings.prepared_path.rstrip("/")
     writers.write_chunks(chunked, f"{base}/chunks")
+    declared = D.content_digests(chunked.withColumn("run_id", F.lit(settings.run_id)), K.KEY, DISCOVERY_COLUMNS)
+    writers.overwrite_parquet(declared, f"{base}/digests")
 
     bounds = R.chunk_bounds(chunked)
     chunks = write_through(K.chunk_descriptors(bounds, settings), "chunks")
@@ -351,7 +354,8 @@ def work(
     Of ``wanted`` (``run_id, partition_id``) the pending and failed ones run, unless another
     worker has claimed the same attempt at ``claims_path`` (by default below ``out``): any
     number of workers may start from one control table. A partition whose outcomes are as
-    many as declared completes and gets its marker; any other fails. ``control`` comes back
+    many as declared, from the rows that were prepared, completes and gets its marker; any
+    other fails. ``control`` comes back
     whole, with the claims of all workers; ``counts`` reconciles declared with processed rows.
     """
     now = now if now is not None else W.now_text()
@@ -363,7 +367,8 @@ def work(
     if mine.isEmpty():
         none = spark.createDataFrame([], METRICS_SCHEMA)
         return WorkResult(claimed, none, J.reconcile_counts(mine, none, K.KEY))
-    done = enrich(spark, readers.read_chunks(spark, mine), payloads, out, None, now, mark=False)
+    chunks = readers.read_chunks(spark, mine)
+    done = enrich(spark, chunks, payloads, out, None, now, mark=False)
     metrics = write_through(done.metrics.join(mine.select(*K.KEY), list(K.KEY), "left_semi"), "worked")
     counted = metrics.select(*K.KEY, F.col("processed_count").alias("actual_count"))
     actual = F.coalesce("actual_count", F.lit(0).cast("bigint"))
@@ -372,8 +377,13 @@ def work(
         counts.select(*K.KEY, "records_count", actual.alias("actual_count"), (~F.col("records_count").eqNullSafe(actual)).alias("mismatch")),
         "reconciled",
     )
+    declared = readers.read_digests(spark, mine)
+    content = D.reconcile_content(declared, D.content_digests(chunks, K.KEY, DISCOVERY_COLUMNS), K.KEY)
+    # Chunks that were prepared without digests are held against their counts alone.
+    altered = content.join(declared, list(K.KEY), "left_semi").where("altered").select(*K.KEY)
+    altered = write_through(altered.join(counts.where("NOT mismatch"), list(K.KEY), "left_semi"), "altered")
     moved = K.merge_progress(claimed, metrics, now)
-    whole = metrics.join(counts.where("NOT mismatch"), list(K.KEY), "left_semi")
+    whole = metrics.join(counts.where("NOT mismatch"), list(K.KEY), "left_semi").join(altered, list(K.KEY), "left_anti")
     write_markers(whole, out, now)
     moved = K.complete(moved, whole, out, now)
     broken = counts.where("mismatch").select(
@@ -381,7 +391,12 @@ def work(
         F.lit("CountMismatch").alias("last_error_type"),
         F.format_string("%d rows declared, %d processed", "records_count", "actual_count").alias("last_error_message"),
     )
-    return WorkResult(write_through(K.fail(moved, broken, now), "control"), metrics, counts)
+    changed = altered.select(
+        *K.KEY,
+        F.lit("ContentMismatch").alias("last_error_type"),
+        F.lit("as many rows as declared, of other content").alias("last_error_message"),
+    )
+    return WorkResult(write_through(K.fail(moved, broken.unionByName(changed), now), "control"), metrics, counts)
 
 
 @dataclass

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emiscope.operators.digests import DIGEST_SCHEMA
 from emiscope.schemas import DISCOVERY_COLUMNS, DISCOVERY_SCHEMA
 from emiscope.sources import commits
 from emiscope.sources.writers import CSV_CELLS
@@ -90,6 +91,21 @@ def read_chunks(spark: SparkSession, items: DataFrame) -> DataFrame:
     return found
 
 
+def read_digests(spark: SparkSession, items: DataFrame) -> DataFrame:
+    """The content digests that were prepared with the chunks of control items; none where there are none."""
+    base = F.regexp_replace("input_path", "/[^/]+/partition_id=[^/]*/?$", "/digests")
+    found = spark.createDataFrame([], DIGEST_SCHEMA)
+    for row in items.select(base.alias("_base")).distinct().toLocalIterator():  # one row per run
+        try:
+            rows = spark.read.schema(DIGEST_SCHEMA).parquet(row["_base"])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found = found.unionByName(rows)
+    return found.join(items.select("run_id", "partition_id"), ["run_id", "partition_id"], "left_semi")
+
+
 def read_manifest(spark: SparkSession, path: str, header_schema: str, chunk_schema: str) -> DataFrame:
     """One row per chunk with the run header. The header's names win over a chunk's."""
     header = spark.read.schema(header_schema).json(f"{path}/manifest")
