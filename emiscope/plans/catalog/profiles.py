@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from emiscope.functions import payload as P
 from emiscope.operators import profile as D
+from emiscope.operators import references as R
 from emiscope.plans.catalog.base import DETAIL_CTES, DISCOVERY_CTES, query
 from emiscope.plans.catalog.scalars import REF_CTES, cards
 from emiscope.plans.catalog.scans import discovered
 from emiscope.plans.fixtures import relation, table
+from emiscope.session import write_through
 
 # Suppliers stand in for datasets with a known size.
 DATASETS = """
@@ -87,6 +89,46 @@ def dataset_usage(spark, sf):
     return D.usage_counts(refs(spark, sf))
 
 
+def yearly_refs(spark, sf):
+    """References of line items to parts, as datasets of one run per year."""
+    lines = table(spark, sf, "lineitem")
+    return lines.select(F.year("l_shipdate").alias("run"), F.concat(F.lit("ds"), F.col("l_partkey").cast("string")).alias("dataset_id"))
+
+
+YEARLY = """
+yearly AS (SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS run, 'ds' || CAST(l_partkey AS VARCHAR) AS dataset_id FROM lineitem)"""
+
+
+@query(
+    "datasets_over_runs",
+    """SELECT r.run, COUNT(*) AS "references", COUNT(DISTINCT y.dataset_id) AS items,
+      (SELECT COUNT(DISTINCT dataset_id) FROM yearly s WHERE s.run <= r.run) AS items_so_far,
+      COUNT(DISTINCT CASE WHEN f.first_run = r.run THEN y.dataset_id END) AS new_items,
+      (SELECT COUNT(DISTINCT dataset_id) FROM yearly s WHERE s.run = (SELECT max(q.run) FROM yearly q WHERE q.run < r.run)
+        AND s.dataset_id NOT IN (SELECT t.dataset_id FROM yearly t WHERE t.run = r.run)) AS lost_items
+    FROM (SELECT DISTINCT run FROM yearly) r JOIN yearly y ON y.run = r.run
+    JOIN (SELECT dataset_id, min(run) AS first_run FROM yearly GROUP BY 1) f ON f.dataset_id = y.dataset_id GROUP BY r.run""",
+    (YEARLY,),
+)
+def datasets_over_runs(spark, sf):
+    """From the stored sketches of each run alone."""
+    sketches = write_through(R.run_sketches(yearly_refs(spark, sf), "run", "dataset_id"), "run_sketches")
+    return R.items_over_runs(sketches, "run")
+
+
+@query(
+    "top_datasets_over_runs",
+    """SELECT run, dataset_id, COUNT(*) AS "references" FROM yearly WHERE dataset_id IN (
+      SELECT dataset_id FROM yearly GROUP BY 1 ORDER BY COUNT(*) DESC, dataset_id LIMIT 20) GROUP BY 1, 2""",
+    (YEARLY,),
+)
+def top_datasets_over_runs(spark, sf):
+    """The twenty datasets used most, and how often each run refers to them."""
+    rows = yearly_refs(spark, sf)
+    sketches = write_through(R.run_sketches(rows, "run", "dataset_id"), "run_sketches")
+    return R.counts_over_runs(rows, "run", "dataset_id", R.top_items(rows, sketches, "dataset_id", 20))
+
+
 PROFILED = ("model_id", "co2_source", "training_type", "hardware_used", "pipeline_tag", "tags")
 
 
