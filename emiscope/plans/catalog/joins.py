@@ -17,6 +17,7 @@ from emiscope.plans.catalog.scans import (
 )
 from emiscope.plans.fixtures import relation, table
 from emiscope.session import fresh_path, write_through
+from emiscope.sources import history
 
 
 def payload_table(spark, sf):
@@ -151,6 +152,34 @@ def incremental_anti(spark, sf):
     return J.not_yet_done(rows, done, "k")
 
 
+@query(
+    "history_anti",
+    "SELECT k, model_id FROM payloads WHERE k NOT IN (SELECT k FROM enrich_log WHERE attempt_id % 4 <> 3)",
+)
+def history_anti(spark, sf):
+    """Models that none of three runs has worked, by a table in which the runs' keys are kept in buckets."""
+    rows = relation(spark, sf, "payloads").select("k", "model_id")
+    return history.not_yet_kept(rows, three_runs(spark, sf))
+
+
+def three_runs(spark, sf):
+    kept = history.KeyedTable(fresh_path(spark, "history"), ("k",), 8)
+    log = relation(spark, sf, "enrich_log")
+    for run in range(3):
+        history.merge_latest(kept, log.where(F.col("attempt_id") % 4 == run), ["attempt_id"])
+    return kept
+
+
+@query(
+    "history_latest",
+    """SELECT k, attempt_id, status, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY k ORDER BY attempt_id DESC) AS rn FROM enrich_log WHERE attempt_id % 4 <> 3) WHERE rn = 1""",
+)
+def history_latest(spark, sf):
+    """The newest row of each model after three merges, each of which shuffles its own rows only."""
+    return three_runs(spark, sf).read(spark).select("k", "attempt_id", "status", "value")
+
+
 @query(
     "reprocess_semi",
     "SELECT k, model_id FROM payloads WHERE k IN (SELECT k FROM enrich_log WHERE status = 'P')",
