@@ -232,8 +232,8 @@ def two_runs(spark, sf):
 
 @query(
     "job_altered_chunk",
-    """SELECT partition_id, CASE WHEN partition_id = '000001' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
-      CASE WHEN partition_id = '000001' THEN 'ContentMismatch' END AS last_error_type, COUNT(*) AS processed_count
+    """SELECT partition_id, CASE WHEN partition_id = '000000' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+      CASE WHEN partition_id = '000000' THEN 'ContentMismatch' END AS last_error_type, COUNT(*) AS processed_count
     FROM chunked GROUP BY partition_id""",
     CHUNK_CTES,
 )
@@ -243,7 +243,7 @@ def job_altered_chunk(spark, sf):
     writers.publish(discovered(spark, sf, keep=()), f"{base}/source", f"{base}/latest")
     settings = K.PrepareSettings(RUN, f"{base}/latest", f"{base}/prepared", source_form="parquet")
     ready = jobs.prepare(spark, settings, F.lit(STAMP))
-    place = f"{base}/prepared/chunks/partition_id=000001"
+    place = f"{base}/prepared/chunks/partition_id=000000"
     chunk = write_through(spark.read.schema(DISCOVERY_SCHEMA).parquet(place), "chunk")
     first = chunk.agg(F.min("model_id")).first()[0]
     altered = F.when(F.col("model_id") == first, F.col("likes") + 1).otherwise(F.col("likes"))
