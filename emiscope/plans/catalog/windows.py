@@ -13,6 +13,8 @@ from emiscope.plans.catalog.scans import (
 )
 from emiscope.plans.fixtures import relation, table
 from emiscope.plans.jobs import prepare_order
+from emiscope.session import fresh_path
+from emiscope.sources import clustered
 
 LATEST_SQL = """
 SELECT k, attempt_id, strftime(enriched_at, '%Y%m%dT%H%M%SZ') AS enriched_at, status, value FROM (
@@ -132,3 +134,17 @@ def hot_value_index(spark, sf):
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("copies"), F.min("idx").alias("first_idx")
     ).drop("l_returnflag")
+
+
+@query(
+    "clustered_range_read",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    WHERE o_totalprice >= 100000 AND o_totalprice <= 180000 AND o_custkey <= (SELECT max(o_custkey) // 8 FROM orders)""",
+)
+def clustered_range_read(spark, sf):
+    """Ranges of two columns from a table that is laid out along both; files are chosen before the scan."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = fresh_path(spark, "clustered")
+    clustered.write_clustered(rows, path, ["o_totalprice", "o_custkey"], 64)
+    highest = rows.agg(F.expr("max(o_custkey) div 8")).first()[0]
+    return clustered.read_range(spark, path, {"o_totalprice": (100000, 180000), "o_custkey": (None, highest)})
