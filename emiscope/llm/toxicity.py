@@ -1,30 +1,33 @@
 """Toxicity by the votes of the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased words and their beginnings of four to six bytes, so that new endings of
-a known stem still meet it. The examples are a bounded sample of labelled documents, and all
-their terms are indexed, with document frequencies over all documents. Some terms are telling:
-toxic documents hold them so much more often than others that, by a Chernoff bound, chance
-would give fewer than one such term among all. They weigh ``EMPHASIS`` times as much. Near
-copies, known by equal least or greatest shingle hashes, count once in that bound only, or
-each word of a copied toxic document would seem telling.
+a known stem still meet it. The examples are a bounded sample, as many toxic documents as
+others. Their terms are the vocabulary, with document frequencies over all documents; terms of
+more than a given share of the documents are stop terms. A weight is ``1 + log(count)`` times
+``log((documents + 1) / (frequency + 1))``, and vectors have unit length. One of the ``VARIANTS``
+also raises the weight of telling terms: toxic examples hold them so much more often than others
+that, by a Chernoff bound, chance would give fewer than one such term among all.
 
 The inverted index keeps, for each term, the largest weight in every block of examples. A query
-with telling terms visits blocks by falling bound and stops when no block can still hold a
-nearer example; others sum all products. So the neighbours are exact. They vote with a power
-of their cosine as weight, against a small weight for the share of toxic examples. Documents
-without a term of any example get the share of toxic ones among examples without terms.
+scores the blocks of highest bound first, then those that could still hold a nearer example;
+blocks below the last neighbour's cosine are never read. The neighbours vote with their cosine as
+weight, and a logistic curve turns the toxic share of the votes into a chance.
+
+The curve, the variant and the number of neighbours come from the examples themselves: each is
+scored by the others, and the least log loss decides. An example counts as often as its label is
+commoner in the labelled rows than among examples. No label outside the rows to learn from has a
+part in it.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
@@ -32,21 +35,22 @@ from emiscope.llm.ngram_join import shingle_sets
 from emiscope.llm.tables import bounded_sample, fold_of, labelled, map_pieces, rows_of
 from emiscope.session import write_through
 
-#: Bound of the labelled sample that gives terms and examples.
-SAMPLE = 12_000
-#: Telling terms count so many times as much as others.
-EMPHASIS = 20.0
-#: Terms whose products with all queries of a batch are one matrix product.
-COMMON = 1024
+#: Bounds of the sample: examples of either label, bytes of one text, bytes of all.
+EXAMPLES = 1500
+LONGEST_EXAMPLE = 1 << 20
+EXAMPLE_BYTES = 1 << 25
+#: Terms of more than such a share of all documents are stop terms, and telling terms weigh so many
+#: times as much, where more than once never being stop terms. The examples decide which.
+VARIANTS = ((0.05, 1.0), (0.1, 1.0), (0.2, 1.0), (0.05, 20.0))
 LEAST_TOXIC = 3
-NEIGHBOURS = 25
-PRIOR_WEIGHT = 0.02
-#: A copy of an example outweighs many distant ones.
-VOTE_POWER = 3
+#: Numbers of neighbours; the examples decide which.
+NEIGHBOURS = (10, 25, 50, 100, 200)
 BLOCK = 64
 STEMS = (4, 5, 6)
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 EVIDENCE = 3
+#: Votes are never more of one mind than this.
+LEAST_SHARE = 0.005
 CACHED_QUERIES = 50_000
 
 
@@ -69,40 +73,17 @@ def _groups(frames: Iterator[pd.DataFrame], *more: str) -> Iterator[tuple[list[t
         yield group, *term_hashes([g[0] for g in group])
 
 
-def _label_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for group, of_text, hashes in _groups(frames, "label"):
-        once = np.unique(np.rec.fromarrays([hashes, of_text]))
-        toxic = np.array([g[2] for g in group])[once.f1]
-        terms, at = np.unique(once.f0, return_inverse=True)
-        yield pd.DataFrame(
-            {
-                "term": terms.view(np.int64),
-                "toxic": np.bincount(at, toxic, len(terms)).astype(np.int64),
-                "held": np.bincount(at, minlength=len(terms)),
-            }
-        )
-
-
 def _terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for _, _, hashes in _groups(frames):
         yield pd.DataFrame({"term": np.unique(hashes).view(np.int64)})
 
 
-def _sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Least and greatest hash of each text's word shingles; near copies mostly share them."""
-    rows = ((i, (t or "").lower().encode()) for i, t in rows_of(frames, "doc_id", "text"))
-    for group in textbytes.batches(rows, 1):
-        sets = shingle_sets([t for _, t in group])
-        ends = np.array([(s[0], s[-1]) if len(s) else (0, 0) for s in sets], np.uint64).view(np.int64).reshape(-1, 2)
-        yield pd.DataFrame({"doc_id": [i for i, _ in group], "least": ends[:, 0], "most": ends[:, 1]})
-
-
 class Vocabulary:
     """Sorted term hashes with their weights; gives sparse vectors of texts."""
 
-    def __init__(self, terms: np.ndarray, telling: np.ndarray):
-        self.terms, self.telling = terms, telling
-        self.idf = np.ones(len(terms))
+    def __init__(self, terms: np.ndarray, idf: np.ndarray | None = None):
+        self.terms = terms
+        self.idf = np.ones(len(terms)) if idf is None else idf
 
     def counts(self, of_text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text numbers, term numbers and counts, by text and term."""
@@ -116,7 +97,9 @@ class Vocabulary:
 
     def vectors(self, n: int, of_text: np.ndarray, hashes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Terms and unit-length TF-IDF weights of each of ``n`` texts; both empty without terms."""
-        texts, terms, counts = self.counts(of_text, hashes)
+        return self.weighted(n, *self.counts(of_text, hashes))
+
+    def weighted(self, n: int, texts: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         weights = (1 + np.log(counts)) * self.idf[terms]
         norms = np.sqrt(np.bincount(texts, weights**2, n))
         weights = weights / norms[texts]
@@ -131,46 +114,24 @@ def _spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """Inverted index with block maxima over example vectors.
-
-    ``nearest`` visits blocks of examples by falling bound. Where bounds exclude next to nothing,
-    ``nearest_each`` sums all products of many queries at once, the ``COMMON`` most frequent
-    terms as one matrix product.
-    """
-
-    def __init__(self, size: int, examples: list[tuple[np.ndarray, np.ndarray]]):
-        held = np.bincount(np.concatenate([np.zeros(0, np.int64), *(t for t, _ in examples)]).astype(np.int64), minlength=size)
-        self._build(held, len(examples), examples, np.float64)
-
-    @classmethod
-    def filled(cls, held: np.ndarray, n: int, examples: Iterable[tuple[np.ndarray, np.ndarray]]) -> Index:
-        """The same from ``n`` examples one after the other, with the number of examples that hold each term."""
-        made = cls.__new__(cls)
-        made._build(held, n, examples, np.float32)
-        return made
-
-    def _build(self, held: np.ndarray, n: int, examples: Iterable[tuple[np.ndarray, np.ndarray]], kind: type) -> None:
-        # Each entry is put where it belongs; sorting them would take several times the memory.
-        self.n, self.blocks = n, -(-n // BLOCK)
-        self.cuts = np.append(0, np.cumsum(held))
-        self.example = np.zeros(self.cuts[-1], np.int16 if n < 1 << 15 else np.int32)
-        self.weight = np.zeros(self.cuts[-1], kind)
-        free = self.cuts[:-1].copy()
-        for e, (terms, weights) in enumerate(examples):
-            at = free[terms]
-            self.example[at], self.weight[at] = e, weights
-            free[terms] = at + 1
+    """Inverted index with block maxima over example vectors; see ``nearest``."""
+
+    def __init__(self, size: int, examples: list[tuple[np.ndarray, np.ndarray]], rank: np.ndarray | None = None):
+        self.n, self.blocks = len(examples), -(-len(examples) // BLOCK)
+        self.rank = np.arange(self.n) if rank is None else rank
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in examples)]).astype(np.int64)
+        order = np.argsort(terms, kind="stable")
+        self.cuts = np.append(0, np.cumsum(np.bincount(terms, minlength=size)))
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in examples])[order]
+        self.weight = np.concatenate([np.zeros(0), *(w for _, w in examples)])[order]
         self._derive()
 
     def __getstate__(self) -> dict:
         """Entries alone: every executor keeps a copy on its disk."""
-        steps = zlib.compress(np.diff(self.example, prepend=self.example.dtype.type(0)).tobytes(), 1)
-        return {"n": self.n, "blocks": self.blocks, "cuts": self.cuts, "weight": self.weight, "kind": self.example.dtype.str, "steps": steps}
+        return {name: getattr(self, name) for name in ("n", "blocks", "rank", "cuts", "example", "weight")}
 
     def __setstate__(self, state: dict) -> None:
-        kind, steps = state.pop("kind"), state.pop("steps")
         self.__dict__.update(state)
-        self.example = np.cumsum(np.frombuffer(zlib.decompress(steps), kind), dtype=kind)
         self._derive()
 
     def _derive(self) -> None:
@@ -184,82 +145,104 @@ class Index:
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
         self.block_cuts = np.searchsorted(first, self.cuts.astype(np.int32))
         self.first = np.append(first, np.int32(len(block)))
-        self.common = np.sort(np.argsort(-held, kind="stable")[: min(COMMON, np.count_nonzero(held))])
-        self.dense: np.ndarray | None = None
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` examples of largest cosine above 0, ties to the smaller number."""
+        """The ``k`` examples of largest cosine (12 places) above 0, ties to the smaller rank, by default the number."""
+        cosines, found = self.nearest_arrays(terms, weights, k)
+        return list(zip(cosines.tolist(), found.tolist()))
+
+    def nearest_arrays(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         entry, sizes = _spans(self.block_cuts[terms], self.block_cuts[terms + 1])
         weight, block = np.repeat(weights, sizes), self.block[entry]
         bound = np.bincount(block, weight * self.most[entry], self.blocks)
-        order = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
-        best: list[tuple[float, int]] = []
-        at, step = 0, 4
-        # Rounding may make a sum of products exceed its bound by very little.
-        while at < len(order) and not (len(best) == k and bound[order[at]] < -best[-1][0] - 1e-6):
+
+        def dots(blocks: np.ndarray) -> np.ndarray:
             visited = np.zeros(self.blocks, bool)
-            visited[order[at : at + step]] = True
+            visited[blocks] = True
             some = visited[block]
-            span, sizes = _spans(self.first[entry[some]], self.first[entry[some] + 1])
-            dots = np.bincount(self.example[span], self.weight[span] * np.repeat(weight[some], sizes), self.n)
-            met = np.flatnonzero(dots)
-            if len(met) > k:
-                met = met[dots[met] >= np.partition(dots[met], -k)[-k]]
-            best = sorted([*best, *zip((-dots[met]).tolist(), met.tolist())])[:k]
-            at, step = at + step, 2 * step
-        return [(-d, e) for d, e in best]
-
-    def nearest_each(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
-        """``nearest`` of each query, with cosines in six places."""
-        if self.dense is None:
-            self.place = np.full(len(self.cuts) - 1, -1, np.int32)
-            self.place[self.common] = np.arange(len(self.common))
-            self.dense = np.zeros((len(self.common), self.n), np.float32)
-            for row, t in enumerate(self.common.tolist()):
-                span = slice(self.cuts[t], self.cuts[t + 1])
-                self.dense[row, self.example[span]] = self.weight[span]
-        asked = np.zeros((len(queries), len(self.common)), np.float32)
-        for row, (terms, weights) in enumerate(queries):
-            at = self.place[terms]
-            asked[row, at[at >= 0]] = weights[at >= 0]
-        found = []
-        for (terms, weights), dots in zip(queries, asked @ self.dense):
-            rare = self.place[terms] < 0
-            span, sizes = _spans(self.cuts[terms[rare]], self.cuts[terms[rare] + 1])
-            more = np.bincount(self.example[span], self.weight[span] * np.repeat(weights[rare].astype(np.float32), sizes), self.n)
-            dots = np.round(dots + more, 6)
-            met = np.flatnonzero(dots >= max(np.partition(dots, -k)[-k] if self.n > k else 0.0, 1e-6))
-            met = met[np.lexsort((met, -dots[met]))][:k]
-            found.append(list(zip(dots[met].tolist(), met.tolist())))
-        return found
+            of, by = entry[some], weight[some]
+            span, sizes = _spans(self.first[of], self.first[of + 1])
+            return np.bincount(self.example[span], self.weight[span] * np.repeat(by, sizes), self.n)
+
+        order = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
+        head = 2 * k // BLOCK + 1
+        found = dots(order[:head])
+        least = np.partition(found, -k)[-k] if self.n > k else 0.0
+        # Rounding may make a sum of products exceed its bound by very little.
+        rest = order[head:][bound[order[head:]] >= least - 1e-9]
+        if len(rest):
+            found += dots(rest)
+        found = np.round(found, 12)
+        met = np.flatnonzero(found > 0)
+        if len(met) > k:
+            met = met[found[met] >= np.partition(found[met], -k)[-k]]
+        met = met[np.lexsort((self.rank[met], -found[met]))][:k]
+        return found[met], met
 
 
 @dataclass
 class Model:
+    """``ids`` and ``toxic`` by example number. ``slope`` and ``shift`` make the curve."""
+
     vocabulary: Vocabulary
     index: Index
     ids: np.ndarray
     toxic: np.ndarray
-    share: float
     share_without: float
-
-    def votes(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int], list[float]]]:
-        """Score of each query, and its nearest examples with their cosines."""
-        # Ordinary terms are so many and so alike in weight that their bounds exclude no block.
-        known = [k for k, (terms, _) in enumerate(queries) if self.vocabulary.telling[terms].any()]
-        others = sorted(set(range(len(queries))) - set(known))
-        near = {k: self.index.nearest(*queries[k], NEIGHBOURS) for k in known}
-        near |= zip(others, self.index.nearest_each([queries[k] for k in others], NEIGHBOURS))
-        return [self._vote(near[k]) for k in range(len(queries))]
-
-    def _vote(self, near: list[tuple[float, int]]) -> tuple[float, list[int], list[float]]:
-        if not near:
+    neighbours: int = NEIGHBOURS[-1]
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def odds(self, cosines: np.ndarray, at: np.ndarray) -> float:
+        """Log odds of the votes."""
+        share = np.clip(cosines @ self.toxic[at] / cosines.sum(), LEAST_SHARE, 1 - LEAST_SHARE)
+        return float(np.log(share / (1 - share)))
+
+    def judged(self, terms: np.ndarray, weights: np.ndarray, own: int) -> list[float] | None:
+        """The votes of the other examples on the one with the id ``own``, for each of ``NEIGHBOURS``."""
+        cosines, at = self.index.nearest_arrays(terms, weights, NEIGHBOURS[-1] + 1)
+        others = self.ids[at] != own
+        cosines, at = cosines[others], at[others]
+        return [self.odds(cosines[:k], at[:k]) for k in NEIGHBOURS] if len(at) else None
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, list[int], list[float]]:
+        cosines, at = self.index.nearest_arrays(terms, weights, self.neighbours)
+        if not len(at):
             return self.share_without, [], []
-        cosine = np.array([c for c, _ in near])
-        at = np.array([e for _, e in near])
-        weight = cosine**VOTE_POWER
-        score = (weight @ self.toxic[at] + PRIOR_WEIGHT * self.share) / (weight.sum() + PRIOR_WEIGHT)
-        return float(score), self.ids[at[:EVIDENCE]].tolist(), cosine[:EVIDENCE].tolist()
+        odds = self.odds(cosines, at)
+        score = float(chance(self.slope * odds + self.shift))
+        agree = self.toxic[at] == (score >= THRESHOLD)
+        return score, self.ids[at[agree][:EVIDENCE]].tolist(), cosines[agree][:EVIDENCE].tolist()
+
+
+def chance(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+
+def curve(odds: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """Slope and shift of the logistic curve by Newton steps, and its log loss.
+
+    The slope is held near 1 as by one document, the shift near 0 as by a hundredth.
+    """
+    x = np.stack([odds, np.ones(len(odds))])
+    at, middle, hold = np.array([1.0, 0.0]), np.array([1.0, 0.0]), np.array([1.0, 0.01])
+
+    def loss(at: np.ndarray) -> float:
+        z = at @ x
+        return float(weight @ (np.logaddexp(0, z) - toxic * z) + hold @ (at - middle) ** 2 / 2)
+
+    for _ in range(100):
+        p = chance(at @ x)
+        slope = x @ (weight * (p - toxic)) + hold * (at - middle)
+        bend = (x * (weight * p * (1 - p))) @ x.T + np.diag(hold)
+        step = np.linalg.solve(bend, slope)
+        while loss(at - step) > loss(at) and np.abs(step).max() > 1e-12:
+            step = step / 2
+        at = at - step
+        if np.abs(step).max() < 1e-9:
+            break
+    z = at @ x
+    return float(at[0]), float(at[1]), float(weight @ (np.logaddexp(0, z) - toxic * z))
 
 
 def _frequencies(vocabulary):
@@ -274,100 +257,144 @@ def _frequencies(vocabulary):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Vocabulary, document frequencies over all of ``docs``, and the index of examples.
+def _examples(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """``doc_id, label, text``, one row per id; of several texts of an id the greatest counts."""
+    sample = bounded_sample(marks.where("label = 1"), "doc_id", EXAMPLES)
+    sample = sample.unionByName(bounded_sample(marks.where("label = 0"), "doc_id", EXAMPLES))
+    known = texts.where(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST_EXAMPLE).join(F.broadcast(sample), "doc_id")
+    known = write_through(known.groupBy("doc_id", "label").agg(F.max(F.coalesce("text", F.lit(""))).alias("text")), "toxicity_texts")
+    # One task, but for two numbers of at most 2 * EXAMPLES rows.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = known.select("doc_id", F.sum(F.octet_length("text")).over(order).alias("bytes"))
+    return known.join(F.broadcast(sizes.where(F.col("bytes") <= EXAMPLE_BYTES).select("doc_id")), "doc_id", "left_semi")
+
+
+#: Terms and counts of an example, and the ends of its shingle hashes, which near copies mostly share.
+HELD = "least long, most long, doc_id long, label int, terms binary, counts binary"
 
-    Without labelled documents all scores are 0; without telling terms all terms weigh alike.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    sample = F.broadcast(bounded_sample(labelled(labels, "toxic", FOLDS, HELD_OUT), "doc_id", SAMPLE))
-    known = write_through(texts.join(sample, "doc_id"), "toxicity_examples")
-    total = known.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
-    n, toxic = total["n"], total["toxic"] or 0
-    sketches = map_pieces(known, _sketches, "doc_id long, least long, most long").distinct()
-    sketches = sketches.groupBy("least").agg(F.min(F.struct("doc_id", "most")).alias("s")).select("s.*")
-    different = F.broadcast(sketches.groupBy("most").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
-    counts = (
-        map_pieces(known.join(different, "doc_id", "left_semi"), _label_counts, "term long, toxic long, held long")
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("held").alias("held"))
-        .where(F.col("held") >= LEAST_TOXIC)
-    )
-    counts = write_through(counts, "term_counts")
-    tested = counts.count()
-    share = F.lit(min(max(toxic / n, 1e-6), 1 - 1e-6) if n else 0.5)
-    a, b = F.col("toxic"), F.col("held") - F.col("toxic")
-    # Chance gives this many toxic ones of ``held`` with a probability of at most exp(-evidence).
-    evidence = a * F.log(a / (F.col("held") * share)) + F.when(b > 0, b * F.log(b / (F.col("held") * (1 - share)))).otherwise(0.0)
-    telling = (
-        counts.where((a >= LEAST_TOXIC) & (a > F.col("held") * share))
-        .withColumn("evidence", evidence)
-        .where(F.col("evidence") >= float(np.log(max(tested, 1))))
-        .select("term")
-        .toPandas()
-    )
-    every = map_pieces(known, _terms, "term long").distinct().toPandas()  # bounded like the sample
-    terms = np.sort(every["term"].to_numpy(np.int64).view(np.uint64))
-    vocabulary = Vocabulary(terms, np.isin(terms, telling["term"].to_numpy(np.int64).view(np.uint64)))
-    shared = spark.sparkContext.broadcast(vocabulary)
-    counted = map_pieces(texts, _frequencies(shared), "term int, n long")
-    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # one row per term of the vocabulary
-    shared.destroy()
-    documents = int(counted.loc[counted["term"] < 0, "n"].sum())
-    counted = counted[counted["term"] >= 0]
-    frequency = np.ones(len(terms))
-    frequency[counted["term"].to_numpy()] = counted["n"]
-    vocabulary.idf = (np.log((documents + 1) / frequency) + 1) * np.where(vocabulary.telling, EMPHASIS, 1.0)
-    shared = spark.sparkContext.broadcast(vocabulary)
 
-    def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _held(vocabulary):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group, of_text, hashes in _groups(frames, "label"):
-            made = shared.value.vectors(len(group), of_text, hashes)
+            texts, terms, counts = vocabulary.value.counts(of_text, hashes)
+            cuts = np.searchsorted(texts, np.arange(1, len(group)))
+            sets = shingle_sets([g[0].lower().encode() for g in group])
+            ends = np.array([(s[0], s[-1]) if len(s) else (0, 0) for s in sets], np.uint64).view(np.int64).reshape(-1, 2)
             yield pd.DataFrame(
                 {
+                    "least": ends[:, 0],
+                    "most": ends[:, 1],
                     "doc_id": [g[1] for g in group],
                     "label": [g[2] for g in group],
-                    "telling": [t[shared.value.telling[t]].astype(">i4").tobytes() for t, _ in made],
-                    "terms": [t.astype(np.int32).tobytes() for t, _ in made],
-                    "weights": [w.astype(np.float32).tobytes() for _, w in made],
+                    "terms": [t.astype(np.int32).tobytes() for t in np.split(terms, cuts)],
+                    "counts": [c.astype(np.int32).tobytes() for c in np.split(counts, cuts)],
                 }
             )
 
-    made = write_through(map_pieces(known, vectors, "doc_id long, label int, telling binary, terms binary, weights binary"), "toxicity_vectors")
+    return run
+
+
+def _odds(model):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group, of_text, hashes in _groups(frames, "label"):
+            vectors = model.value.vocabulary.vectors(len(group), of_text, hashes)
+            odds = [model.value.judged(*v, own=g[1]) for g, v in zip(group, vectors)]
+            yield pd.DataFrame({"doc_id": [g[1] for g in group], "label": [g[2] for g in group], "odds": odds})
+
+    return run
+
+
+def telling_terms(rows: pd.DataFrame, size: int) -> np.ndarray:
+    """Marks of the telling ones among ``size`` terms; near copies among the examples count once."""
+    rows = rows.sort_values("doc_id").drop_duplicates("least").drop_duplicates("most")
+    held, toxic = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for terms, label in zip(rows["terms"], rows["label"]):
+        at = np.frombuffer(terms, np.int32)
+        held[at] += 1
+        toxic[at] += label
+    share = np.clip(rows["label"].mean() if len(rows) else 0.5, 1e-6, 1 - 1e-6)
+    tested = max(np.count_nonzero(held >= LEAST_TOXIC), 1)
+    others = held - toxic
+    # Chance gives this many toxic ones of ``held`` with a probability of at most exp(-evidence).
+    evidence = toxic * np.log(np.maximum(toxic, 1) / (np.maximum(held, 1) * share))
+    evidence += others * np.log(np.maximum(others, 1) / (np.maximum(held, 1) * (1 - share)))
+    return (toxic >= LEAST_TOXIC) & (toxic > held * share) & (evidence >= np.log(tested))
+
+
+def _model(every: Vocabulary, frequency: np.ndarray, documents: int, stop: float, extra: np.ndarray, rows: pd.DataFrame) -> Model:
+    """Vocabulary without stop terms and index; examples with like common terms share blocks.
+
+    ``extra`` multiplies the weights of terms; those above 1 are no stop terms.
+    """
+    kept = (frequency <= max(stop * documents, 1)) | (extra > 1)
+    place = np.cumsum(kept) - 1
+    idf = np.log((documents + 1) / (frequency[kept] + 1)) * extra[kept]
+    vocabulary = Vocabulary(every.terms[kept], np.maximum(idf, 1e-9))
+    first = np.where(extra[kept] > 1, 0, idf)
+    held, keys = [], []
+    for terms, counts in zip(rows["terms"], rows["counts"]):
+        terms, counts = np.frombuffer(terms, np.int32), np.frombuffer(counts, np.int32)
+        terms, counts = place[terms[kept[terms]]], counts[kept[terms]]
+        held.append((terms, counts))
+        keys.append(tuple(terms[np.argsort(first[terms], kind="stable")[:4]].tolist()))
+    order = [k for k in sorted(range(len(held)), key=lambda k: (keys[k], k)) if len(held[k][0])]
+    vectors = [vocabulary.weighted(1, np.zeros(len(held[k][0]), np.int64), *held[k])[0] for k in order]
+    ids, toxic = rows["doc_id"].to_numpy(np.int64), rows["label"].to_numpy(float)
+    return Model(vocabulary, Index(int(kept.sum()), vectors, ids[order]), ids[order], toxic[order], 0.0)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Document frequencies over all of ``docs``, the index of examples, and the curve.
+
+    Without labelled documents all scores are 0. Documents without a term of any example get the
+    share of toxic ones among examples without neighbours, to which one of the overall share is added.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    marks = write_through(labelled(labels, "toxic", FOLDS, HELD_OUT), "toxicity_labels")
+    total = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
+    known = write_through(_examples(texts, marks), "toxicity_examples")
+    found = map_pieces(known, _terms, "term long").distinct().toPandas()  # bounded like the sample
+    every = Vocabulary(np.sort(found["term"].to_numpy(np.int64).view(np.uint64)))
+    shared = spark.sparkContext.broadcast(every)
+    counted = map_pieces(texts, _frequencies(shared), "term int, n long")
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # one row per term of the vocabulary
+    documents = int(counted.loc[counted["term"] < 0, "n"].sum())
+    counted = counted[counted["term"] >= 0]
+    frequency = np.zeros(len(every.terms), np.int64)
+    frequency[counted["term"].to_numpy()] = counted["n"]
+    rows = map_pieces(known, _held(shared), HELD).toPandas().sort_values("doc_id")
     shared.destroy()
-    without = made.where("length(terms) = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    # Twice through the rows, a partition at a time, as the driver's memory is small.
-    with_terms = made.where("length(terms) > 0")
-    held, size = np.zeros(len(terms), np.int64), 0
-    for row in with_terms.select("terms").toLocalIterator():
-        held[np.frombuffer(row["terms"], np.int32)] += 1
-        size += 1
-    ids, marks = [], []
-
-    def ordered() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Examples with like telling terms share blocks."""
-        for row in with_terms.orderBy("telling", "doc_id", "terms", "weights").toLocalIterator():
-            ids.append(row["doc_id"])
-            marks.append(row["label"])
-            yield np.frombuffer(row["terms"], np.int32), np.frombuffer(row["weights"], np.float32)
-
-    index = Index.filled(held, size, ordered())
-    return Model(
-        vocabulary,
-        index,
-        np.array(ids, np.int64),
-        np.array(marks, float),
-        float((toxic + 0.5) / (n + 1)) if n else 0.0,
-        float((without["toxic"] + toxic / n) / (without["n"] + 1)) if n else 0.0,
-    )
+    if not len(rows):
+        return Model(Vocabulary(every.terms[:0]), Index(0, []), np.zeros(0, np.int64), np.zeros(0), 0.0)
+    number = rows["label"].value_counts()
+    best, least = None, np.inf
+    telling = telling_terms(rows, len(every.terms))
+    for stop, emphasis in VARIANTS:
+        model = _model(every, frequency, documents, stop, np.where(telling, emphasis, 1.0), rows)
+        shared = spark.sparkContext.broadcast(model)
+        judged = map_pieces(known, _odds(shared), "doc_id long, label int, odds array<double>").toPandas().sort_values("doc_id")
+        shared.destroy()
+        toxic = judged["label"].to_numpy(float)
+        weight = judged["label"].map({k: total[k] / number[k] for k in number.index}).to_numpy()
+        weight *= len(weight) / weight.sum()
+        overall = float(weight @ toxic / weight.sum())
+        some = judged["odds"].notna().to_numpy()
+        model.share_without = float((weight[~some] @ toxic[~some] + overall) / (weight[~some].sum() + 1))
+        p = np.clip(model.share_without, 1e-9, 1 - 1e-9)
+        rest = -weight[~some] @ (toxic[~some] * np.log(p) + (1 - toxic[~some]) * np.log(1 - p))
+        for k, odds in zip(NEIGHBOURS, np.array(judged["odds"][some].tolist()).reshape(-1, len(NEIGHBOURS)).T):
+            slope, shift, loss = curve(odds, toxic[some], weight[some])
+            if loss + rest < least - 1e-9:
+                best, least = replace(model, neighbours=k, slope=slope, shift=shift), loss + rest
+    return best
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted, nearest, cosines`` per row of ``docs``.
 
-    The score is the chance of being toxic; ``nearest`` are the ids of the first examples that
-    voted. Null and empty texts hold no term. Repeated rows give equal rows; a null id is in no
+    The score is the chance of being toxic; ``nearest`` are the ids of the first voters whose
+    label is the predicted one. Null and empty texts hold no term. Repeated rows give equal rows; a null id is in no
     fold. Other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -382,7 +409,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             new = {d: v for d, v in zip(digests, vectors) if d not in votes}
             if len(votes) + len(new) > CACHED_QUERIES:
                 votes, new = {}, dict(zip(digests, vectors))
-            votes.update(zip(new, model.votes(list(new.values()))))
+            votes.update((d, model.score(*v)) for d, v in new.items())
             rows = []
             for (_, doc), digest in zip(group, digests):
                 doc = None if pd.isna(doc) else int(doc)

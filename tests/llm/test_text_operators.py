@@ -1,10 +1,14 @@
 import hashlib
+import itertools
+import math
 import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -290,18 +294,121 @@ def test_copies_of_toxic_examples_meet_them(spark):
             assert set(r.nearest) <= set(copies) and r.cosines[0] > 0.9
 
 
-def test_summed_products_equal_block_search(monkeypatch):
-    monkeypatch.setattr(toxicity, "COMMON", 10)
-    random_ = np.random.default_rng(7)
-    examples = []
-    for _ in range(200):
-        terms = np.sort(random_.permutation(40)[: random_.integers(1, 20)])
-        weights = random_.random(len(terms))
-        examples.append((terms, weights / np.linalg.norm(weights)))
-    index = toxicity.Index(40, examples)
-    for query, found in zip(examples, index.nearest_each(examples, 25)):
-        wanted = index.nearest(*query, 25)
-        assert np.allclose([c for c, _ in found], [c for c, _ in wanted], atol=2e-6)
+def plain_toxicity(texts: dict, marks: dict) -> dict:
+    """Scores, first neighbours and cosines by dictionaries and all pairs, few examples."""
+
+    def terms(text):
+        found = Counter()
+        for word in re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").lower().encode()):
+            found[word] += 1
+            for n in (4, 5, 6):
+                if len(word) > n:
+                    found[n, word[:n]] += 1
+        return found
+
+    counts = {d: terms(t) for d, t in texts.items()}
+    held = Counter(t for c in counts.values() for t in c)
+    examples = sorted(d for d in marks if zlib.crc32(str(d).encode()) % 4 != 2)
+    known = {t for d in examples for t in counts[d]}
+    toxic = [d for d in examples if marks[d]]
+
+    def vectors(stop):
+        made = {}
+        for d, c in counts.items():
+            v = {t: (1 + math.log(n)) * math.log((len(texts) + 1) / (held[t] + 1)) for t, n in c.items() if t in known and held[t] <= max(stop * len(texts), 1)}
+            length = math.sqrt(sum(w * w for w in v.values()))
+            made[d] = {t: w / length for t, w in v.items()}
+        return made
+
+    def near(made, d, but):
+        found = [(-sum(w * made[e].get(t, 0) for t, w in made[d].items()), e) for e in examples if e != but]
+        return sorted((round(c, 12), e) for c, e in found if round(c, 12) < 0)
+
+    def odds(found):
+        share = sum(-c for c, e in found if marks[e]) / sum(-c for c, _ in found)
+        share = min(max(share, 0.005), 0.995)
+        return math.log(share / (1 - share))
+
+    best = None
+    for stop in (0.05, 0.1, 0.2):
+        made = vectors(stop)
+        own = {d: near(made, d, d) for d in examples}
+        without = [marks[d] for d, f in own.items() if not f]
+        rest = (sum(without) + len(toxic) / len(examples)) / (len(without) + 1)
+        for k in (10, 25, 50, 100, 200):
+            judged = [(odds(f[:k]), marks[d]) for d, f in own.items() if f]
+
+            def loss(slope, shift, judged=judged, hold=1):
+                z = [(slope * x + shift, y) for x, y in judged]
+                return sum(math.log1p(math.exp(-abs(v))) + max(v, 0) - y * v for v, y in z) + hold * ((slope - 1) ** 2 + 0.01 * shift**2) / 2
+
+            at, step = (1.0, 0.0), 1.0
+            while step > 1e-6:  # a plain pattern search
+                tries = [(at[0] + a * step, at[1] + b * step) for a, b in itertools.product((-1, 0, 1), repeat=2)]
+                least = min(tries, key=lambda t: loss(*t))
+                at, step = (least, step) if loss(*least) < loss(*at) else (at, step / 2)
+            total = loss(*at, hold=0) - sum(math.log(rest if y else 1 - rest) for y in without)
+            if best is None or total < best[0] - 1e-6:
+                best = total, made, at, rest, k
+    _, made, (slope, shift), rest, k = best
+    scores = {}
+    for d in texts:
+        found = near(made, d, None)[:k]
+        score = 1 / (1 + math.exp(-slope * odds(found) - shift)) if found else rest
+        scores[d] = score, [-c for c, e in found if marks[e] == (score >= 0.3)][:3]
+    return scores
+
+
+def test_toxicity_equals_the_plain_search(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "VARIANTS", toxicity.VARIANTS[:3])  # telling terms have a test of their own
+    draw = random.Random(8)
+    texts = dict(enumerate(prose(150, 12, 25)))
+    marks = {k: int(draw.random() < 0.3) for k in range(140)}
+    for k in texts:
+        texts[k] += f" own{k}" + (" vile" + draw.choice(["ness", "r", "st"]) if marks.get(k) and draw.random() < 0.9 else "")
+        texts[k] += draw.choice(["", " grim", " odd word"]) if k % 9 == 0 else ""
+    texts |= {150: None, 151: "", 152: "vilest", 153: "unheard of"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = toxicity.fit(docs, labels(spark, [(k, 1, v, "t") for k, v in marks.items()]))
+    wanted = plain_toxicity(texts, marks)
+    rows = toxicity.score_documents(docs, found).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.score == pytest.approx(wanted[r.doc_id][0], abs=1e-4)
+        assert r.cosines == pytest.approx(wanted[r.doc_id][1])
+
+
+def test_telling_terms_against_plain_arithmetic():
+    draw = random.Random(3)
+    rows = []
+    for d in range(200):
+        label = int(draw.random() < 0.3)
+        held = sorted({draw.randrange(30) for _ in range(8)} | ({30} if label and draw.random() < 0.7 else set()) | ({31} if draw.random() < 0.5 else set()))
+        rows.append((d, label, d // 2, d, held))
+    frame = pd.DataFrame([(d, y, a, b, np.array(t, np.int32).tobytes()) for d, y, a, b, t in rows], columns=["doc_id", "label", "least", "most", "terms"])
+    counted = [r for r in rows if r[0] % 2 == 0]  # the others share the least shingle with one before
+    share = sum(r[1] for r in counted) / len(counted)
+    wanted = []
+    for term in range(33):
+        marks = [r[1] for r in counted if term in r[4]]
+        a, b = sum(marks), len(marks) - sum(marks)
+        chance = a and a * math.log(a / len(marks) / share)
+        chance += b and b * math.log(b / len(marks) / (1 - share))
+        wanted.append(a >= 3 and a > len(marks) * share and chance >= math.log(32))
+    assert toxicity.telling_terms(frame, 33).tolist() == wanted and wanted[30] and sum(wanted) < 5
+
+
+def test_toxicity_with_repeated_and_null_ids(spark):
+    texts = [f"{t} plain{k}" + (" vile scum" if k < 20 else "") for k, t in enumerate(prose(120, 5, 30))]
+    rows = [(k, t, "x") for k, t in enumerate(texts)]
+    odd = [(None, texts[3], "x"), (None, None, "x"), (5, texts[5], "y"), (5, texts[100], "z"), (100, texts[100], "z")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, label string")
+    marks = labels(spark, [(k, 1, int(k < 20), "t") for k in range(120)] + [(7, 1, 0, "t")])
+    got = toxicity.score_documents(docs, toxicity.fit(docs, marks)).collect()
+    assert len(got) == len(rows) + len(odd)
+    assert {r.predicted for r in got if r.doc_id == 5} == {0, 1}
+    assert sorted(r.predicted for r in got if r.doc_id is None) == [0, 1] and not any(r.held_out for r in got if r.doc_id is None)
+    assert toxicity.score_documents(docs.limit(0), toxicity.fit(docs.limit(0), marks)).count() == 0
 
 
 def test_toxicity_without_labels(spark):
