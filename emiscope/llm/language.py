@@ -33,6 +33,7 @@ BUCKET_BITS = 15
 BLOCKS = 64
 SMOOTHING = 0.5
 TEMPER = 4.0
+MOST_LANGUAGES = 256
 HOST_WEIGHT, DOMAIN_WEIGHT, EVIDENCE_WEIGHT = 8.0, 20.0, 2.0
 UNKNOWN = "und"
 
@@ -64,7 +65,7 @@ class Model:
 
 
 def _trigram_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """This task's counts of each language, in blocks of buckets."""
+    """This task's counts of each language, of the buckets that it met."""
     counts: dict[str, np.ndarray] = {}
     rows = ((t or "", lang) for t, lang in rows_of(frames, "text", "lang"))
     for group in textbytes.batches(rows, 0):
@@ -74,35 +75,41 @@ def _trigram_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             table = counts.setdefault(str(lang), np.zeros(1 << BUCKET_BITS, np.int64))
             table += np.bincount(buckets[langs[of_text] == lang], minlength=len(table))
     for lang, table in counts.items():
-        for block, part in enumerate(table.reshape(BLOCKS, -1)):
-            yield pd.DataFrame({"lang": [lang], "block": [block], "counts": [part.tobytes()]})
+        met = np.flatnonzero(table)
+        yield pd.DataFrame({"lang": lang, "bucket": met, "n": table[met]})
 
 
-def _summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
-    return pd.DataFrame({"lang": [key[0]], "block": [key[1]], "counts": [total.tobytes()]})
+def fit(docs: DataFrame, most: int = MOST_LANGUAGES) -> Model:
+    """Trigram likelihoods from ``text`` and ``lang`` of all documents that have both.
 
-
-def fit(docs: DataFrame) -> Model:
-    """Trigram likelihoods from ``text`` and ``lang`` of all documents that have both."""
+    The ``most`` commonest values of ``lang`` are the languages (of equally common ones the first
+    by name), as each takes 256 KB in the driver and every worker; junk values beyond are none.
+    """
     known = docs.select("text", F.lower(F.trim("lang")).alias("lang")).where("text is not null and lang <> ''")
-    made = map_pieces(known, _trigram_counts, "lang string, block int, counts binary")
-    summed = made.groupBy("lang", "block").applyInPandas(_summed, made.schema)
-    tables: dict[str, np.ndarray] = {}
-    for row in summed.toLocalIterator():  # a fixed number of rows per language
-        table = tables.setdefault(row["lang"], np.zeros((BLOCKS, (1 << BUCKET_BITS) // BLOCKS)))
-        table[row["block"]] = np.frombuffer(row["counts"], np.int64)
-    languages = sorted(tables)
+    rows = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most).collect()
+    languages = sorted(row["lang"] for row in rows)
     if not languages:
         return Model([], np.zeros((1 << BUCKET_BITS, 0)))
-    counts = np.stack([tables[lang].reshape(-1) for lang in languages], axis=1) + SMOOTHING
+    made = map_pieces(known.where(F.col("lang").isin(languages)), _trigram_counts, "lang string, bucket int, n long")
+    counts = np.full((1 << BUCKET_BITS, len(languages)), SMOOTHING)
+    place = {lang: k for k, lang in enumerate(languages)}
+    # At most as many rows as there are buckets, for each language.
+    summed = made.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    blocks = summed.groupBy("lang", (F.col("bucket") % BLOCKS).alias("block")).agg(
+        F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("counts")
+    )
+    for row in blocks.toLocalIterator():
+        counts[row["buckets"], place[row["lang"]]] += row["counts"]
     return Model(languages, np.log(counts / counts.sum(axis=0)))
 
 
-def _softmax(values: Column) -> Column:
-    raised = F.transform(values, lambda x: F.exp(x - F.array_max(values)))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(raised, lambda x: x / total)
+def _softmax(values: np.ndarray) -> np.ndarray:
+    raised = np.exp(values - values.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def _sum(values: Column | str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
 def identify(rows: DataFrame, model: Model) -> DataFrame:
@@ -127,6 +134,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
                     "declared": [g[2] for g in group],
                     "host": [g[3] for g in group],
                     "likelihood": list(likelihood),
+                    "share": list(_softmax(likelihood)),
                     "letters": letters,
                 }
             )
@@ -135,14 +143,14 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     source = rows.select(
         "key", "text", F.lower(F.substring_index(F.trim("declared"), "-", 1)).alias("declared"), F.lower(F.trim("host")).alias("host")
     )
-    schema = f"key {kind}, declared string, host string, likelihood array<double>, letters long"
+    schema = f"key {kind}, declared string, host string, likelihood array<double>, share array<double>, letters long"
     read_rows = map_pieces(source, read, schema).select(
         "key",
         F.when(F.col("declared") != "", F.col("declared")).alias("declared"),
         F.when(F.col("host") != "", F.col("host")).alias("host"),
         "likelihood",
+        "share",
         "letters",
-        _softmax(F.col("likelihood")).alias("share"),
     )
     read_rows = write_through(
         read_rows.withColumn("domain", F.substring_index("host", ".", -2)).withColumn(
@@ -150,6 +158,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
         ),
         "read_rows",
     )
+    shared.destroy()
 
     def shares(*by: str) -> DataFrame:
         """Sums of the text posteriors of each group, by language."""
@@ -163,15 +172,21 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     overall = [(x + 1.0) / (sum(total) + n) for x in total]
     everywhere = F.array(*map(F.lit, overall))
 
+    # What all languages of a row share stands in an array beside theirs, not inside a lambda,
+    # which would work it out once per language.
+    def each(value: Column) -> Column:
+        return F.array_repeat(value, n)
+
     def smoothed(sums: Column, parent: Column, weight: float) -> Column:
-        size = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(sums, parent, lambda s, p: (s + weight * p) / (size + weight))
+        over = F.zip_with(sums, parent, lambda s, p: s + weight * p)
+        return F.zip_with(over, each(_sum(sums) + weight), lambda x, size: x / size)
 
     def given_language(column: str) -> DataFrame:
         """log P(value | language), smoothed towards the value's share in all rows."""
         sums = shares(column)
-        size = F.aggregate("sums", F.lit(0.0), lambda a, x: a + x) / F.lit(max(sum(total), 1e-9))
-        per = F.zip_with("sums", F.array(*map(F.lit, total)), lambda s, t: F.log((s + EVIDENCE_WEIGHT * size) / (t + EVIDENCE_WEIGHT)))
+        size = _sum("sums") / F.lit(max(sum(total), 1e-9))
+        over = F.zip_with("sums", each(size), lambda s, p: s + EVIDENCE_WEIGHT * p)
+        per = F.zip_with(over, F.array(*map(F.lit, total)), lambda x, t: F.log(x / (t + EVIDENCE_WEIGHT)))
         return write_through(sums.select(column, per.alias(f"{column}_evidence")), f"{column}_evidence")
 
     domains = shares("domain").select("domain", smoothed(F.col("sums"), everywhere, DOMAIN_WEIGHT).alias("domain_prior"))
@@ -179,21 +194,28 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
     joined = read_rows
     for table, on in ((given_language("declared"), "declared"), (given_language("suffix"), "suffix"), (write_through(domains, "domains"), "domain"), (hosts, "host")):
         joined = joined.join(table, on, "left")
-    nothing = F.array_repeat(F.lit(0.0), n)
-    others = F.zip_with(F.coalesce("host_sums", nothing), F.when(F.col("letters") > 0, F.col("share")).otherwise(nothing), lambda s, own: F.greatest(s - own, F.lit(0.0)))
-    prior = F.transform(smoothed(F.when(F.col("host_sums").isNull(), nothing).otherwise(others), F.coalesce("domain_prior", everywhere), HOST_WEIGHT), lambda p: F.log(p))
-    evidence = prior
+    nothing = F.array(*[F.lit(0.0)] * n)
+    lettered = F.col("letters") > 0
+    own = F.when(lettered, F.col("share")).otherwise(nothing)
+    others = F.when(F.col("host_sums").isNull(), nothing).otherwise(
+        F.zip_with("host_sums", own, lambda s, x: F.greatest(s - x, F.lit(0.0)))
+    )
+    prior = smoothed(F.col("others"), F.coalesce("domain_prior", everywhere), HOST_WEIGHT)
+    posterior = F.zip_with("likelihood", prior, lambda a, p: a + F.log(p))
     for part in ("declared_evidence", "suffix_evidence"):
-        evidence = F.zip_with(evidence, F.coalesce(part, nothing), lambda a, b: a + b)
-    posterior = _softmax(F.zip_with("likelihood", evidence, lambda a, b: a + b))
+        posterior = F.zip_with(posterior, F.coalesce(part, nothing), lambda a, b: a + b)
     names = F.array(*map(F.lit, model.languages))
     best = F.array_max("posterior")
-    lettered = F.col("letters") > 0
-    return joined.withColumn("posterior", posterior).select(
-        "key",
-        F.when(lettered, F.element_at(names, F.array_position("posterior", best).cast("int"))).otherwise(UNKNOWN).alias("lang"),
-        best.alias("probability"),
-        F.when(lettered, F.element_at(names, F.array_position("share", F.array_max("share")).cast("int"))).otherwise(UNKNOWN).alias("text_lang"),
+    odds = F.zip_with("posterior", each(best), lambda x, m: F.exp(x - m))
+    return (
+        joined.withColumn("others", others)
+        .withColumn("posterior", posterior)
+        .select(
+            "key",
+            F.when(lettered, F.element_at(names, F.array_position("posterior", best).cast("int"))).otherwise(UNKNOWN).alias("lang"),
+            (1.0 / _sum(odds)).alias("probability"),
+            F.when(lettered, F.element_at(names, F.array_position("share", F.array_max("share")).cast("int"))).otherwise(UNKNOWN).alias("text_lang"),
+        )
     )
 
 
@@ -208,6 +230,6 @@ def page_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def document_rows(docs: DataFrame) -> DataFrame:
+def document_rows(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The same of documents, whose source stands for the host and whose ``lang`` is what they declare."""
-    return docs.select(F.col("doc_id").alias("key"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
+    return docs.select(F.col(key).alias("key"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from emiscope.session import write_through
+
 #: Rows of a piece that a task holds as Python values, and of a batch that Spark sends it.
 PIECE_ROWS = 256
 BATCH_ROWS = 1000
@@ -31,6 +33,19 @@ def fold_of(doc_id: int, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
 
 
+def numbered(rows: DataFrame, column: str, label: str) -> DataFrame:
+    """``rows`` with a unique, not dense, number in ``column``, written so that it stays the same."""
+    return write_through(rows.withColumn(column, F.monotonically_increasing_id()), label)
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, with as many lines before it as no column of ``rows`` has."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows, those with the smallest hash of ``key``; all of them if they are fewer.
 

@@ -192,6 +192,41 @@ def test_ngram_join_against_all_pairs(spark, seed):
     assert len(rows) == len(texts)
 
 
+def test_ngram_join_links_an_id_by_each_of_its_texts(spark):
+    """Id 3 has two texts, each a copy of another document's; a repeated row changes nothing."""
+    one, two, other = "a b c d e f g", "h i j k l m n o", "p q r s t u"
+    rows = [(5, one), (3, two), (3, one), (9, two), (9, two), (4, other), (7, None), (7, other), (8, "")]
+    found = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found)) == [(3, 4, 3), (4, 2, 4), (5, 3, 3), (7, 2, 4), (8, 0, 8), (9, 4, 3)]
+
+
+def test_keep_one_judges_rows(spark):
+    one, two = "a b c d e f g", "h i j k l m n o"
+    rows = [(5, one, 0), (3, one, 1), (3, one, 2), (3, two, 3), (None, two, 4), (None, "x y", 5), (None, "X y", 6), (None, None, 7), (8, "", 8), (8, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    left = {r.row for r in kept.collect()}
+    assert len(left & {1, 2}) == len(left & {5, 6}) == 1 and left - {1, 2, 5, 6} == {3, 7, 8, 9}
+    assert ngram_join.keep_one(docs.limit(0)).count() == 0
+
+
+def test_shingle_counters_in_rounds(spark, monkeypatch):
+    """Counters merged in rounds equal those added at once, sparse or dense."""
+    monkeypatch.setattr(ngram_join, "FAN_IN", 2)
+    draw = np.random.default_rng(3)
+    size, rows, want = 1 << ngram_join.BLOCK_BITS, [], np.zeros((3, 1 << ngram_join.BLOCK_BITS))
+    for task in range(7):
+        for block, share in enumerate((0.01, 0.9, 0.5)):
+            counts = np.where(draw.random(size) < share, draw.integers(1, 1 << 31, size), 0)
+            want[block] += counts
+            rows.append((block, task, *ngram_join._packed(counts)))
+    assert {r[2] is None for r in rows} == {True, False}
+    levels = ngram_join._levels(spark.createDataFrame(rows, ngram_join.COUNTS))
+    want = np.minimum(np.log2(np.minimum(want, ngram_join.MOST_COUNT) + 1) * 6, 255).astype(np.uint8)
+    assert (levels[: 3 * size] == want.reshape(-1)).all() and not levels[3 * size :].any()
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.link_documents(documents(spark, [])).count() == 0
     assert [tuple(r) for r in ngram_join.link_documents(documents(spark, [None, ""])).orderBy("doc_id").collect()] == [(0, 0, 0), (1, 0, 1)]
@@ -475,6 +510,21 @@ def test_language_fusion_against_plain_arithmetic(spark):
     assert sorted(map(str, wanted)) == sorted(str((f.key, f.lang, round(f.probability, 9))) for f in found)
 
 
+def test_language_of_many_values_and_long_texts(spark):
+    """The commonest values are the languages; a long text counts and is read whole."""
+    long = "und " * 200_000 + "the " * 300_000
+    docs = spark.createDataFrame([("the", "en"), ("und der", "de"), ("das", "de"), ("that", "en"), ("zzz", "junk")], "text string, lang string")
+    model = language.fit(docs, most=2)
+    assert model.languages == ["de", "en"]
+    counted = language.fit(docs.unionByName(spark.createDataFrame([(long, "junk")], docs.schema)))
+    assert counted.languages == ["de", "en", "junk"]
+    of_text, buckets = language._trigrams([long, "zzz"])
+    counts = np.bincount(buckets, minlength=1 << language.BUCKET_BITS) + language.SMOOTHING
+    assert np.allclose(counted.log_likelihood[:, 2], np.log(counts / counts.sum()))
+    one = spark.createDataFrame([(1, long, "", "")], "key long, text string, declared string, host string")
+    assert [r.lang for r in language.identify(one, model).collect()] == ["en"]
+
+
 def test_language_of_pages_and_nothing(spark):
     page = '<html lang="de-AT"><script>var x = "the";</script><p>das &amp; nicht</p></html>'
     pages = spark.createDataFrame([(1, "https://u@www.example.de:80/x", page), (2, None, None)], "page_id long, url string, html string")
