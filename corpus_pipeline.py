@@ -1,7 +1,7 @@
 """From raw documents to packed token windows, one dealt operator per stage.
 
-Every stage takes all that its predecessor kept. Rows without an id cannot be named by a
-verdict of the first and third stage, and stay. Extra columns are carried along up to packing.
+Every stage takes all that its predecessor kept and judges each row for itself, whether its id
+is null or repeated. Extra columns are carried along up to packing. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emiscope.llm import language, ngram_join, packing, quality
-from emiscope.llm.tables import table
+from emiscope.llm.tables import free_name, numbered, table
 from emiscope.session import write_through
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,10 +24,12 @@ LEAST_PROBABILITY = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language that is likelier than not, go."""
-    found = language.identify(language.document_rows(docs), language.fit(docs))
+    row = free_name(docs, "row")
+    rows = numbered(docs, row, "numbered")
+    found = language.identify(language.document_rows(rows, row), language.fit(rows))
     rejected = found.where((F.col("lang") == language.UNKNOWN) | (F.col("probability") < LEAST_PROBABILITY))
-    rejected = write_through(rejected.select("key"), "rejected")
-    return docs.join(rejected, docs.doc_id == rejected.key, "left_anti")
+    rejected = write_through(rejected.select(F.col("key").alias(row)), "rejected")
+    return rows.join(rejected, row, "left_anti").select(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +38,11 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by shingle similarity the document with the smallest id stays.
+    """Of each group linked by shingle similarity one document stays, the one with the smallest id.
 
-    Documents without shingles link with nothing and stay.
+    Documents without shingles link with nothing and stay. Ids that come last are null ones.
     """
-    found = ngram_join.link_documents(docs)
-    gone = write_through(found.where("doc_id <> component_id").select("doc_id"), "near_duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
