@@ -17,7 +17,7 @@ link when ``100 * |intersection| >= percent * |union|``.
 5. The suffix filter bounds the overlap by counts of the sets' shingles in 64 hash ranges.
    What passes is verified on the whole sets, once per pair.
 
-All this goes by a written number of each row. ``link_documents`` leaves null ids out, since
+All this goes by a number of each row. ``link_documents`` leaves null ids out, since
 nothing can name their rows; an id has one row, links by any of its texts, and is as large as
 its largest set. ``keep_one`` takes every row for a document of its own. Null and empty texts
 have no shingles and no links. Other columns are ignored. Shingles are compared by 64-bit hashes.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from emiscope.llm import textbytes
 from emiscope.llm.components import components
-from emiscope.llm.tables import free_name, map_pieces, numbered, rows_of
+from emiscope.llm.tables import by_row, free_name, map_pieces, rows_of
 from emiscope.session import write_through
 
 WIDTH = 5
@@ -228,7 +228,7 @@ def _within(n_a: Column, n_b: Column, percent: int) -> Column:
 def link_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``row, n, part`` per row of ``docs`` (``row, text``); the part is the smallest row reachable by links.
 
-    ``row`` must be unique and ``docs`` stored, as its texts are read several times.
+    ``row`` must be unique and ``docs`` the same at each of several reads.
     """
     spark = docs.sparkSession
     made = write_through(
@@ -306,7 +306,7 @@ def link_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per document; the component is the smallest id reachable by links."""
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    docs = numbered(docs, "row", "numbered")
+    docs = by_row(docs, "row")
     parts = docs.select("row", "doc_id").join(link_rows(docs.select("row", "text"), percent), "row")
     parts = write_through(parts.select("doc_id", "n", "part"), "row_parts")
     each = parts.groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("part").alias("part"), F.max("part").alias("last"))
@@ -329,7 +329,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     an id only where none has one; of rows with equal ids any one. Texts without shingles stay.
     """
     row = free_name(docs, "row")
-    rows = numbered(docs, row, "numbered")
+    rows = by_row(docs, row)
     found = link_rows(rows.select(F.col(row).alias("row"), "text"), percent).where("n > 0").select("row", "part")
     found = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long")).join(found, "row")
     found = write_through(found, "row_parts")

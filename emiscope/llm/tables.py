@@ -33,9 +33,17 @@ def fold_of(doc_id: int, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
 
 
-def numbered(rows: DataFrame, column: str, label: str) -> DataFrame:
-    """``rows`` with a unique, not dense, number in ``column``, written so that it stays the same."""
-    return write_through(rows.withColumn(column, F.monotonically_increasing_id()), label)
+def by_row(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with a unique number of each row in ``column``, the same whenever they are read.
+
+    Where ``doc_id`` is never null and never repeated it is that number. Otherwise, which a count
+    tells, the rows are written once with numbers of their own, unique but not dense.
+    """
+    key = F.col("doc_id").cast("long")
+    odd = rows.select(key.alias("id")).groupBy("id").count().where("id is null or count > 1")
+    if odd.isEmpty():
+        return rows.withColumn(column, key)
+    return write_through(rows.withColumn(column, F.monotonically_increasing_id()), "numbered")
 
 
 def free_name(rows: DataFrame, name: str) -> str:
@@ -66,6 +74,28 @@ def labelled(labels: DataFrame, column: str, folds: int, held_out: int) -> DataF
     return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
 
 
+_held: dict[tuple, object] = {}
+_asked: set[tuple] = set()
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """What ``make`` gives, kept by this worker process for its next tasks.
+
+    A task of ``map_pieces`` that does not ask for it lets it go, so that the operators that a
+    worker serves one after another do not add up in its memory.
+    """
+    _asked.add(key)
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def _let_go() -> None:
+    for key in _held.keys() - _asked:
+        del _held[key]
+    _asked.clear()
+
+
 def map_pieces(
     rows: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType
 ) -> DataFrame:
@@ -87,8 +117,10 @@ def map_pieces(
                 yield batch.slice(at, PIECE_ROWS).to_pandas()
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _asked.clear()
         for frame in run(pieces(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=layout, preserve_index=False)
+        _let_go()
         pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return rows.mapInArrow(mapped, kind)

@@ -13,6 +13,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
+from emiscope.llm.tables import held
+
 #: Entries of each of two generations: what is met again moves from the older to the newer.
 CACHE_ENTRIES = 200_000
 CACHED_CHARS = 64
@@ -81,11 +83,6 @@ class TokenIds:
         return [b"".join(map(known.__getitem__, row)) for row in cuts]
 
 
-_loaded: dict[str, TokenIds] = {}
-
-
 def token_ids(path: str) -> TokenIds:
     """One vocabulary per worker process, read from the file at ``path`` on each machine."""
-    if path not in _loaded:
-        _loaded[path] = TokenIds(path)
-    return _loaded[path]
+    return held(("token_ids", path), lambda: TokenIds(path))
