@@ -13,19 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emiscope.llm import language, ngram_join, packing, quality
-from emiscope.llm.tables import free_name, numbered, table
+from emiscope.llm.tables import by_row, free_name, table
 from emiscope.session import write_through
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document goes when the fused evidence gives no language even this chance.
 LEAST_PROBABILITY = 0.5
+#: Whole texts are written in small row groups, as a task holds one in memory.
+ROW_GROUPS = {"parquet.block.size": str(16 << 20)}
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language that is likelier than not, go."""
     row = free_name(docs, "row")
-    rows = numbered(docs, row, "numbered")
+    rows = by_row(docs, row)
     found = language.identify(language.document_rows(rows, row), language.fit(rows))
     rejected = found.where((F.col("lang") == language.UNKNOWN) | (F.col("probability") < LEAST_PROBABILITY))
     rejected = write_through(rejected.select(F.col("key").alias(row)), "rejected")
@@ -64,5 +66,5 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = write_through(stage(spark, docs, sf_dir), name)
+        docs = write_through(stage(spark, docs, sf_dir), name, **ROW_GROUPS)
     return docs

@@ -49,13 +49,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def write_through(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def write_through(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder, with the writer's ``options``, and read it back.
 
     The lineage ends at the written table, so a lost executor costs one re-read
     and every later use sees the same rows in the same files.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
