@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -94,6 +95,10 @@ def _let_go() -> None:
     for key in _held.keys() - _asked:
         del _held[key]
     _asked.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed pages otherwise
+    if trim is not None:
+        trim(0)
 
 
 def map_pieces(
@@ -120,8 +125,7 @@ def map_pieces(
         _asked.clear()
         for frame in run(pieces(batches)):
             yield pa.RecordBatch.from_pandas(frame, schema=layout, preserve_index=False)
-        _let_go()
-        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        _let_go()  # the worker goes on to other tasks
 
     return rows.mapInArrow(mapped, kind)
 
