@@ -19,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emiscope.llm.tables import map_pieces, rows_of
+from emiscope.llm.tables import PIECE_ROWS, map_pieces, rows_of
 from emiscope.llm.textbytes import batches
-from emiscope.llm.token_ids import token_ids
+from emiscope.llm.token_ids import BLOCK_BYTES, token_ids
 from emiscope.session import write_through
 
 WINDOW = 2048
@@ -89,11 +89,13 @@ def _first_round(path: str, window: int, most: int):
         windows = OpenWindows(task << 32, window, most)
         rows = ((i, t or "") for i, t in rows_of(frames, "doc_id", "text"))
         end = END.to_bytes(4, "little")
-        for group in batches(rows, 1):
+        for group in batches(rows, 1, BLOCK_BYTES):
             for (doc, _), ids in zip(group, tokens.encode([t for _, t in group])):
                 ids += end
                 windows.add(None if pd.isna(doc) else int(doc), 0, ids, len(ids) // 4)
-            yield windows.take()
+                if len(windows.done) >= PIECE_ROWS:
+                    yield windows.take()
+        yield windows.take()
         yield windows.left(task)
 
     return run

@@ -89,14 +89,14 @@ def bounds(texts: list[bytes]) -> np.ndarray:
     return offsets
 
 
-def batches(items: Iterable[tuple], text_at: int) -> Iterator[list[tuple]]:
-    """Groups of rows with about ``BATCH_BYTES`` of text; a longer text makes its own group."""
+def batches(items: Iterable[tuple], text_at: int, most: int = BATCH_BYTES) -> Iterator[list[tuple]]:
+    """Groups of rows with about ``most`` bytes of text; a longer text makes its own group."""
     group: list[tuple] = []
     size = 0
     for item in items:
         group.append(item)
         size += len(item[text_at]) + 1
-        if size >= BATCH_BYTES:
+        if size >= most:
             yield group
             group, size = [], 0
     if group:
