@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from emiscope.llm import bpe, catalog, language, matrices, ngram_join, packing, quality, toxicity
 from emiscope.llm.components import components
+from emiscope.llm.textbytes import batches
 from emiscope.llm.token_ids import TokenIds
 from tests.llm.data import AWKWARD, DOCS, documents, prose
 
@@ -71,6 +72,12 @@ def test_token_ids_equal_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_rows_are_grouped_up_to_the_size_asked_for():
+    rows = [(k, "x" * 9) for k in range(25)]
+    assert [len(g) for g in batches(rows, 1, 100)] == [10, 10, 5]
+    assert [len(g) for g in batches(rows, 1)] == [25]
+
+
 def whole_ids(texts):
     library = Tokenizer.from_file(WORD)
     return {k: [*library.encode(t or "", add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
