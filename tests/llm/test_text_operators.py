@@ -78,6 +78,35 @@ def test_rows_are_grouped_up_to_the_size_asked_for():
     assert [len(g) for g in batches(rows, 1)] == [25]
 
 
+def assert_ids(own, texts):
+    library = Tokenizer.from_file(WORD)
+    for ids, text in zip(own.encode(texts), texts, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_token_ids_of_every_latin_letter_and_quote():
+    latin = [chr(b) for b in range(256)]
+    draw = random.Random(9)
+    near = ["'"] * 4 + [*"stmdrevlRLa1!", " ", "’", "<|endoftext|>", "́", "'s", "'re"]
+    texts = [a + b + c for a in ("", "x", "'", " ") for b in latin for c in ("", "y", "'s", "’")]
+    assert_ids(TokenIds(WORD), ["", *texts, "", *("".join(draw.choices(near, k=draw.randint(1, 12))) for _ in range(4000)), ""])
+
+
+def test_token_ids_of_texts_cut_into_blocks_with_few_words_kept():
+    own = TokenIds(WORD, kept_words=20, block_bytes=50)
+    for texts in ([], [""], noise(300, seed=6), ["a" * 300, "b c " * 200, " " * 200, "d\n" * 90 + "e" * 70 + " f’s " * 30]):
+        assert_ids(own, texts)
+        assert len(own.words) <= 20
+
+
+def test_words_are_looked_up_without_the_marks_around_them():
+    own = TokenIds(WORD)
+    words = ["".join(w) for w in itertools.product("abcde", repeat=4)]
+    own.encode([" ".join(f"({w}{mark}" for w in words) for mark in ("", ".", "%%%", "###,", "***", "-1-")])
+    assert len(own.words) <= len(words) + 20
+    assert own.words.nbytes + own.ids.nbytes < 100_000
+
+
 def whole_ids(texts):
     library = Tokenizer.from_file(WORD)
     return {k: [*library.encode(t or "", add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
