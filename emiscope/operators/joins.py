@@ -16,10 +16,10 @@ from emiscope.session import write_through
 
 # Ranges up to this count are broadcast (24 bytes each); more are joined by a sweep.
 BROADCAST_RANGES = 2000
-# Positions of a block of the sweep join, and blocks of one cut of a long range.
-BLOCK, BLOCKS_PER_CUT = 256, 4096
-# A position past all others.
-PAST_ALL = 1 << 62
+# Facts of a block of the sweep join at least and at most, and of a pack; blocks of one cut of a long range.
+BLOCK, WIDEST_BLOCK, PACK, BLOCKS_PER_CUT = 256, 1 << 16, 64, 4096
+# Ranges that meet one copy of a block.
+RANGES_TOGETHER = 1 << 14
 
 
 def emission_ranges(spark: SparkSession) -> DataFrame:
@@ -135,108 +135,146 @@ def _span(ranges: DataFrame) -> tuple[float | None, float | None]:
     return low, None if open_ else high
 
 
-def in_ranges(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
-    """Inner range join. Few ranges are broadcast; many are joined by a sweep.
-
-    ``stored`` says that ``value`` is a column of the scanned table, so that its filters
-    may reach the scan; the filters of a computed value stay above the computation.
-    """
+def _spanned(facts: DataFrame, ranges: DataFrame, value: str, stored: bool) -> DataFrame:
+    """Facts that lie within the bounds of all ranges together."""
     low, high = _span(ranges)
     inside = F.col(value).isNotNull()
     if low is not None:
         inside = inside & (F.col(value) >= low)
     if high is not None:
         inside = inside & (F.col(value) < high)
-    facts = facts.where(inside) if stored else where_computed(facts, inside)
-    if ranges.count() <= BROADCAST_RANGES:
-        # Ids and bounds only: 24 bytes a range. What else a range carries is joined by its id.
-        slim = F.broadcast(ranges.select("shard_id", "min_emissions", "max_emissions"))
-        hits = facts.join(slim, _within(F.col(value)))
-        more = [c for c in ranges.columns if c not in slim.columns]
-        return hits.join(ranges.select("shard_id", *more), "shard_id") if more else hits
-    return sweep_join(facts, ranges, value)
+    return facts.where(inside) if stored else where_computed(facts, inside)
+
+
+def in_ranges(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
+    """Inner range join. Few ranges are broadcast; many are joined by a sweep.
+
+    ``stored`` says that ``value`` is a column of the scanned table, so that its filters
+    may reach the scan; the filters of a computed value stay above the computation.
+    """
+    if ranges.count() > BROADCAST_RANGES:
+        return sweep_join(facts, ranges, value, stored)
+    facts = _spanned(facts, ranges, value, stored)
+    # Ids and bounds only: 24 bytes a range. What else a range carries is joined by its id.
+    slim = F.broadcast(ranges.select("shard_id", "min_emissions", "max_emissions"))
+    hits = facts.join(slim, _within(F.col(value)))
+    more = [c for c in ranges.columns if c not in slim.columns]
+    return hits.join(ranges.select("shard_id", *more), "shard_id") if more else hits
+
+
+def _in_order(x: Column) -> Column:
+    """Both zeros are one value."""
+    return F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")).alias("_v")
 
 
 def place_in_order(facts: DataFrame, ranges: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
-    """Facts and ranges on one scale: the positions in a common order of all values and bounds.
-
-    Facts come back with ``_place``; ranges that can hold a value with ``_first`` and ``_end``, their
-    facts being those with ``_first < _place < _end``. One range sort takes both kinds. A bound
-    stands before the facts of its value, so lower bounds belong to their range and upper ones
-    do not. Equal values are told apart by their place in the input, so that a value which a
-    third of all facts share is cut over several partitions. NULL values, ranges without a lower
-    bound and ranges that end where or before they begin are left out.
+    """Facts with ``_place``, their position in the order of values, and the ranges placed among them.
+
+    Equal values are told apart by their place in the input, so that a value which a third of all
+    facts share is cut over several partitions. NULL values are left out.
     """
+    tie = F.monotonically_increasing_id().alias("_tie")
+    rows = facts.where(F.col(value).isNotNull()).select(_in_order(F.col(value)), tie, F.struct(*facts.columns).alias("_fact"))
+    # The index is written, so all uses read files.
+    found = global_index(rows, [F.col("_v"), F.col("_tie")], "_place").select("_fact.*", "_place")
+    return found, placed_ranges(found.select(value), ranges, value)
 
-    def order(x: Column, kind: int) -> tuple[Column, Column]:
-        # Both zeros are one value.
-        return F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")).alias("_v"), F.lit(kind).alias("_kind")
 
+def placed_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+    """Ranges that can hold a value, with ``_first`` and ``_end``: their facts have ``_first < _place < _end``.
+
+    One range sort takes values and bounds. A bound stands before the facts of its value, so lower
+    bounds belong to their range and upper ones do not. The number of facts before a bound is its
+    position in this order less its position among the bounds alone, so bounds take no place among
+    the facts, however many they are. Ranges without a lower bound and ranges that end where or
+    before they begin are left out. ``_tie`` tells equal ranges apart.
+    """
     tie = F.monotonically_increasing_id().alias("_tie")
-    rows = facts.where(F.col(value).isNotNull()).select(*order(F.col(value), 1), tie, F.struct(*facts.columns).alias("_fact"))
+    values = facts.where(F.col(value).isNotNull()).select(_in_order(F.col(value)), F.lit(1).alias("_kind"), tie)
     low, high = F.col("min_emissions"), F.col("max_emissions")
     holding = ranges.where(low.isNotNull() & (high.isNull() | (low < high)))
     sides = holding.select(F.struct(*ranges.columns).alias("_range"), tie)  # both bounds carry one tie
-    sides = sides.select("*", F.explode(F.array("_range.min_emissions", "_range.max_emissions")).alias("_bound"))
-    sides = sides.where("_bound IS NOT NULL").select(*order(F.col("_bound"), 0), "_tie", "_range")
-    both = rows.unionByName(sides, allowMissingColumns=True)
-    # The index is written, so both uses below read files.
-    placed = global_index(both, [F.col("_v"), F.col("_kind"), F.col("_tie")], "_place")
-    paired = placed.where("_kind = 0").groupBy("_tie")
-    paired = paired.agg(F.first("_range").alias("_range"), F.min("_place").alias("_first"), F.max("_place").alias("_end"))
-    # An open range reaches past the last position.
-    end = F.when(F.col("_range.max_emissions").isNull(), F.lit(PAST_ALL)).otherwise(F.col("_end"))
-    return placed.where("_kind = 1").select("_fact.*", "_place"), paired.select("_range.*", "_first", end.alias("_end"))
+    sides = sides.select("_tie", "_range", F.posexplode(F.array("_range.min_emissions", "_range.max_emissions")).alias("_side", "_bound"))
+    # The range goes with its lower bound.
+    carried = F.when(F.col("_side") == 0, F.col("_range")).alias("_range")
+    sides = sides.where("_bound IS NOT NULL").select(_in_order(F.col("_bound")), F.lit(0).alias("_kind"), "_tie", carried)
+    both = values.unionByName(sides, allowMissingColumns=True)
+    ordered = global_index(both, [F.col("_v"), F.col("_kind"), F.col("_tie")], "_order")
+    ranked = global_index(ordered.where("_kind = 0").select("_tie", "_range", "_order"), [F.col("_order")], "_rank")
+    before = F.col("_order") - F.col("_rank")
+    paired = ranked.groupBy("_tie").agg(F.first("_range", ignorenulls=True).alias("_range"), F.min(before).alias("_low"), F.max(before).alias("_high"))
+    # All facts stand before the end of an open range.
+    end = F.when(F.col("_range.max_emissions").isNull(), F.lit(ordered.where("_kind = 1").count())).otherwise(F.col("_high"))
+    return paired.select("_range.*", (F.col("_low") - 1).alias("_first"), end.alias("_end"), "_tie")
 
 
-def covered_blocks(placed_ranges: DataFrame, last: int) -> DataFrame:
-    """One row for each block of positions that a range touches: hits over ``BLOCK``, and two more at most.
+def covered_blocks(placed: DataFrame, last: int, block: int | None = None) -> DataFrame:
+    """One row for each block of positions that a range touches: hits over ``block``, and two more at most.
 
     Long ranges are cut in two steps, so that no row holds a long list.
     """
+    block = block or BLOCK
     end = F.least(F.col("_end"), F.lit(last + 1))
-    wide, narrow = BLOCK * BLOCKS_PER_CUT, F.lit(BLOCK)
+    wide, narrow = block * BLOCKS_PER_CUT, F.lit(block)
     cuts = F.explode(F.sequence(F.expr(f"_first div {wide}"), F.expr(f"_end div {wide}"))).alias("_cut")
-    cut = placed_ranges.withColumn("_end", end).where("_first < _end").select("*", cuts)
-    low = F.greatest(F.expr(f"_first div {BLOCK}"), F.col("_cut") * BLOCKS_PER_CUT)
+    cut = placed.withColumn("_end", end).where("_first < _end").select("*", cuts)
+    low = F.greatest(F.expr(f"_first div {block}"), F.col("_cut") * BLOCKS_PER_CUT)
     high = F.least(F.floor(F.col("_end") / narrow), F.col("_cut") * BLOCKS_PER_CUT + (BLOCKS_PER_CUT - 1))
     return cut.select("*", F.explode(F.sequence(low, high)).alias("_block")).drop("_cut")
 
 
-def sweep_join(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
+def packed(found: DataFrame, columns: list[str], block: int) -> DataFrame:
+    """Placed facts in packs of up to ``PACK`` neighbours of one block: ``_facts`` from position ``_from`` to ``_to``."""
+    rows = found.select("_place", F.struct(*columns).alias("_fact"))
+    packs = rows.groupBy(F.expr(f"_place div {block}").alias("_block"), F.expr(f"_place % {block} div {PACK}").alias("_pack"))
+    packs = packs.agg(F.min("_place").alias("_from"), F.max("_place").alias("_to"), F.collect_list(F.struct("_place", "_fact")).alias("_facts"))
+    in_order = F.array_sort("_facts", lambda a, b: (a["_place"] - b["_place"]).cast("int"))
+    return packs.select("_block", "_from", "_to", F.transform(in_order, lambda x: x["_fact"]).alias("_facts"))
+
+
+def sweep_join(facts: DataFrame, ranges: DataFrame, value: str, stored: bool = False) -> DataFrame:
     """Range join for any number of ranges, overlapping or not, over any distribution of values.
 
-    Facts and bounds are sorted together once (``place_in_order``); a range's facts are then a run
-    of positions, which is joined by blocks of ``BLOCK`` positions. So what moves is the facts
-    twice, the bounds, and a row per block of a range; never a fact per range that misses it.
-    The merge hint keeps Spark from broadcasting the blocks, whose number it cannot foresee, and
-    lets adaptive execution split a block that very many ranges cover.
+    A range's facts are a run of positions (``place_in_order``). Runs meet the facts by blocks of as
+    many positions as a run has on average, ``BLOCK`` at least; so runs take three rows each on
+    average as long as that is below ``WIDEST_BLOCK``. Facts come to a block in packs of ``PACK``
+    neighbours, and a pack gives the hits of each run that reaches into it. What moves is the
+    facts three times, their values, the bounds, and the rows of the runs; never a hit, nor a fact
+    per range. A block under more than ``RANGES_TOGETHER`` runs is copied, each copy for a part of
+    them, so no task has to take all runs of a hot block.
     """
-    found, placed = place_in_order(facts, ranges, value)
-    last = found.agg(F.max("_place")).first()[0]
-    blocks = covered_blocks(placed, -1 if last is None else last).hint("merge")
-    rows = found.withColumn("_block", F.expr(f"_place div {BLOCK}"))
-    return rows.join(blocks, "_block").where("_place > _first AND _place < _end").drop("_place", "_block", "_first", "_end")
+    found, placed = place_in_order(_spanned(facts, ranges, value, stored), ranges, value)
+    placed = write_through(placed.where("_end - _first > 1"), "placed_ranges")
+    held = F.col("_end") - F.col("_first") - 1
+    count, hits, end = placed.agg(F.count(F.lit(1)), F.coalesce(F.sum(held), F.lit(0)), F.coalesce(F.max("_end"), F.lit(0))).first()
+    block = max(BLOCK, min(WIDEST_BLOCK, hits // max(count, 1)))
+    runs = covered_blocks(placed, end, block)
+    touched = write_through(runs.groupBy("_block").agg(F.count(F.lit(1)).alias("_runs")), "touched_blocks")
+    # A block is hot by RANGES_TOGETHER rows of runs, so hot blocks are few beside those.
+    copies = F.ceil(F.col("_runs") / RANGES_TOGETHER).alias("_copies")
+    hot = F.broadcast(touched.where(F.col("_runs") > RANGES_TOGETHER).select("_block", copies))
+    copies = F.coalesce("_copies", F.lit(1).cast("bigint"))
+    packs = packed(found, facts.columns, block).join(hot, "_block", "left")
+    packs = packs.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)))
+    rows = touched.agg(F.coalesce(F.sum("_runs"), F.lit(0))).first()[0]
+    runs = runs.join(hot, "_block", "left").withColumn("_copy", F.pmod(F.xxhash64("_tie"), copies)).drop("_copies")
+    if rows > RANGES_TOGETHER:
+        # The few bytes of a run say nothing of its hits, so adaptive execution may not gather runs by them.
+        least = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        runs = runs.repartition(max(least, 2 * rows // RANGES_TOGETHER), "_block", "_copy")
+    # The merge hint keeps Spark from broadcasting runs or packs, whose numbers it cannot foresee.
+    met = packs.drop("_copies").join(runs.hint("merge"), ["_block", "_copy"])
+    low, high = F.greatest("_from", F.col("_first") + 1), F.least("_to", F.col("_end") - 1)
+    at = F.sequence((low - F.col("_from")).cast("int"), (high - F.col("_from")).cast("int"))
+    found_at = met.where(low <= high).select("_facts", *ranges.columns, F.explode(at).alias("_at"))
+    return found_at.select(F.get("_facts", F.col("_at")).alias("_fact"), *ranges.columns).select("_fact.*", *ranges.columns)
 
 
 def count_in_ranges(facts: DataFrame, ranges: DataFrame, value: str) -> DataFrame:
-    """Every range with its ``facts_count``; no fact is joined.
-
-    The number of facts before a bound is its position among facts and bounds less its position
-    among the bounds alone.
-    """
+    """Every range with its ``facts_count``, the difference of its bounds' places; no fact is joined."""
     named = write_through(ranges.withColumn("_id", F.monotonically_increasing_id()), "named_ranges")
-    found, placed = place_in_order(facts.select(value), named, value)
-    ends = F.array(
-        F.struct(F.col("_first").alias("_place"), F.lit(-1).alias("_sign")), F.struct(F.col("_end").alias("_place"), F.lit(1).alias("_sign"))
-    )
-    bounds = placed.select("_id", F.inline(ends))
-    ranked = global_index(bounds.where(F.col("_place") < PAST_ALL), [F.col("_place")], "_rank")
-    before = ranked.select("_id", "_sign", (F.col("_place") - F.col("_rank")).alias("_before"))
-    # All facts stand before the end of an open range.
-    open_ends = bounds.where(F.col("_place") == PAST_ALL).select("_id", "_sign", F.lit(found.count()).alias("_before"))
-    counted = before.unionByName(open_ends).groupBy("_id").agg(F.sum(F.col("_sign") * F.col("_before")).alias("facts_count"))
-    counted = named.join(counted, "_id", "left").drop("_id")
+    placed = placed_ranges(facts.select(value), named, value)
+    counted = named.join(placed.select("_id", (F.col("_end") - F.col("_first") - 1).alias("facts_count")), "_id", "left").drop("_id")
     return counted.withColumn("facts_count", F.coalesce("facts_count", F.lit(0).cast("bigint")))
 
 

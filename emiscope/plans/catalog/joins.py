@@ -116,7 +116,7 @@ def shard_range_scan(spark, sf):
 def many_ranges_join(spark, sf):
     """The sweep form, which takes ranges too many to broadcast."""
     facts = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    hits = J.sweep_join(facts, price_ranges(spark, sf), "o_totalprice")
+    hits = J.sweep_join(facts, price_ranges(spark, sf), "o_totalprice", stored=True)
     return hits.groupBy(F.col("shard_id").alias("p_partkey")).agg(
         F.count(F.lit(1)).alias("orders_in_range")
     )

@@ -172,6 +172,34 @@ def test_sweep_without_facts_or_ranges(spark):
     assert J.count_in_ranges(some[0], none[1], "x").count() == 0
 
 
+def test_bounds_take_no_place_among_facts(spark):
+    """The rows that ranges take follow their hits, not how many other ranges begin or end within them."""
+    facts = spark.range(100).selectExpr("id", "CAST(id AS DOUBLE) AS x")
+    ranges = spark.range(3000).selectExpr("CAST(id AS INT) AS shard_id", "40.5D + id / 1000 AS min_emissions", "50.5D + id / 1000 AS max_emissions")
+    _, placed = J.place_in_order(facts, ranges, "x")
+    assert placed.selectExpr("sum(_end - _first - 1)").first()[0] == 3000 * 10
+    assert J.covered_blocks(placed, 100 + 2 * 3000).count() <= 2 * 3000
+    counts = J.sweep_join(facts, ranges, "x").groupBy("shard_id").count()
+    assert counts.where("count = 10").count() == 3000
+
+
+@pytest.mark.parametrize("together, pack", [(1, 1), (7, 5), (1 << 14, 64)])
+def test_sweep_shares_out_hot_blocks(spark, monkeypatch, together, pack):
+    """Equal and overlapping ranges over one hot block, facts with equal rows and a column that has no order."""
+    for name, value in (("RANGES_TOGETHER", together), ("PACK", pack), ("BLOCK", 4), ("WIDEST_BLOCK", 32)):
+        monkeypatch.setattr(J, name, value)
+    facts = [(k // 2, rng.choice([3.0, round(rng.uniform(0, 9), 1)]), {"k": k // 2}) for k in range(160)]
+    ranges = [(k % 20, lo, lo + 2.5) for k, lo in enumerate([2.0] * 30 + [round(rng.uniform(0, 8), 1) for _ in range(10)])]
+    ranges += [(50, -1.0, None), (51, 3.0, 3.1)]
+    got = J.sweep_join(
+        spark.createDataFrame(facts, "id INT, x DOUBLE, more MAP<STRING, INT>"),
+        spark.createDataFrame(ranges, "shard_id INT, min_emissions DOUBLE, max_emissions DOUBLE"),
+        "x",
+    ).collect()
+    assert all(r["more"] == {"k": r["id"]} and r["x"] >= r["min_emissions"] for r in got)
+    assert sorted((r["shard_id"], r["id"]) for r in got) == brute_ranges([(i, x) for i, x, _ in facts], ranges)
+
+
 def test_sweep_takes_more_ranges_than_are_broadcast(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST_RANGES", 3)
     facts = spark.range(300).selectExpr("id", "id / 10 AS x")
